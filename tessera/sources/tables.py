@@ -66,30 +66,31 @@ MESSY_PART_SQL = """
            WHEN '1' THEN ''
            WHEN '2' THEN '-'
            WHEN '3' THEN 'nan'
-           WHEN '4' THEN '$' || CAST(CAST(floor(p_retailprice) AS BIGINT) AS VARCHAR) || 'K'
-           WHEN '5' THEN '€' || CAST(CAST(floor(p_retailprice) AS BIGINT) AS VARCHAR) || 'M'
-           WHEN '6' THEN '£' || CAST(p_size AS VARCHAR) || 'b'
-           WHEN '7' THEN CAST(CAST(floor(p_retailprice) AS BIGINT) AS VARCHAR) || 'd'
+           WHEN '4' THEN '$' || CAST(CAST(floor(p_retailprice) AS BIGINT) AS STRING) || 'K'
+           WHEN '5' THEN '€' || CAST(CAST(floor(p_retailprice) AS BIGINT) AS STRING) || 'M'
+           WHEN '6' THEN '£' || CAST(p_size AS STRING) || 'b'
+           WHEN '7' THEN CAST(CAST(floor(p_retailprice) AS BIGINT) AS STRING) || 'd'
            WHEN '8' THEN 'None'
-           ELSE '$' || CAST(CAST(floor(p_retailprice) * 1000 AS BIGINT) AS VARCHAR)
+           ELSE '$' || CAST(CAST(floor(p_retailprice) * 1000 AS BIGINT) AS STRING)
          END AS money_raw,
          CASE WHEN substr(h, 2, 1) < '8'
-              THEN ' ' || CAST(CAST(floor(p_retailprice) * 1000 + p_size AS BIGINT) AS VARCHAR) || ' '
+              THEN ' ' || CAST(CAST(floor(p_retailprice) * 1000 + p_size AS BIGINT) AS STRING) || ' '
               ELSE substr(h, 3, 3) END AS number_raw,
-         CASE WHEN substr(h, 6, 1) < '4' THEN '(' || CAST(1990 + p_size AS VARCHAR) || ')'
-              WHEN substr(h, 6, 1) < '8' THEN '(' || CAST(1990 + p_size AS VARCHAR) || '–'
-                                         || CAST(2000 + p_size AS VARCHAR) || ')'
-              WHEN substr(h, 6, 1) < 'c' THEN '(' || CAST(1990 + p_size AS VARCHAR) || '– )'
+         CASE WHEN substr(h, 6, 1) < '4' THEN '(' || CAST(1990 + p_size AS STRING) || ')'
+              WHEN substr(h, 6, 1) < '8' THEN '(' || CAST(1990 + p_size AS STRING) || '–'
+                                         || CAST(2000 + p_size AS STRING) || ')'
+              WHEN substr(h, 6, 1) < 'c' THEN '(' || CAST(1990 + p_size AS STRING) || '– )'
               ELSE 'no year' END AS year_raw,
          CASE WHEN substr(h, 7, 1) < '8' THEN '  ' || p_type || chr(10) || p_name || ' '
               ELSE p_type END AS text_raw,
-         CASE WHEN substr(h, 8, 1) < 'c' THEN CAST(1990 + p_size AS VARCHAR) || '-0'
-                                         || CAST(1 + p_size % 9 AS VARCHAR) || '-1'
-                                         || CAST(p_size % 10 AS VARCHAR)
+         CASE WHEN substr(h, 8, 1) < 'c' THEN CAST(1990 + p_size AS STRING) || '-0'
+                                         || CAST(1 + p_size % 9 AS STRING) || '-1'
+                                         || CAST(p_size % 10 AS STRING)
               ELSE 'not a date' END AS date_raw,
          CASE substr(h, 9, 1) WHEN '0' THEN 'NA' WHEN '1' THEN ' N/A ' WHEN '2' THEN '?'
-              WHEN '3' THEN '-999' WHEN '4' THEN 'na' ELSE ' ' || p_brand || ' ' END AS brand_raw
-  FROM (SELECT *, md5(CAST(p_partkey AS VARCHAR)) AS h FROM part) t
+              WHEN '3' THEN '-999' WHEN '4' THEN 'na' ELSE ' ' || p_brand || ' ' END AS brand_raw,
+         CAST(p_size AS STRING) || ',' || lpad(CAST(p_partkey % 1000 AS STRING), 3, '0') AS votes_raw
+  FROM (SELECT *, md5(CAST(p_partkey AS STRING)) AS h FROM part) t
 """
 
 
@@ -110,3 +111,20 @@ def sql_over(spark: SparkSession, sf_dir: str, sql: str, names) -> DataFrame:
 
 def messy_part(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sql_over(spark, sf_dir, MESSY_PART_SQL, ["part"])
+
+
+# ---------------------------------------------------------------- customer-year panel from orders
+# A (unit, year) panel with finance-style indicators derived from orders.
+PANEL_SQL = """
+  SELECT o_custkey AS unit, CAST(year(o_orderdate) AS INTEGER) AS anio,
+         sum(CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE -o_totalprice END) AS cfo,
+         sum(o_totalprice) AS income,
+         sum(CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN o_totalprice ELSE 0 END) AS cost,
+         count(*) / 3.0 AS liquidez,
+         avg(CAST(day(o_orderdate) AS DOUBLE)) * 2 AS dias_efectivo
+  FROM orders GROUP BY o_custkey, year(o_orderdate)
+"""
+
+
+def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sql_over(spark, sf_dir, PANEL_SQL, ["orders"])
