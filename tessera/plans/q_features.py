@@ -1 +1,204 @@
-"""Registered queries."""
+"""Feature-engineering queries (F1-F20) with their SQL twins."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import columns as fc
+from ..operators import features as fe
+from ..sources.tables import PANEL_SQL, load, panel
+from .common import R, rounded
+from .registry import query
+
+PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+_LAG = "lag(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)"
+_RET = f"(o_totalprice / nullif({_LAG}, 0) - 1)"
+
+
+@query("pct_change", sql=f"SELECT o_orderkey, o_custkey, {R(_RET)} AS o_totalprice_ret FROM orders")
+def q_pct_change(spark, sf):
+    o = load(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    r = fe.pct_change(o, "o_totalprice", ["o_custkey"], ["o_orderdate"], "o_orderkey")
+    return rounded(r.select("o_orderkey", "o_custkey", "o_totalprice_ret"))
+
+
+@query("log_return", sql=f"""
+SELECT o_orderkey, {R('coalesce(CASE WHEN r > -1 THEN ln(1 + r) END, 0.0)')} AS o_totalprice_logret
+FROM (SELECT o_orderkey, {_RET} AS r FROM orders) t
+""")
+def q_log_return(spark, sf):
+    o = load(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    r = fe.log_return(fe.pct_change(o, "o_totalprice", ["o_custkey"], ["o_orderdate"], "o_orderkey"),
+                      "o_totalprice")
+    return rounded(r.select("o_orderkey", "o_totalprice_logret"))
+
+
+@query("log1p_cols", sql=f"""
+SELECT o_orderkey, {R('ln(1 + o_totalprice)')} AS o_totalprice_log FROM orders
+""")
+def q_log1p_cols(spark, sf):
+    o = load(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    return rounded(fe.log1p_cols(o, ["o_totalprice"]).drop("o_totalprice"))
+
+
+_dummies_drop = ", ".join(f"CASE WHEN o_orderpriority = '{p}' THEN 1 ELSE 0 END AS \"o_orderpriority_{p}\""
+                          for p in PRIORITIES[1:])
+
+
+@query("one_hot_drop_first", sql=f"SELECT o_orderkey, {_dummies_drop} FROM orders")
+def q_one_hot_drop_first(spark, sf):
+    o = load(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
+    return fe.one_hot(o, "o_orderpriority", drop_first=True)
+
+
+_fit_cats = [p for p in PRIORITIES if p != "5-LOW"]
+_dummies_full = ", ".join(f"CASE WHEN o_orderpriority = '{p}' THEN 1 ELSE 0 END AS \"o_orderpriority_{p}\""
+                          for p in _fit_cats)
+
+
+@query("one_hot_full", sql=f"SELECT o_orderkey, {_dummies_full} FROM orders")
+def q_one_hot_full(spark, sf):
+    o = load(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
+    train = o.where((F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") != "5-LOW"))
+    cats = fe.categories(train, "o_orderpriority")  # fitted on train; '5-LOW' is unseen
+    return fe.one_hot(o.drop("o_orderstatus"), "o_orderpriority", drop_first=False, cats=cats)
+
+
+@query("label_encode", sql="""
+SELECT p_partkey, p_type, CAST(dense_rank() OVER (ORDER BY p_type) - 1 AS BIGINT) AS p_type_encoded FROM part
+""")
+def q_label_encode(spark, sf):
+    return fe.label_encode(load(spark, sf, "part").select("p_partkey", "p_type"), "p_type")
+
+
+_ord_case = " ".join(f"WHEN '{p}' THEN {i}" for i, p in enumerate(PRIORITIES))
+
+
+@query("ordinal_encode", sql=f"""
+SELECT o_orderkey, CASE o_orderpriority {_ord_case} END AS o_orderpriority_code,
+       o_orderpriority AS decoded FROM orders
+""")
+def q_ordinal_encode(spark, sf):
+    o = load(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
+    e = fe.ordinal_encode(o, "o_orderpriority", PRIORITIES)
+    return e.select("o_orderkey", "o_orderpriority_code",
+                    fe.ordinal_decode(F.col("o_orderpriority_code"), PRIORITIES).alias("decoded"))
+
+
+@query("binary_encode", sql="SELECT p_partkey, bin(CAST(p_size AS BIGINT)) AS p_size_binary FROM part")
+def q_binary_encode(spark, sf):
+    return fe.binary_encode(load(spark, sf, "part").select("p_partkey", "p_size"), "p_size").drop("p_size")
+
+
+_TRAIN = "o_orderdate < TIMESTAMP '1998-01-01'"
+
+
+@query("standard_scale", sql=f"""
+WITH f AS (SELECT avg(o_totalprice) AS a, stddev_pop(o_totalprice) AS b FROM orders WHERE {_TRAIN})
+SELECT o_orderkey, {R('CASE WHEN b = 0 THEN 0.0 ELSE (o_totalprice - a) / b END')} AS o_totalprice_std FROM orders, f
+""")
+def q_standard_scale(spark, sf):
+    o = load(spark, sf, "orders")
+    train = o.where(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp"))
+    s = fe.standard_scale(o.select("o_orderkey", "o_totalprice"), ["o_totalprice"], fit_on=train)
+    return rounded(s.drop("o_totalprice"))
+
+
+@query("minmax_scale", sql=f"""
+WITH f AS (SELECT min(o_totalprice) AS a, max(o_totalprice) AS b FROM orders WHERE {_TRAIN})
+SELECT o_orderkey, {R('CASE WHEN b = a THEN 0.0 ELSE (o_totalprice - a) / (b - a) END')} AS o_totalprice_mm FROM orders, f
+""")
+def q_minmax_scale(spark, sf):
+    o = load(spark, sf, "orders")
+    train = o.where(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp"))
+    s = fe.minmax_scale(o.select("o_orderkey", "o_totalprice"), ["o_totalprice"], fit_on=train)
+    return rounded(s.drop("o_totalprice"))
+
+
+@query("poly_interactions", sql=f"""
+SELECT c_custkey, {R('c_acctbal * c_nationkey')} AS c_acctbal_x_c_nationkey,
+       {R('c_acctbal * len(c_name)')} AS c_acctbal_x_name_len, {R('c_nationkey * len(c_name)')} AS c_nationkey_x_name_len
+FROM customer
+""")
+def q_poly_interactions(spark, sf):
+    c = load(spark, sf, "customer").select("c_custkey", "c_acctbal", "c_nationkey",
+                                            F.length("c_name").alias("name_len"))
+    p = fe.poly_interactions(c, ["c_acctbal", "c_nationkey", "name_len"])
+    return rounded(p.drop("c_acctbal", "c_nationkey", "name_len"))
+
+
+@query("ratios", sql=f"""
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+       {R('coalesce(l_discount / nullif(l_tax, 0), 0.0)')} AS ratio,
+       {R('l_tax - l_discount')} AS delta, {R('(l_discount + l_tax) / 2.0')} AS mean2
+FROM lineitem
+""")
+def q_ratios(spark, sf):
+    li = load(spark, sf, "lineitem")
+    return rounded(li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                             fc.safe_ratio("l_discount", "l_tax").alias("ratio"),
+                             fc.delta("l_discount", "l_tax").alias("delta"),
+                             fc.mean_of("l_discount", "l_tax").alias("mean2")))
+
+
+@query("threshold_target", sql="""
+WITH m AS (SELECT quantile_cont(o_totalprice, 0.5) AS m1, quantile_cont(CAST(o_custkey AS DOUBLE), 0.5) AS m2 FROM orders)
+SELECT o_orderkey, CASE WHEN o_totalprice >= m1 AND o_custkey >= m2 THEN 1 ELSE 0 END AS target FROM orders, m
+""")
+def q_threshold_target(spark, sf):
+    o = load(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_custkey")
+    return fe.threshold_target(o, ["o_totalprice", "o_custkey"]).select("o_orderkey", "target")
+
+
+@query("stress_label", sql=f"""
+WITH p AS ({PANEL_SQL}),
+l AS (SELECT *, lag(cfo) OVER (PARTITION BY unit ORDER BY anio) AS prev_cfo FROM p)
+SELECT unit, anio, CAST((coalesce(cfo < 0 AND prev_cfo < 0, false) OR coalesce(liquidez < 1, false)
+                         OR coalesce(dias_efectivo < 30, false)) AS INTEGER) AS stress
+FROM l
+""")
+def q_stress_label(spark, sf):
+    s = fe.stress_label(panel(spark, sf), "unit", "anio", "cfo", "liquidez", "dias_efectivo")
+    return s.select("unit", "anio", "stress")
+
+
+@query("gp_ratio", sql=f"""
+WITH p AS ({PANEL_SQL}) SELECT unit, anio, {R('cost / nullif(income, 0)')} AS gp_ratio FROM p
+""")
+def q_gp_ratio(spark, sf):
+    p = panel(spark, sf)
+    return rounded(p.select("unit", "anio", fe.gp_ratio(F.col("cost"), F.col("income")).alias("gp_ratio")))
+
+
+@query("concentration", sql=f"""
+SELECT o_custkey, {R('sum(o_totalprice * o_totalprice) / (sum(o_totalprice) * sum(o_totalprice))')} AS hhi
+FROM orders GROUP BY o_custkey
+""")
+def q_concentration(spark, sf):
+    return rounded(fe.concentration(load(spark, sf, "orders"), "o_custkey", "o_totalprice"))
+
+
+@query("pca_project")
+def q_pca_project(spark, sf):
+    li = load(spark, sf, "lineitem").select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("key"),
+        "l_quantity", "l_extendedprice", "l_discount", "l_tax")
+    proj, _ = fe.pca_project(li, "key", ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], 2)
+    return proj
+
+
+@query("feature_groups", sql="""
+SELECT * FROM (VALUES ('amounts', 'l_extendedprice', 60000), ('amounts', 'l_quantity', 60000),
+                      ('rates', 'l_discount', 60000), ('rates', 'l_tax', 60000)) v(grp, "column", n)
+WHERE false
+UNION ALL
+SELECT g.grp, g."column", CAST(count(*) AS BIGINT) AS n
+FROM (VALUES ('amounts', 'l_extendedprice'), ('amounts', 'l_quantity'), ('rates', 'l_discount'),
+             ('rates', 'l_tax')) g(grp, "column"), lineitem
+GROUP BY g.grp, g."column"
+""")
+def q_feature_groups(spark, sf):
+    cat = fe.feature_groups(spark, {"amounts": ["l_extendedprice", "l_quantity"], "rates": ["l_discount", "l_tax"]})
+    li = load(spark, sf, "lineitem")
+    n = li.agg(F.count(F.lit(1)).alias("n"))
+    return F.broadcast(cat).crossJoin(n)
