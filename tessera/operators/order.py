@@ -182,3 +182,27 @@ def _rank_bucketed(df: DataFrame, group_cols: list[str], order_cols: Sequence, n
 def uniform_bucket(u: Column, num_buckets: int) -> Column:
     """Order-preserving bucket of a value uniform on [0, 1)."""
     return F.least(F.floor(u * num_buckets), F.lit(num_buckets - 1)).cast("int")
+
+
+def running_sums(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence, value_cols: Sequence[str],
+                 prefix: str = "cum_", num_partitions: int | None = None) -> DataFrame:
+    """Inclusive running sums of ``value_cols`` within each group in ``order_cols`` order.
+
+    Same as ``sum(v) over (partition by g order by o rows unbounded preceding)``
+    but a hot group (or no group at all) is spread over range partitions: each
+    partition sums locally, and a small (partition, group) table supplies the
+    totals of all earlier partitions.
+    """
+    group_cols = list(group_cols)
+    d = _positioned(df, [*group_cols, *order_cols], num_partitions)
+    g = d.groupBy(_PID, *group_cols).agg(*[F.sum(v).alias(f"__t_{v}") for v in value_cols])
+    wg = (Window.partitionBy(*group_cols) if group_cols else Window.partitionBy()).orderBy(_PID) \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    g = g.select(_PID, *group_cols, *[F.coalesce(F.sum(f"__t_{v}").over(wg), F.lit(0)).alias(f"__o_{v}")
+                                      for v in value_cols])
+    wl = Window.partitionBy(_PID, *group_cols).orderBy(_LOCAL).rowsBetween(Window.unboundedPreceding, 0)
+    local = d.select("*", *[F.sum(v).over(wl).alias(f"__l_{v}") for v in value_cols])
+    out = _null_safe_join(local, g, [_PID, *group_cols])
+    return out.select(
+        *[c for c in df.columns],
+        *[(F.col(f"__l_{v}") + F.col(f"__o_{v}")).alias(prefix + v) for v in value_cols])

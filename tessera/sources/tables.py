@@ -128,3 +128,74 @@ PANEL_SQL = """
 
 def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sql_over(spark, sf_dir, PANEL_SQL, ["orders"])
+
+
+# ---------------------------------------------------------------- prediction tables
+def hash_unit_spark(key: str, seed) -> str:
+    """Spark SQL text of functions.columns.hash_unit."""
+    return (f"(CAST(conv(substr(md5(concat(CAST({key} AS STRING), ':{seed}')), 1, 13), 16, 10) AS DOUBLE)"
+            f" / CAST(4503599627370496 AS DOUBLE))")
+
+
+def hash_unit_duck(key: str, seed) -> str:
+    return (f"(CAST(('0x' || substr(md5(CAST({key} AS VARCHAR) || ':{seed}'), 1, 13)) AS BIGINT)"
+            f" / CAST(4503599627370496 AS DOUBLE))")
+
+
+# binary predictions over labelled documents: y = quality, score from length
+DOC_PRED_SQL = """
+  SELECT d.doc_id AS key, l.quality AS y, l.toxic AS y2,
+         CAST(least(d.n_chars, 4000) AS DOUBLE) / 4000.0 AS prob,
+         CASE WHEN CAST(least(d.n_chars, 4000) AS DOUBLE) / 4000.0 >= 0.5 THEN 1 ELSE 0 END AS p,
+         CASE WHEN {h5} < 0.6 THEN 'train' WHEN {h5} < 0.8 THEN 'valid' ELSE 'test' END AS split
+  FROM documents d JOIN labels l ON d.doc_id = l.doc_id
+"""
+
+# multi-class predictions over orders: y = status, p = a rule on the order year
+ORDER_PRED_SQL = """
+  SELECT o_orderkey AS key, o_orderstatus AS y,
+         CASE WHEN year(o_orderdate) < 1998 THEN 'F' WHEN year(o_orderdate) >= 2000 THEN 'P' ELSE 'O' END AS p
+  FROM orders
+"""
+
+# regression predictions over lineitem
+LINE_PRED_SQL = """
+  SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS key,
+         l_extendedprice AS y, l_quantity * 1500.0 AS yhat
+  FROM lineitem
+"""
+
+
+def doc_pred_sql(dialect: str) -> str:
+    h = hash_unit_spark if dialect == "spark" else hash_unit_duck
+    return DOC_PRED_SQL.format(h5=h("d.doc_id", 5))
+
+
+def doc_pred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sql_over(spark, sf_dir, doc_pred_sql("spark"), ["documents", "labels"])
+
+
+def order_pred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sql_over(spark, sf_dir, ORDER_PRED_SQL, ["orders"])
+
+
+def line_pred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sql_over(spark, sf_dir, LINE_PRED_SQL, ["lineitem"])
+
+
+# documents with an original and a corrected label and a train/test split
+DOC_LABELS_SQL = """
+  SELECT d.doc_id, d.n_chars, d.lang, d.source, l.quality,
+         CASE WHEN {h3} < 0.15 THEN 1 - l.quality ELSE l.quality END AS quality_corrected,
+         CASE WHEN {h5} < 0.75 THEN 'train' ELSE 'test' END AS split
+  FROM documents d JOIN labels l ON d.doc_id = l.doc_id
+"""
+
+
+def doc_labels_sql(dialect: str) -> str:
+    h = hash_unit_spark if dialect == "spark" else hash_unit_duck
+    return DOC_LABELS_SQL.format(h3=h("d.doc_id", 3), h5=h("d.doc_id", 5))
+
+
+def doc_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sql_over(spark, sf_dir, doc_labels_sql("spark"), ["documents", "labels"])
