@@ -1 +1,267 @@
-"""Registered queries."""
+"""Clustering queries (K1-K20) over customer RFM points.
+
+Oracle-checked queries use fixed centres -- the per-segment means of the
+standardised points -- so both engines compute the same assignment; the
+iterative solvers (k-means restarts, fuzzy c-means, subtractive, DBSCAN ids,
+Ward) are registered without SQL and tested against brute force in pytest.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import cluster as cl
+from ..operators.distance import knn
+from ..operators.quantile import quantile_table
+from ..sources.tables import SEGMENTS, rfm_cte, rfm_points
+from .common import R, rounded
+from .registry import query
+
+M = 1.3
+EPS = 0.35
+MIN_SAMPLES = 6
+K_NN = 5
+
+
+def segment_centres(pts):
+    """Per-segment mean of the points, in segment order (5 rows to the driver)."""
+    rows = pts.groupBy("segment").agg(F.avg("z0").alias("c0"), F.avg("z1").alias("c1"), F.avg("z2").alias("c2")) \
+        .orderBy("segment").collect()
+    return [[r["c0"], r["c1"], r["c2"]] for r in rows]
+
+
+def _assigned(spark, sf):
+    pts = rfm_points(spark, sf).cache()
+    centres = segment_centres(pts)
+    return pts, centres, cl.assign_nearest(pts, "key", centres)
+
+
+def _truth(pts):
+    seg_id = F.create_map(*[x for i, s in enumerate(SEGMENTS) for x in (F.lit(s), F.lit(i))])
+    return pts.select("key", seg_id[F.col("segment")].alias("label"))
+
+
+_D2 = "(rz.z0 - s.c0) * (rz.z0 - s.c0) + (rz.z1 - s.c1) * (rz.z1 - s.c1) + (rz.z2 - s.c2) * (rz.z2 - s.c2)"
+BASE = f"""WITH {rfm_cte('duck')},
+segs AS (SELECT segment, CAST(row_number() OVER (ORDER BY segment) - 1 AS INTEGER) AS sid,
+                avg(z0) AS c0, avg(z1) AS c1, avg(z2) AS c2 FROM rz GROUP BY segment),
+dd AS (SELECT rz.key, s.sid, {_D2} AS d2 FROM rz, segs s),
+asg AS (SELECT key, CAST(arg_min(sid, d2) AS INTEGER) AS cluster FROM dd GROUP BY key),
+tr AS (SELECT rz.key, s.sid AS label FROM rz JOIN segs s ON rz.segment = s.segment)"""
+
+
+@query("nearest_centre", sql=BASE + " SELECT key, cluster FROM asg")
+def q_nearest_centre(spark, sf):
+    return _assigned(spark, sf)[2]
+
+
+@query("inertia", sql=BASE + f" SELECT {R('sum(d2)')} AS inertia FROM dd JOIN asg ON dd.key = asg.key AND dd.sid = asg.cluster")
+def q_inertia(spark, sf):
+    pts, centres, lab = _assigned(spark, sf)
+    return rounded(cl.inertia(pts, lab, cl.centres_frame(spark, centres), "key"))
+
+
+@query("cluster_sizes", sql=BASE + " SELECT cluster, count(*) AS n FROM asg GROUP BY cluster")
+def q_cluster_sizes(spark, sf):
+    return cl.cluster_sizes(_assigned(spark, sf)[2])
+
+
+@query("cluster_centroids", sql=BASE + f"""
+SELECT cluster, count(*) AS n, {R('avg(z0)')} AS c0, {R('avg(z1)')} AS c1, {R('avg(z2)')} AS c2
+FROM rz JOIN asg ON rz.key = asg.key GROUP BY cluster""")
+def q_cluster_centroids(spark, sf):
+    pts, _, lab = _assigned(spark, sf)
+    c = cl.centroids(pts, lab, "key")
+    return rounded(c.select("cluster", "n", *[F.col("centre")[i].alias(f"c{i}") for i in range(3)]))
+
+
+_CONT = "ct AS (SELECT asg.cluster AS a, tr.label AS b, count(*) AS nij FROM asg JOIN tr ON asg.key = tr.key GROUP BY 1, 2)"
+
+
+@query("adjusted_rand", sql=BASE + f""", {_CONT},
+s AS (SELECT sum(nij * (nij - 1) / 2.0) AS sij, sum(nij) AS n FROM ct),
+sa AS (SELECT sum(ai * (ai - 1) / 2.0) AS sa FROM (SELECT sum(nij) AS ai FROM ct GROUP BY a) t),
+sb AS (SELECT sum(bj * (bj - 1) / 2.0) AS sb FROM (SELECT sum(nij) AS bj FROM ct GROUP BY b) t)
+SELECT {R('(sij - sa * sb / (n * (n - 1) / 2.0)) / ((sa + sb) / 2.0 - sa * sb / (n * (n - 1) / 2.0))')} AS ari
+FROM s, sa, sb""")
+def q_adjusted_rand(spark, sf):
+    pts, _, lab = _assigned(spark, sf)
+    return rounded(cl.adjusted_rand(lab, _truth(pts), "key"))
+
+
+@query("normalised_mutual_info", sql=BASE + f""", {_CONT},
+n AS (SELECT sum(nij) AS n FROM ct),
+ma AS (SELECT a, sum(nij) AS ai FROM ct GROUP BY a), mb AS (SELECT b, sum(nij) AS bj FROM ct GROUP BY b),
+mi AS (SELECT sum(nij / n * ln(n * nij / (ai * bj))) AS mi FROM ct JOIN ma USING (a) JOIN mb USING (b), n),
+ha AS (SELECT -sum(ai / n * ln(ai / n)) AS ha FROM ma, n), hb AS (SELECT -sum(bj / n * ln(bj / n)) AS hb FROM mb, n)
+SELECT {R('greatest(mi, 0) / ((ha + hb) / 2)')} AS nmi FROM mi, ha, hb""")
+def q_normalised_mutual_info(spark, sf):
+    pts, _, lab = _assigned(spark, sf)
+    return rounded(cl.normalised_mutual_info(lab, _truth(pts), "key"))
+
+
+@query("silhouette", sql=BASE + f""",
+p AS (SELECT a.key, x.cluster AS ca, y.cluster AS cb,
+             (a.z0 - b.z0) * (a.z0 - b.z0) + (a.z1 - b.z1) * (a.z1 - b.z1) + (a.z2 - b.z2) * (a.z2 - b.z2) AS d2
+      FROM rz a JOIN asg x ON a.key = x.key, rz b JOIN asg y ON b.key = y.key WHERE a.key <> b.key),
+own AS (SELECT key, avg(d2) AS a, count(*) AS m FROM p WHERE ca = cb GROUP BY key),
+oth AS (SELECT key, min(md) AS b FROM (SELECT key, cb, avg(d2) AS md FROM p WHERE ca <> cb GROUP BY key, cb) t GROUP BY key),
+s AS (SELECT asg.key, CASE WHEN own.key IS NULL THEN 0.0 ELSE coalesce((b - a) / nullif(greatest(a, b), 0), 0.0) END AS s
+      FROM asg LEFT JOIN own ON asg.key = own.key LEFT JOIN oth ON asg.key = oth.key)
+SELECT {R('avg(s)')} AS silhouette FROM s""")
+def q_silhouette(spark, sf):
+    pts, _, lab = _assigned(spark, sf)
+    return rounded(cl.silhouette(pts, lab, "key"))
+
+
+@query("davies_bouldin", sql=BASE + f""",
+cen AS (SELECT cluster, avg(z0) AS c0, avg(z1) AS c1, avg(z2) AS c2 FROM rz JOIN asg ON rz.key = asg.key GROUP BY cluster),
+sc AS (SELECT cen.cluster, avg(sqrt((z0 - c0) * (z0 - c0) + (z1 - c1) * (z1 - c1) + (z2 - c2) * (z2 - c2))) AS s
+       FROM rz JOIN asg ON rz.key = asg.key JOIN cen ON asg.cluster = cen.cluster GROUP BY cen.cluster),
+pr AS (SELECT i.cluster, max((si.s + sj.s) / sqrt((i.c0 - j.c0) * (i.c0 - j.c0) + (i.c1 - j.c1) * (i.c1 - j.c1)
+                                             + (i.c2 - j.c2) * (i.c2 - j.c2))) AS r
+       FROM cen i JOIN cen j ON i.cluster <> j.cluster JOIN sc si ON si.cluster = i.cluster JOIN sc sj ON sj.cluster = j.cluster
+       GROUP BY i.cluster)
+SELECT {R('avg(r)')} AS davies_bouldin FROM pr""")
+def q_davies_bouldin(spark, sf):
+    pts, _, lab = _assigned(spark, sf)
+    return rounded(cl.davies_bouldin(pts, lab, "key"))
+
+
+_P = 2.0 / (M - 1.0)
+FUZZY = BASE + f""",
+dist AS (SELECT key, sid, sqrt(d2) AS d FROM dd),
+mn AS (SELECT key, min(d) AS dmin FROM dist GROUP BY key),
+inv AS (SELECT dist.key, sid, CASE WHEN dmin = 0 THEN CASE WHEN d = 0 THEN 1.0 ELSE 0.0 END
+                                   ELSE pow(dmin / d, {_P!r}) END AS v FROM dist JOIN mn ON dist.key = mn.key),
+u AS (SELECT key, sid, v / sum(v) OVER (PARTITION BY key) AS u FROM inv),
+uw AS (SELECT key, {', '.join(f'max(CASE WHEN sid = {j} THEN u END) AS u{j}' for j in range(5))},
+              max(u) AS max_u, CAST(arg_max(sid, u) AS INTEGER) AS cluster, sum(u * u) AS su2 FROM u GROUP BY key)"""
+
+
+def _fuzzy(spark, sf):
+    pts = rfm_points(spark, sf)
+    centres = segment_centres(pts)
+    u = cl.memberships(F.col("x"), centres, M)
+    return pts.select("key", u.alias("u")).select("key", "u", *cl.hard_from_soft(F.col("u")))
+
+
+@query("fuzzy_memberships", sql=FUZZY + f"""
+SELECT key, {', '.join(f"{R(f'u{j}')} AS u{j}" for j in range(5))}, {R('max_u')} AS max_u, cluster FROM uw""")
+def q_fuzzy_memberships(spark, sf):
+    s = _fuzzy(spark, sf)
+    return rounded(s.select("key", *[F.col("u")[j].alias(f"u{j}") for j in range(5)], "max_u", "cluster"))
+
+
+@query("fpc", sql=FUZZY + f" SELECT {R('avg(su2)')} AS fpc FROM uw")
+def q_fpc(spark, sf):
+    return rounded(cl.fpc(_fuzzy(spark, sf)))
+
+
+@query("hard_from_soft", sql=FUZZY + f"""
+SELECT cluster, count(*) AS n, {R('min(max_u)')} AS min_max_u, {R('avg(max_u)')} AS mean_max_u, {R('max(max_u)')} AS max_max_u
+FROM uw GROUP BY cluster""")
+def q_hard_from_soft(spark, sf):
+    s = _fuzzy(spark, sf)
+    return rounded(s.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.min("max_u").alias("min_max_u"),
+                                            F.avg("max_u").alias("mean_max_u"), F.max("max_u").alias("max_max_u")))
+
+
+PAIRS = f"""WITH {rfm_cte('duck')},
+pairs AS (SELECT a.key, b.key AS nbr,
+                 sqrt((a.z0 - b.z0) * (a.z0 - b.z0) + (a.z1 - b.z1) * (a.z1 - b.z1) + (a.z2 - b.z2) * (a.z2 - b.z2)) AS dist
+          FROM rz a, rz b)"""
+
+
+@query("knn", sql=PAIRS + f"""
+SELECT key, nbr, rank, {R('dist')} AS dist FROM (
+  SELECT key, nbr, dist, CAST(row_number() OVER (PARTITION BY key ORDER BY dist, nbr) AS INTEGER) AS rank FROM pairs) t
+WHERE rank <= {K_NN}""")
+def q_knn(spark, sf):
+    pts = rfm_points(spark, sf).select("key", "x")
+    return rounded(knn(pts, "key", K_NN))
+
+
+@query("kdist_eps", sql=PAIRS + f"""
+SELECT {R('quantile_cont(dist, 0.95)')} AS eps FROM (
+  SELECT key, dist, row_number() OVER (PARTITION BY key ORDER BY dist, nbr) AS rank FROM pairs) t
+WHERE rank = {MIN_SAMPLES}""")
+def q_kdist_eps(spark, sf):
+    from ..operators.distance import kdist
+    pts = rfm_points(spark, sf).select("key", "x")
+    kd = kdist(knn(pts, "key", MIN_SAMPLES), "key", MIN_SAMPLES)
+    return rounded(quantile_table(kd, ["kdist"], [0.95]).select(F.col("q0").alias("eps")))
+
+
+DBKIND = PAIRS + f""",
+deg AS (SELECT key, count(*) AS deg FROM pairs WHERE dist <= {EPS} GROUP BY key),
+core AS (SELECT key FROM deg WHERE deg >= {MIN_SAMPLES}),
+bord AS (SELECT DISTINCT p.key FROM pairs p JOIN core c ON p.nbr = c.key WHERE p.dist <= {EPS}
+         AND p.key NOT IN (SELECT key FROM core)),
+kind AS (SELECT rz.key, CASE WHEN rz.key IN (SELECT key FROM core) THEN 'core'
+                             WHEN rz.key IN (SELECT key FROM bord) THEN 'border' ELSE 'noise' END AS kind FROM rz)"""
+
+
+@query("dbscan_kind", sql=DBKIND + " SELECT key, kind FROM kind")
+def q_dbscan_kind(spark, sf):
+    pts = rfm_points(spark, sf).select("key", "x")
+    return cl.dbscan(pts, "key", EPS, MIN_SAMPLES).select("key", "kind")
+
+
+@query("dbscan")
+def q_dbscan(spark, sf):
+    pts = rfm_points(spark, sf).select("key", "x")
+    return cl.dbscan(pts, "key", EPS, MIN_SAMPLES)
+
+
+@query("kmeans")
+def q_kmeans(spark, sf):
+    pts = rfm_points(spark, sf).select("key", "x")
+    return cl.kmeans(pts, "key", 3, n_init=3, seed=42)[0]
+
+
+@query("elbow_sweep")
+def q_elbow_sweep(spark, sf):
+    pts = rfm_points(spark, sf).select("key", "x")
+    return cl.elbow_sweep(pts, "key", [1, 2, 3, 4, 5], n_init=2)
+
+
+@query("fuzzy_cmeans")
+def q_fuzzy_cmeans(spark, sf):
+    pts = rfm_points(spark, sf).select("key", "x")
+    return cl.fuzzy_cmeans(pts, "key", 3, m=M, tol=1e-5, max_iter=300)[0]
+
+
+@query("subtractive")
+def q_subtractive(spark, sf):
+    pts = rfm_points(spark, sf).select("key", "x")
+    return cl.subtractive(pts, "key", ra=1.0, accept=0.4, reject=0.15, max_centres=10)[0]
+
+
+@query("ward")
+def q_ward(spark, sf):
+    pts = rfm_points(spark, sf).select("key", "x")
+    return cl.ward(pts, "key", 3, micro=50)
+
+
+def _methods(spark, sf):
+    pts = rfm_points(spark, sf).cache()
+    p = pts.select("key", "x")
+    labels = {"kmeans": cl.kmeans(p, "key", 3, n_init=2)[0],
+              "fuzzy_cmeans": cl.fuzzy_cmeans(p, "key", 3, m=M, max_iter=100)[0].select("key", "cluster"),
+              "dbscan": cl.dbscan(p, "key", EPS, MIN_SAMPLES).select("key", "cluster"),
+              "ward": cl.ward(p, "key", 3, micro=50)}
+    return pts, p, labels
+
+
+@query("compare_clusterings")
+def q_compare_clusterings(spark, sf):
+    pts, p, labels = _methods(spark, sf)
+    truth = pts.select("key", "label")
+    return cl.compare_clusterings(labels, truth, p, "key")
+
+
+@query("label_table")
+def q_label_table(spark, sf):
+    _, _, labels = _methods(spark, sf)
+    return cl.label_table(labels, "key")

@@ -199,3 +199,61 @@ def doc_labels_sql(dialect: str) -> str:
 
 def doc_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sql_over(spark, sf_dir, doc_labels_sql("spark"), ["documents", "labels"])
+
+
+# ---------------------------------------------------------------- customer RFM points
+# recency (days from a customer's last order to the last order overall),
+# frequency (orders) and monetary (total price) per customer, standardised
+# (population std) to z0, z1, z2.  label: a frequency rule (integer
+# comparisons, exact in both engines) with 10% of labels rotated by md5 --
+# planted label noise for the suspicion ensemble to find.
+_RFM = """
+  SELECT o.o_custkey AS key, c.c_mktsegment AS segment,
+         CAST({days} AS DOUBLE) AS recency, CAST(count(*) AS DOUBLE) AS frequency,
+         sum(o.o_totalprice) AS monetary, count(*) AS n_orders
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+       CROSS JOIN (SELECT max(o_orderdate) AS mx FROM orders) g
+  GROUP BY o.o_custkey, c.c_mktsegment, g.mx
+"""
+_RFM_Z = """
+  SELECT key, segment, n_orders,
+         (recency - avg(recency) OVER ()) / stddev_pop(recency) OVER () AS z0,
+         (frequency - avg(frequency) OVER ()) / stddev_pop(frequency) OVER () AS z1,
+         (monetary - avg(monetary) OVER ()) / stddev_pop(monetary) OVER () AS z2
+  FROM rfm
+"""
+_RFM_LABEL = """
+  SELECT key, CASE WHEN {h} < 0.1 THEN CASE base WHEN 'high' THEN 'low' WHEN 'low' THEN 'mid' ELSE 'high' END
+                   ELSE base END AS label, base AS label_true
+  FROM (SELECT key, CASE WHEN n_orders < 8 THEN 'low' WHEN n_orders > 12 THEN 'high' ELSE 'mid' END AS base FROM rz) t
+"""
+LABEL_CLASSES = ["high", "low", "mid"]
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
+
+def rfm_cte(dialect: str) -> str:
+    """SQL CTEs ``rfm``, ``rz`` (standardised points) and ``truth`` (planted-noise labels)."""
+    if dialect == "spark":
+        days, h = "datediff(CAST(g.mx AS DATE), CAST(max(o.o_orderdate) AS DATE))", hash_unit_spark("key", 11)
+    else:
+        days, h = "date_diff('day', CAST(max(o.o_orderdate) AS DATE), CAST(g.mx AS DATE))", hash_unit_duck("key", 11)
+    return (f"rfm AS ({_RFM.format(days=days)}),\n rz AS ({_RFM_Z}),\n"
+            f" truth AS ({_RFM_LABEL.format(h=h)})")
+
+
+def rfm_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(key, segment, n_orders, z0, z1, z2, x=array(z0,z1,z2), label, label_true).
+
+    The Spark side standardises with the one-row scaler fit (no global window).
+    """
+    from ..operators.features import standard_scale
+    from ..functions.columns import hash_unit
+    days = "datediff(CAST(g.mx AS DATE), CAST(max(o.o_orderdate) AS DATE))"
+    rfm = sql_over(spark, sf_dir, _RFM.format(days=days), ["orders", "customer"])
+    z = standard_scale(rfm, ["recency", "frequency", "monetary"]).select(
+        "key", "segment", "n_orders", F.col("recency_std").alias("z0"), F.col("frequency_std").alias("z1"),
+        F.col("monetary_std").alias("z2"))
+    base = F.when(F.col("n_orders") < 8, "low").when(F.col("n_orders") > 12, "high").otherwise("mid")
+    rot = F.when(base == "high", "low").when(base == "low", "mid").otherwise("high")
+    return z.select("*", F.when(hash_unit("key", 11) < 0.1, rot).otherwise(base).alias("label"),
+                    base.alias("label_true"), F.array("z0", "z1", "z2").alias("x"))
