@@ -79,6 +79,11 @@ def kmeans(points: DataFrame, key: str, k: int, n_init: int = 10, seed: int = 42
     """
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
+    if k == 1:  # Spark ML needs k >= 2; one cluster is the mean
+        dims = len(points.select(x).first()[0])
+        centre = list(points.agg(*[F.avg(F.col(x)[i]) for i in range(dims)]).first())
+        cost = points.agg(F.sum(sq_dist(F.col(x), F.array(*[F.lit(float(v)) for v in centre])))).first()[0]
+        return points.select(key, F.lit(0).alias("cluster")), [centre], float(cost)
     vec = points.select(key, array_to_vector(F.col(x)).alias("__v")).cache()
     best = None
     for i in range(n_init):
