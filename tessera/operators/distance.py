@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 
 def as_points(df: DataFrame, key: str, cols: Sequence[str], name: str = "x") -> DataFrame:
     """(key, x) with x = array<double> of the feature columns (NULL rows dropped)."""
@@ -65,39 +67,48 @@ def eps_pairs(points: DataFrame, key: str, eps: float, x: str = "x", include_sel
 
 
 def knn(points: DataFrame, key: str, k: int, x: str = "x", include_self: bool = True,
-        start_radius: float | None = None, max_rounds: int = 12) -> DataFrame:
-    """Exact k nearest neighbours: (key, nbr, rank 1..k, dist).
+        start_radius: float | None = None, max_rounds: int = 40) -> DataFrame:
+    """Exact k nearest neighbours within one table: (key, nbr, rank 1..k, dist).
 
-    Radius-doubling search on the grid: in round r every unresolved point
-    probes cells of side ``radius_r``; a point is resolved once it has at least
-    k candidates within ``radius_r`` (anything outside that radius is farther
-    than all of them).  Ties at the k-th distance are broken by neighbour key.
     With ``include_self`` the point itself is the first neighbour (the
-    reference convention for k-distance curves).
+    reference convention for k-distance curves).  See :func:`knn_between`.
     """
     n = points.count()
-    if n == 0:
-        return points.sparkSession.createDataFrame([], f"{key} long, nbr long, rank int, dist double")
     kk = min(k, n if include_self else n - 1)
+    return knn_between(points, points, key, kk, x, include_self, start_radius, max_rounds)
+
+
+def knn_between(probe: DataFrame, build: DataFrame, key: str, k: int, x: str = "x", include_self: bool = True,
+                start_radius: float | None = None, max_rounds: int = 40) -> DataFrame:
+    """Exact k nearest ``build`` points of every ``probe`` point: (key, nbr, rank, dist).
+
+    Radius-doubling search on the grid: in round r every unresolved probe
+    point looks at the cells of side ``radius_r`` around it; it is resolved
+    once it has at least k candidates within ``radius_r`` (anything outside
+    that radius is farther than all of them).  Ties at the k-th distance are
+    broken by neighbour key.  Each round's results are checkpointed.
+    """
+    spark = probe.sparkSession
+    n_build = build.count()
+    if n_build == 0 or k <= 0:
+        return spark.createDataFrame([], f"{key} long, nbr long, rank int, dist double")
+    dims = len(build.select(x).first()[0])
     if start_radius is None:
-        stats = points.select(F.inline(F.transform(F.col(x), lambda v: F.struct(v.alias("v"))))).agg(
-            F.stddev_pop("v").alias("s")).first()
-        start_radius = max(float(stats["s"] or 1.0), 1e-9) * (kk / max(n, 1)) ** (1.0 / max(
-            len(points.select(x).first()[0]), 1)) * 2.0
-    todo = points
+        s = build.select(F.inline(F.transform(F.col(x), lambda v: F.struct(v.alias("v"))))).agg(
+            F.stddev_pop("v").alias("s")).first()["s"] or 1.0
+        # radius that holds about 2k points of a uniform cloud of this spread
+        start_radius = max(float(s), 1e-9) * 2.0 * (2.0 * k / n_build) ** (1.0 / dims)
+    todo = probe.select(key, x)
     done = None
     radius = start_radius
     for _ in range(max_rounds):
-        pairs = eps_pairs(todo, key, radius, x, include_self) if todo is points else _probe_pairs(
-            todo, points, key, radius, x, include_self)
+        pairs = _probe_pairs(todo, build, key, radius, x, include_self)
         w = Window.partitionBy(key).orderBy("dist", "nbr")
-        ranked = pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= kk)
-        cnt = ranked.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-        ok = cnt.where(F.col("__n") >= kk).select(key)
-        resolved = ranked.join(ok, key, "left_semi")
-        done = resolved if done is None else done.unionByName(resolved)
-        done = done.checkpoint(eager=True)
-        todo = todo.join(ok, key, "left_anti").checkpoint(eager=True)
+        ranked = pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+        ok = ranked.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") >= k).select(key)
+        resolved = cut_lineage(ranked.join(ok, key, "left_semi"))
+        done = resolved if done is None else cut_lineage(done.unionByName(resolved))
+        todo = cut_lineage(todo.join(ok, key, "left_anti"))
         if todo.isEmpty():
             break
         radius *= 2.0

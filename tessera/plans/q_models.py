@@ -1 +1,219 @@
-"""Registered queries."""
+"""Model queries (M1-M24).  Model outputs have no SQL twin; class weights do."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import models as md
+from ..operators.metrics import binary_model_metrics, regression_metrics
+from ..sources.tables import rfm_points
+from ..functions.columns import hash_unit
+from .common import R, rounded
+from .modelling import DOC_FEATURES, ORDER_FEATURES, doc_table, order_table
+from .registry import query
+
+FEATS = DOC_FEATURES
+
+
+def _tt(spark, sf):
+    t = doc_table(spark, sf)
+    return t, t.where(F.col("split") == "train"), t.where(F.col("split") == "test")
+
+
+def _fit_predict(spark, sf, kind, label="y", **params):
+    t, train, test = _tt(spark, sf)
+    n = train.count()
+    m = md.build_model(kind, FEATS, label, n_rows=n, **params).fit(train)
+    return md.predict(m, test, "key", "y", classes=2 if kind == "linear" else None)
+
+
+@query("model_tree")
+def q_model_tree(spark, sf):
+    return _fit_predict(spark, sf, "tree", max_depth=5, min_samples_leaf=5, criterion="gini")
+
+
+@query("model_forest")
+def q_model_forest(spark, sf):
+    return _fit_predict(spark, sf, "forest", n_estimators=50, max_depth=8, max_features="sqrt")
+
+
+@query("model_gbt")
+def q_model_gbt(spark, sf):
+    return _fit_predict(spark, sf, "gbt", n_estimators=50, max_depth=3, learning_rate=0.1)
+
+
+@query("model_logistic")
+def q_model_logistic(spark, sf):
+    return _fit_predict(spark, sf, "logistic", C=1.0)
+
+
+@query("model_linear_class")
+def q_model_linear_class(spark, sf):
+    return _fit_predict(spark, sf, "linear")
+
+
+@query("model_svm")
+def q_model_svm(spark, sf):
+    return _fit_predict(spark, sf, "svm", reg=0.01)
+
+
+def _regression(spark, sf, kind, **params):
+    t = order_table(spark, sf)
+    train, test = t.where(F.col("split") == "train"), t.where(F.col("split") == "test")
+    if kind == "ridge":
+        params = {"reg_param": md.ridge_reg_param(train, "y", params.get("alpha", 1.0))}
+    m = md.build_model(kind, ORDER_FEATURES, "y", **params).fit(train)
+    return m.transform(test).select("key", "y", F.col("prediction").alias("yhat"))
+
+
+@query("model_ridge")
+def q_model_ridge(spark, sf):
+    return _regression(spark, sf, "ridge", alpha=1.0)
+
+
+@query("model_lasso")
+def q_model_lasso(spark, sf):
+    return _regression(spark, sf, "lasso", alpha=10.0)
+
+
+@query("regression_report")
+def q_regression_report(spark, sf):
+    out = None
+    for kind, p in (("ridge", {"alpha": 1.0}), ("lasso", {"alpha": 10.0}), ("linear", {})):
+        r = regression_metrics(_regression(spark, sf, kind, **p)).select(F.lit(kind).alias("model"), "*")
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+@query("knn_classify")
+def q_knn_classify(spark, sf):
+    pts = rfm_points(spark, sf).withColumn("split", F.when(hash_unit("key", 13) < 0.25, "test").otherwise("train"))
+    return md.knn_classify(pts.where(F.col("split") == "train"), pts.where(F.col("split") == "test"), "key", 7)
+
+
+@query("class_weights", sql=f"""
+WITH c AS (SELECT quality, count(*) AS nc FROM documents d JOIN labels l ON d.doc_id = l.doc_id GROUP BY quality)
+SELECT quality AS y, {R('sum(nc) OVER () / (count(*) OVER () * nc)')} AS weight FROM c""")
+def q_class_weights(spark, sf):
+    t = doc_table(spark, sf)
+    return rounded(md.class_weights(t, "y"))
+
+
+@query("model_tree_balanced")
+def q_model_tree_balanced(spark, sf):
+    t, train, test = _tt(spark, sf)
+    w = md.with_class_weights(train, "y")
+    m = md.build_model("tree", FEATS, "y", weight="weight", max_depth=5).fit(w)
+    return md.predict(m, test, "key", "y")
+
+
+@query("grid_search")
+def q_grid_search(spark, sf):
+    _, train, _ = _tt(spark, sf)
+    grid = md.param_grid("tree", {"max_depth": [2, 4, 6], "min_samples_leaf": [1, 5]})
+    return md.grid_search(train, "fold", "tree", FEATS, "y", grid)
+
+
+@query("random_search")
+def q_random_search(spark, sf):
+    _, train, _ = _tt(spark, sf)
+    maps = md.random_maps({"C": ("loguniform", 1e-3, 1e2)}, 5, seed=42)
+    return md.grid_search(train, "fold", "logistic", FEATS, "y", maps)
+
+
+@query("cv_scores")
+def q_cv_scores(spark, sf):
+    _, train, _ = _tt(spark, sf)
+    s = md.cv_scores(train, "fold", "forest", FEATS, "y", {"n_estimators": 20, "max_depth": 6})
+    return s.agg(F.avg("score").alias("mean"), F.stddev_pop("score").alias("std"), F.count(F.lit(1)).alias("folds"))
+
+
+@query("leak_free_fit")
+def q_leak_free_fit(spark, sf):
+    """Impute and scale fitted on train only, then a logistic model."""
+    from ..operators.clean import impute_median
+    from ..operators.features import standard_scale
+    t, train, test = _tt(spark, sf)
+    allx = impute_median(t, FEATS, fit_on=train)
+    scaled = standard_scale(allx, FEATS, fit_on=impute_median(train, FEATS, fit_on=train), replace=True)
+    tr, te = scaled.where(F.col("split") == "train"), scaled.where(F.col("split") == "test")
+    m = md.build_model("logistic", FEATS, "y", n_rows=tr.count(), C=1.0).fit(tr)
+    return md.predict(m, te, "key", "y")
+
+
+@query("param_sweep")
+def q_param_sweep(spark, sf):
+    _, train, test = _tt(spark, sf)
+    return md.param_sweep(train, test, "forest", FEATS, "y", "n_estimators", [5, 10, 25, 50], max_depth=6)
+
+
+def _forest(spark, sf):
+    t, train, test = _tt(spark, sf)
+    return md.build_model("forest", FEATS, "y", n_estimators=50, max_depth=8).fit(train), t, train, test
+
+
+@query("feature_importance")
+def q_feature_importance(spark, sf):
+    return md.importance(_forest(spark, sf)[0], FEATS, 10)
+
+
+@query("coef_importance")
+def q_coef_importance(spark, sf):
+    _, train, _ = _tt(spark, sf)
+    m = md.build_model("logistic", FEATS, "y", n_rows=train.count(), C=1.0).fit(train)
+    return md.coef_importance(m, FEATS)
+
+
+@query("tree_rules")
+def q_tree_rules(spark, sf):
+    _, train, _ = _tt(spark, sf)
+    return md.tree_rules(md.build_model("tree", FEATS, "y", max_depth=4).fit(train))
+
+
+@query("oob_score")
+def q_oob_score(spark, sf):
+    _, train, _ = _tt(spark, sf)
+    return md.oob_score(train, "key", FEATS, "y", n_trees=15, max_depth=8)[0]
+
+
+@query("score_batch")
+def q_score_batch(spark, sf):
+    m, _, _, test = _forest(spark, sf)
+    return md.score_batch(m, test, "key", [(0.8, "approve"), (0.5, "review"), (0.0, "reject")])
+
+
+@query("overfit_gap")
+def q_overfit_gap(spark, sf):
+    t, train, test = _tt(spark, sf)
+    n = train.count()
+    trp, tep = None, None
+    for kind, p in (("tree", {"max_depth": 8}), ("forest", {"n_estimators": 30, "max_depth": 8}),
+                    ("logistic", {"C": 1.0})):
+        m = md.build_model(kind, FEATS, "y", n_rows=n, **p).fit(train)
+        a = md.predict(m, train, "key", "y").select(F.lit(kind).alias("model"), "y", "p")
+        b = md.predict(m, test, "key", "y").select(F.lit(kind).alias("model"), "y", "p")
+        trp = a if trp is None else trp.unionByName(a)
+        tep = b if tep is None else tep.unionByName(b)
+    return md.overfit_gap(trp, tep)
+
+
+@query("train_two_labels_ml")
+def q_train_two_labels_ml(spark, sf):
+    """Three models x two label sources, all tested on the original test labels."""
+    t, train, test = _tt(spark, sf)
+    n = train.count()
+    preds = None
+    for src, col in (("original", "y"), ("corrected", "y_corrected")):
+        for kind, p in (("tree", {"max_depth": 6}), ("logistic", {"C": 1.0}), ("linear", {})):
+            m = md.build_model(kind, FEATS, col, n_rows=n, **p).fit(train)
+            pr = md.predict(m, test, "key", "y", classes=2 if kind == "linear" else None)
+            pr = pr.select(F.lit(kind).alias("model"), F.lit(src).alias("label_source"), "y", "p")
+            preds = pr if preds is None else preds.unionByName(pr)
+    return binary_model_metrics(preds, ["model", "label_source"])
+
+
+@query("calibrate")
+def q_calibrate(spark, sf):
+    m, _, train, test = _forest(spark, sf)
+    tr = md.predict(m, train, "key", "y")
+    return md.calibrate(tr, md.predict(m, test, "key", "y"), "key")
