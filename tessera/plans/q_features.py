@@ -202,3 +202,9 @@ def q_feature_groups(spark, sf):
     li = load(spark, sf, "lineitem")
     n = li.agg(F.count(F.lit(1)).alias("n"))
     return F.broadcast(cat).crossJoin(n)
+
+
+@query("prepare_orders")
+def q_prepare_orders(spark, sf):
+    from .prepare import prepare_orders
+    return rounded(prepare_orders(spark, sf))

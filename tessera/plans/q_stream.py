@@ -1 +1,40 @@
-"""Registered queries."""
+"""Streaming queries (ST1, ST2) over the events table as a file stream."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..streaming.stream import EVENTS_SCHEMA, read_stream, run_available, stream_profile, stream_score
+from .common import R, rounded
+from .registry import query
+
+VALUE_ALERT = 300.0
+
+
+@query("stream_score", sql=f"""
+SELECT event_id, ts, user_id, event_type, value, props, 'high_value' AS alert FROM events WHERE value > {VALUE_ALERT}
+UNION ALL
+SELECT event_id, ts, user_id, event_type, value, props, 'error' AS alert FROM events WHERE event_type = 'error'
+""")
+def q_stream_score(spark, sf):
+    s = read_stream(spark, sf, "events.parquet", EVENTS_SCHEMA)
+    alerts = stream_score(s, "event_id", {"high_value": F.col("value") > VALUE_ALERT,
+                                          "error": F.col("event_type") == "error"})
+    return run_available(alerts, "score")
+
+
+@query("stream_profile", sql=f"""
+WITH w AS (SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, value, event_type FROM events),
+m AS (SELECT max(ts) - INTERVAL 1 HOUR AS wm FROM events)
+SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, count(*) AS n,
+       CAST(sum(CASE WHEN value IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_null, {R('avg(value)')} AS mean,
+       CAST(sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS BIGINT) AS n_alert
+FROM w, m GROUP BY window_start, wm HAVING window_start + INTERVAL 1 DAY <= wm
+""")
+def q_stream_profile(spark, sf):
+    s = read_stream(spark, sf, "events.parquet", EVENTS_SCHEMA)
+    p = stream_profile(s, "ts", "1 day", "1 hour", "value", F.col("event_type") == "error")
+    out = run_available(p, "profile")
+    return rounded(out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                              F.col("window_end").cast("timestamp_ntz").alias("window_end"),
+                              "n", "n_null", "mean", "n_alert"))
