@@ -235,27 +235,29 @@ def _grid_pairs(probe: DataFrame, build: DataFrame, key: str, eps: float, side:
 
 
 def connected_components(nodes: DataFrame, edges: DataFrame, key: str, label: str = "comp",
-                         max_rounds: int = 100) -> DataFrame:
+                         max_rounds: int = 200) -> DataFrame:
     """Min-label propagation with pointer jumping; (key, comp) = smallest reachable initial label.
 
-    ``nodes`` has (key, init) -- the initial label; ``edges`` has (key, nbr) in
-    both directions.  Each round is checkpointed (cuts lineage, survives
-    executor loss); it stops when no label changes.
+    ``nodes`` has (key, init) -- the initial label, itself a node key;
+    ``edges`` has (key, nbr) in both directions.  Each round is checkpointed
+    (cuts lineage, survives executor loss); it stops when no label changes.
     """
     lab = cut_lineage(nodes.select(key, F.col("init").alias(label)))
+    e = cut_lineage(edges.select(key, "nbr").distinct())
     for _ in range(max_rounds):
-        via = edges.join(lab.select(F.col(key).alias("nbr"), F.col(label).alias("__nl")), "nbr") \
+        via = e.join(lab.select(F.col(key).alias("nbr"), F.col(label).alias("__nl")), "nbr") \
             .groupBy(key).agg(F.min("__nl").alias("__m"))
         step = lab.join(via, key, "left").select(key, F.least(F.col(label), F.coalesce("__m", F.col(label))).alias(label))
-        # pointer jumping: adopt the label of my label's node
-        jump = step.join(step.select(F.col(key).alias("__k2"), F.col(label).alias("__l2")),
-                         F.col(label) == F.col("__k2"), "left") \
-            .select(key, F.least(F.col(label), F.coalesce("__l2", F.col(label))).alias(label))
-        jump = cut_lineage(jump)
-        changed = jump.join(lab.select(key, F.col(label).alias("__old")), key) \
-            .where(F.col(label) != F.col("__old")).limit(1).count()
-        lab = jump
-        if changed == 0:
+        # pointer jumping (twice): adopt the label of my label's node
+        jump = step
+        for _ in range(2):
+            jump = jump.join(jump.select(F.col(key).alias("__k2"), F.col(label).alias("__l2")),
+                             F.col(label) == F.col("__k2"), "left") \
+                .select(key, F.least(F.col(label), F.coalesce("__l2", F.col(label))).alias(label))
+        jump = cut_lineage(jump.join(lab.select(key, F.col(label).alias("__old")), key)
+                           .withColumn("__chg", F.col(label) != F.col("__old")).drop("__old"))
+        lab = jump.drop("__chg")
+        if jump.where(F.col("__chg")).isEmpty():
             return lab
     raise RuntimeError("connected components did not converge")
 
@@ -264,29 +266,38 @@ def dbscan(points: DataFrame, key: str, eps: float, min_samples: int, x: str = "
     """(key, cluster, kind) with kind in core / border / noise and cluster -1 for noise.
 
     Grid of side eps/sqrt(d) (cell diagonal = eps): a cell with at least
-    ``min_samples`` points makes all its points core and connected, with no
-    pairs formed inside it.  Points in sparse cells count neighbours by a
-    blocked epsilon join.  Clusters are connected components of core points
-    (numbered 0.. by their smallest core key); a border point joins the
-    lowest-numbered cluster among its core neighbours.  Meant for few
-    dimensions (project first, e.g. :func:`features.pca_project`).
+    ``min_samples`` points makes all its points core, with no pairs formed
+    inside it.  Points in sparse cells count neighbours by a blocked epsilon
+    join.  All core points of one cell are within eps of each other, so
+    clusters are the connected components of the *core-cell* graph (an edge
+    when two cells hold core points within eps) -- a graph far smaller than
+    the point graph.  Clusters are numbered 0.. by their smallest core key; a
+    border point joins the lowest-numbered cluster among its core neighbours.
+    Meant for few dimensions (project first, e.g. :func:`features.pca_project`).
     """
     dims = len(points.select(x).first()[0])
     side = eps / math.sqrt(dims)
     pts = points.select(key, x, _cell(F.col(x), side, dims).alias("__cell"))
-    cells = pts.groupBy("__cell").agg(F.count(F.lit(1)).alias("__cn"), F.min(key).alias("__cmin"))
+    cells = pts.groupBy("__cell").agg(F.count(F.lit(1)).alias("__cn"))
     pts = cut_lineage(pts.join(cells, "__cell").withColumn("__dense", F.col("__cn") >= min_samples))
     sparse = pts.where(~F.col("__dense"))
     counts = _grid_pairs(sparse, pts, key, eps, side, x).groupBy(key).agg(F.count(F.lit(1)).alias("__deg"))
     core_sparse = counts.where(F.col("__deg") >= min_samples).select(key)
-    core = pts.where(F.col("__dense")).select(key, x, "__dense", F.col("__cmin").alias("init")).unionByName(
-        pts.join(core_sparse, key, "left_semi").select(key, x, "__dense", F.col(key).alias("init")))
-    core = cut_lineage(core)
-    edges = _grid_pairs(core, core, key, eps, side, x, exclude_same_dense=True).select(key, "nbr")
-    comp = connected_components(core.select(key, "init"), edges, key)
-    # number clusters 0.. by their smallest core key (component label = min key)
+    core = pts.where(F.col("__dense")).unionByName(pts.join(core_sparse, key, "left_semi"))
+    # node of a core point = its cell, named by the smallest core key in the cell
+    node = core.groupBy("__cell").agg(F.min(key).alias("__node"))
+    core = cut_lineage(core.join(node, "__cell").select(key, x, "__dense", "__node"))
+    pairs = _grid_pairs(core, core, key, eps, side, x, exclude_same_dense=True)
+    nk = core.select(key, "__node")
+    cell_edges = (pairs.join(nk, key).join(nk.select(F.col(key).alias("nbr"), F.col("__node").alias("__nnode")), "nbr")
+                  .where(F.col("__node") != F.col("__nnode"))
+                  .select(F.col("__node").alias("n"), F.col("__nnode").alias("nbr")).distinct())
+    nodes = core.select(F.col("__node").alias("n")).distinct().withColumn("init", F.col("n"))
+    comp = connected_components(nodes, cell_edges, "n")
+    # number clusters 0.. by their smallest core key (component label = min node = min core key)
     ids = global_index(comp.select("comp").distinct(), ["comp"], "cluster")
-    core_lab = comp.join(ids, "comp").select(key, F.col("cluster").cast("int").alias("cluster"))
+    node_cluster = comp.join(ids, "comp").select(F.col("n").alias("__node"), F.col("cluster").cast("int").alias("cluster"))
+    core_lab = nk.join(node_cluster, "__node").select(key, "cluster")
     noncore = pts.join(core_lab, key, "left_anti").withColumn("__dense", F.lit(False))
     core_pts = pts.join(core_lab, key, "left_semi")
     bp = _grid_pairs(noncore, core_pts.withColumn("__dense", F.lit(False)), key, eps, side, x)

@@ -99,22 +99,25 @@ def knn_between(probe: DataFrame, build: DataFrame, key: str, k: int, x: str = "
         # radius that holds about 2k points of a uniform cloud of this spread
         start_radius = max(float(s), 1e-9) * 2.0 * (2.0 * k / n_build) ** (1.0 / dims)
     todo = probe.select(key, x)
-    done = None
+    done = []
     radius = start_radius
     for _ in range(max_rounds):
         pairs = _probe_pairs(todo, build, key, radius, x, include_self)
         w = Window.partitionBy(key).orderBy("dist", "nbr")
         ranked = pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-        ok = ranked.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") >= k).select(key)
-        resolved = cut_lineage(ranked.join(ok, key, "left_semi"))
-        done = resolved if done is None else cut_lineage(done.unionByName(resolved))
+        ranked = cut_lineage(ranked)
+        ok = ranked.where(F.col("rank") == k).select(key)
+        done.append(ranked.join(ok, key, "left_semi"))
         todo = cut_lineage(todo.join(ok, key, "left_anti"))
         if todo.isEmpty():
             break
         radius *= 2.0
     else:
         raise RuntimeError("knn did not resolve every point; raise max_rounds")
-    return done.select(key, "nbr", F.col("rank").cast("int"), "dist")
+    out = done[0]
+    for d in done[1:]:
+        out = out.unionByName(d)
+    return out.select(key, "nbr", F.col("rank").cast("int"), "dist")
 
 
 def _probe_pairs(probe_pts: DataFrame, build_pts: DataFrame, key: str, eps: float, x: str,

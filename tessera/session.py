@@ -55,9 +55,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` into the shared checkpoint folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` as a parquet table in the shared checkpoint folder and read it back.
+
+    A written table survives executor loss and cuts lineage like a reliable
+    checkpoint, but the re-read carries real file-size statistics.
+    (``DataFrame.checkpoint`` keeps the original plan's size estimate; in an
+    iterative join loop that estimate multiplies every round until adaptive
+    re-planning spends seconds on BigInteger arithmetic.)
+    """
+    import uuid
+    spark = df.sparkSession
+    path = os.path.join(ensure_checkpoint_dir(spark), f"tessera-cut-{uuid.uuid4().hex}")
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
