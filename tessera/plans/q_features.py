@@ -204,7 +204,35 @@ def q_feature_groups(spark, sf):
     return F.broadcast(cat).crossJoin(n)
 
 
-@query("prepare_orders")
+def _hu(key, seed):
+    from .common import hash_unit_sql
+    return hash_unit_sql(key, seed)
+
+
+_STD = ", ".join(f"{R(f'CASE WHEN b{i} = 0 THEN 0.0 ELSE ({c} - a{i}) / b{i} END')} AS {n}_std"
+                 for i, (c, n) in enumerate([("price", "o_totalprice"), ("ret0", "o_totalprice_ret"),
+                                             ("logret", "o_totalprice_logret")]))
+
+
+@query("prepare_orders", sql=f"""
+WITH o AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate, o_orderpriority,
+                  CASE WHEN {_hu('o_orderkey', 5)} < 0.05 THEN NULL ELSE o_totalprice END AS p FROM orders),
+m AS (SELECT quantile_cont(p, 0.5) AS med FROM o),
+i AS (SELECT o.*, coalesce(p, med) AS p1 FROM o, m),
+q AS (SELECT quantile_cont(p1, 0.01) AS lo, quantile_cont(p1, 0.99) AS hi FROM i),
+w AS (SELECT i.*, CASE WHEN p1 < lo THEN lo WHEN p1 > hi THEN hi ELSE p1 END AS price FROM i, q),
+r AS (SELECT *, price / nullif(lag(price) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey), 0) - 1 AS ret
+      FROM w),
+l AS (SELECT *, coalesce(CASE WHEN ret > -1 THEN ln(1 + ret) END, 0.0) AS logret, coalesce(ret, 0.0) AS ret0 FROM r),
+s AS (SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY {_hu('o_orderkey', 42)}, o_orderkey) - 1 AS rn,
+             count(*) OVER (PARTITION BY o_orderpriority) AS n FROM l),
+sp AS (SELECT *, CASE WHEN rn < floor(n * 0.25 + 0.5) THEN 'test' ELSE 'train' END AS split FROM s),
+f AS (SELECT avg(price) AS a0, stddev_pop(price) AS b0, avg(ret0) AS a1, stddev_pop(ret0) AS b1,
+             avg(logret) AS a2, stddev_pop(logret) AS b2 FROM sp WHERE split = 'train')
+SELECT o_orderkey, o_custkey, o_orderstatus, {R('price')} AS o_totalprice, o_orderdate, o_orderpriority,
+       {R('ret0')} AS o_totalprice_ret, {R('logret')} AS o_totalprice_logret, split, {_STD}
+FROM sp, f WHERE split = 'train'
+""")
 def q_prepare_orders(spark, sf):
     from .prepare import prepare_orders
     return rounded(prepare_orders(spark, sf))
