@@ -7,11 +7,11 @@ from tessera.operators import metrics as me
 from tessera.operators import report as rp
 
 # The reference's test-split scores (8 rows: y_true, prob, pred).
-FIRE_TEST = [(1, 1.0, 1), (1, 1.0, 1), (0, 0.7005802366375145, 1), (1, 0.7585415302354752, 1),
+FINANCE_TEST = [(1, 1.0, 1), (1, 1.0, 1), (0, 0.7005802366375145, 1), (1, 0.7585415302354752, 1),
              (0, 1.0, 1), (1, 0.6666666666666666, 1), (1, 0.380621666822442, 1), (1, 0.8906462134979801, 1)]
 
 # Supervised metrics table (model, label_source, accuracy, precision_macro,
-# recall_macro, f1_macro, recall_dropout, f1_dropout).
+# recall_macro, f1_macro, recall_pos, f1_pos).
 SUPERVISED = [
     ("DecisionTree", "original", 0.67, 0.6582, 0.6561, 0.6406, 0.6732, 0.7199),
     ("LogisticRegression", "original", 0.7251, 0.7066, 0.7055, 0.6913, 0.662, 0.7448),
@@ -20,17 +20,17 @@ SUPERVISED = [
     ("LogisticRegression", "corrected", 0.6537, 0.6443, 0.6135, 0.6134, 0.569, 0.6847),
     ("LinearRegression", "corrected", 0.642, 0.649, 0.5482, 0.5441, 0.338, 0.4979),
 ]
-METRICS = ["accuracy", "precision_macro", "recall_macro", "f1_macro", "recall_dropout", "f1_dropout"]
+METRICS = ["accuracy", "precision_macro", "recall_macro", "f1_macro", "recall_pos", "f1_pos"]
 
 
 @pytest.fixture
-def fire(spark):
-    rows = [(i, y, p, d, "test") for i, (y, p, d) in enumerate(FIRE_TEST)]
+def finance(spark):
+    rows = [(i, y, p, d, "test") for i, (y, p, d) in enumerate(FINANCE_TEST)]
     return spark.createDataFrame(rows, "key int, y int, prob double, p int, split string")
 
 
-def test_fire_split_report(fire):
-    r = me.split_report(fire).first()
+def test_finance_split_report(finance):
+    r = me.split_report(finance).first()
     assert r["n"] == 8 and r["prevalence"] == pytest.approx(0.75)
     assert r["roc_auc"] == pytest.approx(0.41666666666666663, abs=1e-9)
     assert r["pr_auc"] == pytest.approx(0.7246031746031746, abs=1e-9)
