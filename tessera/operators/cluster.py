@@ -217,20 +217,24 @@ def subtractive(points: DataFrame, key: str, ra: float, accept: float = 0.5, rej
 
 
 # ---------------------------------------------------------------- DBSCAN
-def _grid_pairs(probe: DataFrame, build: DataFrame, key: str, eps: float, side: float, x: str,
+def _grid_pairs(probe: DataFrame, build: DataFrame, key: str, eps: float, x: str,
                 exclude_same_dense: bool = False) -> DataFrame:
-    """(key, nbr, dist, same) for probe->build pairs within eps, blocked on a grid of ``side``."""
+    """(key, nbr, dist) for probe->build pairs within eps.
+
+    Blocking uses cells of side eps (27 neighbour cells in 3-d), so each probe
+    row is replicated 3^d times.  With ``exclude_same_dense`` pairs that fall
+    in the same *fine* cell (column ``__cell``) of a dense cell are skipped.
+    """
     dims = len(build.select(x).first()[0])
-    reach = max(1, math.ceil(eps / side))
-    offs = F.array(*[F.array(*[F.lit(o) for o in off]) for off in _offsets(dims, reach)])
-    b = build.select(F.col(key).alias("nbr"), F.col(x).alias("__y"), _cell(F.col(x), side, dims).alias("__c"),
-                     F.col("__dense").alias("__bd"))
-    p = probe.select(key, x, _cell(F.col(x), side, dims).alias("__home"), "__dense").select(
-        key, x, "__home", "__dense",
+    offs = F.array(*[F.array(*[F.lit(o) for o in off]) for off in _offsets(dims, 1)])
+    b = build.select(F.col(key).alias("nbr"), F.col(x).alias("__y"), _cell(F.col(x), eps, dims).alias("__c"),
+                     F.col("__cell").alias("__bcell"))
+    p = probe.select(key, x, _cell(F.col(x), eps, dims).alias("__home"), "__dense", "__cell").select(
+        key, x, "__dense", "__cell",
         F.explode(F.transform(offs, lambda o: F.zip_with(F.col("__home"), o, lambda a, bb: a + bb))).alias("__c"))
     j = p.join(b, "__c")
     if exclude_same_dense:
-        j = j.where(~((F.col("__c") == F.col("__home")) & F.col("__dense")))
+        j = j.where(~((F.col("__cell") == F.col("__bcell")) & F.col("__dense")))
     return j.select(key, "nbr", dist(F.col(x), F.col("__y")).alias("dist")).where(F.col("dist") <= F.lit(eps))
 
 
@@ -281,13 +285,13 @@ def dbscan(points: DataFrame, key: str, eps: float, min_samples: int, x: str = "
     cells = pts.groupBy("__cell").agg(F.count(F.lit(1)).alias("__cn"))
     pts = cut_lineage(pts.join(cells, "__cell").withColumn("__dense", F.col("__cn") >= min_samples))
     sparse = pts.where(~F.col("__dense"))
-    counts = _grid_pairs(sparse, pts, key, eps, side, x).groupBy(key).agg(F.count(F.lit(1)).alias("__deg"))
+    counts = _grid_pairs(sparse, pts, key, eps, x).groupBy(key).agg(F.count(F.lit(1)).alias("__deg"))
     core_sparse = counts.where(F.col("__deg") >= min_samples).select(key)
     core = pts.where(F.col("__dense")).unionByName(pts.join(core_sparse, key, "left_semi"))
     # node of a core point = its cell, named by the smallest core key in the cell
     node = core.groupBy("__cell").agg(F.min(key).alias("__node"))
-    core = cut_lineage(core.join(node, "__cell").select(key, x, "__dense", "__node"))
-    pairs = _grid_pairs(core, core, key, eps, side, x, exclude_same_dense=True)
+    core = cut_lineage(core.join(node, "__cell").select(key, x, "__cell", "__dense", "__node"))
+    pairs = _grid_pairs(core, core, key, eps, x, exclude_same_dense=True)
     nk = core.select(key, "__node")
     cell_edges = (pairs.join(nk, key).join(nk.select(F.col(key).alias("nbr"), F.col("__node").alias("__nnode")), "nbr")
                   .where(F.col("__node") != F.col("__nnode"))
@@ -300,7 +304,7 @@ def dbscan(points: DataFrame, key: str, eps: float, min_samples: int, x: str = "
     core_lab = nk.join(node_cluster, "__node").select(key, "cluster")
     noncore = pts.join(core_lab, key, "left_anti").withColumn("__dense", F.lit(False))
     core_pts = pts.join(core_lab, key, "left_semi")
-    bp = _grid_pairs(noncore, core_pts.withColumn("__dense", F.lit(False)), key, eps, side, x)
+    bp = _grid_pairs(noncore, core_pts.withColumn("__dense", F.lit(False)), key, eps, x)
     border = bp.join(core_lab.select(F.col(key).alias("nbr"), F.col("cluster").alias("__c")), "nbr") \
         .groupBy(key).agg(F.min("__c").alias("cluster"))
     labelled = (core_lab.withColumn("kind", F.lit("core"))
