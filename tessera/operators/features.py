@@ -218,3 +218,18 @@ def pca_project(df: DataFrame, key: str, cols: Sequence[str], k: int = 2) -> tup
 def feature_groups(spark, groups: Mapping[str, Sequence[str]]) -> DataFrame:
     """The (group, column) catalogue as a DataFrame."""
     return spark.createDataFrame([(g, c) for g, cs in groups.items() for c in cs], "grp string, column string")
+
+
+def shape_features(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """F16: for each (a, b): ``<a>_per_<b>`` = a / b (NULL on 0) and ``<a>_by_<b>`` = a * b."""
+    out = []
+    for a, b in pairs:
+        out += [F.try_divide(F.col(a).cast("double"), F.nullif(F.col(b).cast("double"), F.lit(0.0))).alias(f"{a}_per_{b}"),
+                (F.col(a).cast("double") * F.col(b).cast("double")).alias(f"{a}_by_{b}")]
+    return df.select("*", *out)
+
+
+def category_flag(df: DataFrame, col: str, positive: Sequence, name: str | None = None) -> DataFrame:
+    """1 when the category is one of ``positive``, 0 otherwise (NULL stays NULL)."""
+    c = F.col(col)
+    return df.withColumn(name or f"{col}_flag", F.when(c.isNull(), F.lit(None)).when(c.isin(*positive), 1).otherwise(0))

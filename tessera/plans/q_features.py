@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as fc
 from ..operators import features as fe
-from ..sources.tables import PANEL_SQL, load, panel
+from ..sources.tables import LINEITEM_NULLS_SQL, PANEL_SQL, load, panel
 from .common import R, rounded
 from .registry import query
 
@@ -236,3 +236,48 @@ FROM sp, f WHERE split = 'train'
 def q_prepare_orders(spark, sf):
     from .prepare import prepare_orders
     return rounded(prepare_orders(spark, sf))
+
+
+@query("shape_features", sql=f"""
+SELECT p_partkey, {R('CAST(p_size AS DOUBLE) / nullif(p_retailprice, 0)')} AS p_size_per_p_retailprice,
+       {R('CAST(p_size AS DOUBLE) * p_retailprice')} AS p_size_by_p_retailprice FROM part
+""")
+def q_shape_features(spark, sf):
+    p = load(spark, sf, "part").select("p_partkey", "p_size", "p_retailprice")
+    return rounded(fe.shape_features(p, [("p_size", "p_retailprice")]).drop("p_size", "p_retailprice"))
+
+
+@query("category_flag", sql="""
+SELECT o_orderkey, CASE WHEN o_orderstatus IS NULL THEN NULL WHEN o_orderstatus IN ('F') THEN 1 ELSE 0 END
+       AS o_orderstatus_flag FROM orders
+""")
+def q_category_flag(spark, sf):
+    o = load(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    return fe.category_flag(o, "o_orderstatus", ["F"]).drop("o_orderstatus")
+
+
+_ROLE_COLS = [("id", "l_orderkey"), ("id", "l_linenumber"), ("date", "l_shipdate"), ("target", "l_returnflag"),
+              ("numeric", "l_partkey"), ("numeric", "l_suppkey"), ("numeric", "l_quantity"),
+              ("numeric", "l_extendedprice"), ("numeric", "l_discount"), ("numeric", "l_tax"),
+              ("categorical", "l_linestatus")]
+
+
+@query("infer_roles", sql="\nUNION ALL\n".join(
+    f"SELECT '{r}' AS role, '{c}' AS \"column\", count({c}) AS n_non_null FROM ({LINEITEM_NULLS_SQL}) t"
+    for r, c in _ROLE_COLS))
+def q_infer_roles(spark, sf):
+    from ..operators.roles import infer_roles, role_table
+    from ..sources.tables import lineitem_nulls
+    li = lineitem_nulls(spark, sf)
+    roles = infer_roles(li, id=["l_orderkey", "l_linenumber"], target=["l_returnflag"])
+    return role_table(li, roles)
+
+
+@query("split_features_target", sql="""
+SELECT o_orderkey, o_orderpriority, CAST(count(*) OVER () AS BIGINT) AS n_features_rows FROM orders
+""")
+def q_split_features_target(spark, sf):
+    from ..operators.roles import split_features_target
+    x, y = split_features_target(load(spark, sf, "orders"), "o_orderkey", "o_orderpriority")
+    n = x.agg(F.count(F.lit(1)).alias("n_features_rows"))
+    return y.crossJoin(n)  # one-row count

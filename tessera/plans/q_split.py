@@ -98,3 +98,19 @@ def q_labels_changed(spark, sf):
                      F.col("o_orderpriority")).alias("b"))
     from .common import rounded
     return rounded(split.labels_changed(c, "a", "b"))
+
+
+@query("aligned_label_split", sql=f"""
+WITH d AS (SELECT l.doc_id AS key, l.quality AS y,
+                  CASE WHEN {hash_unit_sql('l.doc_id', 3)} < 0.15 THEN 1 - l.quality ELSE l.quality END AS y_corrected
+           FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY y ORDER BY {hash_unit_sql('key', 42)}, key) - 1 AS rn,
+             count(*) OVER (PARTITION BY y) AS n FROM d)
+SELECT key, y, y_corrected, CASE WHEN rn < floor(n * 0.25 + 0.5) THEN 'test' ELSE 'train' END AS split FROM r
+""")
+def q_aligned_label_split(spark, sf):
+    """One split; both label columns ride on the same rows."""
+    d = load(spark, sf, "documents").join(load(spark, sf, "labels"), "doc_id").select(
+        F.col("doc_id").alias("key"), F.col("quality").alias("y"),
+        F.when(hash_unit("doc_id", 3) < 0.15, 1 - F.col("quality")).otherwise(F.col("quality")).alias("y_corrected"))
+    return split.stratified_split(d, "key", "y", 0.25, 42).select("key", "y", "y_corrected", "split")
