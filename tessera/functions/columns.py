@@ -78,9 +78,10 @@ def clean_text(c) -> Column:
 
 
 def to_datetime(c, fmt: str | None = None) -> Column:
-    """Parse a timestamp, NULL when unparseable."""
+    """Parse a wall-clock timestamp (TIMESTAMP_NTZ), NULL when unparseable."""
     s = _c(c).cast("string")
-    return F.try_to_timestamp(s, F.lit(fmt)) if fmt else F.try_to_timestamp(s)
+    t = F.try_to_timestamp(s, F.lit(fmt)) if fmt else F.try_to_timestamp(s)
+    return t.cast("timestamp_ntz")
 
 
 def normalise_token(c, tokens=MISSING_TOKENS) -> Column:

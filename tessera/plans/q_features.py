@@ -117,7 +117,7 @@ def q_minmax_scale(spark, sf):
 
 @query("poly_interactions", sql=f"""
 SELECT c_custkey, {R('c_acctbal * c_nationkey')} AS c_acctbal_x_c_nationkey,
-       {R('c_acctbal * len(c_name)')} AS c_acctbal_x_name_len, {R('c_nationkey * len(c_name)')} AS c_nationkey_x_name_len
+       {R('c_acctbal * len(c_name)')} AS c_acctbal_x_name_len, CAST(c_nationkey * len(c_name) AS INTEGER) AS c_nationkey_x_name_len
 FROM customer
 """)
 def q_poly_interactions(spark, sf):

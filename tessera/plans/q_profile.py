@@ -151,7 +151,7 @@ _cwt_parts = union_sql(f"  SELECT '{c}' AS \"column\", corr(l_extendedprice, {c}
 
 @query("corr_with_target", sql=f"""
 WITH {T_NULLS}, c AS ({_cwt_parts})
-SELECT "column", {R('r')} AS r, row_number() OVER (ORDER BY abs(r) DESC NULLS LAST, "column") AS rnk FROM c
+SELECT "column", {R('r')} AS r, CAST(row_number() OVER (ORDER BY abs(r) DESC NULLS LAST, "column") AS INTEGER) AS rnk FROM c
 """)
 def q_corr_with_target(spark, sf):
     return rounded(profile.corr_with_target(lineitem_nulls(spark, sf), _cwt, "l_extendedprice"))
