@@ -219,7 +219,7 @@ def subtractive(points: DataFrame, key: str, ra: float, accept: float = 0.5, rej
 # ---------------------------------------------------------------- DBSCAN
 def _grid_pairs(probe: DataFrame, build: DataFrame, key: str, eps: float, x: str,
                 exclude_same_dense: bool = False) -> DataFrame:
-    """(key, nbr, dist) for probe->build pairs within eps.
+    """(key, nbr, __nw, dist) for probe->build pairs within eps (``__nw`` = neighbour weight).
 
     Blocking uses cells of side eps (27 neighbour cells in 3-d), so each probe
     row is replicated 3^d times.  With ``exclude_same_dense`` pairs that fall
@@ -228,14 +228,14 @@ def _grid_pairs(probe: DataFrame, build: DataFrame, key: str, eps: float, x: str
     dims = len(build.select(x).first()[0])
     offs = F.array(*[F.array(*[F.lit(o) for o in off]) for off in _offsets(dims, 1)])
     b = build.select(F.col(key).alias("nbr"), F.col(x).alias("__y"), _cell(F.col(x), eps, dims).alias("__c"),
-                     F.col("__cell").alias("__bcell"))
+                     F.col("__cell").alias("__bcell"), F.col("__w").alias("__nw"))
     p = probe.select(key, x, _cell(F.col(x), eps, dims).alias("__home"), "__dense", "__cell").select(
         key, x, "__dense", "__cell",
         F.explode(F.transform(offs, lambda o: F.zip_with(F.col("__home"), o, lambda a, bb: a + bb))).alias("__c"))
     j = p.join(b, "__c")
     if exclude_same_dense:
         j = j.where(~((F.col("__cell") == F.col("__bcell")) & F.col("__dense")))
-    return j.select(key, "nbr", dist(F.col(x), F.col("__y")).alias("dist")).where(F.col("dist") <= F.lit(eps))
+    return j.select(key, "nbr", "__nw", dist(F.col(x), F.col("__y")).alias("dist")).where(F.col("dist") <= F.lit(eps))
 
 
 def connected_components(nodes: DataFrame, edges: DataFrame, key: str, label: str = "comp",
@@ -243,8 +243,9 @@ def connected_components(nodes: DataFrame, edges: DataFrame, key: str, label: st
     """Min-label propagation with pointer jumping; (key, comp) = smallest reachable initial label.
 
     ``nodes`` has (key, init) -- the initial label, itself a node key;
-    ``edges`` has (key, nbr) in both directions.  Each round is checkpointed
-    (cuts lineage, survives executor loss); it stops when no label changes.
+    ``edges`` has (key, nbr) in both directions.  Each round is written to the
+    shared folder (cuts lineage, survives executor loss); it stops when no
+    label changes.
     """
     lab = cut_lineage(nodes.select(key, F.col("init").alias(label)))
     e = cut_lineage(edges.select(key, "nbr").distinct())
@@ -269,28 +270,33 @@ def connected_components(nodes: DataFrame, edges: DataFrame, key: str, label: st
 def dbscan(points: DataFrame, key: str, eps: float, min_samples: int, x: str = "x") -> DataFrame:
     """(key, cluster, kind) with kind in core / border / noise and cluster -1 for noise.
 
-    Grid of side eps/sqrt(d) (cell diagonal = eps): a cell with at least
-    ``min_samples`` points makes all its points core, with no pairs formed
-    inside it.  Points in sparse cells count neighbours by a blocked epsilon
-    join.  All core points of one cell are within eps of each other, so
-    clusters are the connected components of the *core-cell* graph (an edge
-    when two cells hold core points within eps) -- a graph far smaller than
-    the point graph.  Clusters are numbered 0.. by their smallest core key; a
-    border point joins the lowest-numbered cluster among its core neighbours.
+    1. Identical points are collapsed into weighted locations (a combinable
+       aggregate), so a hot spot of copies is one row; every copy shares the
+       location's degree, kind and cluster, so the result is unchanged.
+    2. Grid of side eps/sqrt(d) (cell diagonal = eps): a cell holding at least
+       ``min_samples`` points makes all its points core, with no pairs formed
+       inside it.  Locations in sparse cells count weighted neighbours by a
+       blocked epsilon join.
+    3. All core points of one cell are within eps of each other, so clusters
+       are the connected components of the *core-cell* graph (an edge when two
+       cells hold core points within eps) -- far smaller than the point graph.
+       Clusters are numbered 0.. by their smallest core key; a border point
+       joins the lowest-numbered cluster among its core neighbours.
     Meant for few dimensions (project first, e.g. :func:`features.pca_project`).
     """
     dims = len(points.select(x).first()[0])
     side = eps / math.sqrt(dims)
-    pts = points.select(key, x, _cell(F.col(x), side, dims).alias("__cell"))
-    cells = pts.groupBy("__cell").agg(F.count(F.lit(1)).alias("__cn"))
+    loc = points.groupBy(x).agg(F.min(key).alias(key), F.count(F.lit(1)).alias("__w"))
+    pts = loc.select(key, x, "__w", _cell(F.col(x), side, dims).alias("__cell"))
+    cells = pts.groupBy("__cell").agg(F.sum("__w").alias("__cn"))
     pts = cut_lineage(pts.join(cells, "__cell").withColumn("__dense", F.col("__cn") >= min_samples))
     sparse = pts.where(~F.col("__dense"))
-    counts = _grid_pairs(sparse, pts, key, eps, x).groupBy(key).agg(F.count(F.lit(1)).alias("__deg"))
+    counts = _grid_pairs(sparse, pts, key, eps, x).groupBy(key).agg(F.sum("__nw").alias("__deg"))
     core_sparse = counts.where(F.col("__deg") >= min_samples).select(key)
     core = pts.where(F.col("__dense")).unionByName(pts.join(core_sparse, key, "left_semi"))
-    # node of a core point = its cell, named by the smallest core key in the cell
+    # node of a core location = its cell, named by the smallest core key in the cell
     node = core.groupBy("__cell").agg(F.min(key).alias("__node"))
-    core = cut_lineage(core.join(node, "__cell").select(key, x, "__cell", "__dense", "__node"))
+    core = cut_lineage(core.join(node, "__cell").select(key, x, "__w", "__cell", "__dense", "__node"))
     pairs = _grid_pairs(core, core, key, eps, x, exclude_same_dense=True)
     nk = core.select(key, "__node")
     cell_edges = (pairs.join(nk, key).join(nk.select(F.col(key).alias("nbr"), F.col("__node").alias("__nnode")), "nbr")
@@ -309,9 +315,10 @@ def dbscan(points: DataFrame, key: str, eps: float, min_samples: int, x: str = "
         .groupBy(key).agg(F.min("__c").alias("cluster"))
     labelled = (core_lab.withColumn("kind", F.lit("core"))
                 .unionByName(border.withColumn("kind", F.lit("border"))))
-    noise = points.select(key).join(labelled, key, "left_anti").select(
-        key, F.lit(-1).alias("cluster"), F.lit("noise").alias("kind"))
-    return labelled.unionByName(noise)
+    loc_lab = pts.select(key, x).join(labelled, key, "left").select(
+        x, F.coalesce("cluster", F.lit(-1)).alias("cluster"), F.coalesce("kind", F.lit("noise")).alias("kind"))
+    # back to every original point (equi-join on the location; AQE splits a hot location)
+    return points.select(key, x).join(loc_lab, x).select(key, F.col("cluster").cast("int").alias("cluster"), "kind")
 
 
 # ---------------------------------------------------------------- Ward (two-level)

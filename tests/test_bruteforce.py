@@ -128,3 +128,15 @@ def test_silhouette_matches_bruteforce_squared(pts):
         b = min(D2[i, L == o].mean() for o in set(L) if o != L[i])
         s.append((b - a) / max(a, b))
     assert cl.silhouette(p, lab, "key").first()[0] == pytest.approx(np.mean(s), abs=1e-9)
+
+
+def test_dbscan_with_hot_spot_matches_bruteforce(spark, pts):
+    """A third of the rows are copies of one point: collapsed, not paired."""
+    p, keys, X = pts
+    n_hot = len(keys) // 2
+    hot = spark.createDataFrame([(10_000_000 + i, [float(v) for v in X[0]]) for i in range(n_hot)], "key long, x array<double>")
+    p2 = p.unionByName(hot)
+    keys2 = np.concatenate([keys, 10_000_000 + np.arange(n_hot)])
+    X2 = np.vstack([X, np.repeat(X[:1], n_hot, axis=0)])
+    got = {r["key"]: (r["cluster"], r["kind"]) for r in cl.dbscan(p2, "key", 0.5, 4).collect()}
+    assert got == _dbscan_numpy(keys2, X2, 0.5, 4)
