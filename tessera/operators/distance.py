@@ -70,12 +70,76 @@ def knn(points: DataFrame, key: str, k: int, x: str = "x", include_self: bool =
         start_radius: float | None = None, max_rounds: int = 40) -> DataFrame:
     """Exact k nearest neighbours within one table: (key, nbr, rank 1..k, dist).
 
-    With ``include_self`` the point itself is the first neighbour (the
-    reference convention for k-distance curves).  See :func:`knn_between`.
+    Neighbours are ordered by (distance, neighbour key); with ``include_self``
+    the point itself is among them at distance 0 (the reference convention for
+    k-distance curves).  Identical points are collapsed first, so a hot spot
+    of m copies is one weighted candidate instead of m^2 pairs:
+
+    1. locations = distinct vectors with weight (a combinable aggregate);
+    2. a weighted radius search over locations keeps, for each location, the
+       nearest locations until their weight covers the k (+1) points needed
+       (all locations tied at the boundary distance are kept);
+    3. each kept location contributes its first k+1 member keys (skew-safe
+       ranks), the bounded candidate list is ranked per location, then per
+       point (dropping the point itself when ``include_self`` is false).
     """
+    from .order import rank_within
     n = points.count()
     kk = min(k, n if include_self else n - 1)
-    return knn_between(points, points, key, kk, x, include_self, start_radius, max_rounds)
+    if kk <= 0:
+        return points.sparkSession.createDataFrame([], f"{key} long, nbr long, rank int, dist double")
+    need = kk + (0 if include_self else 1)
+    loc = cut_lineage(points.groupBy(x).agg(F.min(key).alias("__lid"), F.count(F.lit(1)).alias("__w")))
+    members = points.select(key, x).join(loc.select(x, "__lid"), x)  # AQE splits a hot location
+    members = cut_lineage(members.select(key, "__lid"))
+    first = rank_within(members, ["__lid"], [key], "__mr").where(F.col("__mr") < need)
+    near = _weighted_location_knn(loc, need, x, start_radius, max_rounds)
+    cand = near.join(first.select(F.col("__lid").alias("__nlid"), F.col(key).alias("nbr")), "__nlid")
+    wl = Window.partitionBy("__lid").orderBy("dist", "nbr")
+    table = cand.withColumn("__r", F.row_number().over(wl)).where(F.col("__r") <= need) \
+        .select("__lid", "nbr", "dist")
+    per_point = members.join(table, "__lid")
+    if not include_self:
+        per_point = per_point.where(F.col(key) != F.col("nbr"))
+    wp = Window.partitionBy(key).orderBy("dist", "nbr")
+    ranked = per_point.withColumn("rank", F.row_number().over(wp)).where(F.col("rank") <= kk)
+    return ranked.select(key, "nbr", F.col("rank").cast("int"), "dist")
+
+
+def _weighted_location_knn(loc: DataFrame, need: int, x: str, start_radius: float | None,
+                           max_rounds: int) -> DataFrame:
+    """(__lid, __nlid, dist): for every location, the nearest locations (itself
+    included) whose cumulative weight first reaches ``need``, plus ties."""
+    n_loc = loc.count()
+    dims = len(loc.select(x).first()[0])
+    if start_radius is None:
+        s = loc.select(F.inline(F.transform(F.col(x), lambda v: F.struct(v.alias("v"))))).agg(
+            F.stddev_pop("v").alias("s")).first()["s"] or 1.0
+        start_radius = max(float(s), 1e-9) * 2.0 * (2.0 * need / max(n_loc, 1)) ** (1.0 / dims)
+    weights = loc.select(F.col("__lid").alias("nbr"), F.col("__w").alias("__nw"))
+    todo = loc.select("__lid", x)
+    done = []
+    radius = start_radius
+    for _ in range(max_rounds):
+        pairs = _probe_pairs(todo, loc.select("__lid", x), "__lid", radius, x, True).join(weights, "nbr")
+        w = Window.partitionBy("__lid").orderBy("dist").rowsBetween(Window.unboundedPreceding, 0)
+        wb = Window.partitionBy("__lid")
+        # boundary distance: first distance where the running weight reaches `need`
+        cum = pairs.withColumn("__cw", F.sum("__nw").over(w)).withColumn(
+            "__d", F.min(F.when(F.col("__cw") >= need, F.col("dist"))).over(wb))
+        cum = cut_lineage(cum.select("__lid", "nbr", "dist", "__d"))  # one pass per round
+        done.append(cum.where(F.col("dist") <= F.col("__d")).select("__lid", F.col("nbr").alias("__nlid"), "dist"))
+        resolved = cum.where(F.col("__d").isNotNull()).select("__lid").distinct()
+        todo = cut_lineage(todo.join(resolved, "__lid", "left_anti"))
+        if todo.isEmpty():
+            break
+        radius *= 2.0
+    else:
+        raise RuntimeError("knn did not resolve every location; raise max_rounds")
+    out = done[0]
+    for d in done[1:]:
+        out = out.unionByName(d)
+    return out
 
 
 def knn_between(probe: DataFrame, build: DataFrame, key: str, k: int, x: str = "x", include_self: bool = True,

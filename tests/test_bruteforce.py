@@ -140,3 +140,20 @@ def test_dbscan_with_hot_spot_matches_bruteforce(spark, pts):
     X2 = np.vstack([X, np.repeat(X[:1], n_hot, axis=0)])
     got = {r["key"]: (r["cluster"], r["kind"]) for r in cl.dbscan(p2, "key", 0.5, 4).collect()}
     assert got == _dbscan_numpy(keys2, X2, 0.5, 4)
+
+
+@pytest.mark.parametrize("include_self", [True, False])
+def test_knn_with_hot_spot_matches_bruteforce(spark, pts, include_self):
+    p, keys, X = pts
+    n_hot = len(keys) // 2
+    hot = spark.createDataFrame([(10_000_000 + i, [float(v) for v in X[3]]) for i in range(n_hot)], "key long, x array<double>")
+    p2 = p.unionByName(hot)
+    keys2 = np.concatenate([keys, 10_000_000 + np.arange(n_hot)])
+    X2 = np.vstack([X, np.repeat(X[3:4], n_hot, axis=0)])
+    D = np.sqrt(((X2[:, None, :] - X2[None, :, :]) ** 2).sum(-1))
+    got = {}
+    for r in knn(p2, "key", 6, include_self=include_self).collect():
+        got.setdefault(r["key"], []).append((r["rank"], r["nbr"]))
+    for i, k in enumerate(keys2):
+        order = sorted((D[i, j], keys2[j]) for j in range(len(keys2)) if include_self or j != i)[:6]
+        assert [n for _, n in sorted(got[int(k)])] == [int(n) for _, n in order], int(k)
