@@ -37,7 +37,7 @@ def label_centres(pts: DataFrame) -> list[list[float]]:
 def diagnosis(spark: SparkSession, sf_dir: str) -> DataFrame:
     """key, label, cluster, majority, flag_discord, max_u, flag_ambiguous, flag_noise,
     lof_score, flag_lof, suspicion_score, is_suspect."""
-    ck = (id(spark), sf_dir)
+    ck = (spark.sparkContext.applicationId, sf_dir)
     if ck in _cache:
         return _cache[ck]
     pts = cut_lineage(rfm_points(spark, sf_dir).select("key", "x", "z0", "z1", "z2", "label"))

@@ -26,7 +26,7 @@ _cache: dict = {}
 
 def doc_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """key, y (quality), y_corrected, features..., split, fold (train rows only)."""
-    ck = ("doc", id(spark), sf_dir)
+    ck = ("doc", spark.sparkContext.applicationId, sf_dir)
     if ck in _cache:
         return _cache[ck]
     d = load(spark, sf_dir, "documents").join(load(spark, sf_dir, "labels"), "doc_id")
@@ -57,7 +57,7 @@ def doc_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """key, y (o_totalprice), line aggregates, split."""
-    ck = ("ord", id(spark), sf_dir)
+    ck = ("ord", spark.sparkContext.applicationId, sf_dir)
     if ck in _cache:
         return _cache[ck]
     li = load(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
