@@ -185,9 +185,13 @@ def subtractive(points: DataFrame, key: str, ra: float, accept: float = 0.5, rej
     alpha = 4.0 / ra ** 2
     beta = 4.0 / (1.5 * ra) ** 2
     radius = math.sqrt(math.log(1.0 / tol) / alpha)
-    pairs = eps_pairs(points, key, radius, x)
-    pot = pairs.groupBy(key).agg(F.sum(F.exp(-alpha * F.col("dist") * F.col("dist"))).alias("__p"))
-    state = cut_lineage(points.join(pot, key))
+    # identical points collapse into one weighted location (a hot spot is one row)
+    loc = cut_lineage(points.groupBy(x).agg(F.min(key).alias(key), F.count(F.lit(1)).alias("__w")))
+    pairs = eps_pairs(loc, key, radius, x).join(
+        loc.select(F.col(key).alias("nbr"), F.col("__w").alias("__nw")), "nbr")
+    pot = pairs.groupBy(key).agg(
+        F.sum(F.col("__nw") * F.exp(-alpha * F.col("dist") * F.col("dist"))).alias("__p"))
+    state = cut_lineage(loc.join(pot, key))
     centres: list[list[float]] = []
     first = None
     zeroed: list = []
@@ -198,7 +202,8 @@ def subtractive(points: DataFrame, key: str, ra: float, accept: float = 0.5, rej
         cur = state.select(key, x, pcol.alias("__cur"))
         if zeroed:
             cur = cur.withColumn("__cur", F.when(F.col(key).isin(zeroed), F.lit(0.0)).otherwise(F.col("__cur")))
-        top = cur.agg(F.max_by(F.struct(key, x), F.struct("__cur", F.col(key))).alias("t"),
+        # highest potential; ties to the smallest key (first occurrence)
+        top = cur.agg(F.max_by(F.struct(key, x), F.struct("__cur", (-F.col(key)).alias("__nk"))).alias("t"),
                       F.max("__cur").alias("p")).first()
         p_star, cand = top["p"], top["t"]
         if first is None:

@@ -157,3 +157,14 @@ def test_knn_with_hot_spot_matches_bruteforce(spark, pts, include_self):
     for i, k in enumerate(keys2):
         order = sorted((D[i, j], keys2[j]) for j in range(len(keys2)) if include_self or j != i)[:6]
         assert [n for _, n in sorted(got[int(k)])] == [int(n) for _, n in order], int(k)
+
+
+def test_subtractive_with_hot_spot_matches_bruteforce(spark, pts):
+    p, keys, X = pts
+    n_hot = len(keys) // 2
+    hot = spark.createDataFrame([(10_000_000 + i, [float(v) for v in X[7]]) for i in range(n_hot)], "key long, x array<double>")
+    X2 = np.vstack([X, np.repeat(X[7:8], n_hot, axis=0)])
+    _, centres = cl.subtractive(p.unionByName(hot), "key", ra=1.0, accept=0.4, reject=0.15, max_centres=10)
+    ref = _subtractive_numpy(X2, 1.0, 0.4, 0.15, 10)
+    assert len(centres) == len(ref)
+    assert np.allclose(np.array(centres), ref, atol=1e-9)
