@@ -35,6 +35,4 @@ def q_stream_profile(spark, sf):
     s = read_stream(spark, sf, "events.parquet", EVENTS_SCHEMA)
     p = stream_profile(s, "ts", "1 day", "1 hour", "value", F.col("event_type") == "error")
     out = run_available(p, "profile")
-    return rounded(out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
-                              F.col("window_end").cast("timestamp_ntz").alias("window_end"),
-                              "n", "n_null", "mean", "n_alert"))
+    return rounded(out.select("window_start", "window_end", "n", "n_null", "mean", "n_alert"))

@@ -53,11 +53,18 @@ def stream_profile(stream: DataFrame, ts: str, window: str, watermark: str, valu
     watermark (max event time - delay) passes its end; state is dropped then,
     so memory stays bounded on an unbounded stream.
     """
-    s = stream.withColumn("__ts", F.col(ts).cast("timestamp")).withWatermark("__ts", watermark)
+    tz = stream.sparkSession.conf.get("spark.sql.session.timeZone")
+    t = F.col(ts)
+    if dict(stream.dtypes)[ts] == "timestamp_ntz":
+        # wall-clock time read as UTC, so windows align to wall-clock boundaries in any session zone
+        t = F.from_utc_timestamp(t.cast("timestamp"), tz)
+    s = stream.withColumn("__ts", t).withWatermark("__ts", watermark)
     g = s.groupBy(F.window("__ts", window).alias("w")).agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.when(F.col(value).isNull(), 1).otherwise(0)).cast("long").alias("n_null"),
         F.avg(value).alias("mean"), F.sum(F.when(alert, 1).otherwise(0)).cast("long").alias("n_alert"))
-    return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+    wall = (lambda c: F.to_utc_timestamp(c, tz).cast("timestamp_ntz")) if dict(stream.dtypes)[ts] == "timestamp_ntz" \
+        else (lambda c: c)
+    return g.select(wall(F.col("w.start")).alias("window_start"), wall(F.col("w.end")).alias("window_end"),
                     "n", "n_null", "mean", "n_alert")
 
 
