@@ -31,7 +31,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, shuffle_partitions
+from ..session import cut_lineage, target_partitions
 
 _PID = "__pid"
 _LOCAL = "__local"
@@ -42,7 +42,7 @@ def _cols(xs) -> list[Column]:
 
 
 def _positioned(df: DataFrame, sort_cols: Sequence, num_partitions: int | None) -> DataFrame:
-    n = num_partitions or shuffle_partitions(df.sparkSession)
+    n = num_partitions or target_partitions(df)
     sort = _cols(sort_cols)
     positioned = (
         df.repartitionByRange(n, *sort)
