@@ -83,17 +83,13 @@ def knn(points: DataFrame, key: str, k: int, x: str = "x", include_self: bool =
        ranks), the bounded candidate list is ranked per location, then per
        point (dropping the point itself when ``include_self`` is false).
     """
-    from .order import rank_within
     n = points.count()
     kk = min(k, n if include_self else n - 1)
     if kk <= 0:
         return points.sparkSession.createDataFrame([], f"{key} long, nbr long, rank int, dist double")
     need = kk + (0 if include_self else 1)
-    loc = cut_lineage(points.groupBy(x).agg(F.min(key).alias("__lid"), F.count(F.lit(1)).alias("__w")))
-    members = points.select(key, x).join(loc.select(x, "__lid"), x)  # AQE splits a hot location
-    members = cut_lineage(members.select(key, "__lid"))
-    first = rank_within(members, ["__lid"], [key], "__mr").where(F.col("__mr") < need)
-    near = _weighted_location_knn(loc, need, x, start_radius, max_rounds)
+    loc, members, first = _locations(points, key, x, need)
+    near = _weighted_location_knn(loc.select("__lid", x), "__lid", loc, need, x, start_radius, max_rounds)
     cand = near.join(first.select(F.col("__lid").alias("__nlid"), F.col(key).alias("nbr")), "__nlid")
     wl = Window.partitionBy("__lid").orderBy("dist", "nbr")
     table = cand.withColumn("__r", F.row_number().over(wl)).where(F.col("__r") <= need) \
@@ -106,82 +102,79 @@ def knn(points: DataFrame, key: str, k: int, x: str = "x", include_self: bool =
     return ranked.select(key, "nbr", F.col("rank").cast("int"), "dist")
 
 
-def _weighted_location_knn(loc: DataFrame, need: int, x: str, start_radius: float | None,
-                           max_rounds: int) -> DataFrame:
-    """(__lid, __nlid, dist): for every location, the nearest locations (itself
-    included) whose cumulative weight first reaches ``need``, plus ties."""
+def _weighted_location_knn(probe: DataFrame, pkey: str, loc: DataFrame, need: int, x: str,
+                           start_radius: float | None, max_rounds: int) -> DataFrame:
+    """(pkey, __nlid, dist): for every probe row, the nearest build locations
+    (``loc``: __lid, x, __w) whose cumulative weight first reaches ``need``,
+    plus every location tied at that boundary distance."""
     n_loc = loc.count()
     dims = len(loc.select(x).first()[0])
     if start_radius is None:
         s = loc.select(F.inline(F.transform(F.col(x), lambda v: F.struct(v.alias("v"))))).agg(
             F.stddev_pop("v").alias("s")).first()["s"] or 1.0
         start_radius = max(float(s), 1e-9) * 2.0 * (2.0 * need / max(n_loc, 1)) ** (1.0 / dims)
+    total = loc.agg(F.sum("__w")).first()[0] or 0
+    if total < need:
+        raise ValueError(f"only {total} points to choose {need} neighbours from")
     weights = loc.select(F.col("__lid").alias("nbr"), F.col("__w").alias("__nw"))
-    todo = loc.select("__lid", x)
+    build = loc.select(F.col("__lid").alias(pkey), x)
+    todo = probe.select(pkey, x)
     done = []
     radius = start_radius
     for _ in range(max_rounds):
-        pairs = _probe_pairs(todo, loc.select("__lid", x), "__lid", radius, x, True).join(weights, "nbr")
-        w = Window.partitionBy("__lid").orderBy("dist").rowsBetween(Window.unboundedPreceding, 0)
-        wb = Window.partitionBy("__lid")
+        pairs = _probe_pairs(todo, build, pkey, radius, x, True).join(weights, "nbr")
+        w = Window.partitionBy(pkey).orderBy("dist").rowsBetween(Window.unboundedPreceding, 0)
+        wb = Window.partitionBy(pkey)
         # boundary distance: first distance where the running weight reaches `need`
         cum = pairs.withColumn("__cw", F.sum("__nw").over(w)).withColumn(
             "__d", F.min(F.when(F.col("__cw") >= need, F.col("dist"))).over(wb))
-        cum = cut_lineage(cum.select("__lid", "nbr", "dist", "__d"))  # one pass per round
-        done.append(cum.where(F.col("dist") <= F.col("__d")).select("__lid", F.col("nbr").alias("__nlid"), "dist"))
-        resolved = cum.where(F.col("__d").isNotNull()).select("__lid").distinct()
-        todo = cut_lineage(todo.join(resolved, "__lid", "left_anti"))
+        cum = cut_lineage(cum.select(pkey, "nbr", "dist", "__d"))  # one pass per round
+        done.append(cum.where(F.col("dist") <= F.col("__d")).select(pkey, F.col("nbr").alias("__nlid"), "dist"))
+        resolved = cum.where(F.col("__d").isNotNull()).select(pkey).distinct()
+        todo = cut_lineage(todo.join(resolved, pkey, "left_anti"))
         if todo.isEmpty():
             break
         radius *= 2.0
     else:
-        raise RuntimeError("knn did not resolve every location; raise max_rounds")
+        raise RuntimeError("knn did not resolve every point; raise max_rounds")
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)
     return out
 
 
+def _locations(points: DataFrame, key: str, x: str, need: int):
+    """(loc: __lid, x, __w) and (members: key, __lid, first ``need`` keys per location)."""
+    from .order import rank_within
+    loc = cut_lineage(points.groupBy(x).agg(F.min(key).alias("__lid"), F.count(F.lit(1)).alias("__w")))
+    members = cut_lineage(points.select(key, x).join(loc.select(x, "__lid"), x).select(key, "__lid"))
+    first = rank_within(members, ["__lid"], [key], "__mr").where(F.col("__mr") < need)
+    return loc, members, first
+
+
 def knn_between(probe: DataFrame, build: DataFrame, key: str, k: int, x: str = "x", include_self: bool = True,
                 start_radius: float | None = None, max_rounds: int = 40) -> DataFrame:
     """Exact k nearest ``build`` points of every ``probe`` point: (key, nbr, rank, dist).
 
-    Radius-doubling search on the grid: in round r every unresolved probe
-    point looks at the cells of side ``radius_r`` around it; it is resolved
-    once it has at least k candidates within ``radius_r`` (anything outside
-    that radius is farther than all of them).  Ties at the k-th distance are
-    broken by neighbour key.  Each round's results are checkpointed.
+    The build side is collapsed into weighted distinct locations (a hot spot
+    of copies is one candidate); each probe point takes the nearest locations
+    until their weight covers k, and every such location contributes at most
+    k member keys.  Ties are broken by neighbour key.  ``include_self=False``
+    drops a build point whose key equals the probe key.
     """
-    spark = probe.sparkSession
     n_build = build.count()
     if n_build == 0 or k <= 0:
-        return spark.createDataFrame([], f"{key} long, nbr long, rank int, dist double")
-    dims = len(build.select(x).first()[0])
-    if start_radius is None:
-        s = build.select(F.inline(F.transform(F.col(x), lambda v: F.struct(v.alias("v"))))).agg(
-            F.stddev_pop("v").alias("s")).first()["s"] or 1.0
-        # radius that holds about 2k points of a uniform cloud of this spread
-        start_radius = max(float(s), 1e-9) * 2.0 * (2.0 * k / n_build) ** (1.0 / dims)
-    todo = probe.select(key, x)
-    done = []
-    radius = start_radius
-    for _ in range(max_rounds):
-        pairs = _probe_pairs(todo, build, key, radius, x, include_self)
-        w = Window.partitionBy(key).orderBy("dist", "nbr")
-        ranked = pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-        ranked = cut_lineage(ranked)
-        ok = ranked.where(F.col("rank") == k).select(key)
-        done.append(ranked.join(ok, key, "left_semi"))
-        todo = cut_lineage(todo.join(ok, key, "left_anti"))
-        if todo.isEmpty():
-            break
-        radius *= 2.0
-    else:
-        raise RuntimeError("knn did not resolve every point; raise max_rounds")
-    out = done[0]
-    for d in done[1:]:
-        out = out.unionByName(d)
-    return out.select(key, "nbr", F.col("rank").cast("int"), "dist")
+        return probe.sparkSession.createDataFrame([], f"{key} long, nbr long, rank int, dist double")
+    need = min(k, n_build) + (0 if include_self else 1)
+    need = min(need, n_build)
+    loc, _, first = _locations(build, key, x, need)
+    near = _weighted_location_knn(probe, key, loc, need, x, start_radius, max_rounds)
+    cand = near.join(first.select(F.col("__lid").alias("__nlid"), F.col(key).alias("nbr")), "__nlid")
+    if not include_self:
+        cand = cand.where(F.col(key) != F.col("nbr"))
+    wp = Window.partitionBy(key).orderBy("dist", "nbr")
+    ranked = cand.withColumn("rank", F.row_number().over(wp)).where(F.col("rank") <= k)
+    return ranked.select(key, "nbr", F.col("rank").cast("int"), "dist")
 
 
 def _probe_pairs(probe_pts: DataFrame, build_pts: DataFrame, key: str, eps: float, x: str,

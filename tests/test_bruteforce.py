@@ -168,3 +168,25 @@ def test_subtractive_with_hot_spot_matches_bruteforce(spark, pts):
     ref = _subtractive_numpy(X2, 1.0, 0.4, 0.15, 10)
     assert len(centres) == len(ref)
     assert np.allclose(np.array(centres), ref, atol=1e-9)
+
+
+def test_knn_between_with_hot_spot_matches_bruteforce(spark, pts):
+    p, keys, X = pts
+    train_idx = [i for i in range(len(keys)) if i % 3 != 0]
+    test_idx = [i for i in range(len(keys)) if i % 3 == 0]
+    n_hot = len(keys)
+    hot_keys = 10_000_000 + np.arange(n_hot)
+    train = spark.createDataFrame(
+        [(int(keys[i]), [float(v) for v in X[i]]) for i in train_idx]
+        + [(int(h), [float(v) for v in X[1]]) for h in hot_keys], "key long, x array<double>")
+    test = spark.createDataFrame([(int(keys[i]), [float(v) for v in X[i]]) for i in test_idx], "key long, x array<double>")
+    from tessera.operators.distance import knn_between
+    got = {}
+    for r in knn_between(test, train, "key", 5).collect():
+        got.setdefault(r["key"], []).append((r["rank"], r["nbr"]))
+    TK = np.concatenate([keys[train_idx], hot_keys])
+    TX = np.vstack([X[train_idx], np.repeat(X[1:2], n_hot, axis=0)])
+    for i in test_idx:
+        d = np.sqrt(((TX - X[i]) ** 2).sum(1))
+        order = sorted(zip(d, TK))[:5]
+        assert [n for _, n in sorted(got[int(keys[i])])] == [int(n) for _, n in order]
