@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import MISSING_TOKENS, normalise_token
-from .order import top1_by
+from .order import attach_row, top1_by
 from .quantile import quantile_table
 
 
@@ -40,7 +40,7 @@ def median_fit(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = No
     fit = _one_row_quantiles(fit_on if fit_on is not None else df, cols, [0.5], exact)
     nulls = df.agg(*[F.sum(F.when(F.col(c).isNull(), 1).otherwise(0)).cast("long").alias(f"{c}__n")
                      for c in cols])
-    row = fit.crossJoin(nulls)
+    row = attach_row(fit, nulls)
     return row.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(f"{c}__n").alias("n_filled"), F.col(f"{c}__q0").alias("value"))
         for c in cols])))
@@ -50,7 +50,7 @@ def impute_median(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None =
                   exact: bool = True) -> DataFrame:
     """Fill NULLs of numeric ``cols`` with the median fitted on ``fit_on``."""
     fit = _one_row_quantiles(fit_on if fit_on is not None else df, cols, [0.5], exact)
-    j = df.crossJoin(F.broadcast(fit))
+    j = attach_row(df, fit)
     return j.select(*[
         F.coalesce(F.col(c).cast("double"), F.col(f"{c}__q0")).alias(c) if c in cols else F.col(c)
         for c in df.columns])
@@ -64,11 +64,9 @@ def impute_sentinel(df: DataFrame, cols: Sequence[str], value: str = "__MISSING_
 def impute_mode(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
     """C11: NULL -> most frequent value (ties to the smallest) of ``fit_on``."""
     src = fit_on if fit_on is not None else df
-    modes = None
+    j = df
     for c in cols:
-        m = top1_by(src, [], c, name=f"{c}__mode").select(f"{c}__mode")
-        modes = m if modes is None else modes.crossJoin(m)
-    j = df.crossJoin(F.broadcast(modes))  # one row
+        j = attach_row(j, top1_by(src, [], c, name=f"{c}__mode").select(f"{c}__mode"))
     return j.select(*[F.coalesce(F.col(c), F.col(f"{c}__mode")).alias(c) if c in cols else F.col(c)
                       for c in df.columns])
 
@@ -87,7 +85,7 @@ def winsorize(df: DataFrame, cols: Sequence[str], lo: float = 0.01, hi: float =
               fit_on: DataFrame | None = None, exact: bool = True) -> DataFrame:
     """C14: clip each column to its [lo, hi] quantiles (NULLs stay NULL)."""
     fit = _one_row_quantiles(fit_on if fit_on is not None else df, cols, [lo, hi], exact)
-    j = df.crossJoin(F.broadcast(fit))
+    j = attach_row(df, fit)
 
     def clip(c):
         x = F.col(c).cast("double")
@@ -113,7 +111,7 @@ def iqr_outlier_report(df: DataFrame, cols: Sequence[str], k: float = 1.5, top:
     b = iqr_bounds(df, cols, k, exact)
     wide = b.agg(*[F.first(F.when(F.col("column") == c, F.struct("lower", "upper")), ignorenulls=True).alias(c)
                    for c in cols])
-    j = df.select(*cols).crossJoin(F.broadcast(wide.select(*[F.col(c).alias(f"{c}__b") for c in cols])))
+    j = attach_row(df.select(*cols), wide.select(*[F.col(c).alias(f"{c}__b") for c in cols]))
     counts = j.agg(*[
         F.sum(F.when((F.col(c) < F.col(f"{c}__b.lower")) | (F.col(c) > F.col(f"{c}__b.upper")), 1)
               .otherwise(0)).cast("long").alias(c) for c in cols])
@@ -134,7 +132,7 @@ def remove_outliers_iqr(df: DataFrame, col: str, min_non_null: int = 100, k: flo
     b = iqr_bounds(df, [col], k, exact).select("lower", "upper", "n_non_null")
     x = F.col(col)
     keep = (x.isNull() | (F.col("n_non_null") < min_non_null) | x.between(F.col("lower"), F.col("upper")))
-    return df.crossJoin(F.broadcast(b)).where(keep).drop("lower", "upper", "n_non_null")
+    return attach_row(df, b).where(keep).drop("lower", "upper", "n_non_null")
 
 
 def fill_zero(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .distance import _cell, _offsets, dist, sq_dist
-from .order import global_index
+from .order import attach_row, global_index
 
 
 # ---------------------------------------------------------------- centres
@@ -411,7 +411,7 @@ def adjusted_rand(a: DataFrame, b: DataFrame, key: str, ca: str = "cluster", cb:
     sij = t.agg(F.sum(comb(F.col("nij"))).alias("sij"), F.sum("nij").alias("n"))
     sa = t.groupBy("__a").agg(F.sum("nij").alias("ai")).agg(F.sum(comb(F.col("ai"))).alias("sa"))
     sb = t.groupBy("__b").agg(F.sum("nij").alias("bj")).agg(F.sum(comb(F.col("bj"))).alias("sb"))
-    r = sij.crossJoin(sa).crossJoin(sb)  # three one-row tables
+    r = attach_row(attach_row(sij, sa), sb)  # three one-row tables
     exp = F.col("sa") * F.col("sb") / comb(F.col("n"))
     mx = (F.col("sa") + F.col("sb")) / 2
     return r.select(F.when(mx == exp, F.lit(1.0)).otherwise((F.col("sij") - exp) / (mx - exp)).alias("ari"))
@@ -431,7 +431,7 @@ def normalised_mutual_info(a: DataFrame, b: DataFrame, key: str, ca: str = "clus
         (-F.sum(F.col("c") / F.col("n") * F.log(F.col("c") / F.col("n")))).alias("ha"))
     hb = t.groupBy("__b").agg(F.first("bj").alias("c"), F.first("n").alias("n")).agg(
         (-F.sum(F.col("c") / F.col("n") * F.log(F.col("c") / F.col("n")))).alias("hb"))
-    r = mi.crossJoin(ha).crossJoin(hb)  # one-row tables
+    r = attach_row(attach_row(mi, ha), hb)  # one-row tables
     den = (F.col("ha") + F.col("hb")) / 2
     return r.select(F.when(den == 0, F.lit(1.0)).otherwise(F.greatest(F.col("mi"), F.lit(0.0)) / den).alias("nmi"))
 
@@ -458,9 +458,10 @@ def compare_clusterings(labels: Mapping[str, DataFrame], truth: DataFrame, point
     out = None
     for name, lab in labels.items():
         nc = lab.where(F.col("cluster") >= 0).agg(F.countDistinct("cluster").alias("n_clusters"))
-        row = (nc.crossJoin(adjusted_rand(lab, truth, key, "cluster", truth_col))
-               .crossJoin(normalised_mutual_info(lab, truth, key, "cluster", truth_col))
-               .crossJoin(silhouette(points, lab, key, x)))  # one-row tables
+        row = attach_row(attach_row(attach_row(
+            nc, adjusted_rand(lab, truth, key, "cluster", truth_col)),
+            normalised_mutual_info(lab, truth, key, "cluster", truth_col)),
+            silhouette(points, lab, key, x))  # one-row tables
         row = row.select(F.lit(name).alias("method"), F.col("n_clusters").cast("int"), "ari", "nmi", "silhouette")
         out = row if out is None else out.unionByName(row)
     return out

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import log1p_safe
-from .order import global_index, previous_row
+from .order import attach_row, global_index, previous_row
 
 MAX_CATEGORIES = 200
 
@@ -122,9 +122,9 @@ def apply_scaler(df: DataFrame, fit: DataFrame, cols: Sequence[str], kind: str =
     """F9/F10 apply: ``<col>_std`` = (x - mean) / std, ``<col>_mm`` = (x - min) / (max - min).
 
     A constant column maps to 0 (the reference library's convention, unlike
-    Spark ML's 0.5 for MinMax).  ``fit`` is one row, so the broadcast is bounded.
+    Spark ML's 0.5 for MinMax).  ``fit`` is one row, attached as scalar subqueries.
     """
-    j = df.crossJoin(F.broadcast(fit))
+    j = attach_row(df, fit)
     outs = {}
     for c in cols:
         x, a, b = F.col(c).cast("double"), F.col(f"{c}__a"), F.col(f"{c}__b")
@@ -159,13 +159,13 @@ def poly_interactions(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 # ---------------------------------------------------------------- F15-F20
 def threshold_target(df: DataFrame, cols: Sequence[str], name: str = "target", exact: bool = True) -> DataFrame:
-    """1 if every column is >= its own median (one-row fit, broadcast)."""
+    """1 if every column is >= its own median (one-row fit, scalar subqueries)."""
     from .clean import _one_row_quantiles
     fit = _one_row_quantiles(df, cols, [0.5], exact)
     cond = F.lit(True)
     for c in cols:
         cond = cond & (F.col(c) >= F.col(f"{c}__q0"))
-    return df.crossJoin(F.broadcast(fit)).select(*df.columns, F.when(cond, 1).otherwise(0).alias(name))
+    return attach_row(df, fit).select(*df.columns, F.when(cond, 1).otherwise(0).alias(name))
 
 
 def stress_label(df: DataFrame, entity: str, period: str, cfo: str, liquidity: str, cash_days: str,

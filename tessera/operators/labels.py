@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .order import top1_by
+from .order import attach_row, top1_by
 
 
 def cluster_majority(clusters: DataFrame, truth: DataFrame, key: str, cluster: str = "cluster",
@@ -52,7 +52,7 @@ def lof(points: DataFrame, key: str, k: int = 20, contamination: float = 0.1, x:
         .groupBy(key).agg(F.avg("__lrd_o").alias("__m")).join(lrd, key) \
         .select(key, (F.col("__m") / F.col("__lrd")).alias("lof_score"))
     thr = quantile_table(score, ["lof_score"], [1.0 - contamination], exact=exact).select(F.col("q0").alias("__t"))
-    return score.crossJoin(F.broadcast(thr)).select(  # one-row threshold
+    return attach_row(score, thr).select(  # one-row threshold
         key, "lof_score", (F.col("lof_score") > F.col("__t")).cast("int").alias("flag_lof"))
 
 
@@ -182,8 +182,8 @@ def verdict(diags: Sequence[DataFrame], label: str = "label", positive=1) -> Dat
     tier = (F.when(F.col("avg_pct") < 10, F.lit("promote")).when(F.col("avg_pct") < 25, F.lit("retrain"))
             .otherwise(F.lit("question_process")))
     per = rows.groupBy().pivot("dataset").agg(F.first("pct_discord_pos"))
-    return avg.select("avg_pct", tier.alias("tier")).crossJoin(
-        per.select(*[F.col(c).alias(f"pct_discord_pos_{c}") for c in per.columns]))  # one-row tables
+    return attach_row(avg.select("avg_pct", tier.alias("tier")),
+                      per.select(*[F.col(c).alias(f"pct_discord_pos_{c}") for c in per.columns]))  # one-row tables
 
 
 def class_shift(rel: DataFrame, classes: Sequence | None = None) -> DataFrame:
@@ -207,6 +207,6 @@ def relabel_summary(susp: DataFrame, rel: DataFrame, classes: Sequence, flag_col
     changed = rel.agg(F.sum("was_changed").cast("long").alias("relabeled_total"),
                       F.avg("was_changed").alias("relabeled_fraction"))
     trans = transition_long(rel, classes).agg(F.collect_list(F.struct("original", "corrected", "n")).alias("transitions"))
-    row = counts.crossJoin(changed).crossJoin(trans)  # one-row tables
+    row = attach_row(attach_row(counts, changed), trans)  # one-row tables
     return row.select(F.to_json(F.struct(
         F.lit(cutoff).alias("cutoff"), F.lit(ambiguity).alias("ambiguity_threshold"), "*")).alias("json"))

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .order import running_sums
+from .order import attach_row, running_sums
 
 EPS = 2.0 ** -52
 
@@ -31,15 +31,14 @@ def class_counts(pred: DataFrame, labels: Sequence, y: str = "y", p: str = "p")
     spark = pred.sparkSession
     dim = spark.createDataFrame([(v,) for v in labels], ["label"])  # the class list: bounded
     cont = pred.groupBy(F.col(y).alias("__y"), F.col(p).alias("__p")).agg(F.count(F.lit(1)).alias("__n"))
-    j = F.broadcast(dim).crossJoin(cont)
-    return j.groupBy("label").agg(
-        F.sum(F.when((F.col("__y") == F.col("label")) & (F.col("__p") == F.col("label")), F.col("__n"))
-              .otherwise(0)).cast("long").alias("tp"),
-        F.sum(F.when((F.col("__y") != F.col("label")) & (F.col("__p") == F.col("label")), F.col("__n"))
-              .otherwise(0)).cast("long").alias("fp"),
-        F.sum(F.when((F.col("__y") == F.col("label")) & (F.col("__p") != F.col("label")), F.col("__n"))
-              .otherwise(0)).cast("long").alias("fn"),
-        F.sum(F.when(F.col("__y") == F.col("label"), F.col("__n")).otherwise(0)).cast("long").alias("support"))
+    hit = F.when(F.col("__y") == F.col("__p"), F.col("__n")).otherwise(0)
+    miss = F.when(F.col("__y") != F.col("__p"), F.col("__n")).otherwise(0)
+    by_p = cont.groupBy(F.col("__p").alias("__l")).agg(F.sum(hit).alias("tp"), F.sum(miss).alias("fp"))
+    by_y = cont.groupBy(F.col("__y").alias("__l")).agg(F.sum(miss).alias("fn"), F.sum("__n").alias("support"))
+    j = (dim.join(by_p, dim["label"] == by_p["__l"], "left").drop("__l")
+         .join(by_y, dim["label"] == by_y["__l"], "left"))
+    return j.select("label", *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
+                               for c in ("tp", "fp", "fn", "support")])
 
 
 def prf(pred: DataFrame, labels: Sequence, y: str = "y", p: str = "p") -> DataFrame:
@@ -112,7 +111,7 @@ def roc_curve(pred: DataFrame, y: str = "y", score: str = "prob", group: Sequenc
     st = _score_table(pred, y, score, group).withColumn("__neg_score", -F.col("score"))
     cum = running_sums(st, group, ["__neg_score"], ["pos", "neg"])
     tot = st.groupBy(*group).agg(F.sum("pos").alias("__P"), F.sum("neg").alias("__N"))
-    j = cum.join(tot, list(group)) if group else cum.crossJoin(tot)
+    j = cum.join(tot, list(group)) if group else attach_row(cum, tot)
     return j.select(*group, F.col("score").alias("threshold"),
                     F.try_divide(F.col("cum_neg"), F.nullif(F.col("__N"), F.lit(0))).alias("fpr"),
                     F.try_divide(F.col("cum_pos"), F.nullif(F.col("__P"), F.lit(0))).alias("tpr"))

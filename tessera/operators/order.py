@@ -37,6 +37,19 @@ _PID = "__pid"
 _LOCAL = "__local"
 
 
+def attach_row(df: DataFrame, row: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """Append the columns of the one-row table ``row`` to every row of ``df``.
+
+    Each column becomes a scalar subquery: Spark evaluates ``row`` once, fails
+    the query if it yields more than one row (the size bound is enforced, not
+    assumed), and inlines the value -- no join, no broadcast of a table.
+    Subqueries over the same plan are merged into one by the optimizer.
+    An empty ``row`` attaches NULLs.
+    """
+    names = list(cols) if cols is not None else row.columns
+    return df.select("*", *[row.select(c).scalar().alias(c) for c in names])
+
+
 def _cols(xs) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
@@ -96,8 +109,7 @@ def rank_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence,
     if not group_cols:
         out = global_index(df, order_cols, name, num_partitions)
         if size_name:
-            n = df.agg(F.count(F.lit(1)).alias(size_name))
-            out = out.crossJoin(F.broadcast(n))  # one row
+            out = attach_row(out, df.agg(F.count(F.lit(1)).alias(size_name)))
         return out
     d = _positioned(df, [*group_cols, *order_cols], num_partitions)
     g = d.groupBy(_PID, *group_cols).agg(

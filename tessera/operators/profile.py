@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .order import top1_by
+from .order import attach_row, top1_by
 from .quantile import quantile_table, unpivot
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
@@ -177,7 +177,7 @@ def correlation(df: DataFrame, cols: Sequence[str], full: bool = True) -> DataFr
     if full:
         std_aggs = [F.stddev_samp(F.col(c).cast("double")).alias(f"sd_{c}") for c in cols]
         sd = df.agg(*std_aggs)
-        row = row.crossJoin(sd)
+        row = attach_row(row, sd)
         for c in cols:
             structs.append(F.struct(F.lit(c).alias("col_a"), F.lit(c).alias("col_b"),
                                     F.when(F.col(f"sd_{c}") > 0, F.lit(1.0)).alias("r")))
@@ -215,7 +215,7 @@ def histogram(df: DataFrame, col: str, bins: int, by: str | None = None) -> Data
     b = F.when(F.col("__hi") == F.col("__lo"), F.lit(0)).otherwise(
         F.least(F.floor((x - F.col("__lo")) / width), F.lit(bins - 1))).cast("int")
     keys = [F.col(by).alias("by")] if by else []
-    d = df.where(x.isNotNull()).crossJoin(F.broadcast(rng)).select(*keys, b.alias("bin"), "__lo", "__hi")
+    d = attach_row(df.where(x.isNotNull()), rng).select(*keys, b.alias("bin"), "__lo", "__hi")
     g = d.groupBy(*(["by"] if by else []), "bin").agg(
         F.count(F.lit(1)).alias("n"), F.first("__lo").alias("__lo"), F.first("__hi").alias("__hi"))
     w = (F.col("__hi") - F.col("__lo")) / F.lit(float(bins))

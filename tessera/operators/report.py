@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .order import attach_row
 from .quantile import unpivot
 
 
@@ -75,10 +76,10 @@ def verdict_text(counts: DataFrame) -> DataFrame:
 
 def normalise_by_max(metrics: DataFrame, metric: str) -> DataFrame:
     """Metric / max(metric) (chart data)."""
-    return metrics.withColumn(f"{metric}_rel", F.col(metric) / F.max(metric).over(Window.partitionBy()))
+    return metrics.withColumn(f"{metric}_rel", F.col(metric) / metrics.select(F.max(metric)).scalar())
 
 
 def compare_models(metrics: DataFrame, metric: str) -> DataFrame:
     """The best row by ``metric`` and each row's gap to it."""
     best = metrics.agg(F.max(metric).alias("__best"))
-    return metrics.crossJoin(best).withColumn("gap", F.col("__best") - F.col(metric)).drop("__best")
+    return attach_row(metrics, best).withColumn("gap", F.col("__best") - F.col(metric)).drop("__best")

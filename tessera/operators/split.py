@@ -92,12 +92,14 @@ def expanding_folds(df: DataFrame, period: str, k: int, name: str = "fold") -> D
     periods = sorted(periods)
     if len(periods) < k:
         raise ValueError(f"only {len(periods)} periods for {k} folds")
-    spark = df.sparkSession
-    folds = spark.createDataFrame([(i + 1, p) for i, p in enumerate(periods)], [name, "__test_period"])
-    j = df.crossJoin(F.broadcast(folds))  # k rows
-    role = F.when(F.col(period) == F.col("__test_period"), "test").when(
-        F.col(period) < F.col("__test_period"), "train")
-    return j.withColumn("role", role).where(F.col("role").isNotNull()).drop("__test_period")
+    # each row is emitted once per fold it takes part in (the output is that
+    # long by definition); the k test periods are literals, so no join
+    folds = F.array(*[F.struct(F.lit(i + 1).cast("long").alias(name), F.lit(p).alias("__test_period"))
+                      for i, p in enumerate(periods)])
+    mine = F.filter(folds, lambda f: f["__test_period"] >= F.col(period))
+    j = df.select("*", F.inline(mine))
+    role = F.when(F.col(period) == F.col("__test_period"), "test").otherwise("train")
+    return j.withColumn("role", role).drop("__test_period")
 
 
 def labels_changed(df: DataFrame, a: str, b: str) -> DataFrame:

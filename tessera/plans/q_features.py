@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as fc
 from ..operators import features as fe
+from ..operators.order import attach_row
 from ..sources.tables import LINEITEM_NULLS_SQL, PANEL_SQL, load, panel
 from .common import R, rounded
 from .registry import query
@@ -201,7 +202,7 @@ def q_feature_groups(spark, sf):
     cat = fe.feature_groups(spark, {"amounts": ["l_extendedprice", "l_quantity"], "rates": ["l_discount", "l_tax"]})
     li = load(spark, sf, "lineitem")
     n = li.agg(F.count(F.lit(1)).alias("n"))
-    return F.broadcast(cat).crossJoin(n)
+    return attach_row(cat, n)
 
 
 def _hu(key, seed):
@@ -280,4 +281,4 @@ def q_split_features_target(spark, sf):
     from ..operators.roles import split_features_target
     x, y = split_features_target(load(spark, sf, "orders"), "o_orderkey", "o_orderpriority")
     n = x.agg(F.count(F.lit(1)).alias("n_features_rows"))
-    return y.crossJoin(n)  # one-row count
+    return attach_row(y, n)  # one-row count

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.order import attach_row
+
 REPLACEMENT = "�"
 
 
@@ -105,7 +107,7 @@ def hand_off(df: DataFrame, path: str, key: str) -> DataFrame:
     n_r = back.agg(F.count(F.lit(1)).alias("n_read"))
     miss = df.select(key).join(back.select(key), key, "left_anti").agg(F.count(F.lit(1)).alias("n_missing"))
     extra = back.select(key).join(df.select(key), key, "left_anti").agg(F.count(F.lit(1)).alias("n_extra"))
-    return n_w.crossJoin(n_r).crossJoin(miss).crossJoin(extra)  # four one-row tables
+    return attach_row(attach_row(attach_row(n_w, n_r), miss), extra)  # four one-row tables
 
 
 def save_model(model, path: str) -> None:

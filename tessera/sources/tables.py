@@ -202,6 +202,9 @@ def doc_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- customer RFM points
+# the last order date: an uncorrelated scalar subquery (one value, no join)
+_LAST_ORDER = "(SELECT max(o_orderdate) FROM orders)"
+
 # recency (days from a customer's last order to the last order overall),
 # frequency (orders) and monetary (total price) per customer, standardised
 # (population std) to z0, z1, z2.  label: a frequency rule (integer
@@ -212,8 +215,7 @@ _RFM = """
          CAST({days} AS DOUBLE) AS recency, CAST(count(*) AS DOUBLE) AS frequency,
          sum(o.o_totalprice) AS monetary, count(*) AS n_orders
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
-       CROSS JOIN (SELECT max(o_orderdate) AS mx FROM orders) g
-  GROUP BY o.o_custkey, c.c_mktsegment, g.mx
+  GROUP BY o.o_custkey, c.c_mktsegment
 """
 _RFM_Z = """
   SELECT key, segment, n_orders,
@@ -234,9 +236,9 @@ SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 def rfm_cte(dialect: str) -> str:
     """SQL CTEs ``rfm``, ``rz`` (standardised points) and ``truth`` (planted-noise labels)."""
     if dialect == "spark":
-        days, h = "datediff(CAST(g.mx AS DATE), CAST(max(o.o_orderdate) AS DATE))", hash_unit_spark("key", 11)
+        days, h = f"datediff(CAST({_LAST_ORDER} AS DATE), CAST(max(o.o_orderdate) AS DATE))", hash_unit_spark("key", 11)
     else:
-        days, h = "date_diff('day', CAST(max(o.o_orderdate) AS DATE), CAST(g.mx AS DATE))", hash_unit_duck("key", 11)
+        days, h = f"date_diff('day', CAST(max(o.o_orderdate) AS DATE), CAST({_LAST_ORDER} AS DATE))", hash_unit_duck("key", 11)
     return (f"rfm AS ({_RFM.format(days=days)}),\n rz AS ({_RFM_Z}),\n"
             f" truth AS ({_RFM_LABEL.format(h=h)})")
 
@@ -248,7 +250,7 @@ def rfm_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     from ..operators.features import standard_scale
     from ..functions.columns import hash_unit
-    days = "datediff(CAST(g.mx AS DATE), CAST(max(o.o_orderdate) AS DATE))"
+    days = f"datediff(CAST({_LAST_ORDER} AS DATE), CAST(max(o.o_orderdate) AS DATE))"
     rfm = sql_over(spark, sf_dir, _RFM.format(days=days), ["orders", "customer"])
     z = standard_scale(rfm, ["recency", "frequency", "monetary"]).select(
         "key", "segment", "n_orders", F.col("recency_std").alias("z0"), F.col("frequency_std").alias("z1"),

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_MID
 from tessera.functions.columns import hash_unit
-from tessera.operators.order import global_index, previous_row, rank_within, running_sums, top1_by, uniform_bucket
+from tessera.operators.order import attach_row, global_index, previous_row, rank_within, running_sums, top1_by, uniform_bucket
 from tessera.operators.quantile import quantile_table
 
 
@@ -77,3 +77,20 @@ def test_top1_ties_to_smallest(spark):
     df = spark.createDataFrame([(1, 5), (1, 3), (1, 5), (1, 3), (1, 9), (2, 7)], "g int, v int")
     r = {row["g"]: (row["mode"], row["n"]) for row in top1_by(df, ["g"], "v").collect()}
     assert r == {1: (3, 2), 2: (7, 1)}
+
+
+def test_attach_row_is_a_checked_scalar(spark):
+    o = spark.read.parquet(f"{SF_MID}/orders.parquet")
+    fit = o.agg(F.max("o_totalprice").alias("mx"), F.count(F.lit(1)).alias("n"))
+    out = attach_row(o.select("o_orderkey", "o_totalprice"), fit)
+    rows = out.select("mx", "n").distinct().collect()
+    mx, n = rows[0]["mx"], rows[0]["n"]
+    assert len(rows) == 1 and n == o.count()
+    assert mx == o.agg(F.max("o_totalprice")).first()[0]
+    # an empty one-row table attaches NULLs (no rows are lost)
+    empty = attach_row(o.select("o_orderkey"), fit.where("n < 0"))
+    assert empty.where("mx IS NULL").count() == o.count()
+    # more than one row is refused at run time: the bound is enforced
+    import pytest
+    with pytest.raises(Exception):
+        attach_row(o.select("o_orderkey"), o.select(F.col("o_custkey").alias("c"))).collect()
