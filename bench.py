@@ -39,6 +39,7 @@ def main() -> None:
         t = time.time()
         qs[n](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[n] = round(time.time() - t, 3)
+        print(f"{n}: {times[n]}s", file=sys.stderr, flush=True)  # progress; stdout keeps the one JSON line
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({"metric": "total_sec", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": float(m.group(1)) if m else sf_dir}))

@@ -31,7 +31,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, target_partitions
+from ..session import cut_lineage
 
 _PID = "__pid"
 _LOCAL = "__local"
@@ -55,10 +55,16 @@ def _cols(xs) -> list[Column]:
 
 
 def _positioned(df: DataFrame, sort_cols: Sequence, num_partitions: int | None) -> DataFrame:
-    n = num_partitions or target_partitions(df)
+    # Without an explicit count the range exchange starts from the session's
+    # partition count (spark.sql.adaptive.coalescePartitions.initialPartitionNum,
+    # else spark.sql.shuffle.partitions) and AQE merges adjacent small ranges,
+    # which keeps them in order; spark_partition_id() then numbers the merged
+    # ranges.  Size it for the cluster there, not from a plan estimate (the
+    # optimizer's estimate of a join is the product of its inputs).
     sort = _cols(sort_cols)
+    ranged = df.repartitionByRange(num_partitions, *sort) if num_partitions else df.repartitionByRange(*sort)
     positioned = (
-        df.repartitionByRange(n, *sort)
+        ranged
         .sortWithinPartitions(*sort)
         .withColumn(_PID, F.spark_partition_id())
         .withColumn(_LOCAL, F.monotonically_increasing_id() - F.shiftleft(F.col(_PID).cast("long"), 33))

@@ -15,14 +15,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import hash_unit
-from ..session import target_partitions
+from ..session import split_buckets
 from .order import rank_within, uniform_bucket
 
 
 def _ranked(df: DataFrame, key: str, groups: Sequence[str], seed) -> DataFrame:
     u = hash_unit(key, seed)
     d = df.withColumn("__u", u)
-    nb = target_partitions(d)
+    nb = split_buckets(df.sparkSession)
     return rank_within(d, list(groups), ["__u", key], name="__r", size_name="__n",
                        bucket=uniform_bucket(F.col("__u"), nb))
 

@@ -74,22 +74,15 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-BYTES_PER_PARTITION = 128 * 1024 * 1024
-MAX_PARTITIONS = 200_000
+SPLIT_BUCKETS = 1 << 16
 
 
-def target_partitions(df: DataFrame) -> int:
-    """Partition count for an explicit range/bucket split of ``df``.
+def split_buckets(spark: SparkSession) -> int:
+    """Hash buckets per group for split/fold row numbers (``spark.tessera.splitBuckets``).
 
-    Explicit range partitioning is not re-split by AQE, so its count must
-    follow the data: the optimizer's size estimate divided by
-    ``spark.tessera.bytesPerPartition`` (default 128 MB), never below
-    ``spark.sql.shuffle.partitions`` and capped at 200k.
+    Rows are numbered by a window over (group, bucket), so a hot group is cut
+    into this many window partitions; the bucket offset table has at most
+    #groups x buckets rows.  The default keeps each window near 15M rows even
+    when one class holds a trillion rows.
     """
-    spark = df.sparkSession
-    per = int(spark.conf.get("spark.tessera.bytesPerPartition", str(BYTES_PER_PARTITION)))
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - estimate unavailable: fall back to the configured count
-        size = 0
-    return int(min(MAX_PARTITIONS, max(shuffle_partitions(spark), -(-size // per))))
+    return int(spark.conf.get("spark.tessera.splitBuckets", str(SPLIT_BUCKETS)))
