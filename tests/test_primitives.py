@@ -94,3 +94,15 @@ def test_attach_row_is_a_checked_scalar(spark):
     import pytest
     with pytest.raises(Exception):
         attach_row(o.select("o_orderkey"), o.select(F.col("o_custkey").alias("c"))).collect()
+
+
+def test_range_partitions_follow_the_session_not_join_estimates(spark):
+    # the optimizer's size estimate of a join is the product of its inputs;
+    # range partition counts must not follow it (it once asked for 200k)
+    from tessera.operators.order import _positioned
+    o = spark.read.parquet(f"{SF_MID}/orders.parquet").select("o_orderkey", "o_custkey")
+    j = o.join(o.select("o_orderkey", F.col("o_custkey").alias("c2")), "o_orderkey").join(
+        o.select("o_orderkey", F.col("o_custkey").alias("c3")), "o_orderkey")
+    d = _positioned(j, ["o_custkey", "o_orderkey"], None)
+    assert len(d.inputFiles()) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert d.count() == o.count()
