@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ..functions import columns as fc
 from ..operators import clean
 from ..sources.tables import LINEITEM_NULLS_SQL, MESSY_PART_SQL, lineitem_nulls, load, messy_part

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ..operators import labels as lb
 from ..sources.tables import rfm_cte
 from .common import R, rounded
