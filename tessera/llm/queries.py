@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op08_minhash
+from . import op02_decontaminate, op04_language, op05_pii, op06_packing, op08_minhash
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +19,46 @@ def query(fn):
     return fn
 
 
+@query
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op02_decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("longest")
+
+
+SQL["op2_decontaminate"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS ws FROM documents),
+b AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, list_filter(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS ws FROM benchmark),
+bw AS (SELECT DISTINCT item, k, list_aggregate(ws[i : i + k - 1], 'string_agg', ' ') AS win
+       FROM (SELECT item, ws, least(len(ws), 10) AS k, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS i FROM b WHERE len(ws) > 0)),
+ks AS (SELECT DISTINCT k FROM bw),
+dw AS (SELECT r, k, i, list_aggregate(ws[i : i + k - 1], 'string_agg', ' ') AS win
+       FROM (SELECT r, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM d, ks WHERE len(ws) >= k)),
+hit AS (SELECT dw.r, dw.i, dw.k, bw.item FROM dw JOIN bw ON dw.k = bw.k AND dw.win = bw.win),
+n AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + k)) AS p FROM hit) GROUP BY 1),
+it AS (SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM hit GROUP BY 1)
+SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words, coalesce(n.n_hit, 0) AS n_hit, coalesce(it.n_items, 0) AS n_items,
+       sha256(coalesce(it.items, '')) AS items_sha256, n.n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN n USING (r) LEFT JOIN it USING (r)"""
+
+
+@query
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op04_language.identify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op05_pii.personal_data(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op06_packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 @query
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op08_minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
