@@ -89,9 +89,14 @@ def marginals(emit: np.ndarray, per_row: np.ndarray, move: np.ndarray) -> np.nda
     filled[block, slot] = True
     # transfer of each block: product of (move, then emission) over its words; padding is the identity
     transfer = np.broadcast_to(np.eye(k), (nb, k, k)).copy()
+    opens = np.zeros(nb, bool)
+    opens[first_block[:-1][blocks > 0]] = True  # a row's first word is not moved to
     for t in range(BLOCK):
         on = filled[:, t]
-        step = (transfer[on] @ m) * pad[on, t][:, None, :]
+        step = transfer[on] @ m
+        if t == 0:
+            step[opens[on]] = np.eye(k)
+        step *= pad[on, t][:, None, :]
         transfer[on] = step / step.max(axis=(1, 2), keepdims=True)
     entry, leave = np.full((nb, k), 1.0 / k), np.full((nb, k), 1.0)
     order = np.argsort(-blocks, kind="stable")
@@ -111,7 +116,7 @@ def marginals(emit: np.ndarray, per_row: np.ndarray, move: np.ndarray) -> np.nda
     a = entry
     for t in range(BLOCK):
         on = filled[:, t]
-        new = (a @ m) * pad[:, t]
+        new = np.where((opens & (t == 0))[:, None], a, a @ m) * pad[:, t]
         a = np.where(on[:, None], new / new.sum(axis=1, keepdims=True), a)
         forward[:, t] = a
     z = leave

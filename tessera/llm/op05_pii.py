@@ -192,7 +192,7 @@ def personal_data(docs: DataFrame) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone (base matches), base_sha256, spans as text, n_found per row."""
     names = F.array(*map(F.lit, KINDS))
     found = find(docs)
-    count = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
+    count = [F.expr(f"size(filter(base, s -> s.kind = {k}))").cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
     text = F.transform("spans", lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string")))
     return found.select("doc_id", *count, "base_sha256", F.array_join(text, ",").alias("spans"), (F.size("spans") - F.size("base")).cast("long").alias("n_found"))
 

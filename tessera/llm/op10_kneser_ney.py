@@ -1,0 +1,407 @@
+"""Interpolated modified Kneser-Ney n-gram model, counted in Spark, memory-mapped by the workers.
+
+Level k holds all k-grams of the training texts as a sorted array of 64-bit keys, cut into
+shards by the keys' leading bits.  A word's key is its hash; a longer gram's key is a
+bijective mix of (index of its first k-1 words in level k-1, index of its last word in level
+1), so grams never collide and a key leads back to both parts.  Every array is one file per
+shard in the shared folder, written under another name and then renamed, so a task that runs
+again leaves the same file.
+
+Map tasks count what they read before the shuffle and send arrays, not rows; nothing but
+shard sizes and counts of counts reaches the driver.
+"""
+
+from __future__ import annotations
+
+import os
+import uuid
+from pathlib import Path
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..session import ensure_checkpoint_dir, shuffle_partitions
+from . import textvec as tv
+from .common import arrow_map, fold, plain_path
+
+U64 = tv.U64
+BEGIN, END = tv.mix(np.array([1, 2], U64))
+HOLD = 1 << 21  # distinct grams a map task keeps before it sends them on
+NONE = np.int64(-1)
+
+
+def unmix(x: np.ndarray) -> np.ndarray:
+    """Inverse of ``textvec.mix``."""
+    with np.errstate(over="ignore"):
+        x = x ^ (x >> U64(31)) ^ (x >> U64(62))
+        x = x * U64(pow(0x94D049BB133111EB, -1, 1 << 64))
+        x = x ^ (x >> U64(27)) ^ (x >> U64(54))
+        x = x * U64(pow(0xBF58476D1CE4E5B9, -1, 1 << 64))
+        x = x ^ (x >> U64(30)) ^ (x >> U64(60))
+        return x - U64(0x9E3779B97F4A7C15)
+
+
+def gram_key(prefix: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return tv.mix(prefix.astype(U64) << U64(32) | word.astype(U64))
+
+
+class Store:
+    """Folder of a model; every array is mapped when first used."""
+
+    def __init__(self, path: str, bits: int, sizes: dict[int, list[int]]) -> None:
+        self.path, self.bits, self.sizes, self.maps = path, bits, sizes, {}
+        for n in sizes.values():
+            if sum(n) >= 1 << 32:
+                raise ValueError("a level of over 2^32 grams needs wider indices")
+        self.first = {k: np.concatenate([[0], np.cumsum(n)]).astype(np.int64) for k, n in sizes.items()}
+
+    def __getstate__(self):
+        return {**self.__dict__, "maps": {}}
+
+    def name(self, level: int, what: str, shard: int) -> str:
+        return f"{self.path}/{level}-{what}-{shard:05d}.npy"
+
+    def write(self, level: int, what: str, shard: int, values: np.ndarray) -> None:
+        part = f"{self.path}/.{uuid.uuid4().hex}"
+        with open(part, "wb") as f:
+            np.save(f, values)
+        os.replace(part, self.name(level, what, shard))
+
+    def array(self, level: int, what: str, shard: int) -> np.ndarray:
+        at = (level, what, shard)
+        if at not in self.maps:
+            self.maps[at] = np.load(self.name(*at), mmap_mode="r")
+        return self.maps[at]
+
+    def shard(self, keys: np.ndarray) -> np.ndarray:
+        return (keys >> U64(64 - self.bits)).astype(np.int64)
+
+    def find(self, level: int, keys: np.ndarray) -> np.ndarray:
+        """Index of each key of an ascending array in the level, -1 where it has none."""
+        out = np.full(len(keys), NONE)
+        edge = np.searchsorted(self.shard(keys), np.arange((1 << self.bits) + 1))
+        for s in np.flatnonzero(np.diff(edge)).tolist():
+            a, z = edge[s], edge[s + 1]
+            if self.sizes[level][s]:
+                have = self.array(level, "key", s)
+                at = np.minimum(np.searchsorted(have, keys[a:z]), len(have) - 1)
+                out[a:z] = np.where(have[at] == keys[a:z], at + self.first[level][s], NONE)
+        return out
+
+    def take(self, level: int, what: str, index: np.ndarray, missing: float) -> np.ndarray:
+        """Values at ascending indices; -1 gives ``missing``."""
+        out = np.full(len(index), missing)
+        edge = np.searchsorted(index, self.first[level])
+        for s in np.flatnonzero(np.diff(edge)).tolist():
+            out[edge[s]: edge[s + 1]] = self.array(level, what, s)[index[edge[s]: edge[s + 1]] - self.first[level][s]]
+        return out
+
+    def spread(self, level: int, what: str, index: np.ndarray, missing: float) -> np.ndarray:
+        """``take`` for indices in any order."""
+        one, back = np.unique(index, return_inverse=True)
+        return self.take(level, what, one, missing)[back]
+
+
+def tokens(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, row) of begin mark, words and end mark of every row."""
+    w = tv.words(data, off, tv.NONSPACE)
+    size = w.per_row + 2
+    begin = np.cumsum(size) - size
+    h, word = np.empty(int(size.sum()), U64), np.ones(int(size.sum()), bool)
+    word[begin] = word[begin + size - 1] = False
+    h[word], h[begin], h[begin + size - 1] = w.hash, BEGIN, END
+    return h, np.repeat(np.arange(len(size)), size)
+
+
+def indices(store: Store, h: np.ndarray, row: np.ndarray, levels: int) -> list[np.ndarray]:
+    """Per level 1..levels: index of the gram that ends at each token, -1 where it is unknown or leaves the row."""
+    one, back = np.unique(h, return_inverse=True)
+    out = [store.find(1, one)[back]]
+    for k in range(2, levels + 1):
+        at = np.full(len(h), NONE)
+        ok = np.flatnonzero((out[-1][:-1] >= 0) & (out[0][1:] >= 0) & (row[1:] == row[:-1])) + 1
+        keys, back = np.unique(gram_key(out[-1][ok - 1], out[0][ok]), return_inverse=True)
+        at[ok] = store.find(k, keys)[back] if len(ok) else NONE
+        out.append(at)
+    return out
+
+
+def _send(bits: int, keys: np.ndarray, cols: list[np.ndarray]):
+    """A row per shard: the shard's keys and further columns as bytes."""
+    edge = np.searchsorted((keys >> U64(64 - bits)).astype(np.int64), np.arange((1 << bits) + 1))
+    some = np.flatnonzero(np.diff(edge)).tolist()
+    if some:
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), *[
+            pa.array([c[edge[s]: edge[s + 1]].tobytes() for s in some], pa.binary()) for c in (keys, *cols)]],
+            names=["shard", "key", *[f"c{k}" for k in range(len(cols))]])
+
+
+def _count_batches(batches, store: Store, level: int):
+    """Counts of the level's grams; from level 3 on with the index of the gram's last level - 1 words."""
+    held: list[tuple[np.ndarray, ...]] = []
+    size = 0
+
+    def merged():
+        keys = np.concatenate([x[0] for x in held])
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        cols = [np.add.reduceat(np.concatenate([x[1] for x in held])[order], first).astype(np.uint32)]
+        return keys[first], cols + ([np.concatenate([x[2] for x in held])[order][first]] if level > 2 else [])
+
+    for b in tv.chunks(batches, "text"):
+        h, row = tokens(*tv.text_buffers(b.column("text")))
+        if level == 1:
+            held.append(tv.counted(h))
+        else:
+            ids = indices(store, h, row, level - 1)
+            ok = np.flatnonzero((ids[-1][:-1] >= 0) & (row[1:] == row[:-1])) + 1
+            keys = gram_key(ids[-1][ok - 1], ids[0][ok])
+            if level == 2:
+                held.append(tv.counted(keys))
+            else:
+                keys, one, n = np.unique(keys, return_index=True, return_counts=True)
+                held.append((keys, n, ids[-1][ok][one].astype(np.uint32)))
+        size += len(held[-1][0])
+        if size > 4 * HOLD:
+            held = [(m[0], *m[1]) for m in [merged()]]
+            size = len(held[0][0])
+            if size > HOLD:
+                yield from _send(store.bits, held[0][0], list(held[0][1:]))
+                held, size = [], 0
+    if held:
+        keys, cols = merged()
+        yield from _send(store.bits, keys, cols)
+
+
+def _shards(batches, kinds: list[type]):
+    """Blobs of a task by shard, each column as a list of arrays."""
+    found: dict[int, list[list[np.ndarray]]] = {}
+    for b in batches:
+        cols = [b.column(n) for n in b.schema.names[1:]]
+        for r, s in enumerate(b.column("shard").to_pylist()):
+            parts = found.setdefault(s, [[] for _ in cols])
+            for p, c, kind in zip(parts, cols, kinds, strict=True):
+                p.append(np.frombuffer(c[r].as_buffer(), kind))
+    for s, parts in found.items():
+        yield s, [np.concatenate(p) for p in parts]
+
+
+def _gather_batches(batches, store: Store, level: int):
+    """Write a level's shards: keys, counts and, from level 3 on, suffix indices."""
+    for s, (keys, counts, *suffix) in _shards(batches, [U64, np.uint32, *[np.uint32] * (level > 2)]):
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        store.write(level, "key", s, keys[first])
+        store.write(level, "count", s, np.add.reduceat(counts[order].astype(np.int64), first))
+        if suffix:
+            store.write(level, "suffix", s, suffix[0][order][first])
+        yield pa.RecordBatch.from_pydict({"shard": pa.array([s], pa.int32()), "n": pa.array([len(first)], pa.int64())})
+
+
+def _begin_index(store: Store) -> int:
+    return int(store.find(1, np.array([BEGIN], U64))[0])
+
+
+def _continue_batches(batches, store: Store, level: int):
+    """Of each shard of a level: per gram of the level below, how many distinct grams end in it."""
+    for b in batches:
+        for s in b.column("shard").to_pylist():
+            if store.sizes[level][s]:
+                suffix = (unmix(store.array(level, "key", s)) & U64(0xFFFFFFFF)) if level == 2 else store.array(level, "suffix", s)
+                yield from _by_index(store, level - 1, *tv.counted(np.asarray(suffix).astype(np.int64)))
+
+
+def _by_index(store: Store, level: int, index: np.ndarray, *cols: np.ndarray):
+    """Send columns of ascending gram indices to the shards that hold them."""
+    edge = np.searchsorted(index, store.first[level])
+    some = np.flatnonzero(np.diff(edge)).tolist()
+    if some:
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), *[
+            pa.array([c[edge[s]: edge[s + 1]].tobytes() for s in some], pa.binary()) for c in (index.astype(np.uint32), *[x.astype(np.int64) for x in cols])]],
+            names=["shard", "key", *[f"c{k}" for k in range(len(cols))]])
+
+
+def _continued_batches(batches, store: Store, level: int):
+    """Write a level's numerators: distinct left neighbours, or the plain count of grams that begin a text."""
+    for s, (index, n) in _shards(batches, [np.uint32, np.int64]):
+        size = store.sizes[level][s]
+        used = np.bincount(index.astype(np.int64) - store.first[level][s], weights=n, minlength=size).astype(np.int64)
+        raw = np.asarray(store.array(level, "count", s))
+        store.write(level, "used", s, np.where(used > 0, used, raw))
+        yield pa.RecordBatch.from_pydict({"shard": pa.array([s], pa.int32()), "n": pa.array([size], pa.int64())})
+
+
+def _used(store: Store, level: int, shard: int, order: int) -> np.ndarray:
+    if level < order and os.path.exists(store.name(level, "used", shard)):
+        return np.asarray(store.array(level, "used", shard))
+    return np.asarray(store.array(level, "count", shard))  # the top level; grams without a left neighbour begin a text
+
+
+def _count_counts_batches(batches, store: Store, level: int, order: int):
+    """Grams of a shard that were counted 1, 2, 3, 4 times and more often, and the sum of their counts."""
+    begin = _begin_index(store) if level == 1 else -1
+    for b in batches:
+        for s in b.column("shard").to_pylist():
+            if not store.sizes[level][s]:
+                continue
+            used = _used(store, level, s, order)
+            if level == 1 and store.first[1][s] <= begin < store.first[1][s + 1]:
+                used = np.delete(used, begin - store.first[1][s])  # never predicted
+            n = [int((used == c).sum()) for c in (1, 2, 3, 4)] + [int((used >= 3).sum()), int(used.sum()), len(used)]
+            yield pa.RecordBatch.from_pydict({f"n{k}": pa.array([x], pa.int64()) for k, x in enumerate(n)})
+
+
+def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
+    """Modified Kneser-Ney discounts; where counts of counts are too few for them, 0.5, 1 and 1.5."""
+    if min(n1, n2, n3) > 0:
+        y = n1 / (n1 + 2 * n2)
+        d = (1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3)
+        if all(0 < x <= k for k, x in enumerate(d, 1)):
+            return d
+    return 0.5, 1.0, 1.5
+
+
+def _contexts_batches(batches, store: Store, level: int, order: int):
+    """Of each shard: per context, the sum of its grams' counts and how many have 1, 2 and more."""
+    for b in batches:
+        for s in b.column("shard").to_pylist():
+            if not store.sizes[level][s]:
+                continue
+            prefix = (unmix(np.asarray(store.array(level, "key", s))) >> U64(32)).astype(np.int64)
+            used = _used(store, level, s, order)
+            by = np.argsort(prefix, kind="stable")
+            prefix, used = prefix[by], used[by]
+            first = np.flatnonzero(np.concatenate([[True], prefix[1:] != prefix[:-1]]))
+            cols = [np.add.reduceat(x.astype(np.int64), first) for x in (used, used == 1, used == 2, used >= 3)]
+            yield from _by_index(store, level - 1, prefix[first], *cols)
+
+
+def _context_batches(batches, store: Store, level: int, cut: tuple[float, ...]):
+    """Write, per gram of ``level`` as a context: the sum of counts that follow, and the weight of the lower order."""
+    for s, (index, *cols) in _shards(batches, [np.uint32, *[np.int64] * 4]):
+        size = store.sizes[level][s]
+        at = index.astype(np.int64) - store.first[level][s]
+        total, *n = (np.bincount(at, weights=c, minlength=size) for c in cols)
+        store.write(level, "total", s, total)
+        store.write(level, "gamma", s, np.where(total > 0, sum(d * x for d, x in zip(cut, n, strict=True)) / np.maximum(total, 1), 1.0).astype(np.float32))
+        yield pa.RecordBatch.from_pydict({"shard": pa.array([s], pa.int32()), "n": pa.array([size], pa.int64())})
+
+
+def _blank_batches(batches, store: Store, level: int):
+    """Grams that are no context of anything: weight 1."""
+    for b in batches:
+        for s in b.column("shard").to_pylist():
+            if store.sizes[level][s] and not os.path.exists(store.name(level, "gamma", s)):
+                store.write(level, "gamma", s, np.ones(store.sizes[level][s], np.float32))
+                store.write(level, "total", s, np.zeros(store.sizes[level][s]))
+            yield pa.RecordBatch.from_pydict({"shard": pa.array([s], pa.int32()), "n": pa.array([store.sizes[level][s]], pa.int64())})
+
+
+def _alpha_batches(batches, store: Store, level: int, order: int, cut: tuple[float, ...], total: float):
+    """Write the discounted probability of each gram."""
+    for b in batches:
+        for s in b.column("shard").to_pylist():
+            if not store.sizes[level][s]:
+                continue
+            used = _used(store, level, s, order).astype(float)
+            less = used - np.array([0.0, *cut])[np.minimum(used, 3).astype(np.int64)]
+            if level > 1:
+                prefix = (unmix(np.asarray(store.array(level, "key", s))) >> U64(32)).astype(np.int64)
+                less /= np.maximum(store.spread(level - 1, "total", prefix, 1.0), 1.0)
+            else:
+                less /= max(total, 1.0)
+            store.write(level, "alpha", s, less.astype(np.float32))
+            yield pa.RecordBatch.from_pydict({"shard": pa.array([s], pa.int32()), "n": pa.array([len(used)], pa.int64())})
+
+
+def fit(texts: DataFrame, order: int) -> dict:
+    """Count the texts (column ``text``) and write the model; returns the store and its few totals."""
+    spark = texts.sparkSession
+    path = f"{plain_path(ensure_checkpoint_dir(spark))}/tessera-lm-{uuid.uuid4().hex}"
+    Path(path).mkdir(parents=True)
+    bits = max(4, (shuffle_partitions(spark) - 1).bit_length())
+    store = Store(path, bits, {})
+    shards = 1 << bits
+
+    def deal(df):
+        return df.repartition(shards, "shard")
+
+    def each(fn, schema="shard int, n long", **args):
+        return arrow_map(spark.range(0, shards, 1, min(shards, shuffle_partitions(spark))).select(F.col("id").cast("int").alias("shard")), fn, schema, **args)
+
+    for k in range(1, order + 1):
+        cols = "shard int, key binary, c0 binary" + ", c1 binary" * (k > 2)
+        sent = deal(arrow_map(texts.select("text"), _count_batches, cols, store=store, level=k))
+        sizes = [0] * shards
+        for r in arrow_map(sent, _gather_batches, "shard int, n long", store=store, level=k).collect():  # a row per shard
+            sizes[r["shard"]] = r["n"]
+        store = Store(path, bits, {**store.sizes, k: sizes})
+    cuts, totals = {}, {}
+    for k in range(order, 0, -1):
+        if k < order:
+            deal(each(_continue_batches, "shard int, key binary, c0 binary", store=store, level=k + 1)).transform(
+                lambda df, k=k: arrow_map(df, _continued_batches, "shard int, n long", store=store, level=k)).count()
+        n = each(_count_counts_batches, ", ".join(f"n{i} long" for i in range(7)), store=store, level=k, order=order).groupBy().sum().first()
+        n = [x or 0 for x in n]
+        cuts[k], totals[k] = discounts(*n[:4]), n
+    for k in range(order, 0, -1):
+        if k > 1:
+            sent = deal(each(_contexts_batches, "shard int, key binary, c0 binary, c1 binary, c2 binary, c3 binary", store=store, level=k, order=order))
+            arrow_map(sent, _context_batches, "shard int, n long", store=store, level=k - 1, cut=cuts[k]).count()
+            each(_blank_batches, store=store, level=k - 1).count()
+        each(_alpha_batches, store=store, level=k, order=order, cut=cuts[k], total=float(totals[1][5])).count()
+    counted = each(_plain_totals_batches, "n long, v long", store=store).groupBy().sum().first()
+    n1, n2, _, _, n3, total, _ = totals[1]
+    free = sum(d * x for d, x in zip(cuts[1], (n1, n2, n3), strict=True)) / total if total else 1.0
+    return {"store": store, "order": order, "n": counted[0] or 0, "v": counted[1] or 0, "free": free}
+
+
+def _plain_totals_batches(batches, store: Store):
+    begin = _begin_index(store)
+    for b in batches:
+        for s in b.column("shard").to_pylist():
+            if store.sizes[1][s]:
+                counts = np.asarray(store.array(1, "count", s))
+                if store.first[1][s] <= begin < store.first[1][s + 1]:
+                    counts = np.delete(counts, begin - store.first[1][s])
+                yield pa.RecordBatch.from_pydict({"n": pa.array([int(counts.sum())], pa.int64()), "v": pa.array([len(counts)], pa.int64())})
+
+
+def _score_batches(batches, model: dict):
+    store, order = model["store"], model["order"]
+    n_train, v = model["n"], model["v"]
+    for b in tv.chunks(batches, "text"):
+        h, row = tokens(*tv.text_buffers(b.column("text")))
+        ids = indices(store, h, row, order)
+        said = np.concatenate([[False], row[1:] == row[:-1]])  # all but begin marks
+        known = np.where(ids[0] >= 0, store.spread(1, "count", ids[0], 0.0), 0.0)
+        p = store.spread(1, "alpha", ids[0], 0.0) + model["free"] / (v + 1)
+        for k in range(2, order + 1):
+            context = np.full(len(h), NONE)
+            context[1:] = np.where(said[1:], ids[k - 2][:-1], NONE)
+            p = store.spread(k, "alpha", ids[k - 1], 0.0) + store.spread(k - 1, "gamma", context, 1.0) * p
+        base = np.log10((known + 0.1) / (n_train + 0.1 * (v + 1)))
+        rows, at = b.num_rows, row[said]
+        sums = [np.bincount(at, weights=x[said], minlength=rows) for x in (known > 0, base, np.log10(p))]
+        count = np.bincount(at, minlength=rows)
+        yield pa.RecordBatch.from_arrays([
+            b.column("doc_id"), b.column("held_out"), pa.array(count, pa.int64()), pa.array(sums[0].astype(np.int64)),
+            pa.array(np.full(rows, n_train), pa.int64()), pa.array(sums[1]), pa.array(sums[2]), pa.array(10 ** (-sums[2] / count))],
+            names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"])
+
+
+def score(docs: DataFrame, order: int = 3, parts: int = 10) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity per row of ``docs``.
+
+    Learns from rows outside fold 0 of ``parts`` and scores all.  Null and empty texts are their end mark
+    alone.  Words that training lacks share the weight that the lowest order gives to one unseen word.  With
+    no training rows every token has probability 1.
+    """
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), (fold("doc_id", parts) == 0).alias("held_out"))
+    model = fit(rows.where("not held_out"), order)
+    return arrow_map(rows, _score_batches, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double",
+                     model=model)

@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op02_decontaminate, op04_language, op05_pii, op06_packing, op08_minhash
+from . import (op01_license, op02_decontaminate, op03_extract, op04_language, op05_pii, op06_packing, op07_quality, op08_minhash,
+               op09_embeddings, op10_kneser_ney)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +20,11 @@ def query(fn):
     return fn
 
 
+@query
+def op1_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op01_license.licences(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op02_decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("longest")
@@ -44,6 +50,11 @@ SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words, coalesce(n.n_hit, 0) AS n
 FROM d LEFT JOIN n USING (r) LEFT JOIN it USING (r)"""
 
 
+@query
+def op3_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op03_extract.extract(table(spark, sf_dir, "pages"))
+
+
 @query
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op04_language.identify(table(spark, sf_dir, "documents"))
@@ -59,6 +70,11 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op06_packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op07_quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op08_minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
@@ -77,3 +93,17 @@ links AS (SELECT p.a, p.b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS
 reach(a, b) AS (SELECT doc_id, doc_id FROM n UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
 SELECT n.doc_id, n.n_shingles, c.component_id, n.doc_id = c.component_id AS kept
 FROM n JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY 1) c ON c.a = n.doc_id"""
+
+
+@query
+def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op09_embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op10_kneser_ney.score(table(spark, sf_dir, "documents"), order=LM_ORDER)
+
+
+#: Higher orders work alike; a trigram table of the whole corpus would take more than the disk allowed (README).
+LM_ORDER = 2

@@ -137,16 +137,16 @@ def hash_words(texts: list[str], member: np.ndarray = ALNUM) -> list[np.ndarray]
     return np.split(w.hash, w.first[1:-1]) if len(texts) else []
 
 
-_PLACE = _stream(64, 11) | U64(1)
-
-
 def ngram_hash(h: np.ndarray, n: int) -> np.ndarray:
     """Hash of every n consecutive values (len(h) - n + 1 of them, rows not regarded)."""
     m = max(0, len(h) - n + 1)
     out = np.zeros(m, U64)
+    if not m:
+        return out
+    place = _stream(n, 11) | U64(1)
     with np.errstate(over="ignore"):
         for k in range(n):
-            out += mix(h[k: k + m] + U64(k)) * _PLACE[k]
+            out += mix(h[k: k + m] + U64(k)) * place[k]
     return mix(out + U64(n))
 
 
