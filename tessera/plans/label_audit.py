@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..operators import cluster as cl
 from ..operators import labels as lb
-from ..session import cut_lineage
+from ..session import cut_lineage, input_stamp
 from ..sources.tables import LABEL_CLASSES, rfm_points
 
 M = 1.3
@@ -37,7 +37,7 @@ def label_centres(pts: DataFrame) -> list[list[float]]:
 def diagnosis(spark: SparkSession, sf_dir: str) -> DataFrame:
     """key, label, cluster, majority, flag_discord, max_u, flag_ambiguous, flag_noise,
     lof_score, flag_lof, suspicion_score, is_suspect."""
-    ck = (spark.sparkContext.applicationId, sf_dir)
+    ck = (spark.sparkContext.applicationId, sf_dir, input_stamp(spark, [f"{sf_dir}/{t}.parquet" for t in ["orders", "customer"]]))
     if ck in _cache:
         return _cache[ck]
     pts = cut_lineage(rfm_points(spark, sf_dir).select("key", "x", "z0", "z1", "z2", "label"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import hash_unit
 from ..operators.features import standard_scale
 from ..operators.split import stratified_kfold, stratified_split
-from ..session import cut_lineage
+from ..session import cut_lineage, input_stamp
 from ..sources.tables import load
 
 DOC_FEATURES = ["n_chars", "n_words", "n_lines", "avg_word_len", "digit_frac", "upper_frac", "punct_frac",
@@ -26,7 +26,7 @@ _cache: dict = {}
 
 def doc_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """key, y (quality), y_corrected, features..., split, fold (train rows only)."""
-    ck = ("doc", spark.sparkContext.applicationId, sf_dir)
+    ck = ("doc", spark.sparkContext.applicationId, sf_dir, input_stamp(spark, [f"{sf_dir}/{t}.parquet" for t in ("documents", "labels")]))
     if ck in _cache:
         return _cache[ck]
     d = load(spark, sf_dir, "documents").join(load(spark, sf_dir, "labels"), "doc_id")
@@ -57,7 +57,7 @@ def doc_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """key, y (o_totalprice), line aggregates, split."""
-    ck = ("ord", spark.sparkContext.applicationId, sf_dir)
+    ck = ("ord", spark.sparkContext.applicationId, sf_dir, input_stamp(spark, [f"{sf_dir}/{t}.parquet" for t in ("orders", "lineitem")]))
     if ck in _cache:
         return _cache[ck]
     li = load(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(

@@ -3,36 +3,55 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+from contextlib import contextmanager
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+def _named_settings() -> dict[str, str]:
+    """Settings named by a submit command or a configuration folder; none for a plain Python start."""
+    started = "PYSPARK_GATEWAY_PORT" in os.environ or "SPARK_CONF_DIR" in os.environ
+    if not started and os.environ.get("PYSPARK_SUBMIT_ARGS", "pyspark-shell").split() == ["pyspark-shell"]:
+        return {}
+    SparkContext._ensure_initialized()  # the gateway holds what the submit command named
+    return dict(SparkConf().getAll())
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app: str = "tessera", driver_memory: str = "16g") -> SparkSession:
+              app: str = "tessera", driver_memory: str | None = None) -> SparkSession:
     """Build (or reuse) a session with the settings every operator assumes.
 
-    On a cluster, pass nothing: the master and partition counts come from
-    the submit configuration.  Locally, ``master`` defaults to ``local[8]``.
+    Explicit arguments come first, then what the submit command, the configuration folder or a
+    running session name, then ``TESSERA_MASTER`` and ``TESSERA_SHUFFLE_PARTITIONS``, and only
+    then the local defaults.  On a cluster, pass nothing.
     """
-    master = master or os.environ.get("TESSERA_MASTER", "local[8]")
-    parts = shuffle_partitions or int(os.environ.get("TESSERA_SHUFFLE_PARTITIONS", "8"))
-    builder = (
-        SparkSession.builder.master(master).appName(app)
-        .config("spark.sql.shuffle.partitions", str(parts))
-        .config("spark.default.parallelism", str(parts))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", driver_memory)
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-    )
-    spark = builder.getOrCreate()
+    running = SparkSession.getActiveSession()
+    named = dict(running.sparkContext.getConf().getAll()) if running else _named_settings()
+    wanted = {
+        "spark.master": master, "spark.sql.shuffle.partitions": shuffle_partitions,
+        "spark.default.parallelism": shuffle_partitions, "spark.driver.memory": driver_memory,
+    }
+    local = named.get("spark.master", "local").startswith("local")
+    parts = os.environ.get("TESSERA_SHUFFLE_PARTITIONS", "8") if local and not running else None
+    fallback = {
+        "spark.master": os.environ.get("TESSERA_MASTER", "local[8]"),
+        "spark.sql.shuffle.partitions": parts, "spark.default.parallelism": parts,
+        "spark.driver.memory": "16g" if not named else None,
+        "spark.sql.adaptive.enabled": "true", "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true", "spark.sql.session.timeZone": "UTC",
+        "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+    }
+    conf = {k: str(v) for k, v in wanted.items() if v is not None}
+    conf |= {k: v for k, v in fallback.items() if v is not None and k not in named and k not in conf}
+    spark = SparkSession.builder.appName(app).config(map=conf).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    if not running and (local or "spark.checkpoint.dir" in named):
+        ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -40,8 +59,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
     The folder comes from ``spark.checkpoint.dir`` (or one already set on the
-    context).  Only when neither is set -- local runs and tests -- do we make
-    a private folder, so a cluster never writes lineage cuts to local disk.
+    context).  Only a local master, where driver and executor are one process,
+    may do without: it gets a private folder.  Any other master without the
+    setting is refused, since executors would each write to a disk of their own.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -49,11 +69,35 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder all machines share (master: {sc.master})")
         conf_dir = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
 
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def cuts(spark: SparkSession):
+    """Scope whose lineage cuts are deleted when it ends; use the results inside it."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for path in _scopes.pop():
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(conf).delete(p, True)
+
+
+def input_stamp(spark: SparkSession, paths: list[str]) -> tuple:
+    """(path, length, modification time) of the files under ``paths``; changes when the data change."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+    return tuple(sorted(map(tuple, files.select("path", "length", F.col("modificationTime").cast("string")).collect())))
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` as a parquet table in the shared checkpoint folder and read it back.
 
@@ -66,6 +110,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     import uuid
     spark = df.sparkSession
     path = os.path.join(ensure_checkpoint_dir(spark), f"tessera-cut-{uuid.uuid4().hex}")
+    if _scopes:
+        _scopes[-1].append(path)
     df.write.mode("error").parquet(path)
     return spark.read.parquet(path)
 
