@@ -12,11 +12,12 @@ from __future__ import annotations
 import math
 import random
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
                                        OneVsRest, RandomForestClassifier)
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression, LinearRegression
 from pyspark.sql import DataFrame, Window
@@ -53,8 +54,7 @@ def _estimator(kind: str, label: str, weight: str | None, n_rows: int | None, **
                                   maxIter=p.get("max_iter", 200), tol=1e-6, family="auto", **common)
     if kind == "svm":
         svc = LinearSVC(regParam=p.get("reg", 0.01), maxIter=p.get("max_iter", 200), featuresCol="features")
-        ovr = OneVsRest(classifier=svc, featuresCol="features", labelCol=label)
-        return ovr
+        return OneVsRest(classifier=svc, featuresCol="features", labelCol=label, **({"weightCol": weight} if weight else {}))
     if kind in ("linear", "ridge", "lasso"):
         kw = {"featuresCol": "features", "labelCol": label, "standardization": False}
         if weight:
@@ -68,14 +68,25 @@ def _estimator(kind: str, label: str, weight: str | None, n_rows: int | None, **
 
 
 def build_model(kind: str, features: Sequence[str], label: str, weight: str | None = None,
-                n_rows: int | None = None, **params) -> Pipeline:
-    """M1-M9: a Pipeline of VectorAssembler + the estimator ``kind``.
+                n_rows: int | None = None, impute: bool = False, scale: bool = False,
+                handle_invalid: str = "error", **params) -> Pipeline:
+    """A Pipeline of [median imputer,] VectorAssembler, [standard scaler,] and the estimator ``kind``.
+
+    All stages are fitted together, so inside cross-validation no fold's statistics reach another.
+    A NULL or NaN feature raises unless ``impute`` fills it; rows are never left out silently.
 
     kinds: tree, forest, gbt (binary), logistic, svm (one-vs-rest linear), linear,
     ridge (pass ``reg_param`` from :func:`ridge_reg_param`), lasso.
     """
-    va = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
-    return Pipeline(stages=[va, _estimator(kind, label, weight, n_rows, **params)])
+    features = list(features)
+    stages: list = []
+    if impute:
+        stages.append(Imputer(inputCols=features, outputCols=[f"__i_{c}" for c in features], strategy="median", relativeError=1e-4))
+        features = [f"__i_{c}" for c in features]
+    stages.append(VectorAssembler(inputCols=features, outputCol="__raw" if scale else "features", handleInvalid=handle_invalid))
+    if scale:
+        stages.append(StandardScaler(inputCol="__raw", outputCol="features", withMean=True, withStd=True))
+    return Pipeline(stages=[*stages, _estimator(kind, label, weight, n_rows, **params)])
 
 
 def ridge_reg_param(df: DataFrame, label: str, alpha: float) -> float:
@@ -92,15 +103,19 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def with_class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
-    return df.join(F.broadcast(class_weights(df, label).withColumnRenamed("weight", name)), label)  # k rows
+    return df.join(class_weights(df, label).withColumnRenamed("weight", name), label)
 
 
-def predict(model: PipelineModel, df: DataFrame, key: str, label: str, classes: int | None = None) -> DataFrame:
-    """(key, y, p[, prob]) -- prob = P(class 1) when the model exposes probabilities."""
+def predict(model: PipelineModel, df: DataFrame, key: str, label: str, classes: int | None = None,
+            all_classes: bool = False) -> DataFrame:
+    """(key, y, p[, prob][, probs]) -- prob = P(class 1) when the model exposes probabilities;
+    ``all_classes`` adds the array of all of them."""
     out = model.transform(df)
     cols = [key, F.col(label).alias("y")]
     if "probability" in out.columns:
         cols.append(vector_to_array("probability")[1].alias("prob"))
+        if all_classes:
+            cols.append(vector_to_array("probability").alias("probs"))
     pred = F.col("prediction")
     if classes is not None and isinstance(model.stages[-1].__class__.__name__, str) and \
             model.stages[-1].__class__.__name__ == "LinearRegressionModel":
@@ -117,34 +132,67 @@ def param_grid(est_kind: str, grid: Mapping[str, Sequence], base: Mapping | None
     return [dict(base or {}, **o) for o in out]
 
 
+REGRESSORS = ("linear", "ridge", "lasso")
+SCORES = ("accuracy", "precision_macro", "recall_macro", "f1_macro", "f1_weighted", "recall_pos", "f1_pos", "r2")
+
+
+def _folds(df: DataFrame, fold: str) -> list[tuple[int, int]]:
+    """(fold id, rows outside it)."""
+    n = {r[0]: r[1] for r in df.groupBy(fold).count().collect()}  # k fold ids
+    return [(f, sum(n.values()) - n[f]) for f in sorted(n)]
+
+
+def _fold_score(df, fold, f, n_rows, kind, features, label, params, metric, key, weight) -> float:
+    from .metrics import model_metrics, regression_metrics
+    m = build_model(kind, features, label, weight, n_rows=n_rows, **params).fit(df.where(F.col(fold) != f))
+    test = df.where(F.col(fold) == f)
+    if metric == "r2":
+        return float(regression_metrics(m.transform(test).select(F.col(label).alias("y"), F.col("prediction").alias("yhat"))).first()["r2"])
+    return float(model_metrics(predict(m, test, key, label), []).first()[metric])
+
+
 def cv_scores(df: DataFrame, fold: str, kind: str, features, label: str, params: Mapping,
               metric: str = "f1_macro", key: str = "key", weight: str | None = None) -> DataFrame:
-    """(fold, score) -- fit on the other folds, score this fold."""
-    from .metrics import binary_model_metrics
-    folds = sorted(r[0] for r in df.select(fold).distinct().collect())  # k fold ids
-    rows = []
-    n = df.count()
-    for f in folds:
-        tr, te = df.where(F.col(fold) != f), df.where(F.col(fold) == f)
-        m = build_model(kind, features, label, weight, n_rows=int(n * (len(folds) - 1) / len(folds)), **params).fit(tr)
-        s = binary_model_metrics(predict(m, te, key, label), []).first()[metric]
-        rows.append((int(f), float(s)))
+    """(fold, score) -- fit the whole pipeline on the other folds, score this fold.
+
+    Class metrics regard every class that stands in labels or predictions; ``r2`` is for regressors.
+    """
+    if metric not in SCORES:
+        raise ValueError(metric)
+    rows = [(int(f), _fold_score(df, fold, f, n, kind, features, label, params, metric, key, weight)) for f, n in _folds(df, fold)]
     return df.sparkSession.createDataFrame(rows, "fold int, score double")
 
 
 def grid_search(df: DataFrame, fold: str, kind: str, features, label: str, grid: Sequence[Mapping],
-                metric: str = "f1_macro", key: str = "key", weight: str | None = None) -> DataFrame:
-    """(params json, mean, std (ddof 0), rnk) over the given parameter maps."""
+                metric: str = "f1_macro", key: str = "key", weight: str | None = None, parallelism: int = 4) -> DataFrame:
+    """(params json, mean, std (ddof 0), rnk) over the given parameter maps.
+
+    Folds are counted once; ``parallelism`` fits run at a time, each a Spark job of its own.
+    """
+    if metric not in SCORES:
+        raise ValueError(metric)
+    folds, grid = _folds(df, fold), [dict(g) for g in grid]
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        scores = list(pool.map(lambda t: _fold_score(df, fold, t[1][0], t[1][1], kind, features, label, grid[t[0]], metric, key, weight),
+                               [(i, f) for i in range(len(grid)) for f in folds]))
     rows = []
-    for params in grid:
-        sc = [r["score"] for r in cv_scores(df, fold, kind, features, label, params, metric, key, weight).collect()]
+    for i, params in enumerate(grid):
+        sc = scores[i * len(folds): (i + 1) * len(folds)]
         mean = sum(sc) / len(sc)
-        std = math.sqrt(sum((s - mean) ** 2 for s in sc) / len(sc))
-        rows.append((_json(params), mean, std))
+        rows.append((_json(params), mean, math.sqrt(sum((s - mean) ** 2 for s in sc) / len(sc))))
     res = df.sparkSession.createDataFrame(rows, "params string, mean double, std double")
     return res.withColumn("rnk", F.rank().over(Window.orderBy(F.col("mean").desc())))  # one row per candidate
 
 
+def search_fit(df: DataFrame, fold: str, kind: str, features, label: str, grid: Sequence[Mapping],
+               metric: str = "f1_macro", key: str = "key", weight: str | None = None) -> tuple[PipelineModel, dict, DataFrame]:
+    """(best model fitted again on all rows, its parameters, the table of :func:`grid_search`)."""
+    table = grid_search(df, fold, kind, features, label, grid, metric, key, weight)
+    mean = {r["params"]: r["mean"] for r in table.collect()}  # one row per candidate
+    best = max(grid, key=lambda g: mean[_json(g)])  # the first of equals
+    return build_model(kind, features, label, weight, n_rows=df.count(), **best).fit(df), dict(best), table
+
+
 def random_maps(dists: Mapping[str, tuple], n: int, seed: int = 42) -> list[dict]:
     """N parameter maps; ('loguniform', lo, hi) or ('choice', [...])."""
     rng = random.Random(seed)
@@ -211,14 +259,14 @@ def _spark_of(_model):
 
 # ---------------------------------------------------------------- bagging extras
 def poisson1(u):
-    """Poisson(1) draw from a uniform column by inverse CDF (8 terms cover 1 - 1e-5)."""
-    cdf, p, expr = 0.0, math.exp(-1.0), None
-    for k in range(8):
+    """Poisson(1) draw from a uniform column by inverse CDF, down to the last term that a double tells apart."""
+    cdf, p, k, expr = 0.0, math.exp(-1.0), 0, None
+    while cdf + p > cdf:
         cdf += p
-        cond = u < F.lit(cdf)
-        expr = F.when(cond, F.lit(float(k))) if expr is None else expr.when(cond, F.lit(float(k)))
-        p = p / (k + 1)
-    return expr.otherwise(F.lit(8.0))
+        expr = F.when(u < F.lit(cdf), F.lit(float(k))) if expr is None else expr.when(u < F.lit(cdf), F.lit(float(k)))
+        k += 1
+        p /= k
+    return expr.otherwise(F.lit(float(k)))
 
 
 def oob_score(df: DataFrame, key: str, features, label: str, n_trees: int = 25, seed: int = 42,
@@ -245,13 +293,14 @@ def oob_score(df: DataFrame, key: str, features, label: str, n_trees: int = 25,
     return score, res
 
 
-def score_batch(model: PipelineModel, df: DataFrame, key: str, tiers: Sequence[tuple[float, str]]) -> DataFrame:
-    """Key, p_0..p_k, prediction, action -- action from the first tier whose
-    threshold the positive-class probability reaches (tiers sorted high -> low)."""
+def score_batch(model: PipelineModel, df: DataFrame, key: str, tiers: Sequence[tuple[float, str]],
+                positive: int = 1) -> DataFrame:
+    """Key, p_0..p_k, prediction, action -- action from the first tier whose threshold the
+    probability of class ``positive`` reaches (tiers sorted high -> low)."""
     out = model.transform(df)
     arr = vector_to_array("probability")
-    k = len(out.select("probability").first()[0])
-    prob1 = arr[1]
+    k = model.stages[-1].numClasses
+    prob1 = arr[positive]
     act = None
     for thr, name in sorted(tiers, key=lambda t: -t[0]):
         act = F.when(prob1 >= thr, F.lit(name)) if act is None else act.when(prob1 >= thr, F.lit(name))
