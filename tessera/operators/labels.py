@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .metrics import filled
 from .order import attach_row, top1_by
 
 
@@ -96,13 +97,15 @@ def transition_long(rel: DataFrame, classes: Sequence) -> DataFrame:
     spark = rel.sparkSession
     dim = spark.createDataFrame([(a, b) for a in classes for b in classes], ["original", "corrected"])
     c = rel.groupBy("original", "corrected").agg(F.count(F.lit(1)).alias("n"))
-    return F.broadcast(dim).join(c, ["original", "corrected"], "left").select(
-        "original", "corrected", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+    return filled(dim, c, ["original", "corrected"])  # labels outside ``classes`` keep their rows
 
 
 def transition_matrix(rel: DataFrame, classes: Sequence) -> DataFrame:
     """Original + one count column per corrected class, fixed order."""
-    return transition_long(rel, classes).groupBy("original").pivot("corrected", list(classes)).agg(F.first("n"))
+    listed = F.col("corrected").isin(list(classes))
+    long = transition_long(rel, classes).withColumn(
+        "corrected", F.when(listed, F.col("corrected")).otherwise(F.raise_error(F.concat(F.lit("label outside classes: "), F.coalesce(F.col("corrected").cast("string"), F.lit("NULL"))))))
+    return long.groupBy("original").pivot("corrected", list(classes)).agg(F.first("n"))
 
 
 def flag_rates(diag: DataFrame, label: str, flag_cols: Sequence[str]) -> DataFrame:
@@ -206,7 +209,7 @@ def relabel_summary(susp: DataFrame, rel: DataFrame, classes: Sequence, flag_col
                       F.sum("is_suspect").cast("long").alias("n_suspect"))
     changed = rel.agg(F.sum("was_changed").cast("long").alias("relabeled_total"),
                       F.avg("was_changed").alias("relabeled_fraction"))
-    trans = transition_long(rel, classes).agg(F.collect_list(F.struct("original", "corrected", "n")).alias("transitions"))
+    trans = transition_long(rel, classes).agg(F.sort_array(F.collect_list(F.struct("original", "corrected", "n"))).alias("transitions"))
     row = attach_row(attach_row(counts, changed), trans)  # one-row tables
     return row.select(F.to_json(F.struct(
         F.lit(cutoff).alias("cutoff"), F.lit(ambiguity).alias("ambiguity_threshold"), "*")).alias("json"))

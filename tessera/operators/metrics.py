@@ -26,6 +26,12 @@ def accuracy(pred: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
     return pred.agg(F.avg(F.when(F.col(y) == F.col(p), 1.0).otherwise(0.0)).alias("accuracy"))
 
 
+def filled(dim: DataFrame, counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows (keys..., n) of ``counts``, with 0 for those of ``dim`` it lacks; none of its own is lost."""
+    zero = dim.select(*keys, F.lit(0).cast("long").alias("n"))
+    return counts.select(*keys, "n").unionByName(zero).groupBy(*keys).agg(F.sum("n").cast("long").alias("n"))
+
+
 def class_counts(pred: DataFrame, labels: Sequence, y: str = "y", p: str = "p") -> DataFrame:
     """label, tp, fp, fn, support -- from one contingency aggregate."""
     spark = pred.sparkSession
@@ -74,18 +80,22 @@ def classification_report(pred: DataFrame, labels: Sequence, y: str = "y", p: st
 
 
 def confusion_long(pred: DataFrame, labels: Sequence, y: str = "y", p: str = "p") -> DataFrame:
-    """E4 long form: actual, predicted, n for every label pair (zeros included)."""
+    """E4 long form: actual, predicted, n for every label pair (zeros included) and any other pair there is."""
     spark = pred.sparkSession
     dim = spark.createDataFrame([(a, b) for a in labels for b in labels], ["actual", "predicted"])  # k^2 rows
     cont = pred.groupBy(F.col(y).alias("actual"), F.col(p).alias("predicted")).agg(
         F.count(F.lit(1)).alias("n"))
-    return F.broadcast(dim).join(cont, ["actual", "predicted"], "left").select(
-        "actual", "predicted", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+    return filled(dim, cont, ["actual", "predicted"])
 
 
 def confusion_matrix(pred: DataFrame, labels: Sequence, y: str = "y", p: str = "p") -> DataFrame:
-    """E4 wide form: actual + one count column per predicted label, fixed order."""
-    long = confusion_long(pred, labels, y, p)
+    """E4 wide form: actual + one count column per predicted label, fixed order.
+
+    A prediction outside ``labels`` has no column, so it raises; an actual label outside them is a row.
+    """
+    listed = F.col("predicted").isin(list(labels))
+    long = confusion_long(pred, labels, y, p).withColumn(
+        "predicted", F.when(listed, F.col("predicted")).otherwise(F.raise_error(F.concat(F.lit("prediction outside labels: "), F.coalesce(F.col("predicted").cast("string"), F.lit("NULL"))))))
     return long.groupBy("actual").pivot("predicted", list(labels)).agg(F.first("n"))
 
 
@@ -125,11 +135,12 @@ def ranking_metrics(pred: DataFrame, y: str = "y", score: str = "prob", group: S
     thresholds of (recall step) * precision.
     """
     st = _score_table(pred, y, score, group)
-    asc = running_sums(st, group, ["score"], ["neg"], prefix="asc_")
-    desc = running_sums(st.withColumn("__neg_score", -F.col("score")), group, ["__neg_score"], ["pos", "neg"],
-                        prefix="desc_")
-    j = asc.select(*group, "score", "pos", "neg", "asc_neg").join(
-        desc.select(*group, "score", "desc_pos", "desc_neg"), [*group, "score"])
+    asc = running_sums(st, group, ["score"], ["pos", "neg"], prefix="asc_")
+    tot = st.groupBy(*group).agg(F.sum("pos").alias("__tp"), F.sum("neg").alias("__tn"))
+    j = asc.join(tot, list(group)) if group else attach_row(asc, tot)
+    # sums over descending scores: the total less the ascending sum, and the score's own rows
+    j = j.withColumn("desc_pos", F.col("__tp") - F.col("asc_pos") + F.col("pos")).withColumn(
+        "desc_neg", F.col("__tn") - F.col("asc_neg") + F.col("neg"))
     below = F.col("asc_neg") - F.col("neg")
     agg = j.groupBy(*group).agg(
         F.sum(F.col("pos") * (below + 0.5 * F.col("neg"))).alias("__auc_num"),
@@ -177,26 +188,52 @@ def split_report(pred: DataFrame, split: str = "split", y: str = "y", p: str = "
                  prob: str = "prob", eps: float = EPS) -> DataFrame:
     """Per split: n, prevalence, roc_auc, pr_auc, brier, log_loss, precision, recall, f1, tn, fp, fn, tp."""
     g = [split]
-    base = pred.groupBy(*g).agg(F.count(F.lit(1)).alias("n"), F.avg(F.col(y).cast("double")).alias("prevalence"))
-    bc = binary_counts(pred, y, p, g)
+    pc = F.least(F.greatest(F.col(prob), F.lit(eps)), F.lit(1 - eps))
+    yy, pp = F.col(y), F.col(p)
+
+    def rows(a, b):
+        return F.sum(F.when((yy == a) & (pp == b), 1).otherwise(0)).cast("long")
+
+    base = pred.groupBy(*g).agg(  # one pass for all that needs no order
+        F.count(F.lit(1)).alias("n"), F.avg(yy.cast("double")).alias("prevalence"), F.avg(F.pow(F.col(prob) - yy, 2)).alias("brier"),
+        F.avg(F.when(yy == 1, -F.log(pc)).otherwise(-F.log(1 - pc))).alias("log_loss"),
+        rows(0, 0).alias("tn"), rows(0, 1).alias("fp"), rows(1, 0).alias("fn"), rows(1, 1).alias("tp"))
     prec = _div(F.col("tp"), F.col("tp") + F.col("fp"))
     rec = _div(F.col("tp"), F.col("tp") + F.col("fn"))
-    bc = bc.select(*g, prec.alias("precision"), rec.alias("recall"), "tn", "fp", "fn", "tp")
-    bc = bc.withColumn("f1", _div(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")))
-    out = (base.join(ranking_metrics(pred, y, prob, g), g, "left")
-           .join(brier(pred, y, prob, g), g).join(log_loss(pred, y, prob, eps, g), g).join(bc, g))
+    base = base.select("*", prec.alias("precision"), rec.alias("recall"), _div(2 * prec * rec, prec + rec).alias("f1"))
+    out = base.join(ranking_metrics(pred, y, prob, g), g, "left")
     return out.select(*g, "n", "prevalence", "roc_auc", "pr_auc", "brier", "log_loss", "precision", "recall",
                       "f1", "tn", "fp", "fn", "tp")
 
 
+def model_metrics(pred: DataFrame, group: Sequence[str], labels: Sequence = (), y: str = "y", p: str = "p",
+                  positive=1) -> DataFrame:
+    """Per group: accuracy, precision/recall/f1 macro and f1 weighted over all classes, recall_pos, f1_pos.
+
+    The classes are those of ``labels`` and every other one that stands in the group's y or p, so totals
+    count every row.  One contingency aggregate; a class-sized table follows.
+    """
+    g = list(group)
+    cont = pred.groupBy(*g, F.col(y).alias("__y"), F.col(p).alias("__p")).agg(F.count(F.lit(1)).alias("__n"))
+    hit = F.col("__y").eqNullSafe(F.col("__p"))
+    side = F.array(F.struct(F.col("__y").alias("label"), F.when(hit, F.col("__n")).otherwise(0).alias("tp"), F.lit(0).cast("long").alias("fp"),
+                            F.when(hit, 0).otherwise(F.col("__n")).cast("long").alias("fn")),
+                   F.struct(F.col("__p").alias("label"), F.lit(0).cast("long").alias("tp"), F.when(hit, 0).otherwise(F.col("__n")).cast("long").alias("fp"),
+                            F.lit(0).cast("long").alias("fn")))
+    rows = cont.select(*g, F.inline(side))
+    if labels:
+        zero = [F.lit(0).cast("long").alias(c) for c in ("tp", "fp", "fn")]
+        rows = rows.unionByName(cont.select(*g).distinct().select(*g, F.explode(F.array(*[F.lit(v).cast(rows.schema["label"].dataType) for v in labels])).alias("label"), *zero))
+    per = rows.groupBy(*g, "label").agg(*[F.sum(c).alias(c) for c in ("tp", "fp", "fn")])
+    prec, rec = _div(F.col("tp"), F.col("tp") + F.col("fp")), _div(F.col("tp"), F.col("tp") + F.col("fn"))
+    per = per.select(*g, "label", "tp", (F.col("tp") + F.col("fn")).alias("n"), prec.alias("pr"), rec.alias("re"), _div(2 * prec * rec, prec + rec).alias("f1"))
+    of = F.col("label").eqNullSafe(F.lit(positive))
+    return per.groupBy(*g).agg(
+        _div(F.sum("tp"), F.sum("n")).alias("accuracy"), F.avg("pr").alias("precision_macro"), F.avg("re").alias("recall_macro"),
+        F.avg("f1").alias("f1_macro"), _div(F.sum(F.col("f1") * F.col("n")), F.sum("n")).alias("f1_weighted"),
+        F.coalesce(F.max(F.when(of, F.col("re"))), F.lit(0.0)).alias("recall_pos"), F.coalesce(F.max(F.when(of, F.col("f1"))), F.lit(0.0)).alias("f1_pos"))
+
+
 def binary_model_metrics(pred: DataFrame, group: Sequence[str], y: str = "y", p: str = "p") -> DataFrame:
-    """Per group: accuracy, precision/recall/f1 macro over classes {0, 1}, recall_pos, f1_pos."""
-    bc = binary_counts(pred, y, p, group)
-    tp, fp, fn, tn = F.col("tp"), F.col("fp"), F.col("fn"), F.col("tn")
-    p1, r1 = _div(tp, tp + fp), _div(tp, tp + fn)
-    p0, r0 = _div(tn, tn + fn), _div(tn, tn + fp)
-    f1_1 = _div(2 * p1 * r1, p1 + r1)
-    f1_0 = _div(2 * p0 * r0, p0 + r0)
-    return bc.select(*group, _div(tp + tn, tp + tn + fp + fn).alias("accuracy"),
-                     ((p0 + p1) / 2).alias("precision_macro"), ((r0 + r1) / 2).alias("recall_macro"),
-                     ((f1_0 + f1_1) / 2).alias("f1_macro"), r1.alias("recall_pos"), f1_1.alias("f1_pos"))
+    """Per group: accuracy, precision/recall/f1 macro over {0, 1} and any further class, recall_pos, f1_pos."""
+    return model_metrics(pred, group, (0, 1), y, p).drop("f1_weighted")

@@ -132,13 +132,17 @@ def group_describe(df: DataFrame, groups: Mapping[str, Sequence[str]]) -> DataFr
 
 
 def class_distribution(df: DataFrame, label: str, order: Sequence | None = None) -> DataFrame:
-    """Label, n, pct, is_minority -- canonical order with absent classes as 0."""
+    """Label, n, pct, is_minority -- canonical order with absent classes as 0.
+
+    Labels outside ``order``, NULL among them, follow as rows of their own, so n adds up to all rows.
+    """
     counts = df.groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("n"))
     if order is not None:
         spark = df.sparkSession
         dim = spark.createDataFrame([(v, i) for i, v in enumerate(order)], ["label", "__ord"])
-        counts = F.broadcast(dim).join(counts, "label", "left").select(
-            "label", F.coalesce("n", F.lit(0)).cast("long").alias("n"), "__ord")
+        counts = counts.select("label", "n", F.lit(None).cast("long").alias("__ord")).unionByName(
+            dim.select("label", F.lit(0).cast("long").alias("n"), "__ord"))
+        counts = counts.groupBy("label").agg(F.sum("n").cast("long").alias("n"), F.coalesce(F.max("__ord"), F.lit(len(order))).alias("__ord"))
     else:
         counts = counts.withColumn("__ord", F.lit(0))
     w = Window.partitionBy()  # a table with one row per class
@@ -153,13 +157,14 @@ def _pairs(cols: Sequence[str]) -> list[tuple[str, str]]:
     return [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
 
 
-def correlation(df: DataFrame, cols: Sequence[str], full: bool = True) -> DataFrame:
+def correlation(df: DataFrame, cols: Sequence[str], full: bool = True,
+                pairs: Sequence[tuple[str, str]] | None = None) -> DataFrame:
     """P10: col_a, col_b, r (Pearson, pairwise-complete; NULL for a constant column).
 
-    All pairs come from one ``agg``.  ``full`` adds the mirrored pairs and the
+    All pairs (or those of ``pairs``) come from one ``agg``.  ``full`` adds the mirrored pairs and the
     diagonal (r = 1 where defined), like a correlation matrix.
     """
-    pairs = _pairs(cols)
+    pairs = list(pairs) if pairs is not None else _pairs(cols)
     aggs = []
     for i, (a, b) in enumerate(pairs):
         x, y = F.col(a).cast("double"), F.col(b).cast("double")
@@ -167,6 +172,8 @@ def correlation(df: DataFrame, cols: Sequence[str], full: bool = True) -> DataFr
         xs, ys = F.when(both, x), F.when(both, y)
         aggs += [F.covar_samp(xs, ys).alias(f"cv{i}"), F.stddev_samp(xs).alias(f"sx{i}"),
                  F.stddev_samp(ys).alias(f"sy{i}")]
+    if full:
+        aggs += [F.stddev_samp(F.col(c).cast("double")).alias(f"sd_{c}") for c in cols]
     row = df.agg(*aggs)
     structs = []
     for i, (a, b) in enumerate(pairs):
@@ -175,9 +182,6 @@ def correlation(df: DataFrame, cols: Sequence[str], full: bool = True) -> DataFr
         if full:
             structs.append(F.struct(F.lit(b).alias("col_a"), F.lit(a).alias("col_b"), r.alias("r")))
     if full:
-        std_aggs = [F.stddev_samp(F.col(c).cast("double")).alias(f"sd_{c}") for c in cols]
-        sd = df.agg(*std_aggs)
-        row = attach_row(row, sd)
         for c in cols:
             structs.append(F.struct(F.lit(c).alias("col_a"), F.lit(c).alias("col_b"),
                                     F.when(F.col(f"sd_{c}") > 0, F.lit(1.0)).alias("r")))
@@ -187,7 +191,7 @@ def correlation(df: DataFrame, cols: Sequence[str], full: bool = True) -> DataFr
 def corr_with_target(df: DataFrame, cols: Sequence[str], target: str, k: int | None = None,
                      signed: bool = False) -> DataFrame:
     """Column, r, rnk -- features ranked by |r| with the target (or by r)."""
-    c = correlation(df, [target, *cols], full=False).where(F.col("col_a") == target)
+    c = correlation(df, [target, *cols], full=False, pairs=[(target, c) for c in cols])
     key = F.col("r") if signed else F.abs(F.col("r"))
     w = Window.orderBy(key.desc_nulls_last(), F.col("col_b"))  # one row per feature
     out = c.select(F.col("col_b").alias("column"), "r", F.row_number().over(w).alias("rnk"))
