@@ -51,7 +51,7 @@ def categories(df: DataFrame, col: str, max_categories: int = MAX_CATEGORIES) ->
     vals = [r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct()
             .orderBy(col).limit(max_categories + 1).collect()]
     if len(vals) > max_categories:
-        raise ValueError(f"{col} has more than {max_categories} categories; use label_encode")
+        raise ValueError(f"{col} has more than {max_categories} categories; use one_hot_sparse or label_encode")
     return vals
 
 
@@ -157,6 +157,19 @@ def poly_interactions(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select("*", *terms)
 
 
+def one_hot_sparse(df: DataFrame, col: str, name: str | None = None):
+    """F5 for any number of categories: (df with a sparse vector column, fitted pipeline).
+
+    Categories take the vector's places in alphabetical order; NULL and values unseen at fit time get zeros.
+    """
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import OneHotEncoder, StringIndexer
+    index = StringIndexer(inputCol=col, outputCol=f"__{col}_idx", stringOrderType="alphabetAsc", handleInvalid="keep")
+    encode = OneHotEncoder(inputCol=f"__{col}_idx", outputCol=name or f"{col}_vec", dropLast=True)  # the last place is that of unknown values
+    model = Pipeline(stages=[index, encode]).fit(df)
+    return model.transform(df).drop(f"__{col}_idx"), model
+
+
 # ---------------------------------------------------------------- F15-F20
 def threshold_target(df: DataFrame, cols: Sequence[str], name: str = "target", exact: bool = True) -> DataFrame:
     """1 if every column is >= its own median (one-row fit, scalar subqueries)."""
@@ -168,17 +181,21 @@ def threshold_target(df: DataFrame, cols: Sequence[str], name: str = "target", e
     return attach_row(df, fit).select(*df.columns, F.when(cond, 1).otherwise(0).alias(name))
 
 
-def stress_label(df: DataFrame, entity: str, period: str, cfo: str, liquidity: str, cash_days: str,
+#: Fixed values of the stress rule: least liquidity and least days of cash.
+LEAST_LIQUIDITY, LEAST_CASH_DAYS = 1, 30
+
+
+def stress_label(df: DataFrame, entity: str, period: str, flow: str, liquidity: str, cash_days: str,
                  name: str = "stress") -> DataFrame:
-    """1 if cfo < 0 in this and the previous period, or liquidity < 1, or cash days < 30."""
-    j = previous_row(df, [entity], [period], [cfo], prefix="__prev_")
-    two_neg = (F.col(cfo) < 0) & (F.col(f"__prev_{cfo}") < 0)
-    flag = F.coalesce(two_neg, F.lit(False)) | F.coalesce(F.col(liquidity) < 1, F.lit(False)) | \
-        F.coalesce(F.col(cash_days) < 30, F.lit(False))
-    return j.withColumn(name, flag.cast("int")).drop(f"__prev_{cfo}")
+    """1 if the flow is negative in this and the previous period, or liquidity or cash days are under their least."""
+    j = previous_row(df, [entity], [period], [flow], prefix="__prev_")
+    two_neg = (F.col(flow) < 0) & (F.col(f"__prev_{flow}") < 0)
+    flag = F.coalesce(two_neg, F.lit(False)) | F.coalesce(F.col(liquidity) < LEAST_LIQUIDITY, F.lit(False)) | \
+        F.coalesce(F.col(cash_days) < LEAST_CASH_DAYS, F.lit(False))
+    return j.withColumn(name, flag.cast("int")).drop(f"__prev_{flow}")
 
 
-def gp_ratio(cost, income):
+def cost_income_ratio(cost, income):
     """cost / income ratio (NULL on zero income)."""
     return F.try_divide(cost, F.nullif(income, F.lit(0)))
 
@@ -203,7 +220,7 @@ def pca_project(df: DataFrame, key: str, cols: Sequence[str], k: int = 2) -> tup
     from pyspark.ml.feature import PCA, VectorAssembler
     from pyspark.ml.functions import vector_to_array
     z = standard_scale(df.select(key, *cols), cols, replace=True)
-    vec = VectorAssembler(inputCols=list(cols), outputCol="__v", handleInvalid="skip").transform(z)
+    vec = VectorAssembler(inputCols=list(cols), outputCol="__v", handleInvalid="error").transform(z)  # impute first; no row is left out
     model = PCA(k=k, inputCol="__v", outputCol="__pc").fit(vec)
     pcs = model.pc.toArray()  # (d, k) loadings: bounded by the column count
     signs = [1.0 if pcs[abs(pcs[:, j]).argmax(), j] >= 0 else -1.0 for j in range(k)]

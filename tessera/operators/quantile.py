@@ -1,11 +1,13 @@
 """Exact and approximate quantiles over many columns in one pass.
 
-The exact path is rank-based, not map-based: values are ranked inside their
-(group, column) with :func:`rank_within` (range-partitioned, skew-safe), then
-only the two neighbouring order statistics of each requested quantile are kept
-and interpolated linearly -- the ``linear`` rule of numpy/pandas and DuckDB's
-``quantile_cont``.  Memory per task is bounded by the partition size, not by
-the number of distinct values, so a billion-distinct-value column is fine.
+The exact path counts rows per (group, column, value) first, which combines
+before the shuffle, so a value that a third of all rows share is one row
+afterwards.  Running sums over the counted values (:func:`running_sums`,
+range-partitioned, skew-safe) give each value's span of ranks; only the two
+order statistics of each requested quantile are kept and interpolated linearly
+-- the ``linear`` rule of numpy/pandas and DuckDB's ``quantile_cont``.  Memory
+per task is bounded by the partition size, not by the number of distinct
+values, so a billion-distinct-value column is fine.
 
 ``exact=False`` uses ``percentile_approx`` (a bounded sketch, one
 partial-aggregation pass).
@@ -18,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .order import rank_within
+from .order import _null_safe_join, running_sums
 
 
 def unpivot(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = (), name: str = "column",
@@ -41,17 +43,26 @@ def quantile_table(df: DataFrame, cols: Sequence[str], qs: Sequence[float], by:
         agg = long.groupBy(*by, "column").agg(
             F.percentile_approx("value", list(map(float, qs)), 10000).alias("__q"))
         return agg.select(*by, "column", *[F.col("__q")[i].alias(n) for i, n in enumerate(names)])
-    ranked = rank_within(long, [*by, "column"], ["value"], name="__r", size_name="__n")
-    # positions of the order statistics each quantile needs
-    pos = [(F.lit(float(q)) * (F.col("__n") - 1)) for q in qs]
-    needed = F.array(*[F.floor(p) for p in pos], *[F.ceil(p) for p in pos])
-    kept = ranked.where(F.array_contains(needed, F.col("__r")))
+    keys = [*by, "column"]
+    counts = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("__c"))
+    cum = running_sums(counts, keys, ["value"], ["__c"], prefix="__end")
+    # the group's size is its last running sum; a value spans the ranks [__end - __c, __end)
+    sizes = cum.groupBy(*keys).agg(F.max("__end__c").alias("__n"))
+    kept = _null_safe_join(cum, sizes, keys).withColumn("__from", F.col("__end__c") - F.col("__c"))
+
+    def at(rank):
+        return (rank >= F.col("__from")) & (rank < F.col("__end__c"))
+
+    pos = [F.lit(float(q)) * (F.col("__n") - 1) for q in qs]
+    some = F.lit(False)
+    for p in pos:
+        some = some | at(F.floor(p)) | at(F.ceil(p))
     aggs = []
-    for i, q in enumerate(qs):
-        p = F.lit(float(q)) * (F.col("__n") - 1)
-        aggs.append(F.max(F.when(F.col("__r") == F.floor(p), F.col("value"))).alias(f"__lo{i}"))
-        aggs.append(F.max(F.when(F.col("__r") == F.ceil(p), F.col("value"))).alias(f"__hi{i}"))
+    for i, p in enumerate(pos):
+        aggs.append(F.max(F.when(at(F.floor(p)), F.col("value"))).alias(f"__lo{i}"))
+        aggs.append(F.max(F.when(at(F.ceil(p)), F.col("value"))).alias(f"__hi{i}"))
         aggs.append(F.first(p - F.floor(p)).alias(f"__f{i}"))
+    kept = kept.where(some)
     g = kept.groupBy(*by, "column").agg(*aggs)
     out = [F.col(f"__lo{i}") + F.col(f"__f{i}") * (F.col(f"__hi{i}") - F.col(f"__lo{i}")) for i in range(len(qs))]
     return g.select(*by, "column", *[o.alias(n) for o, n in zip(out, names)])

@@ -153,22 +153,22 @@ def q_threshold_target(spark, sf):
 
 @query("stress_label", sql=f"""
 WITH p AS ({PANEL_SQL}),
-l AS (SELECT *, lag(cfo) OVER (PARTITION BY unit ORDER BY anio) AS prev_cfo FROM p)
-SELECT unit, anio, CAST((coalesce(cfo < 0 AND prev_cfo < 0, false) OR coalesce(liquidez < 1, false)
-                         OR coalesce(dias_efectivo < 30, false)) AS INTEGER) AS stress
+l AS (SELECT *, lag(flow) OVER (PARTITION BY unit ORDER BY yr) AS prev_flow FROM p)
+SELECT unit, yr, CAST((coalesce(flow < 0 AND prev_flow < 0, false) OR coalesce(liquidity < 1, false)
+                         OR coalesce(cash_days < 30, false)) AS INTEGER) AS stress
 FROM l
 """)
 def q_stress_label(spark, sf):
-    s = fe.stress_label(panel(spark, sf), "unit", "anio", "cfo", "liquidez", "dias_efectivo")
-    return s.select("unit", "anio", "stress")
+    s = fe.stress_label(panel(spark, sf), "unit", "yr", "flow", "liquidity", "cash_days")
+    return s.select("unit", "yr", "stress")
 
 
-@query("gp_ratio", sql=f"""
-WITH p AS ({PANEL_SQL}) SELECT unit, anio, {R('cost / nullif(income, 0)')} AS gp_ratio FROM p
+@query("cost_income_ratio", sql=f"""
+WITH p AS ({PANEL_SQL}) SELECT unit, yr, {R('cost / nullif(income, 0)')} AS cost_ratio FROM p
 """)
-def q_gp_ratio(spark, sf):
+def q_cost_income_ratio(spark, sf):
     p = panel(spark, sf)
-    return rounded(p.select("unit", "anio", fe.gp_ratio(F.col("cost"), F.col("income")).alias("gp_ratio")))
+    return rounded(p.select("unit", "yr", fe.cost_income_ratio(F.col("cost"), F.col("income")).alias("cost_ratio")))
 
 
 @query("concentration", sql=f"""

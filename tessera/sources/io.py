@@ -23,6 +23,15 @@ def clean_name(name: str, snake: bool = False) -> str:
     return n
 
 
+def nan_to_null(df: DataFrame) -> DataFrame:
+    """NaN is a missing value: NULL in every float and double column, whatever wrote it."""
+    floats = (T.FloatType, T.DoubleType)
+    if not any(isinstance(f.dataType, floats) for f in df.schema.fields):
+        return df
+    return df.select(*[F.nanvl(F.col(f"`{f.name}`"), F.lit(None).cast(f.dataType)).alias(f.name) if isinstance(f.dataType, floats)
+                       else F.col(f"`{f.name}`") for f in df.schema.fields])
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None, sep: str = ",",
              encoding: str = "utf-8", fallback: str = "ISO-8859-1", header: bool = True,
              clean_names: bool = True, snake: bool = False) -> DataFrame:
@@ -48,7 +57,12 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
             df = _read(fallback)
     if clean_names:
         df = df.toDF(*[clean_name(c, snake) for c in df.columns])
-    return df
+    return nan_to_null(df)
+
+
+def read_parquet(spark: SparkSession, path: str) -> DataFrame:
+    """Parquet read with NaN as NULL."""
+    return nan_to_null(spark.read.parquet(path))
 
 
 def expect(df: DataFrame, required: Sequence[str] = (), no_nulls: Sequence[str] = (),
