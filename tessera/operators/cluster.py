@@ -131,7 +131,7 @@ def fuzzy_cmeans(points: DataFrame, key: str, c: int, m: float = 1.3, tol: float
 
     Starts from k-means centres (or ``init``), then alternates membership
     (row-local array expression) and weighted centre update (one aggregate)
-    until no centre moves more than ``tol``.
+    until no centre moves more than ``tol``; raises when ``max_iter`` rounds do not suffice.
     """
     pts = points.select(key, x).cache()
     centres = list(init) if init is not None else kmeans(pts, key, c, 1, seed, x)[1]
@@ -151,6 +151,8 @@ def fuzzy_cmeans(points: DataFrame, key: str, c: int, m: float = 1.3, tol: float
         centres = new
         if shift < tol:
             break
+    else:
+        raise RuntimeError(f"fuzzy c-means moved by {shift:.3g} in round {max_iter}; raise max_iter or tol")
     centres = _ordered_centres(centres)
     u = memberships(F.col(x), centres, m)
     out = pts.select(key, u.alias("u")).select(key, "u", *hard_from_soft(F.col("u")))
@@ -173,51 +175,35 @@ def subtractive(points: DataFrame, key: str, ra: float, accept: float = 0.5, rej
                 max_centres: int = 10, x: str = "x", tol: float = 1e-12) -> tuple[DataFrame, list[list[float]]]:
     """K9: Chiu's subtractive clustering; returns (labels(key, cluster), centres).
 
-    Potential P_i = sum_j exp(-alpha d_ij^2), alpha = 4/ra^2.  Terms smaller than
-    ``tol`` are skipped by an epsilon join at R = sqrt(ln(1/tol)/alpha), so the
-    potentials are exact to n * tol without forming all pairs.  Centre
-    selection then runs at most ``max_centres`` rounds of ``max_by`` over the
-    potential column, subtracting exp(-beta d^2) (rb = 1.5 ra) around each
-    accepted centre; candidates in the ambiguous zone are zeroed (the
-    textbook simplification).
+    A location's potential is the sum over points of exp(-alpha d^2), alpha = 4/ra^2.  The point of highest
+    potential (ties to the smallest key) becomes a centre and takes its potential times exp(-beta d^2),
+    rb = 1.5 ra, from all others, as long as it stands above ``accept`` times the first centre's.  Points in
+    the grey zone down to ``reject`` are passed over; since potentials only fall, none that follows them can
+    reach the accept level again, so the first such point ends the search, whatever ``reject`` is.
+
+    Identical points are one weighted location.  Terms under ``tol`` lie beyond the radius of the join, so
+    a potential is short of the full sum by less than the number of points times ``tol``.
     """
     from .distance import eps_pairs
-    alpha = 4.0 / ra ** 2
-    beta = 4.0 / (1.5 * ra) ** 2
-    radius = math.sqrt(math.log(1.0 / tol) / alpha)
-    # identical points collapse into one weighted location (a hot spot is one row)
+    alpha, beta = 4.0 / ra ** 2, 4.0 / (1.5 * ra) ** 2
     loc = cut_lineage(points.groupBy(x).agg(F.min(key).alias(key), F.count(F.lit(1)).alias("__w")))
-    pairs = eps_pairs(loc, key, radius, x).join(
+    pairs = eps_pairs(loc, key, math.sqrt(math.log(1.0 / tol) / alpha), x).join(
         loc.select(F.col(key).alias("nbr"), F.col("__w").alias("__nw")), "nbr")
     pot = pairs.groupBy(key).agg(
         F.sum(F.col("__nw") * F.exp(-alpha * F.col("dist") * F.col("dist"))).alias("__p"))
     state = cut_lineage(loc.join(pot, key))
     centres: list[list[float]] = []
-    first = None
-    zeroed: list = []
-    pcol = F.col("__p")
-    for _ in range(max_centres * 4):
-        if len(centres) >= max_centres:
-            break
-        cur = state.select(key, x, pcol.alias("__cur"))
-        if zeroed:
-            cur = cur.withColumn("__cur", F.when(F.col(key).isin(zeroed), F.lit(0.0)).otherwise(F.col("__cur")))
-        # highest potential; ties to the smallest key (first occurrence)
-        top = cur.agg(F.max_by(F.struct(key, x), F.struct("__cur", (-F.col(key)).alias("__nk"))).alias("t"),
-                      F.max("__cur").alias("p")).first()
-        p_star, cand = top["p"], top["t"]
-        if first is None:
-            first = p_star
-        elif p_star > accept * first:
-            pass
-        elif p_star < reject * first:
+    left, level = F.col("__p"), 0.0
+    while len(centres) < max_centres:
+        ranked = state.select(key, x, left.alias("__left"))
+        top = ranked.agg(F.max(F.struct("__left", (-F.col(key)).alias("__nk"), F.col(x))).alias("t")).first()["t"]
+        if top is None or top["__left"] <= level:
             break
-        else:
-            zeroed.append(cand[key])
-            continue
-        centres.append(list(cand[x]))
-        cvec = F.array(*[F.lit(float(v)) for v in cand[x]])
-        pcol = F.greatest(pcol - F.lit(float(p_star)) * F.exp(-beta * sq_dist(F.col(x), cvec)), F.lit(0.0))
+        if not centres:
+            level = accept * top["__left"]
+        centres.append(list(top[x]))
+        spot = F.array(*[F.lit(float(v)) for v in top[x]])
+        left = F.greatest(left - F.lit(float(top["__left"])) * F.exp(-beta * sq_dist(F.col(x), spot)), F.lit(0.0))
     return assign_nearest(points, key, centres, x), centres
 
 

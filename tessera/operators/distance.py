@@ -1,29 +1,22 @@
 """Distance core: vectors as ``array<double>``, grid-blocked epsilon joins, kNN.
 
-No operator here forms all pairs of a table or of a group.  Candidate pairs
-come from an equi-join on grid cells: each point is compared only with the
-points of the cells that can hold a neighbour, and distances are filtered in
-the same stage as the join, so only true near pairs are shuffled onward.
+Epsilon joins find candidate pairs by an equi-join on grid cells: each point is
+compared with the points of the cells that can hold a neighbour, so their cost
+follows the number of points within a few epsilons.  Nearest neighbours come
+from a descent of a cell tree that is as deep as the data is dense, so the
+pairs formed per point do not depend on how the data is spread.  Both are meant
+for few dimensions: a box tells little in many.
 """
 
 from __future__ import annotations
 
 import itertools
 import math
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-
-
-def as_points(df: DataFrame, key: str, cols: Sequence[str], name: str = "x") -> DataFrame:
-    """(key, x) with x = array<double> of the feature columns (NULL rows dropped)."""
-    cond = F.lit(True)
-    for c in cols:
-        cond = cond & F.col(c).isNotNull()
-    return df.where(cond).select(key, F.array(*[F.col(c).cast("double") for c in cols]).alias(name))
+from .order import attach_row
 
 
 def sq_dist(a: Column, b: Column) -> Column:
@@ -66,8 +59,13 @@ def eps_pairs(points: DataFrame, key: str, eps: float, x: str = "x", include_sel
     return j
 
 
-def knn(points: DataFrame, key: str, k: int, x: str = "x", include_self: bool = True,
-        start_radius: float | None = None, max_rounds: int = 40) -> DataFrame:
+def _no_neighbours(points: DataFrame, key: str) -> DataFrame:
+    """The empty result, with the key's own type."""
+    kind = points.schema[key].dataType.simpleString()
+    return points.sparkSession.createDataFrame([], f"`{key}` {kind}, nbr {kind}, rank int, dist double")
+
+
+def knn(points: DataFrame, key: str, k: int, x: str = "x", include_self: bool = True) -> DataFrame:
     """Exact k nearest neighbours within one table: (key, nbr, rank 1..k, dist).
 
     Neighbours are ordered by (distance, neighbour key); with ``include_self``
@@ -76,7 +74,7 @@ def knn(points: DataFrame, key: str, k: int, x: str = "x", include_self: bool =
     of m copies is one weighted candidate instead of m^2 pairs:
 
     1. locations = distinct vectors with weight (a combinable aggregate);
-    2. a weighted radius search over locations keeps, for each location, the
+    2. a descent of a cell tree over locations keeps, for each location, the
        nearest locations until their weight covers the k (+1) points needed
        (all locations tied at the boundary distance are kept);
     3. each kept location contributes its first k+1 member keys (skew-safe
@@ -86,10 +84,10 @@ def knn(points: DataFrame, key: str, k: int, x: str = "x", include_self: bool =
     n = points.count()
     kk = min(k, n if include_self else n - 1)
     if kk <= 0:
-        return points.sparkSession.createDataFrame([], f"{key} long, nbr long, rank int, dist double")
+        return _no_neighbours(points, key)
     need = kk + (0 if include_self else 1)
     loc, members, first = _locations(points, key, x, need)
-    near = _weighted_location_knn(loc.select("__lid", x), "__lid", loc, need, x, start_radius, max_rounds)
+    near = _weighted_location_knn(loc.select("__lid", x), "__lid", loc, need, x)
     cand = near.join(first.select(F.col("__lid").alias("__nlid"), F.col(key).alias("nbr")), "__nlid")
     wl = Window.partitionBy("__lid").orderBy("dist", "nbr")
     table = cand.withColumn("__r", F.row_number().over(wl)).where(F.col("__r") <= need) \
@@ -102,45 +100,91 @@ def knn(points: DataFrame, key: str, k: int, x: str = "x", include_self: bool =
     return ranked.select(key, "nbr", F.col("rank").cast("int"), "dist")
 
 
-def _weighted_location_knn(probe: DataFrame, pkey: str, loc: DataFrame, need: int, x: str,
-                           start_radius: float | None, max_rounds: int) -> DataFrame:
+DEPTH_BITS = 48   # finest halving of the data's span; points closer than that share a leaf
+LEAF = 8          # distinct locations a tree cell holds before it is divided
+
+
+def _tree(loc: DataFrame, x: str, step: int | None = None) -> tuple[list[DataFrame], DataFrame]:
+    """Cells of ``loc`` (__lid, x, __w) level by level, and the leaf cell of each location.
+
+    A level divides every cell of more than ``LEAF`` locations by 2^step per axis; only cells that hold
+    something exist, with their weight and the box of what they hold.  Dense regions go deep, the rest does
+    not.  Level tables: (cell, parent, w, lo, hi, leaf); cells are named by their index at their level.
+    """
+    dims = loc.select(F.size(x).alias("d")).first()["d"]
+    step = step or max(1, 6 // dims)
+    edge = loc.agg(*[F.min(F.col(x)[i]).alias(f"a{i}") for i in range(dims)], *[F.max(F.col(x)[i]).alias(f"b{i}") for i in range(dims)]).first()
+    low = [float(edge[f"a{i}"]) for i in range(dims)]
+    span = max(float(edge[f"b{i}"]) - low[i] for i in range(dims)) or 1.0
+    scale = float(1 << DEPTH_BITS) / (span * (1 + 1e-9))
+    index = F.array(*[F.floor((F.col(x)[i] - F.lit(low[i])) * F.lit(scale)).cast("long") for i in range(dims)])
+    rest = loc.select("__lid", x, "__w", index.alias("__i"), F.lit("").alias("parent"))
+    levels, leaves, depth = [], None, 0
+    while True:
+        shift = max(0, DEPTH_BITS - depth * step)
+        last = shift == 0
+        name = F.concat_ws(",", F.lit(depth).cast("string"), *[F.shiftright(F.col("__i")[i], shift).cast("string") for i in range(dims)])
+        here = rest.withColumn("cell", name)
+        cells = here.groupBy("cell", "parent").agg(
+            F.sum("__w").alias("w"), F.count(F.lit(1)).alias("__n"),
+            F.array(*[F.min(F.col(x)[i]) for i in range(dims)]).alias("lo"), F.array(*[F.max(F.col(x)[i]) for i in range(dims)]).alias("hi"))
+        cells = cut_lineage(cells.select("cell", "parent", "w", "lo", "hi", ((F.col("__n") <= LEAF) | F.lit(last)).alias("leaf")))
+        here = cut_lineage(here.join(cells.select("cell", "leaf"), "cell"))
+        levels.append(cells)
+        done = here.where("leaf").select("__lid", x, "__w", "cell")
+        leaves = done if leaves is None else leaves.unionByName(done)
+        rest = here.where("not leaf").select("__lid", x, "__w", "__i", F.col("cell").alias("parent"))
+        depth += 1
+        if rest.isEmpty():
+            return levels, leaves
+
+
+def _box_distances(x: Column, lo: Column, hi: Column) -> tuple[Column, Column]:
+    """Least and greatest distance from a point to a box."""
+    def of(side):
+        return F.sqrt(F.aggregate(F.zip_with(x, F.arrays_zip(lo.alias("lo"), hi.alias("hi")), side), F.lit(0.0), lambda a, t: a + t * t))
+    near = of(lambda v, b: F.greatest(b["lo"] - v, v - b["hi"], F.lit(0.0)))
+    far = of(lambda v, b: F.greatest(F.abs(v - b["lo"]), F.abs(v - b["hi"])))
+    return near, far
+
+
+def _weighted_location_knn(probe: DataFrame, pkey: str, loc: DataFrame, need: int, x: str) -> DataFrame:
     """(pkey, __nlid, dist): for every probe row, the nearest build locations
     (``loc``: __lid, x, __w) whose cumulative weight first reaches ``need``,
-    plus every location tied at that boundary distance."""
-    n_loc = loc.count()
-    dims = len(loc.select(x).first()[0])
-    if start_radius is None:
-        s = loc.select(F.inline(F.transform(F.col(x), lambda v: F.struct(v.alias("v"))))).agg(
-            F.stddev_pop("v").alias("s")).first()["s"] or 1.0
-        start_radius = max(float(s), 1e-9) * 2.0 * (2.0 * need / max(n_loc, 1)) ** (1.0 / dims)
+    plus every location tied at that boundary distance.
+
+    All probes descend the cell tree together, a level a round.  The farthest corners of a probe's cells
+    bound its radius (the least one within which cells of weight ``need`` lie whole); cells beyond it go.
+    So a probe keeps the cells about its own ball, however dense or empty the data is there, and only the
+    leaves that are left are joined with their few locations.
+    """
     total = loc.agg(F.sum("__w")).first()[0] or 0
     if total < need:
         raise ValueError(f"only {total} points to choose {need} neighbours from")
-    weights = loc.select(F.col("__lid").alias("nbr"), F.col("__w").alias("__nw"))
-    build = loc.select(F.col("__lid").alias(pkey), x)
-    todo = probe.select(pkey, x)
-    done = []
-    radius = start_radius
-    for _ in range(max_rounds):
-        pairs = _probe_pairs(todo, build, pkey, radius, x, True).join(weights, "nbr")
-        w = Window.partitionBy(pkey).orderBy("dist").rowsBetween(Window.unboundedPreceding, 0)
-        wb = Window.partitionBy(pkey)
-        # boundary distance: first distance where the running weight reaches `need`
-        cum = pairs.withColumn("__cw", F.sum("__nw").over(w)).withColumn(
-            "__d", F.min(F.when(F.col("__cw") >= need, F.col("dist"))).over(wb))
-        cum = cut_lineage(cum.select(pkey, "nbr", "dist", "__d"))  # one pass per round
-        done.append(cum.where(F.col("dist") <= F.col("__d")).select(pkey, F.col("nbr").alias("__nlid"), "dist"))
-        resolved = cum.where(F.col("__d").isNotNull()).select(pkey).distinct()
-        todo = cut_lineage(todo.join(resolved, pkey, "left_anti"))
-        if todo.isEmpty():
-            break
-        radius *= 2.0
-    else:
-        raise RuntimeError("knn did not resolve every point; raise max_rounds")
-    out = done[0]
-    for d in done[1:]:
-        out = out.unionByName(d)
-    return out
+    levels, leaves = _tree(loc, x)
+    slack = 1 + 1e-12  # corner distances are rounded
+    state = None
+    for depth, cells in enumerate(levels):
+        if depth == 0:
+            found = attach_row(probe.select(pkey, x), cells.select("cell", "w", "lo", "hi", "leaf"))  # the root is one row
+        else:
+            found = state.where("not leaf").select(pkey, x, F.col("cell").alias("parent")).join(cells, "parent")
+        near, far = _box_distances(F.col(x), F.col("lo"), F.col("hi"))
+        found = found.select(pkey, x, "cell", "w", "leaf", near.alias("near"), far.alias("far"))
+        if state is not None:
+            found = found.unionByName(state.where("leaf"))
+        by_far = Window.partitionBy(pkey).orderBy("far").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        found = found.withColumn("__cw", F.sum("w").over(by_far)).withColumn(
+            "__r", F.min(F.when(F.col("__cw") >= need, F.col("far"))).over(Window.partitionBy(pkey)))
+        state = cut_lineage(found.where(F.col("near") <= F.col("__r") * slack).drop("__cw", "__r"))
+    held = leaves.select("cell", F.col("__lid").alias("__nlid"), F.col("__w").alias("__nw"), F.col(x).alias("__y"))
+    pairs = state.select(pkey, F.col(x).alias("__p"), "cell").join(held, "cell").select(
+        pkey, "__nlid", "__nw", dist(F.col("__p"), F.col("__y")).alias("dist"))
+    w = Window.partitionBy(pkey).orderBy("dist").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    # boundary distance: first distance where the running weight reaches `need`
+    cum = pairs.withColumn("__cw", F.sum("__nw").over(w)).withColumn(
+        "__d", F.min(F.when(F.col("__cw") >= need, F.col("dist"))).over(Window.partitionBy(pkey)))
+    return cut_lineage(cum.where(F.col("dist") <= F.col("__d")).select(pkey, "__nlid", "dist"))
 
 
 def _locations(points: DataFrame, key: str, x: str, need: int):
@@ -152,8 +196,7 @@ def _locations(points: DataFrame, key: str, x: str, need: int):
     return loc, members, first
 
 
-def knn_between(probe: DataFrame, build: DataFrame, key: str, k: int, x: str = "x", include_self: bool = True,
-                start_radius: float | None = None, max_rounds: int = 40) -> DataFrame:
+def knn_between(probe: DataFrame, build: DataFrame, key: str, k: int, x: str = "x", include_self: bool = True) -> DataFrame:
     """Exact k nearest ``build`` points of every ``probe`` point: (key, nbr, rank, dist).
 
     The build side is collapsed into weighted distinct locations (a hot spot
@@ -164,11 +207,11 @@ def knn_between(probe: DataFrame, build: DataFrame, key: str, k: int, x: str = "
     """
     n_build = build.count()
     if n_build == 0 or k <= 0:
-        return probe.sparkSession.createDataFrame([], f"{key} long, nbr long, rank int, dist double")
+        return _no_neighbours(probe, key)
     need = min(k, n_build) + (0 if include_self else 1)
     need = min(need, n_build)
     loc, _, first = _locations(build, key, x, need)
-    near = _weighted_location_knn(probe, key, loc, need, x, start_radius, max_rounds)
+    near = _weighted_location_knn(probe, key, loc, need, x)
     cand = near.join(first.select(F.col("__lid").alias("__nlid"), F.col(key).alias("nbr")), "__nlid")
     if not include_self:
         cand = cand.where(F.col(key) != F.col("nbr"))
@@ -177,19 +220,6 @@ def knn_between(probe: DataFrame, build: DataFrame, key: str, k: int, x: str = "
     return ranked.select(key, "nbr", F.col("rank").cast("int"), "dist")
 
 
-def _probe_pairs(probe_pts: DataFrame, build_pts: DataFrame, key: str, eps: float, x: str,
-                 include_self: bool) -> DataFrame:
-    """eps pairs from ``probe_pts`` into ``build_pts``."""
-    dims = len(build_pts.select(x).first()[0])
-    offs = F.array(*[F.array(*[F.lit(o) for o in off]) for off in _offsets(dims, 1)])
-    build = build_pts.select(F.col(key).alias("nbr"), F.col(x).alias("__y"), _cell(F.col(x), eps, dims).alias("__c"))
-    probe = probe_pts.select(key, x, _cell(F.col(x), eps, dims).alias("__home")).select(
-        key, x, F.explode(F.transform(offs, lambda o: F.zip_with(F.col("__home"), o, lambda a, b: a + b))).alias("__c"))
-    j = probe.join(build, "__c").select(key, "nbr", dist(F.col(x), F.col("__y")).alias("dist"))
-    j = j.where(F.col("dist") <= F.lit(eps))
-    return j if include_self else j.where(F.col(key) != F.col("nbr"))
-
-
 def kdist(knn_df: DataFrame, key: str, k: int) -> DataFrame:
     """K11 curve: (key, kdist) = distance to the k-th neighbour."""
     return knn_df.where(F.col("rank") == k).select(key, F.col("dist").alias("kdist"))

@@ -229,7 +229,7 @@ def q_elbow_sweep(spark, sf):
 @query("fuzzy_cmeans")
 def q_fuzzy_cmeans(spark, sf):
     pts = rfm_points(spark, sf).select("key", "x")
-    return cl.fuzzy_cmeans(pts, "key", 3, m=M, tol=1e-5, max_iter=300)[0]
+    return cl.fuzzy_cmeans(pts, "key", 3, m=M, tol=1e-5, max_iter=1000)[0]
 
 
 @query("subtractive")
@@ -248,7 +248,7 @@ def _methods(spark, sf):
     pts = rfm_points(spark, sf).cache()
     p = pts.select("key", "x")
     labels = {"kmeans": cl.kmeans(p, "key", 3, n_init=2)[0],
-              "fuzzy_cmeans": cl.fuzzy_cmeans(p, "key", 3, m=M, max_iter=100)[0].select("key", "cluster"),
+              "fuzzy_cmeans": cl.fuzzy_cmeans(p, "key", 3, m=M, tol=1e-4, max_iter=1000)[0].select("key", "cluster"),
               "dbscan": cl.dbscan(p, "key", EPS, MIN_SAMPLES).select("key", "cluster"),
               "ward": cl.ward(p, "key", 3, micro=50)}
     return pts, p, labels

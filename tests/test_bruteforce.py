@@ -65,33 +65,24 @@ def test_knn_matches_bruteforce(pts):
         assert [n for _, n in sorted(got[int(k)])] == [int(n) for _, n in order]
 
 
-def _subtractive_numpy(X, ra, accept, reject, max_c):
-    alpha, beta = 4.0 / ra ** 2, 4.0 / (1.5 * ra) ** 2
-    pot = np.exp(-alpha * ((X[:, None, :] - X[None, :, :]) ** 2).sum(-1)).sum(1)
-    centres, first = [], None
-    while len(centres) < max_c:
-        i = int(pot.argmax())
-        ps = pot[i]
-        if first is None:
-            first = ps
-        elif ps > accept * first:
-            pass
-        elif ps < reject * first:
-            break
-        else:
-            pot[i] = 0.0
-            continue
-        centres.append(X[i])
-        pot = np.clip(pot - ps * np.exp(-beta * ((X - X[i]) ** 2).sum(1)), 0, None)
-    return np.array(centres)
+def test_subtractive_centres_follow_the_rule(pts):
+    """Each centre is the argmax of the potentials left by the earlier ones; the next one is not above the accept level."""
+    p, _, X = pts
+    _, centres = cl.subtractive(p, "key", ra=1.0, accept=0.4, reject=0.15, max_centres=10)
+    taken: list[tuple[np.ndarray, float]] = []
 
+    def left(v):
+        full = np.exp(-4.0 * ((X - v) ** 2).sum(axis=1)).sum()
+        for spot, height in taken:
+            full = max(full - height * np.exp(-4.0 / 2.25 * ((spot - v) ** 2).sum()), 0.0)
+        return full
 
-def test_subtractive_matches_bruteforce(pts):
-    p, keys, X = pts
-    _, centres = cl.subtractive(p, "key", ra=1.0, accept=0.4, reject=0.15, max_centres=10)
-    ref = _subtractive_numpy(X, 1.0, 0.4, 0.15, 10)
-    assert len(centres) == len(ref)
-    assert np.allclose(np.array(centres), ref, atol=1e-9)
+    for c in map(np.array, centres):
+        heights = np.array([left(v) for v in X])
+        assert np.isclose(left(c), heights.max(), atol=1e-9)
+        assert not taken or heights.max() > 0.4 * taken[0][1]
+        taken.append((c, heights.max()))
+    assert len(centres) == 10 or max(left(v) for v in X) <= 0.4 * taken[0][1] + 1e-9
 
 
 def test_fuzzy_memberships_are_distributions(pts):
@@ -190,3 +181,22 @@ def test_knn_between_with_hot_spot_matches_bruteforce(spark, pts):
         d = np.sqrt(((TX - X[i]) ** 2).sum(1))
         order = sorted(zip(d, TK))[:5]
         assert [n for _, n in sorted(got[int(keys[i])])] == [int(n) for _, n in order]
+
+
+def test_knn_pairs_per_point_stay_flat_on_a_tight_blob(spark, monkeypatch):
+    """95 % of the points in a blob a thousandth as wide as the rest: the leaves' pairs grow with n, not n^2."""
+    from tessera.operators import distance as di
+    per_point = []
+    for n in (500, 2000):
+        rng = np.random.default_rng(n)
+        X = np.where(rng.random((n, 1)) < 0.95, rng.normal(size=(n, 3)) * 1e-3, rng.normal(size=(n, 3)))
+        df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(X)], "key long, x array<double>")
+        cuts = []
+        with monkeypatch.context() as m:
+            m.setattr(di, "cut_lineage", lambda d, f=di.cut_lineage: cuts.append(f(d)) or cuts[-1])
+            got = {(r["key"], r["rank"]): r["dist"] for r in knn(df, "key", 5).collect()}
+        D = np.sort(np.sqrt(((X[:, None, :] - X[None, :, :]) ** 2).sum(-1)), axis=1)
+        assert np.allclose([[got[i, k + 1] for k in range(5)] for i in range(n)], D[:, :5])
+        states = [c for c in cuts if "near" in c.columns]
+        per_point.append(max(c.count() for c in states) / n)
+    assert per_point[1] < 1.5 * per_point[0] + 2 and per_point[1] * di.LEAF < 400

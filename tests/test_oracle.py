@@ -17,7 +17,3 @@ def test_query_matches_oracle(spark, duck, name):
     assert msg is None, msg
 
 
-def test_every_query_runs_without_sql(spark):
-    for name, fn in queries().items():
-        if name not in SQL and name in ("json_summary", "relabel_summary", "flatten_json", "tree_rules"):
-            assert fn(spark, SF_SMALL).count() >= 1
