@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (op01_license, op02_decontaminate, op03_extract, op04_language, op05_pii, op06_packing, op07_quality, op08_minhash,
-               op09_embeddings, op10_kneser_ney)
+               op09_embeddings, op10_language_model)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,7 +102,7 @@ def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op10_kneser_ney.score(table(spark, sf_dir, "documents"), order=LM_ORDER)
+    return op10_language_model.score(table(spark, sf_dir, "documents"), order=LM_ORDER)
 
 
 #: Higher orders work alike; a trigram table of the whole corpus would take more than the disk allowed (README).

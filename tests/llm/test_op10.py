@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from cases import frame, rows
-from tessera.llm import op10_kneser_ney as op
+from tessera.llm import op10_language_model as op
 from tessera.llm import textvec as tv
 from test_textvec import LOW
 
