@@ -3,9 +3,10 @@
 * centroid methods (k-means, fuzzy c-means, nearest centre) keep the centres as
   bounded literals; each iteration is a fresh plan over the cached points, so
   lineage never grows;
-* density methods (DBSCAN, subtractive potentials) use grid-blocked epsilon
-  joins from :mod:`.distance`; DBSCAN's fine grid (cell diagonal = eps) marks a
-  dense cell's points core and connected without pairing them;
+* DBSCAN works on grid cells whose diagonal is eps: a dense cell's points are
+  core and connected without being paired, sparse points ask for their nearest
+  locations (:mod:`.distance`), and cells are linked by halving their boxes;
+* subtractive potentials use a grid-blocked epsilon join;
 * Ward works on weighted k-means micro-clusters (a bounded set), then maps
   the merge back with a join.
 """
@@ -20,7 +21,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .distance import _cell, _offsets, dist, sq_dist
+from .components import components
+from .distance import _cell, _offsets, _weighted_location_knn, dist, sq_dist
 from .order import attach_row, global_index
 
 
@@ -208,54 +210,54 @@ def subtractive(points: DataFrame, key: str, ra: float, accept: float = 0.5, rej
 
 
 # ---------------------------------------------------------------- DBSCAN
-def _grid_pairs(probe: DataFrame, build: DataFrame, key: str, eps: float, x: str,
-                exclude_same_dense: bool = False) -> DataFrame:
-    """(key, nbr, __nw, dist) for probe->build pairs within eps (``__nw`` = neighbour weight).
-
-    Blocking uses cells of side eps (27 neighbour cells in 3-d), so each probe
-    row is replicated 3^d times.  With ``exclude_same_dense`` pairs that fall
-    in the same *fine* cell (column ``__cell``) of a dense cell are skipped.
-    """
-    dims = len(build.select(x).first()[0])
-    offs = F.array(*[F.array(*[F.lit(o) for o in off]) for off in _offsets(dims, 1)])
-    b = build.select(F.col(key).alias("nbr"), F.col(x).alias("__y"), _cell(F.col(x), eps, dims).alias("__c"),
-                     F.col("__cell").alias("__bcell"), F.col("__w").alias("__nw"))
-    p = probe.select(key, x, _cell(F.col(x), eps, dims).alias("__home"), "__dense", "__cell").select(
-        key, x, "__dense", "__cell",
-        F.explode(F.transform(offs, lambda o: F.zip_with(F.col("__home"), o, lambda a, bb: a + bb))).alias("__c"))
-    j = p.join(b, "__c")
-    if exclude_same_dense:
-        j = j.where(~((F.col("__cell") == F.col("__bcell")) & F.col("__dense")))
-    return j.select(key, "nbr", "__nw", dist(F.col(x), F.col("__y")).alias("dist")).where(F.col("dist") <= F.lit(eps))
-
-
-def connected_components(nodes: DataFrame, edges: DataFrame, key: str, label: str = "comp",
-                         max_rounds: int = 200) -> DataFrame:
-    """Min-label propagation with pointer jumping; (key, comp) = smallest reachable initial label.
-
-    ``nodes`` has (key, init) -- the initial label, itself a node key;
-    ``edges`` has (key, nbr) in both directions.  Each round is written to the
-    shared folder (cuts lineage, survives executor loss); it stops when no
-    label changes.
+def _boxes(pts: DataFrame, key: str, x: str, side: float, by: Sequence[str]) -> DataFrame:
+    """(by..., idx, lo, hi, rep): per grid cell of ``side`` the box of its points and one of them."""
+    dims = range(pts.select(F.size(x).alias("d")).first()["d"])
+    return pts.withColumn("idx", _cell(F.col(x), side, len(dims))).groupBy(*by, "idx").agg(
+        F.array(*[F.min(F.col(x)[i]) for i in dims]).alias("lo"), F.array(*[F.max(F.col(x)[i]) for i in dims]).alias("hi"),
+        F.min(F.struct(key, x))[x].alias("rep"))
+
+
+def _gap(lo1: Column, hi1: Column, lo2: Column, hi2: Column, farthest: bool) -> Column:
+    """Least or greatest distance between points of two boxes."""
+    def side(a, b):  # a: first box, b: second, of one axis
+        if farthest:
+            return F.greatest(F.abs(a["hi"] - b["lo"]), F.abs(b["hi"] - a["lo"]))
+        return F.greatest(a["lo"] - b["hi"], b["lo"] - a["hi"], F.lit(0.0))
+    one, two = F.arrays_zip(lo1.alias("lo"), hi1.alias("hi")), F.arrays_zip(lo2.alias("lo"), hi2.alias("hi"))
+    return F.sqrt(F.aggregate(F.zip_with(one, two, side), F.lit(0.0), lambda s, t: s + t * t))
+
+
+def _linked_cells(core: DataFrame, key: str, eps: float, side: float, x: str, dims: int) -> DataFrame:
+    """(a, b) of all pairs of core cells (``__node``) that hold points within eps of each other.
+
+    Pairs of cells are judged by their boxes: linked if the farthest corners, or one point of each, are within
+    eps; apart if the nearest sides are not.  What is open is halved along every axis, and a pair of cells
+    leaves as soon as any of its parts are linked; parts of one point are always decided.  Points are never
+    paired: the rows follow the number of cells and the stretch of border that lies about eps apart.
     """
-    lab = cut_lineage(nodes.select(key, F.col("init").alias(label)))
-    e = cut_lineage(edges.select(key, "nbr").distinct())
-    for _ in range(max_rounds):
-        via = e.join(lab.select(F.col(key).alias("nbr"), F.col(label).alias("__nl")), "nbr") \
-            .groupBy(key).agg(F.min("__nl").alias("__m"))
-        step = lab.join(via, key, "left").select(key, F.least(F.col(label), F.coalesce("__m", F.col(label))).alias(label))
-        # pointer jumping (twice): adopt the label of my label's node
-        jump = step
-        for _ in range(2):
-            jump = jump.join(jump.select(F.col(key).alias("__k2"), F.col(label).alias("__l2")),
-                             F.col(label) == F.col("__k2"), "left") \
-                .select(key, F.least(F.col(label), F.coalesce("__l2", F.col(label))).alias(label))
-        jump = cut_lineage(jump.join(lab.select(key, F.col(label).alias("__old")), key)
-                           .withColumn("__chg", F.col(label) != F.col("__old")).drop("__old"))
-        lab = jump.drop("__chg")
-        if jump.where(F.col("__chg")).isEmpty():
-            return lab
-    raise RuntimeError("connected components did not converge")
+    half = [o for o in _offsets(dims, math.ceil(math.sqrt(dims))) if o > [0] * dims]
+    offs = F.array(*[F.array(*[F.lit(v) for v in o]) for o in half])
+    cells = cut_lineage(_boxes(core, key, x, side, ["__node"]))
+    other = cells.select(F.col("__node").alias("b"), F.col("idx").alias("ib"), *[F.col(c).alias(f"{c}b") for c in ("lo", "hi", "rep")])
+    pairs = cells.select(F.col("__node").alias("a"), F.col("idx").alias("ia"), "lo", "hi", "rep", F.explode(F.transform(
+        offs, lambda o: F.zip_with(F.col("idx"), o, lambda u, v: u + v))).alias("ib")).join(other, "ib")
+    links, depth = None, 0
+    while True:
+        near, far = (_gap(F.col("lo"), F.col("hi"), F.col("lob"), F.col("hib"), f) for f in (False, True))
+        judged = cut_lineage(pairs.select("a", "b", "ia", "ib", (near <= eps).alias("may"), ((far <= eps) | (dist(F.col("rep"), F.col("repb")) <= eps)).alias("sure")).where("may"))
+        found = judged.where("sure").select("a", "b").distinct()
+        links = found if links is None else links.unionByName(found)
+        left = cut_lineage(judged.where("not sure").join(found, ["a", "b"], "left_anti").select("a", "b", "ia", "ib"))
+        if left.isEmpty():
+            return links
+        depth += 1
+        named = left.select(F.explode(F.array("a", "b")).alias("__node")).distinct()
+        parts = cut_lineage(_boxes(core.join(named, "__node", "left_semi"), key, x, side / 2 ** depth, ["__node"]).withColumn(
+            "up", F.transform("idx", lambda v: F.shiftright(v, 1))))
+        one = parts.select(F.col("__node").alias("a"), F.col("up").alias("ia"), F.col("idx").alias("na"), "lo", "hi", "rep")
+        two = parts.select(F.col("__node").alias("b"), F.col("up").alias("ib"), F.col("idx").alias("nb"), *[F.col(c).alias(f"{c}b") for c in ("lo", "hi", "rep")])
+        pairs = left.join(one, ["a", "ia"]).join(two, ["b", "ib"]).drop("ia", "ib").withColumnsRenamed({"na": "ia", "nb": "ib"})
 
 
 def dbscan(points: DataFrame, key: str, eps: float, min_samples: int, x: str = "x") -> DataFrame:
@@ -265,45 +267,49 @@ def dbscan(points: DataFrame, key: str, eps: float, min_samples: int, x: str = "
        aggregate), so a hot spot of copies is one row; every copy shares the
        location's degree, kind and cluster, so the result is unchanged.
     2. Grid of side eps/sqrt(d) (cell diagonal = eps): a cell holding at least
-       ``min_samples`` points makes all its points core, with no pairs formed
-       inside it.  Locations in sparse cells count weighted neighbours by a
-       blocked epsilon join.
+       ``min_samples`` points makes all its points core.  A location in a
+       sparse cell is core if its nearest locations (:mod:`.distance`) reach
+       weight ``min_samples`` within eps.
     3. All core points of one cell are within eps of each other, so clusters
        are the connected components of the *core-cell* graph (an edge when two
-       cells hold core points within eps) -- far smaller than the point graph.
+       cells hold core points within eps, see :func:`_linked_cells`).
        Clusters are numbered 0.. by their smallest core key; a border point
-       joins the lowest-numbered cluster among its core neighbours.
-    Meant for few dimensions (project first, e.g. :func:`features.pca_project`).
+       joins the lowest-numbered cluster among its core neighbours, which are
+       all among its nearest locations.
+    No pairs of points are formed but those of sparse points with their
+    nearest.  Meant for few dimensions (project first, e.g.
+    :func:`features.pca_project`).
     """
-    dims = len(points.select(x).first()[0])
+    first = points.select(F.size(x).alias("d")).first()
+    if first is None:
+        kind = points.schema[key].dataType.simpleString()
+        return points.sparkSession.createDataFrame([], f"`{key}` {kind}, cluster int, kind string")
+    dims = first["d"]
     side = eps / math.sqrt(dims)
     loc = points.groupBy(x).agg(F.min(key).alias(key), F.count(F.lit(1)).alias("__w"))
     pts = loc.select(key, x, "__w", _cell(F.col(x), side, dims).alias("__cell"))
     cells = pts.groupBy("__cell").agg(F.sum("__w").alias("__cn"))
     pts = cut_lineage(pts.join(cells, "__cell").withColumn("__dense", F.col("__cn") >= min_samples))
+    total = pts.agg(F.sum("__w")).first()[0]
     sparse = pts.where(~F.col("__dense"))
-    counts = _grid_pairs(sparse, pts, key, eps, x).groupBy(key).agg(F.sum("__nw").alias("__deg"))
-    core_sparse = counts.where(F.col("__deg") >= min_samples).select(key)
+    build = pts.select(F.col(key).alias("__lid"), x, "__w")
+    near = _weighted_location_knn(sparse.select(key, x), key, build, min(min_samples, total), x)
+    reach = near.groupBy(key).agg(F.max("dist").alias("__d"))
+    core_sparse = reach.where((F.col("__d") <= eps) & F.lit(total >= min_samples)).select(key)
     core = pts.where(F.col("__dense")).unionByName(pts.join(core_sparse, key, "left_semi"))
     # node of a core location = its cell, named by the smallest core key in the cell
     node = core.groupBy("__cell").agg(F.min(key).alias("__node"))
-    core = cut_lineage(core.join(node, "__cell").select(key, x, "__w", "__cell", "__dense", "__node"))
-    pairs = _grid_pairs(core, core, key, eps, x, exclude_same_dense=True)
-    nk = core.select(key, "__node")
-    cell_edges = (pairs.join(nk, key).join(nk.select(F.col(key).alias("nbr"), F.col("__node").alias("__nnode")), "nbr")
-                  .where(F.col("__node") != F.col("__nnode"))
-                  .select(F.col("__node").alias("n"), F.col("__nnode").alias("nbr")).distinct())
-    nodes = core.select(F.col("__node").alias("n")).distinct().withColumn("init", F.col("n"))
-    comp = connected_components(nodes, cell_edges, "n")
+    core = cut_lineage(core.join(node, "__cell").select(key, x, "__node"))
+    nodes = core.select(F.col("__node").alias("node")).distinct()
+    comp = components(_linked_cells(core, key, eps, side, x, dims)) if not core.isEmpty() else nodes.withColumn("component", F.col("node"))
+    comp = cut_lineage(nodes.join(comp, "node", "left").select("node", F.coalesce("component", "node").alias("comp")))
     # number clusters 0.. by their smallest core key (component label = min node = min core key)
     ids = global_index(comp.select("comp").distinct(), ["comp"], "cluster")
-    node_cluster = comp.join(ids, "comp").select(F.col("n").alias("__node"), F.col("cluster").cast("int").alias("cluster"))
-    core_lab = nk.join(node_cluster, "__node").select(key, "cluster")
-    noncore = pts.join(core_lab, key, "left_anti").withColumn("__dense", F.lit(False))
-    core_pts = pts.join(core_lab, key, "left_semi")
-    bp = _grid_pairs(noncore, core_pts.withColumn("__dense", F.lit(False)), key, eps, x)
-    border = bp.join(core_lab.select(F.col(key).alias("nbr"), F.col("cluster").alias("__c")), "nbr") \
-        .groupBy(key).agg(F.min("__c").alias("cluster"))
+    node_cluster = comp.join(ids, "comp").select(F.col("node").alias("__node"), F.col("cluster").cast("int").alias("cluster"))
+    core_lab = cut_lineage(core.select(key, "__node").join(node_cluster, "__node").select(key, "cluster"))
+    border = (near.where(F.col("dist") <= eps).join(core_lab, key, "left_anti")
+              .join(core_lab.select(F.col(key).alias("__nlid"), F.col("cluster").alias("__c")), "__nlid")
+              .groupBy(key).agg(F.min("__c").alias("cluster")))
     labelled = (core_lab.withColumn("kind", F.lit("core"))
                 .unionByName(border.withColumn("kind", F.lit("border"))))
     loc_lab = pts.select(key, x).join(labelled, key, "left").select(

@@ -200,3 +200,33 @@ def test_knn_pairs_per_point_stay_flat_on_a_tight_blob(spark, monkeypatch):
         states = [c for c in cuts if "near" in c.columns]
         per_point.append(max(c.count() for c in states) / n)
     assert per_point[1] < 1.5 * per_point[0] + 2 and per_point[1] * di.LEAF < 400
+
+
+@pytest.mark.parametrize("seed, eps, min_samples", [(1, 0.3, 5), (2, 0.05, 3), (3, 1.5, 10)])
+def test_dbscan_on_blobs_gaps_and_lattices(spark, seed, eps, min_samples):
+    """Clusters a hair more or less than eps apart, a lattice whose spacing is eps, and tight blobs."""
+    rng = np.random.default_rng(seed)
+    X = np.concatenate([rng.normal(size=(60, 2)) * eps / 20, rng.normal(size=(60, 2)) * eps / 20 + [1.05 * eps, 0], rng.normal(size=(40, 2)) * 5,
+                        np.stack(np.meshgrid(np.arange(5), np.arange(5)), -1).reshape(-1, 2) * eps + 20, rng.random((80, 2)) * 4 * eps - 30])
+    keys = np.arange(len(X)) * 3
+    df = spark.createDataFrame([(int(k), [float(v) for v in r]) for k, r in zip(keys, X)], "key long, x array<double>")
+    got = {r["key"]: (r["cluster"], r["kind"]) for r in cl.dbscan(df, "key", eps, min_samples).collect()}
+    assert got == _dbscan_numpy(keys, X, eps, min_samples)
+
+
+def test_dbscan_forms_no_pairs_of_dense_points(spark, monkeypatch):
+    """Points in neighbouring dense cells: every table stays within a few rows per point as n grows."""
+    for n in (500, 2000):
+        rng = np.random.default_rng(n)
+        df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(rng.random((n, 3)))], "key long, x array<double>")
+        cuts = []
+        with monkeypatch.context() as m:
+            m.setattr(cl, "cut_lineage", lambda d, f=cl.cut_lineage: cuts.append(f(d)) or cuts[-1])
+            assert {r["cluster"] for r in cl.dbscan(df, "key", 1.0, 5).select("cluster").distinct().collect()} == {0}
+        assert max(c.count() for c in cuts) <= 3 * n
+
+
+def test_dbscan_of_nothing(spark):
+    assert cl.dbscan(spark.createDataFrame([], "key long, x array<double>"), "key", 1.0, 3).count() == 0
+    one = cl.dbscan(spark.createDataFrame([(1, [0.0]), (2, [5.0])], "key long, x array<double>"), "key", 1.0, 3)
+    assert {(r["key"], r["cluster"], r["kind"]) for r in one.collect()} == {(1, -1, "noise"), (2, -1, "noise")}
