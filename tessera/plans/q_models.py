@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import models as md
-from ..operators.metrics import binary_model_metrics, regression_metrics
-from ..sources.tables import rfm_points
+from ..operators.metrics import binary_model_metrics, model_metrics, regression_metrics
+from ..session import cut_lineage
+from ..sources.tables import LABEL_CLASSES, rfm_points
 from ..functions.columns import hash_unit
 from .common import R, rounded
 from .modelling import DOC_FEATURES, ORDER_FEATURES, doc_table, order_table
@@ -130,15 +131,54 @@ def q_cv_scores(spark, sf):
 
 @query("leak_free_fit")
 def q_leak_free_fit(spark, sf):
-    """Impute and scale fitted on train only, then a logistic model."""
-    from ..operators.clean import impute_median
-    from ..operators.features import standard_scale
-    t, train, test = _tt(spark, sf)
-    allx = impute_median(t, FEATS, fit_on=train)
-    scaled = standard_scale(allx, FEATS, fit_on=impute_median(train, FEATS, fit_on=train), replace=True)
-    tr, te = scaled.where(F.col("split") == "train"), scaled.where(F.col("split") == "test")
-    m = md.build_model("logistic", FEATS, "y", n_rows=tr.count(), C=1.0).fit(tr)
-    return md.predict(m, te, "key", "y")
+    """Imputer, scaler and logistic model as one pipeline, fitted on train rows with planted NULLs."""
+    _, train, test = _tt(spark, sf)
+    holes = [F.when(hash_unit("key", 31) < 0.1, F.lit(None)).otherwise(F.col(c)).alias(c) if c == "n_words" else F.col(c) for c in train.columns]
+    m = md.build_model("logistic", FEATS, "y", n_rows=train.count(), impute=True, scale=True, C=1.0).fit(train.select(*holes))
+    return md.predict(m, test.select(*holes), "key", "y")
+
+
+RFM_FEATURES = ["z0", "z1", "z2"]
+
+
+def _rfm_table(spark, sf):
+    """Customer points with three classes: y (noisy label), y_true, split and fold; one customer in ten lacks z2."""
+    index = F.array(*map(F.lit, LABEL_CLASSES))
+    t = rfm_points(spark, sf).select(
+        "key", "z0", "z1", F.when(hash_unit("key", 31) < 0.1, F.lit(None)).otherwise(F.col("z2")).alias("z2"),
+        (F.array_position(index, F.col("label")) - 1).cast("int").alias("y"), (F.array_position(index, F.col("label_true")) - 1).cast("int").alias("y_true"),
+        F.when(hash_unit("key", 13) < 0.25, "test").otherwise("train").alias("split"), F.floor(hash_unit("key", 17) * 4).cast("int").alias("fold"))
+    return cut_lineage(t)
+
+
+@query("multiclass_forest")
+def q_multiclass_forest(spark, sf):
+    """M2 on three classes, imputed inside the pipeline; every test row is scored."""
+    t = _rfm_table(spark, sf)
+    m = md.build_model("forest", RFM_FEATURES, "y", impute=True, n_estimators=50, max_depth=6).fit(t.where("split = 'train'"))
+    return md.predict(m, t.where("split = 'test'"), "key", "y", all_classes=True)
+
+
+@query("multiclass_search")
+def q_multiclass_search(spark, sf):
+    """Three-class tree tuned on weighted F1, then fitted again; scores of the best on the test rows."""
+    t = _rfm_table(spark, sf)
+    grid = md.param_grid("tree", {"max_depth": [2, 4, 8]}, {"impute": True, "scale": True})
+    best, params, _ = md.search_fit(t.where("split = 'train'"), "fold", "tree", RFM_FEATURES, "y", grid, metric="f1_weighted")
+    return model_metrics(md.predict(best, t.where("split = 'test'"), "key", "y"), [], range(len(LABEL_CLASSES))).withColumn("max_depth", F.lit(params["max_depth"]))
+
+
+@query("multiclass_two_labels")
+def q_multiclass_two_labels(spark, sf):
+    """M23 on three classes: two models x two label sources, all judged on the true test labels."""
+    t = _rfm_table(spark, sf)
+    train, test, preds = t.where("split = 'train'"), t.where("split = 'test'"), None
+    for source in ("y", "y_true"):
+        for kind, p in (("tree", {"max_depth": 6}), ("logistic", {"C": 1.0, "n_rows": train.count()})):
+            m = md.build_model(kind, RFM_FEATURES, source, impute=True, scale=True, **p).fit(train)
+            one = md.predict(m, test, "key", "y_true").select(F.lit(kind).alias("model"), F.lit(source).alias("label_source"), "y", "p")
+            preds = one if preds is None else preds.unionByName(one)
+    return model_metrics(preds, ["model", "label_source"], range(len(LABEL_CLASSES)))
 
 
 @query("param_sweep")

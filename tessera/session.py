@@ -39,7 +39,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     parts = os.environ.get("TESSERA_SHUFFLE_PARTITIONS", "8") if local and not running else None
     fallback = {
         "spark.master": os.environ.get("TESSERA_MASTER", "local[8]"),
-        "spark.sql.shuffle.partitions": parts, "spark.default.parallelism": parts,
+        "spark.sql.shuffle.partitions": parts, "spark.default.parallelism": None if "spark.master" in named else parts,
         "spark.driver.memory": "16g" if not named else None,
         "spark.sql.adaptive.enabled": "true", "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true", "spark.sql.session.timeZone": "UTC",
