@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import importlib
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,3 +51,27 @@ def plain_path(uri: str) -> str:
     if "://" in uri:
         raise ValueError(f"{uri}: memory-mapped files need spark.checkpoint.dir on a file system that every machine mounts")
     return uri
+
+
+def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with equal integer keys, each as one batch, of a partition sorted by them."""
+    held: list[pa.RecordBatch] = []
+    last = None
+
+    def whole():
+        return pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+    for b in batches:
+        if not b.num_rows:
+            continue
+        cols = np.stack([b.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in keys])
+        edge = np.concatenate([[0], np.flatnonzero((cols[:, 1:] != cols[:, :-1]).any(axis=0)) + 1, [b.num_rows]]).tolist()
+        for a, z in zip(edge[:-1], edge[1:], strict=True):
+            now = tuple(cols[:, a])
+            if held and now != last:
+                yield whole()
+                held = []
+            held.append(b.slice(a, z - a))
+            last = now
+    if held:
+        yield whole()

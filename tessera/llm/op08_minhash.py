@@ -12,16 +12,18 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from . import textvec as tv
-from .common import arrow_map
+from .common import arrow_map, groups
 from .components import components
 
 U64 = tv.U64
 BANDS, ROWS = 25, 5
+LEADERS = 64  # of a bucket in its first round after the hub's; each further round has as many times more
+BLOCK = 512   # documents of a bucket that one task compares with as many leaders
 ROUND_BITS = 52
 
 
@@ -110,11 +112,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     an empty set and no link.  Rows of one doc_id are one document; a null doc_id links with nothing, has a
     null component and is kept.  An empty table gives an empty result.
 
-    Equal sets collapse to one representative before anything is compared.  Each band bucket then works in
-    rounds: some members lead, all members of other components are verified against them, components are
-    joined, and the bucket rests once every pair still in different components has been compared or ruled
-    out (by set sizes, or by the triangle inequality of the Jaccard distance over the bucket's first
-    leader).  Pairs inside a component are not formed, so a large group of near copies costs about its size.
+    Equal sets collapse to one representative before anything is compared.  In each band bucket all members
+    are verified against the bucket's hub, and components are joined.  Buckets whose other members still stand
+    in different components go on in rounds: members outside the bucket's largest component lead, and are
+    compared with all members of other components, in blocks of bounded size that put out links only.  A bucket
+    rests when no member is left to lead, so every pair of a bucket is compared or in one component.
     """
     docs = docs.select("doc_id", "text")
     base = cut_lineage(arrow_map(docs, _sketch_batches, "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>",
@@ -136,43 +138,76 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
 
 
 def _link_buckets(member: DataFrame, docs: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Links and components of ``member`` (key, id, n, hub), by rounds of leaders."""
+    """Links and components of ``member`` (key, id, n, hub), first by hubs, then by rounds of leaders."""
     near = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent  # smaller / larger bounds the similarity
     linked = F.col("inter") * 100 >= (F.col("na") + F.col("nb") - F.col("inter")) * percent
     spoke = member.where("id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b"), F.col("n").alias("nb")).distinct()
     hubs = member.where("id = hub").select(F.col("id").alias("a"), F.col("n").alias("na")).distinct()
-    first = cut_lineage(verify(spoke.join(hubs, "a").where(near).select("a", "b"), docs, shingle))
-    links = first.where(linked).select("a", "b")
+    links = cut_lineage(verify(spoke.join(hubs, "a").where(near).select("a", "b"), docs, shingle).where(linked).select("a", "b"))
     grouped = cut_lineage(components(links))
-    # distance to the bucket's hub where it was measured
-    far = first.select(F.col("a").alias("hub"), F.col("b").alias("id"), (1 - F.col("inter") / (F.col("na") + F.col("nb") - F.col("inter"))).alias("d"))
-    led, leaders = None, 1
+    # buckets of other bands with the same members say nothing new
+    other = member.where("id != hub")
+    same = other.groupBy("key", "hub").agg(F.count(F.lit(1)).alias("c"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("s"))
+    other = other.select("key", "id").join(same.where("c > 1").groupBy("hub", "c", "s").agg(F.min("key").alias("key")).select("key"), "key", "left_semi")
+    other, sets, led, leaders = cut_lineage(other), None, None, LEADERS
     while True:
-        now = member.join(grouped.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-        per = now.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c"))
+        now = other.join(grouped.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
         # the largest component of a bucket needs no leader: its pairs with others are made by the others
-        top = per.groupBy("key").agg(F.max(F.struct("c", "component")).alias("t"), F.count(F.lit(1)).alias("k")).where("k > 1")
-        todo = now.join(top.select("key", F.col("t.component").alias("main")), "key").where("component != main and id != hub")
+        per = now.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c"))
+        top = per.groupBy("key").agg(F.max(F.struct("c", "component")).alias("t"), F.sum("c").alias("c"), F.count(F.lit(1)).alias("k")).where("k > 1")
+        now = now.join(top.select("key", F.col("t.component").alias("main"), F.ceil(F.col("c") / BLOCK).cast("int").alias("parts")), "key")
+        todo = now.where("component != main")
         if led is not None:
             todo = todo.join(led, ["key", "id"], "left_anti")
-        todo = todo.select("key", "id", "n", "hub", "component")
-        rank = F.row_number().over(_per_key())
-        chosen = cut_lineage(todo.withColumn("rank", rank).where(F.col("rank") <= leaders).drop("rank"))
+        rank = F.row_number().over(Window.partitionBy("key").orderBy("id"))
+        chosen = cut_lineage(todo.withColumn("rank", rank).where(F.col("rank") <= leaders).drop("main"))
         if chosen.isEmpty():
             return links, grouped
         led = chosen.select("key", "id") if led is None else cut_lineage(led.unionByName(chosen.select("key", "id")))
-        x = chosen.join(far, ["hub", "id"], "left").select("key", F.col("id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), F.col("d").alias("da"))
-        y = now.join(far, ["hub", "id"], "left").where("id != hub").select("key", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), F.col("d").alias("db"))
-        reach = F.coalesce(F.abs(F.col("da") - F.col("db")) <= 1 - percent / 100 + 1e-9, F.lit(True))
-        pairs = x.join(y, "key").where((F.col("ca") != F.col("cb")) & near & reach).select(
-            F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        found = cut_lineage(verify(pairs, docs, shingle).where(linked).select("a", "b"))
+        if sets is None:
+            sets = cut_lineage(arrow_map(docs.join(now.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi"), _set_batches,
+                                         "doc_id long, shingles array<long>", n=shingle).withColumnRenamed("doc_id", "id"))
+        found = cut_lineage(_compare_blocks(now, chosen, sets, percent))
         if not found.isEmpty():
             links = cut_lineage(links.unionByName(found))
             grouped = cut_lineage(components(links))
-        leaders *= 2
-
-
-def _per_key():
-    from pyspark.sql import Window
-    return Window.partitionBy("key").orderBy("id")
+        leaders *= LEADERS
+
+
+def _compare_blocks(now: DataFrame, chosen: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between leaders and members of their buckets, by (bucket, block of members, block of leaders)."""
+    sides = chosen.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("sides"))
+    block = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
+    m = now.join(sides, "key").select("key", block.alias("i"), F.explode(F.sequence(F.lit(0), F.col("sides") - 1)).alias("j"), F.lit(0).alias("leads"), "id", "component")
+    x = chosen.join(sides, "key").select("key", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("i"),
+                                         F.pmod(F.xxhash64("id"), F.col("sides")).cast("int").alias("j"), F.lit(1).alias("leads"), "id", "component")
+    rows = m.unionByName(x).join(sets, "id").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "leads")
+    return arrow_map(rows, _compare_batches, "a long, b long", percent=percent).distinct()
+
+
+def _compare_batches(batches, percent: int):
+    for g in groups(batches, ["key", "i", "j"]):
+        leads, ids, comp = (g.column(c).to_numpy() for c in ("leads", "id", "component"))
+        col = g.column("shingles")
+        size = col.value_lengths().to_numpy().astype(np.int64)
+        flat, first = col.flatten().to_numpy(), np.concatenate([[0], np.cumsum(size)])
+        n = int((leads == 0).sum())
+        row, own = np.repeat(np.arange(n), size[:n]), flat[: first[n]]
+        a, b = [], []
+        for k in range(n, len(ids)):
+            may = (comp[:n] != comp[k]) & (100 * np.minimum(size[:n], size[k]) >= percent * np.maximum(size[:n], size[k]))
+            if not may.any():
+                continue
+            if may.all():
+                r, f = row, own
+            else:
+                keep = may[row]
+                r, f = row[keep], own[keep]
+            lead = np.sort(flat[first[k]: first[k + 1]])
+            at = np.minimum(np.searchsorted(lead, f), len(lead) - 1)
+            inter = np.bincount(r[lead[at] == f], minlength=n)
+            for i in np.flatnonzero(may & (100 * inter >= percent * (size[:n] + size[k] - inter))).tolist():
+                a.append(int(ids[k]))
+                b.append(int(ids[i]))
+        if a:
+            yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
