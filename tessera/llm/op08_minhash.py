@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 from . import textvec as tv
 from .common import arrow_map, groups
-from .components import components
+from ..operators.components import components
 
 U64 = tv.U64
 BANDS, ROWS = 25, 5
@@ -151,11 +151,12 @@ def _link_buckets(member: DataFrame, docs: DataFrame, shingle: int, percent: int
     other = other.select("key", "id").join(same.where("c > 1").groupBy("hub", "c", "s").agg(F.min("key").alias("key")).select("key"), "key", "left_semi")
     other, sets, led, leaders = cut_lineage(other), None, None, LEADERS
     while True:
-        now = other.join(grouped.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+        now = cut_lineage(other.join(grouped.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id")))
         # the largest component of a bucket needs no leader: its pairs with others are made by the others
         per = now.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c"))
         top = per.groupBy("key").agg(F.max(F.struct("c", "component")).alias("t"), F.sum("c").alias("c"), F.count(F.lit(1)).alias("k")).where("k > 1")
-        now = now.join(top.select("key", F.col("t.component").alias("main"), F.ceil(F.col("c") / BLOCK).cast("int").alias("parts")), "key")
+        now = cut_lineage(now.join(top.select("key", F.col("t.component").alias("main"), F.ceil(F.col("c") / BLOCK).cast("int").alias("parts")), "key"))
+        other = now.select("key", "id")  # a bucket of one component stays so
         todo = now.where("component != main")
         if led is not None:
             todo = todo.join(led, ["key", "id"], "left_anti")

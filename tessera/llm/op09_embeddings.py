@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .common import arrow_map
-from .components import components
+from ..operators.components import components
 
 NEIGHBOURS = 10
 ORDERS = 8         # random orders that the first lists come from

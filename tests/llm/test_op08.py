@@ -6,7 +6,7 @@ import numpy as np
 from cases import frame, rows
 from tessera.llm import op08_minhash as op
 from tessera.llm import textvec as tv
-from tessera.llm.components import components
+from tessera.operators.components import components
 from test_textvec import LOW
 
 
