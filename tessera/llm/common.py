@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import importlib
 import sys
 from collections.abc import Callable, Iterator
@@ -30,11 +32,21 @@ def arrow_map(df: DataFrame, fn: Callable, schema: str, **args) -> DataFrame:
     def run(batches):
         if root not in sys.path:
             sys.path.append(root)
-        return getattr(importlib.import_module(module), name)(batches, **args)
+        yield from getattr(importlib.import_module(module), name)(batches, **args)
+        importlib.import_module("tessera.llm.common").give_back()
 
     return df.mapInArrow(run, schema)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: workers live on between tasks, several to an executor."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
+
+
 def fold(column: str, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``; rows with remainder 0 are held out.  A null id counts as the text ''."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % parts

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-CHUNK_BYTES = 1 << 21  # text bytes handled at once; temporaries are some 60 bytes per byte
+CHUNK_BYTES = 1 << 20  # text bytes handled at once; temporaries are some 60 bytes per byte
 
 
 def _stream(n: int, seed: int) -> np.ndarray:
