@@ -52,6 +52,17 @@ def fold(column: str, parts: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % parts
 
 
+def sampled(df: DataFrame, key: str, n: int, rows: int) -> DataFrame:
+    """At most ``n`` of about ``rows`` rows, by hash of ``key``: a training sample of bounded size.
+
+    A hash threshold keeps some 2n rows on the executors, so what reaches the driver does not grow with the
+    number of partitions; the order of hash and content picks n of them.
+    """
+    span = 1 << 32
+    place = F.pmod(F.xxhash64(key), F.lit(span))
+    return df.where(place < min(span, span * 2 * n // max(rows, 1) + 1)).orderBy(place, *[f"`{c}`" for c in df.columns]).limit(n)
+
+
 def plain_path(uri: str) -> str:
     """The path of a shared folder as the workers' file system has it.
 

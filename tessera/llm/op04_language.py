@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textvec as tv
-from .common import arrow_map, fold
+from .common import arrow_map, fold, give_back, sampled
 
 U64 = tv.U64
 SAMPLE_ROWS = 120      # labelled rows per language that training sees
@@ -173,7 +173,7 @@ def train(rows: list[tuple[str, str]], steps: int = 80, rate: float = 0.3, decay
     order = np.lexsort((lex_lang, lex_key))
     lexicon = (lex_key[order], lex_lang[order])
     used, word_form = np.unique(word_form, return_inverse=True)
-    fw, ff = feature_ids(data, w.start[one[used]], w.end[one[used]], w.hash[one[used]], lexicon)
+    fw, ff = (x.astype(np.int32) for x in feature_ids(data, w.start[one[used]], w.end[one[used]], w.hash[one[used]], lexicon))
     # splice runs of 6 to 40 words of random languages into sequences of BLOCK words
     pools = [np.flatnonzero(word_lang == j) for j in range(k)]
     cursor, parts, n_words = [0] * k, [], sum(map(len, pools))
@@ -224,11 +224,13 @@ def train(rows: list[tuple[str, str]], steps: int = 80, rate: float = 0.3, decay
 def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> dict:
     """Model from at most ``sample_rows`` labelled rows per language outside the held-out fold, taken by id hash."""
     rows = docs.where("lang is not null and text is not null").where(fold("doc_id", 5) != 0).select("doc_id", "text", "lang")
-    langs = sorted(r["lang"] for r in rows.groupBy("lang").count().collect())  # one row per language
+    langs = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # one row per language
     sample = []
-    for lang in langs:
-        sample += [(r["text"], lang) for r in rows.where(F.col("lang") == lang).orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(sample_rows).collect()]
-    return train(sample)
+    for lang in sorted(langs):
+        sample += [(r["text"], lang) for r in sampled(rows.where(F.col("lang") == lang), "doc_id", sample_rows, langs[lang]).collect()]
+    model = train(sample)
+    give_back()  # the driver's too
+    return model
 
 
 def label(model: dict, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
