@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textvec as tv
-from .common import arrow_map
+from .common import arrow_map, sampled
 
 U64 = tv.U64
 SAMPLE_ROWS = 400    # documents whose lines serve as examples of no licence
@@ -186,7 +186,8 @@ def _scan_batches(batches, model):
 
 def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> dict:
     """Model; the examples of no licence are lines of at most ``sample_rows`` documents taken by id hash, without those that hold a template."""
-    rows = docs.where("text is not null").select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(sample_rows).collect()
+    rows = docs.where("text is not null").select("doc_id", "text")
+    rows = sampled(rows, "doc_id", sample_rows, rows.count()).collect()
     lines = sorted({line for r in rows for line in r["text"].split("\n") if line.strip()})
     pairs = [np.unique(tv.ngram_hash(w, 2)) for ts in TEMPLATES.values() for w in tv.hash_words(list(ts)) if len(w) > 1]
     carried = np.unique(np.concatenate(tv.hash_words(["licence license licensed SPDX"])))
