@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map
+from .common import arrow_map, sampled
 
 SAMPLE_PAGES = 400
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*)(?:>|\Z)|[^<]+|<", re.S)
@@ -182,8 +182,8 @@ def _extract_batches(batches, weights):
 
 def fit(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> dict[str, float]:
     """Weights from at most ``sample_pages`` pages that hold an article or main element, taken by id hash."""
-    some = pages.where(F.col("html").rlike("(?i)<(article|main)[\\s>]")).orderBy(F.xxhash64("page_id"), "page_id", "html").limit(sample_pages)
-    return learn([r["html"] for r in some.select("html").collect()])
+    some = pages.select("page_id", "html").where(F.col("html").rlike("(?i)<(article|main)[\\s>]"))
+    return learn([r["html"] for r in sampled(some, "page_id", sample_pages, some.count()).collect()])
 
 
 def extract(pages: DataFrame) -> DataFrame:
