@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textvec as tv
-from .common import arrow_map, fold
+from .common import arrow_map, fold, sampled
 
 U64 = tv.U64
 SAMPLE_ROWS = 4_000  # labelled rows that training sees, by id hash
@@ -157,10 +157,10 @@ def train(rows: list[tuple[str, int]], epochs: int = 60, rate: float = 0.1, deca
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> dict:
     """Model from at most ``sample_rows`` labelled rows outside the held-out fold, taken by id hash."""
     marked = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.max("quality").cast("int").alias("y"))
-    marked = marked.where(fold("doc_id", 5) != 0).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
+    marked = marked.where(fold("doc_id", 5) != 0)
+    marked = sampled(marked, "doc_id", sample_rows, marked.count())
     rows = docs.select("doc_id", "text").join(F.broadcast(marked), "doc_id")  # at most ``sample_rows`` short rows
-    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(sample_rows)
-    return train([(r["text"] or "", r["y"]) for r in rows.select("text", "y").collect()])
+    return train([(r["text"] or "", r["y"]) for r in sampled(rows, "doc_id", sample_rows, sample_rows).collect()])
 
 
 def _score_batches(batches, model):
