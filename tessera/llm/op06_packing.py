@@ -1,7 +1,6 @@
 """Packing token pieces into sequences by minimum bin slack.
 
-Texts are cut at ASCII white space, which the tokenizer never joins across, and each distinct
-word is encoded once per worker.  Bins are planned on the histogram of piece lengths: the bin
+Texts are cut where the tokenizer never joins, and each distinct word is encoded once per worker.  Bins are planned on the histogram of piece lengths: the bin
 holds the largest length left and the combination of the others that fills it best (a
 subset-sum over bitsets); that combination is taken as often as its lengths last.  The plan has
 at most some thousand rows whatever the corpus' size.
@@ -22,53 +21,87 @@ from . import textvec as tv
 from .common import arrow_map
 
 CAPACITY = 4096
-CACHE_WORDS = 1 << 20  # distinct words a worker remembers before it starts anew
+CACHE_WORDS = 1 << 19  # distinct words a worker remembers before it starts anew; some 35 bytes each
+
+
+_PLAIN = np.zeros(256, bool)
+_PLAIN[48:58] = _PLAIN[65:91] = _PLAIN[97:123] = True
+_MARKS = np.zeros(256, bool)
+_MARKS[np.frombuffer(b"!#$%&()*+,-./:;=?@[]^_{}~", np.uint8)] = True  # neither apostrophe nor the marks of special tokens
 
 
 class WordEncoder:
-    """Token ids of texts, by way of a memory of word ids."""
+    """Token ids of texts, by way of a memory of word ids.
+
+    Texts are cut at ASCII white space, and where an ASCII letter or digit meets an ASCII mark; the
+    tokenizer splits at both places before it merges.  It also lower-cases, so words are remembered
+    lower-cased, but for those with a ``<``, which may be a special token.
+    """
 
-    def __init__(self, path: str, member: np.ndarray = tv.NONSPACE) -> None:
+    def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
-        self.tokenizer, self.member = Tokenizer.from_file(path), member
+        self.tokenizer = Tokenizer.from_file(path)
         self._forget()
 
     def _forget(self) -> None:
-        self.at: dict[int, int] = {}
-        self.first, self.size, self.pool, self.used = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64), np.zeros(1 << 14, np.uint32), 0
-
-    def _learn(self, keys: list[int], texts: list[str]) -> None:
-        for e, key in zip(self.tokenizer.encode_batch(texts, add_special_tokens=False), keys, strict=True):
-            ids, k = e.ids, len(self.at)
-            if k >= len(self.first):
-                self.first, self.size = np.resize(self.first, 2 * k), np.resize(self.size, 2 * k)
-            while self.used + len(ids) > len(self.pool):
-                self.pool = np.resize(self.pool, 2 * len(self.pool))
-            self.at[key], self.first[k], self.size[k] = k, self.used, len(ids)
-            self.pool[self.used: self.used + len(ids)] = ids
-            self.used += len(ids)
+        self.keys, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int32)  # by ascending hash: which word it is
+        self.first, self.size, self.pool, self.used = np.zeros(1 << 12, np.int32), np.zeros(1 << 12, np.int32), np.zeros(1 << 14, np.uint32), 0
+
+    def _learn(self, keys: np.ndarray, texts: list[str]) -> None:
+        ids = [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        size, k = np.fromiter(map(len, ids), np.int64, len(ids)), len(self.keys)
+        flat = np.fromiter((x for i in ids for x in i), np.uint32, int(size.sum()))
+        while k + len(ids) > len(self.first):
+            self.first, self.size = np.resize(self.first, 2 * len(self.first)), np.resize(self.size, 2 * len(self.size))
+        while self.used + len(flat) > len(self.pool):
+            self.pool = np.resize(self.pool, 2 * len(self.pool))
+        self.first[k: k + len(ids)], self.size[k: k + len(ids)] = self.used + np.cumsum(size) - size, size
+        self.pool[self.used: self.used + len(flat)] = flat
+        self.used += len(flat)
+        at = np.searchsorted(self.keys, keys)
+        self.keys, self.place = np.insert(self.keys, at, keys), np.insert(self.place, at, np.arange(k, k + len(ids), dtype=np.int32))
 
     def encode(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all rows one after the other, number of ids per row)."""
-        w = tv.words(data, off, self.member, lower=False)
-        keys, one, back = np.unique(w.hash, return_index=True, return_inverse=True)
-        if len(self.at) > CACHE_WORDS:
+        low = tv.LOWER[data]
+        inside = tv.NONSPACE[data]
+        for a, z in zip(*tv.runs(inside, off), strict=True) if (data == 60).any() else ():
+            if (data[a:z] == 60).any():
+                low[a:z] = data[a:z]
+        edge = np.zeros(len(data), bool)
+        edge[1:] = _PLAIN[data[:-1]] & _MARKS[data[1:]]
+        start, end = tv.runs(inside, np.unique(np.concatenate([off, np.flatnonzero(edge)])))
+        row = np.searchsorted(off, start, "right") - 1
+        keys, one, back = np.unique(tv.span_hash(low, start, end), return_index=True, return_inverse=True)
+        if len(self.keys) > CACHE_WORDS:
             self._forget()
-        new = [k for k, key in enumerate(keys.tolist()) if key not in self.at]
-        for k in range(0, len(new), 4096):
-            part = one[new[k: k + 4096]]
-            self._learn(keys[new[k: k + 4096]].tolist(), [data[a:z].tobytes().decode() for a, z in zip(w.start[part].tolist(), w.end[part].tolist(), strict=True)])
-        place = np.fromiter((self.at[k] for k in keys.tolist()), np.int64, len(keys))[back]
-        size, first = self.size[place], self.first[place]
+        at = np.searchsorted(self.keys, keys)
+        new = np.flatnonzero(self.keys[np.minimum(at, len(self.keys) - 1)] != keys) if len(self.keys) else np.arange(len(keys))
+        for k in range(0, len(new), 1 << 13):
+            some = new[k: k + (1 << 13)]
+            part = one[some]
+            self._learn(keys[some], [low[a:z].tobytes().decode() for a, z in zip(start[part].tolist(), end[part].tolist(), strict=True)])
+        place = self.place[np.searchsorted(self.keys, keys)][back]
+        size, first = self.size[place].astype(np.int64), self.first[place].astype(np.int64)
         before = np.cumsum(size) - size
         ids = self.pool[np.repeat(first - before, size) + np.arange(int(size.sum()))]
-        return ids, np.bincount(w.row, weights=size, minlength=len(off) - 1).astype(np.int64)
+        return ids, np.bincount(row, weights=size, minlength=len(off) - 1).astype(np.int64)
+
+
+_ENCODERS: dict[str, WordEncoder] = {}
+
+
+def encoder(path: str) -> WordEncoder:
+    """The process' encoder: a worker keeps its memory of words from task to task."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = WordEncoder(path)
+    return _ENCODERS[path]
 
 
 def _piece_batches(batches, path: str, capacity: int, end_id: int):
-    encoder, part, seen = WordEncoder(path), TaskContext.get().partitionId(), {}
+    words, part, seen = encoder(path), TaskContext.get().partitionId(), {}
     for b in tv.chunks(batches, "text"):
-        ids, n = encoder.encode(*tv.text_buffers(b.column("text")))
+        ids, n = words.encode(*tv.text_buffers(b.column("text")))
         ids = np.insert(ids, np.cumsum(n), end_id).astype("<u4")
         total = n + 1
         pieces = -(-total // capacity)
