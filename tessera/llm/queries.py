@@ -32,11 +32,11 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL["op2_decontaminate"] = r"""
 WITH d AS (
-  SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS ws FROM documents),
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
 b AS (
-  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, list_filter(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS ws FROM benchmark),
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
 bw AS (SELECT DISTINCT item, k, list_aggregate(ws[i : i + k - 1], 'string_agg', ' ') AS win
        FROM (SELECT item, ws, least(len(ws), 10) AS k, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS i FROM b WHERE len(ws) > 0)),
 ks AS (SELECT DISTINCT k FROM bw),
@@ -82,8 +82,8 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL["op8_minhash"] = r"""
 WITH RECURSIVE w AS (
-  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                                                '[\x20\x09-\x0D]'), x -> x <> '') AS ws FROM documents),
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                '[^\x20\x09-\x0D]+') AS ws FROM documents),
 s AS (SELECT DISTINCT doc_id, list_aggregate(ws[i : i + 2], 'string_agg', ' ') AS sh
       FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 2, 1) + 1)) AS i FROM w WHERE len(ws) > 0)),
 n AS (SELECT w.doc_id, count(s.sh) AS n_shingles FROM w LEFT JOIN s USING (doc_id) GROUP BY 1),
