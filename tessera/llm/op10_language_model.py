@@ -8,11 +8,13 @@ shard in the shared folder, written under another name and then renamed, so a ta
 again leaves the same file.
 
 Map tasks count what they read before the shuffle and send arrays, not rows; nothing but
-shard sizes and counts of counts reaches the driver.
+shard sizes and counts of counts reaches the driver.  Counts are kept in the narrowest type and
+probabilities are worked out when texts are scored, so a gram of the top level takes some 9 bytes.
 """
 
 from __future__ import annotations
 
+import gc
 import os
 import uuid
 from pathlib import Path
@@ -29,6 +31,7 @@ from .common import arrow_map, fold, plain_path
 U64 = tv.U64
 BEGIN, END = tv.mix(np.array([1, 2], U64))
 HOLD = 1 << 21  # distinct grams a map task keeps before it sends them on
+PARTS = 2  # runs over the texts for a level above 2; each shuffles that part of the shards
 NONE = np.int64(-1)
 
 
@@ -72,9 +75,28 @@ class Store:
     def array(self, level: int, what: str, shard: int) -> np.ndarray:
         at = (level, what, shard)
         if at not in self.maps:
-            self.maps[at] = np.load(self.name(*at), mmap_mode="r")
+            name = self.name(*at)
+            if what == "used" and not os.path.exists(name):  # the top level; grams without a left neighbour begin a text
+                name = self.name(level, "count", shard)
+            self.maps[at] = np.load(name, mmap_mode="r")
         return self.maps[at]
 
+    def keys(self, level: int, index: np.ndarray) -> np.ndarray:
+        """Keys of a level at ascending indices."""
+        edge = np.searchsorted(index, self.first[level])
+        some = np.flatnonzero(np.diff(edge)).tolist()
+        return np.concatenate([np.empty(0, U64), *[self.array(level, "key", s)[index[edge[s]: edge[s + 1]] - self.first[level][s]] for s in some]])
+
+    def suffix(self, level: int, keys: np.ndarray) -> np.ndarray:
+        """Index in the level below of each gram without its first word."""
+        pair = unmix(keys)
+        word = pair & U64(0xFFFFFFFF)
+        if level == 2:
+            return word.astype(np.int64)
+        one, back = np.unique((pair >> U64(32)).astype(np.int64), return_inverse=True)
+        keys, back = np.unique(gram_key(self.suffix(level - 1, self.keys(level - 1, one))[back], word), return_inverse=True)
+        return self.find(level - 1, keys)[back]
+
     def shard(self, keys: np.ndarray) -> np.ndarray:
         return (keys >> U64(64 - self.bits)).astype(np.int64)
 
@@ -128,18 +150,35 @@ def indices(store: Store, h: np.ndarray, row: np.ndarray, levels: int) -> list[n
     return out
 
 
+def narrow(values: np.ndarray) -> np.ndarray:
+    """Whole numbers in the narrowest type that holds them."""
+    return values.astype(np.min_scalar_type(int(values.max()) if len(values) else 0))
+
+
+def packed(values: np.ndarray, rising: bool = False) -> bytes:
+    """Byte planes, of the steps if the values rise: high bytes are mostly zero and the shuffle compresses them away."""
+    if rising:
+        values = np.diff(values, prepend=values.dtype.type(0))
+    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T).tobytes()
+
+
+def unpacked(data, kind: type, rising: bool = False) -> np.ndarray:
+    values = np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).reshape(-1).view(kind)
+    return np.cumsum(values, dtype=kind) if rising else values
+
+
 def _send(bits: int, keys: np.ndarray, cols: list[np.ndarray]):
     """A row per shard: the shard's keys and further columns as bytes."""
     edge = np.searchsorted((keys >> U64(64 - bits)).astype(np.int64), np.arange((1 << bits) + 1))
     some = np.flatnonzero(np.diff(edge)).tolist()
     if some:
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), *[
-            pa.array([c[edge[s]: edge[s + 1]].tobytes() for s in some], pa.binary()) for c in (keys, *cols)]],
+            pa.array([packed(c[edge[s]: edge[s + 1]], not k) for s in some], pa.binary()) for k, c in enumerate((keys, *cols))]],
             names=["shard", "key", *[f"c{k}" for k in range(len(cols))]])
 
 
-def _count_batches(batches, store: Store, level: int):
-    """Counts of the level's grams; from level 3 on with the index of the gram's last level - 1 words."""
+def _count_batches(batches, store: Store, level: int, part: int, parts: int):
+    """Counts of the level's grams in every ``parts``-th shard."""
     held: list[tuple[np.ndarray, ...]] = []
     size = 0
 
@@ -148,8 +187,7 @@ def _count_batches(batches, store: Store, level: int):
         order = np.argsort(keys, kind="stable")
         keys = keys[order]
         first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        cols = [np.add.reduceat(np.concatenate([x[1] for x in held])[order], first).astype(np.uint32)]
-        return keys[first], cols + ([np.concatenate([x[2] for x in held])[order][first]] if level > 2 else [])
+        return keys[first], np.add.reduceat(np.concatenate([x[1] for x in held])[order], first).astype(np.uint32)
 
     for b in tv.chunks(batches, "text"):
         h, row = tokens(*tv.text_buffers(b.column("text")))
@@ -159,21 +197,17 @@ def _count_batches(batches, store: Store, level: int):
             ids = indices(store, h, row, level - 1)
             ok = np.flatnonzero((ids[-1][:-1] >= 0) & (row[1:] == row[:-1])) + 1
             keys = gram_key(ids[-1][ok - 1], ids[0][ok])
-            if level == 2:
-                held.append(tv.counted(keys))
-            else:
-                keys, one, n = np.unique(keys, return_index=True, return_counts=True)
-                held.append((keys, n, ids[-1][ok][one].astype(np.uint32)))
+            held.append(tv.counted(keys if parts == 1 else keys[store.shard(keys) % parts == part]))
         size += len(held[-1][0])
         if size > 4 * HOLD:
-            held = [(m[0], *m[1]) for m in [merged()]]
+            held = [merged()]
             size = len(held[0][0])
             if size > HOLD:
-                yield from _send(store.bits, held[0][0], list(held[0][1:]))
+                yield from _send(store.bits, held[0][0], [held[0][1]])
                 held, size = [], 0
     if held:
-        keys, cols = merged()
-        yield from _send(store.bits, keys, cols)
+        keys, n = merged()
+        yield from _send(store.bits, keys, [n])
 
 
 def _shards(batches, kinds: list[type]):
@@ -183,22 +217,20 @@ def _shards(batches, kinds: list[type]):
         cols = [b.column(n) for n in b.schema.names[1:]]
         for r, s in enumerate(b.column("shard").to_pylist()):
             parts = found.setdefault(s, [[] for _ in cols])
-            for p, c, kind in zip(parts, cols, kinds, strict=True):
-                p.append(np.frombuffer(c[r].as_buffer(), kind))
+            for k, (p, c, kind) in enumerate(zip(parts, cols, kinds, strict=True)):
+                p.append(unpacked(c[r].as_buffer(), kind, not k))
     for s, parts in found.items():
         yield s, [np.concatenate(p) for p in parts]
 
 
 def _gather_batches(batches, store: Store, level: int):
-    """Write a level's shards: keys, counts and, from level 3 on, suffix indices."""
-    for s, (keys, counts, *suffix) in _shards(batches, [U64, np.uint32, *[np.uint32] * (level > 2)]):
+    """Write a level's shards: keys and counts."""
+    for s, (keys, counts) in _shards(batches, [U64, np.uint32]):
         order = np.argsort(keys, kind="stable")
         keys = keys[order]
         first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
         store.write(level, "key", s, keys[first])
-        store.write(level, "count", s, np.add.reduceat(counts[order].astype(np.int64), first))
-        if suffix:
-            store.write(level, "suffix", s, suffix[0][order][first])
+        store.write(level, "count", s, narrow(np.add.reduceat(counts[order].astype(np.int64), first)))
         yield pa.RecordBatch.from_pydict({"shard": pa.array([s], pa.int32()), "n": pa.array([len(first)], pa.int64())})
 
 
@@ -211,8 +243,7 @@ def _continue_batches(batches, store: Store, level: int):
     for b in batches:
         for s in b.column("shard").to_pylist():
             if store.sizes[level][s]:
-                suffix = (unmix(store.array(level, "key", s)) & U64(0xFFFFFFFF)) if level == 2 else store.array(level, "suffix", s)
-                yield from _by_index(store, level - 1, *tv.counted(np.asarray(suffix).astype(np.int64)))
+                yield from _by_index(store, level - 1, *tv.counted(store.suffix(level, np.asarray(store.array(level, "key", s)))))
 
 
 def _by_index(store: Store, level: int, index: np.ndarray, *cols: np.ndarray):
@@ -221,7 +252,7 @@ def _by_index(store: Store, level: int, index: np.ndarray, *cols: np.ndarray):
     some = np.flatnonzero(np.diff(edge)).tolist()
     if some:
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), *[
-            pa.array([c[edge[s]: edge[s + 1]].tobytes() for s in some], pa.binary()) for c in (index.astype(np.uint32), *[x.astype(np.int64) for x in cols])]],
+            pa.array([packed(c[edge[s]: edge[s + 1]], not k) for s in some], pa.binary()) for k, c in enumerate((index.astype(np.uint32), *[x.astype(np.int64) for x in cols]))]],
             names=["shard", "key", *[f"c{k}" for k in range(len(cols))]])
 
 
@@ -231,24 +262,18 @@ def _continued_batches(batches, store: Store, level: int):
         size = store.sizes[level][s]
         used = np.bincount(index.astype(np.int64) - store.first[level][s], weights=n, minlength=size).astype(np.int64)
         raw = np.asarray(store.array(level, "count", s))
-        store.write(level, "used", s, np.where(used > 0, used, raw))
+        store.write(level, "used", s, narrow(np.where(used > 0, used, raw)))
         yield pa.RecordBatch.from_pydict({"shard": pa.array([s], pa.int32()), "n": pa.array([size], pa.int64())})
 
 
-def _used(store: Store, level: int, shard: int, order: int) -> np.ndarray:
-    if level < order and os.path.exists(store.name(level, "used", shard)):
-        return np.asarray(store.array(level, "used", shard))
-    return np.asarray(store.array(level, "count", shard))  # the top level; grams without a left neighbour begin a text
-
-
-def _count_counts_batches(batches, store: Store, level: int, order: int):
+def _count_counts_batches(batches, store: Store, level: int):
     """Grams of a shard that were counted 1, 2, 3, 4 times and more often, and the sum of their counts."""
     begin = _begin_index(store) if level == 1 else -1
     for b in batches:
         for s in b.column("shard").to_pylist():
             if not store.sizes[level][s]:
                 continue
-            used = _used(store, level, s, order)
+            used = np.asarray(store.array(level, "used", s))
             if level == 1 and store.first[1][s] <= begin < store.first[1][s + 1]:
                 used = np.delete(used, begin - store.first[1][s])  # never predicted
             n = [int((used == c).sum()) for c in (1, 2, 3, 4)] + [int((used >= 3).sum()), int(used.sum()), len(used)]
@@ -265,14 +290,14 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
     return 0.5, 1.0, 1.5
 
 
-def _contexts_batches(batches, store: Store, level: int, order: int):
+def _contexts_batches(batches, store: Store, level: int):
     """Of each shard: per context, the sum of its grams' counts and how many have 1, 2 and more."""
     for b in batches:
         for s in b.column("shard").to_pylist():
             if not store.sizes[level][s]:
                 continue
             prefix = (unmix(np.asarray(store.array(level, "key", s))) >> U64(32)).astype(np.int64)
-            used = _used(store, level, s, order)
+            used = np.asarray(store.array(level, "used", s))
             by = np.argsort(prefix, kind="stable")
             prefix, used = prefix[by], used[by]
             first = np.flatnonzero(np.concatenate([[True], prefix[1:] != prefix[:-1]]))
@@ -286,7 +311,7 @@ def _context_batches(batches, store: Store, level: int, cut: tuple[float, ...]):
         size = store.sizes[level][s]
         at = index.astype(np.int64) - store.first[level][s]
         total, *n = (np.bincount(at, weights=c, minlength=size) for c in cols)
-        store.write(level, "total", s, total)
+        store.write(level, "total", s, narrow(total.astype(np.int64)))
         store.write(level, "gamma", s, np.where(total > 0, sum(d * x for d, x in zip(cut, n, strict=True)) / np.maximum(total, 1), 1.0).astype(np.float32))
         yield pa.RecordBatch.from_pydict({"shard": pa.array([s], pa.int32()), "n": pa.array([size], pa.int64())})
 
@@ -297,25 +322,14 @@ def _blank_batches(batches, store: Store, level: int):
         for s in b.column("shard").to_pylist():
             if store.sizes[level][s] and not os.path.exists(store.name(level, "gamma", s)):
                 store.write(level, "gamma", s, np.ones(store.sizes[level][s], np.float32))
-                store.write(level, "total", s, np.zeros(store.sizes[level][s]))
+                store.write(level, "total", s, np.zeros(store.sizes[level][s], np.uint8))
             yield pa.RecordBatch.from_pydict({"shard": pa.array([s], pa.int32()), "n": pa.array([store.sizes[level][s]], pa.int64())})
 
 
-def _alpha_batches(batches, store: Store, level: int, order: int, cut: tuple[float, ...], total: float):
-    """Write the discounted probability of each gram."""
-    for b in batches:
-        for s in b.column("shard").to_pylist():
-            if not store.sizes[level][s]:
-                continue
-            used = _used(store, level, s, order).astype(float)
-            less = used - np.array([0.0, *cut])[np.minimum(used, 3).astype(np.int64)]
-            if level > 1:
-                prefix = (unmix(np.asarray(store.array(level, "key", s))) >> U64(32)).astype(np.int64)
-                less /= np.maximum(store.spread(level - 1, "total", prefix, 1.0), 1.0)
-            else:
-                less /= max(total, 1.0)
-            store.write(level, "alpha", s, less.astype(np.float32))
-            yield pa.RecordBatch.from_pydict({"shard": pa.array([s], pa.int32()), "n": pa.array([len(used)], pa.int64())})
+def forget(spark) -> None:
+    """Let Spark delete the shuffle files of ended jobs before the next one writes its own."""
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def fit(texts: DataFrame, order: int) -> dict:
@@ -333,31 +347,35 @@ def fit(texts: DataFrame, order: int) -> dict:
     def each(fn, schema="shard int, n long", **args):
         return arrow_map(spark.range(0, shards, 1, min(shards, shuffle_partitions(spark))).select(F.col("id").cast("int").alias("shard")), fn, schema, **args)
 
+    def counted(k, part, parts):
+        sent = deal(arrow_map(texts.select("text"), _count_batches, "shard int, key binary, c0 binary", store=store, level=k, part=part, parts=parts))
+        return arrow_map(sent, _gather_batches, "shard int, n long", store=store, level=k).collect()  # a row per shard
+
     for k in range(1, order + 1):
-        cols = "shard int, key binary, c0 binary" + ", c1 binary" * (k > 2)
-        sent = deal(arrow_map(texts.select("text"), _count_batches, cols, store=store, level=k))
-        sizes = [0] * shards
-        for r in arrow_map(sent, _gather_batches, "shard int, n long", store=store, level=k).collect():  # a row per shard
-            sizes[r["shard"]] = r["n"]
+        sizes, parts = [0] * shards, PARTS if k > 2 else 1
+        for part in range(parts):
+            for r in counted(k, part, parts):
+                sizes[r["shard"]] = r["n"]
+            forget(spark)
         store = Store(path, bits, {**store.sizes, k: sizes})
     cuts, totals = {}, {}
     for k in range(order, 0, -1):
         if k < order:
             deal(each(_continue_batches, "shard int, key binary, c0 binary", store=store, level=k + 1)).transform(
                 lambda df, k=k: arrow_map(df, _continued_batches, "shard int, n long", store=store, level=k)).count()
-        n = each(_count_counts_batches, ", ".join(f"n{i} long" for i in range(7)), store=store, level=k, order=order).groupBy().sum().first()
+            forget(spark)
+        n = each(_count_counts_batches, ", ".join(f"n{i} long" for i in range(7)), store=store, level=k).groupBy().sum().first()
         n = [x or 0 for x in n]
         cuts[k], totals[k] = discounts(*n[:4]), n
-    for k in range(order, 0, -1):
-        if k > 1:
-            sent = deal(each(_contexts_batches, "shard int, key binary, c0 binary, c1 binary, c2 binary, c3 binary", store=store, level=k, order=order))
-            arrow_map(sent, _context_batches, "shard int, n long", store=store, level=k - 1, cut=cuts[k]).count()
-            each(_blank_batches, store=store, level=k - 1).count()
-        each(_alpha_batches, store=store, level=k, order=order, cut=cuts[k], total=float(totals[1][5])).count()
-    counted = each(_plain_totals_batches, "n long, v long", store=store).groupBy().sum().first()
+    for k in range(order, 1, -1):
+        deal(each(_contexts_batches, "shard int, key binary, c0 binary, c1 binary, c2 binary, c3 binary", store=store, level=k)).transform(
+            lambda df, k=k: arrow_map(df, _context_batches, "shard int, n long", store=store, level=k - 1, cut=cuts[k])).count()
+        forget(spark)
+        each(_blank_batches, store=store, level=k - 1).count()
+    plain = each(_plain_totals_batches, "n long, v long", store=store).groupBy().sum().first()
     n1, n2, _, _, n3, total, _ = totals[1]
     free = sum(d * x for d, x in zip(cuts[1], (n1, n2, n3), strict=True)) / total if total else 1.0
-    return {"store": store, "order": order, "n": counted[0] or 0, "v": counted[1] or 0, "free": free}
+    return {"store": store, "order": order, "n": plain[0] or 0, "v": plain[1] or 0, "free": free, "cuts": cuts, "total": float(total)}
 
 
 def _plain_totals_batches(batches, store: Store):
@@ -374,16 +392,23 @@ def _plain_totals_batches(batches, store: Store):
 def _score_batches(batches, model: dict):
     store, order = model["store"], model["order"]
     n_train, v = model["n"], model["v"]
+
+    def less(k, index):
+        used = store.spread(k, "used", index, 0.0)
+        return used - np.array([0.0, *model["cuts"][k]])[np.minimum(used, 3).astype(np.int64)]
+
     for b in tv.chunks(batches, "text"):
         h, row = tokens(*tv.text_buffers(b.column("text")))
         ids = indices(store, h, row, order)
         said = np.concatenate([[False], row[1:] == row[:-1]])  # all but begin marks
         known = np.where(ids[0] >= 0, store.spread(1, "count", ids[0], 0.0), 0.0)
-        p = store.spread(1, "alpha", ids[0], 0.0) + model["free"] / (v + 1)
+        p = less(1, ids[0]) / max(model["total"], 1.0) + model["free"] / (v + 1)
         for k in range(2, order + 1):
             context = np.full(len(h), NONE)
             context[1:] = np.where(said[1:], ids[k - 2][:-1], NONE)
-            p = store.spread(k, "alpha", ids[k - 1], 0.0) + store.spread(k - 1, "gamma", context, 1.0) * p
+            one, back = np.unique(context, return_inverse=True)
+            total, gamma = np.maximum(store.take(k - 1, "total", one, 1.0), 1.0), store.take(k - 1, "gamma", one, 1.0)
+            p = less(k, ids[k - 1]) / total[back] + gamma[back] * p
         base = np.log10((known + 0.1) / (n_train + 0.1 * (v + 1)))
         rows, at = b.num_rows, row[said]
         sums = [np.bincount(at, weights=x[said], minlength=rows) for x in (known > 0, base, np.log10(p))]

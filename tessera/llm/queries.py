@@ -105,5 +105,4 @@ def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_language_model.score(table(spark, sf_dir, "documents"), order=LM_ORDER)
 
 
-#: Higher orders work alike; a trigram table of the whole corpus would take more than the disk allowed (README).
-LM_ORDER = 2
+LM_ORDER = 3

@@ -99,3 +99,21 @@ def test_empty_tables(spark):
 def test_mix_can_be_undone():
     x = np.random.default_rng(0).integers(0, 2**63, 1000).astype(tv.U64) * tv.U64(2) + tv.U64(1)
     assert (op.unmix(tv.mix(x)) == x).all()
+
+
+def test_the_query_scores_with_trigrams(spark, tmp_path):
+    from tessera.llm import queries
+    rng = random.Random(5)
+    data = [(i, " ".join(rng.choice("abcdef") for _ in range(20)), "en") for i in range(60)]
+    frame(spark, data).write.parquet(f"{tmp_path}/documents.parquet")
+    p, _ = model([seq(t) for i, t, _ in data if zlib.crc32(str(i).encode()) % 10], 3)
+    for r in queries.op10_kneser_ney(spark, str(tmp_path)).collect():
+        s = seq(data[r["doc_id"]][1])
+        assert math.isclose(r["score"], sum(math.log10(p(w, s[:k], 3)) for k, w in enumerate(s) if k), rel_tol=1e-4)
+
+
+def test_packed_arrays_come_back():
+    x = np.sort(np.random.default_rng(1).integers(0, 2**63, 500).astype(tv.U64) * tv.U64(2))
+    assert (op.unpacked(op.packed(x, True), tv.U64, True) == x).all()
+    assert (op.unpacked(op.packed(x.astype(np.uint32)), np.uint32) == x.astype(np.uint32)).all()
+    assert len(op.unpacked(op.packed(x[:0], True), tv.U64, True)) == 0
