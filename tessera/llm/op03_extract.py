@@ -22,30 +22,63 @@ from .common import arrow_map, sampled
 SAMPLE_PAGES = 400
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*)(?:>|\Z)|[^<]+|<", re.S)
 ATTRIBUTE = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
-#: elements whose content is never text
+#: elements whose content is never text; that of RAW ones holds no tags
 SKIP = frozenset("script style noscript template textarea svg math iframe select object head title button canvas audio video".split())
+RAW = frozenset("script style textarea title iframe".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form
 h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul""".split())
 #: elements and words in class, id or role that name what surrounds an article
 AROUND = frozenset("nav header footer aside form menu dialog search".split())
-AROUND_WORDS = re.compile(r"(?:^|[-_\s])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|nav\w*|menu|breadcrumbs?|sidebar|side|aside|footer|header|masthead|cookies?|consent|notice|"
+AROUND_WORDS = re.compile(r"ads?|advert\w*|sponsor\w*|promo\w*|banner|nav\w*|menu|breadcrumbs?|sidebar|side|aside|footer|header|masthead|cookies?|consent|notice|"
                           r"alert|popup|modal|newsletter|subscribe|signup|login|share|sharing|social|related|recommended|comments?|disqus|replies|reply|respond|widget|pagination|"
-                          r"pager|copyright|legal|skip|toolbar|navigation|complementary|contentinfo|search)(?:$|[-_\s])", re.I)
+                          r"pager|copyright|legal|skip|toolbar|navigation|complementary|contentinfo|search")
+COMMENT_WORDS = re.compile(r"comments?|disqus|replies|reply|respond")
+#: words that may stand beside those in a class token, as in site-footer; has-sidebar and no-sidebar tell of the page, not of the element
+BESIDE = frozenset("""site page main top bottom left right primary secondary global sub mobile desktop sticky fixed post posts entry article articles story blog section area block box
+bar list item items link links wrap wrapper container inner outer content body group panel row col unit slot icon icons button buttons form field title text c l u js
+the my wp""".split())
 ARTICLE = re.compile(r"<article[\s>]", re.I)
 #: elements that end where the next of their kind begins
 SIBLINGS = frozenset("p li dt dd tr td th option".split())
 
 
+def named(attributes: str) -> int:
+    """2 if a whole token of class, id or role names comments, 1 if one names other surroundings, else 0."""
+    found = 0
+    for a in ATTRIBUTE.findall(attributes):
+        for token in a.strip("\"'").lower().split():
+            parts = [x for x in re.split("[-_]+", token) if x]
+            hits = [x for x in parts if AROUND_WORDS.fullmatch(x)]
+            if hits and all(x in hits or x in BESIDE or x.isdigit() for x in parts):
+                found = max(found, 2 if any(COMMENT_WORDS.fullmatch(x) for x in hits) else 1)
+    return found
+
+
+def skipped(page: str, name: str) -> dict[int, int]:
+    """Where the content of each element of a kind begins and where its end tag ends; elements without one are left out."""
+    out, opened = {}, []
+    for m in re.finditer(rf"<!--.*?-->|<(/?){name}(?=[\s/>])((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*)>" + r"|(?=<body[\s>])" * (name == "head"), page, re.I | re.S):
+        if m[1] == "":
+            if not m[2].endswith("/"):
+                opened.append(m.end())
+        elif opened and not m[0].startswith("<!"):
+            out[opened.pop()] = m.end()
+    return out
+
+
 def tokenise(page: str) -> list[tuple[str, str, int, bool, int]]:
     """(kind, value, block, around, content) of each token: kind 'w' for a word, else the tag's name with + or -.
 
     block numbers the block element the token stands in; around is true inside menus, footers and the like;
     content numbers the self-declared article it stands in, 0 outside (without articles, the main element).
-    Open paragraphs and list items end where the next begins.
+    Open paragraphs and list items end where the next begins.  A wrapper named as surroundings marks the
+    articles in it, but never the one with most words; one that names comments marks all.
     """
     out: list[tuple[str, str, int, bool, int]] = []
-    stack: list[tuple[str, bool, int, bool]] = []  # name, around, content, names its own surroundings
+    stack: list[tuple[str, bool, int, int]] = []  # name, around, content, names its own surroundings
+    ends: dict[str, dict[int, int]] = {}
+    marked = [0]  # by article: 1 in a wrapper, 2 a comment by its own name, 3 among comments
     own = "article" if ARTICLE.search(page) else "main"
     block, pos, articles = 0, 0, 0
     around, content = False, 0
@@ -81,10 +114,18 @@ def tokenise(page: str) -> list[tuple[str, str, int, bool, int]]:
             continue
         out.append((f"+{name}", "", block, around, content))
         if name in SKIP:
-            end = re.compile(rf"</{name}\s*>" + r"|(?=<body[\s>])" * (name == "head"), re.I).search(page, pos)
-            if not end:
-                break
-            pos = end.end()
+            if name in RAW:
+                end = re.compile(rf"<(/?){name}(?:\s[^>]*)?>", re.I).search(page, pos) if m[3].endswith("/") else None
+                if m[3].endswith("/") and not (end and end[1]):  # none of its own, or another begins first: it is empty
+                    continue
+                end = re.compile(rf"</{name}\s*>", re.I).search(page, pos)
+                if not end:
+                    break
+                pos = end.end()
+                continue
+            if name not in ends:
+                ends[name] = skipped(page, name)
+            pos = ends[name].get(pos, pos)
             continue
         if name in BLOCK:
             block += 1
@@ -93,21 +134,26 @@ def tokenise(page: str) -> list[tuple[str, str, int, bool, int]]:
                 around, content = stack[-1][1:3] if stack else (False, 0)
         if name in VOID or m[3].endswith("/"):
             continue
-        hint = any(AROUND_WORDS.search(a.strip("\"'")) for a in ATTRIBUTE.findall(m[3])) if m[3] else False
+        hint = named(m[3]) if m[3] else 0
         if name == own:
-            hint = hint and content > 0  # a comment that is an article in an article
-            around = around and any(s[3] and s[0] != "form" for s in stack)  # a form may wrap the page
             if not content:
                 articles += 1
                 content = articles
-        elif name in AROUND:
-            hint = hint or not (name == "header" and content)
-        hint = hint and name not in ("html", "body")
+                wrapped = max((s[3] for s in stack if s[0] != "form"), default=0)  # a form may wrap the page
+                marked.append(3 if wrapped == 2 else 2 if hint == 2 else wrapped)
+                around, hint = False, 0
+        elif name in AROUND and not hint:
+            hint = int(not (name == "header" and content))
+        hint = hint if name not in ("html", "body") else 0
         if hint:
             flush()
-        around = around or hint
+        around = around or hint > 0
         stack.append((name, around, content, hint))
     flush()
+    if any(marked):
+        size = Counter(t[4] for t in out if t[4] and t[0] == "w" and not t[3])
+        main = max((k for k in range(1, len(marked)) if marked[k] < 3), key=lambda k: (marked[k] < 2, size[k]), default=0)
+        out = [(*t[:3], t[3] or marked[t[4]] > 0 and t[4] != main, t[4]) for t in out]
     return out
 
 

@@ -51,3 +51,21 @@ def test_query(spark):
         want = "" if r["page_id"] is None else PAGES[r["page_id"]][1]
         assert r["text"] == want and r["n_chars"] == len(want)
     assert op.extract(spark.createDataFrame([], df.schema)).count() == 0
+
+
+WHOLE = [
+    (HEAD + f'<article><p>Start <svg class="icon"/> {BODY}</p><svg><path d=""/></svg><p>end</p></article>' + FOOT, f"Start {BODY}\nend"),
+    (HEAD + f"<article><p>Start <button>{BODY}</p><p>end</p></article>" + FOOT, f"Start {BODY}\nend"),
+    (HEAD + f"<article><p>Start</p><object data=x><p>{BODY}</p><object>gone</object><p>end</p></article>" + FOOT, f"Start\n{BODY}\nend"),
+    (HEAD + f'<article><script src="a.js"/><p>{BODY}</p><script>var a;</script></article>' + FOOT, BODY),
+    (HEAD + f"<article><p>{BODY}</p><script src=a/>var a;</script></article>" + FOOT, BODY),
+    (HEAD + f"<!-- <script> --><article><p>{BODY}</p><script>var a;</script><p>end</p></article>" + FOOT, f"{BODY}\nend"),
+    (HEAD + f'<div class="content has-sidebar"><article><p>{BODY}</p></article></div><div class="site-footer">gone</div>' + FOOT, BODY),
+    (HEAD + f'<div class="no-sidebar"><div class="widget"><article><p>{BODY}</p></article></div></div>' + FOOT, BODY),
+    (HEAD + f'<article><p>{BODY}</p></article><div class="related"><article><p>Another story</p></article></div>' + FOOT, BODY),
+]
+
+
+@pytest.mark.parametrize("page, want", WHOLE)
+def test_nothing_is_cut_off(page, want):
+    assert op.extract_page(page, op.learn([p for p, _ in PAGES[:6]])) == want
