@@ -204,10 +204,9 @@ def extract_page(page: str | None, weights: dict[str, float]) -> str:
     tokens = tokenise(page)
     scores = [weights.get(kind(t), DEFAULT_TAG if t[0] != "w" else 0.0) for t in tokens]
     a, z = best_region(scores)
-    # a declared article that the region reaches into is taken whole
-    reached = Counter(t[4] for t in tokens[a:z] if t[4] and t[0] == "w")
-    article = reached.most_common(1)[0][0] if reached else 0
-    chosen = [t for t in tokens if t[4] == article] if article else tokens[a:z]
+    # the region, and whole every declared article that it reaches into
+    reached = {t[4] for t in tokens[a:z] if t[4] and t[0] == "w" and not t[3]}
+    chosen = [t for i, t in enumerate(tokens) if a <= i < z or t[4] in reached]
     blocks: list[list[str]] = []
     last = None
     for t in chosen:

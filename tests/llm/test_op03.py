@@ -69,3 +69,11 @@ WHOLE = [
 @pytest.mark.parametrize("page, want", WHOLE)
 def test_nothing_is_cut_off(page, want):
     assert op.extract_page(page, op.learn([p for p, _ in PAGES[:6]])) == want
+
+
+def test_region_and_all_its_articles():
+    weights = op.learn([p for p, _ in PAGES[:6]])
+    parts = "".join(f"<article><h2>Part {k}</h2><p>{BODY}</p></article>" for k in range(3))
+    comments = '<section class="comments"><article><p>Nice story.</p></article></section>'
+    page = HEAD + NAV + f"<main><h1>Head line of it</h1><p>Lead {BODY}</p>{parts}{comments}</main>" + FOOT
+    assert op.extract_page(page, weights) == "\n".join(["Head line of it", f"Lead {BODY}", *(x for k in range(3) for x in (f"Part {k}", BODY))])
