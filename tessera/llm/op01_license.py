@@ -22,6 +22,10 @@ SAMPLE_ROWS = 400    # documents whose lines serve as examples of no licence
 GRAMS = 3
 SURE = 0.5           # calibrated probability below which a licence paragraph is unknown
 CONFIRM = 0.6        # share of a template's word pairs that a paragraph must hold
+#: words of names and notices that ordinary text is full of; every other word of theirs makes a line worth classifying
+ORDINARY = frozenset("""0 1 2 3 4 5 7 v a end new use user any all and are by charge clause code common community conditions copy custom data example fee files following for
+forms free general in internal international into is law met nc nd of or person provided public purpose released research sa shared software source style terms that the this to
+universal version with without zero evaluation business commercial""".split())
 NONE, UNKNOWN = "none", "unknown"
 
 #: Names and notices by which the licences are known.
@@ -136,14 +140,12 @@ def train(lines: list[str], steps: int = 250, rate: float = 0.5, decay: float =
         return -(q[np.arange(len(test)), y[test]] - np.log(np.exp(q).sum(axis=1))).mean()
 
     temperature = min((0.5, 0.7, 1.0, 1.4, 2.0, 2.8, 4.0, 5.6), key=loss) if len(test) else 1.0
-    # anchors: words without which a line is taken for no licence; those that its names and notices have and sampled lines rarely
-    common = np.concatenate([np.unique(w) for w in tv.hash_words(lines)]) if lines else np.zeros(0, U64)
-    key, n = tv.counted(common)
-    frequent = key[n > max(1, 0.002 * len(lines))]
+    # anchors: words without which a line is taken for no licence, unless it goes on a notice that a line break cuts
     notices = tv.hash_words([x for x in [*STRANGERS, *(t for ts in TEMPLATES.values() for t in ts), "licensed license licence SPDX copyright"]])
-    anchors = np.setdiff1d(np.unique(np.concatenate(notices)), frequent)
+    anchors = np.setdiff1d(np.unique(np.concatenate(notices)), np.concatenate(tv.hash_words([" ".join(sorted(ORDINARY))])))
     pairs = [[np.unique(tv.ngram_hash(w, 2) if len(w) > 1 else tv.ngram_hash(w, 1)) for w in tv.hash_words(list(TEMPLATES[f]))] for f in TEMPLATES]
-    return {"names": names, "vocab": vocab, "weights": weights / temperature, "bias": bias / temperature, "anchors": anchors, "templates": pairs}
+    return {"names": names, "vocab": vocab, "weights": weights / temperature, "bias": bias / temperature, "anchors": anchors, "templates": pairs,
+            "pairs": np.unique(np.concatenate([t for ts in pairs for t in ts]))}
 
 
 def classify(model: dict, words: np.ndarray) -> tuple[str, float]:
@@ -161,6 +163,26 @@ def classify(model: dict, words: np.ndarray) -> tuple[str, float]:
     return (name if found >= CONFIRM and p[best] >= SURE else UNKNOWN), float(p[best])
 
 
+def wrapped(model: dict, words: np.ndarray, edge: np.ndarray, joined: np.ndarray) -> dict[int, int]:
+    """First and last line of each stretch of lines that holds more of a template than its lines by themselves.
+
+    ``edge``: per line its first word, and the end; ``joined``: lines whose next line follows at once and goes
+    on with a word pair that a template holds across the line break.
+    """
+    out = {}
+    for run in np.split(joined, np.flatnonzero(np.diff(joined) > 1) + 1):
+        if len(run):
+            a, z = int(run[0]), int(run[-1]) + 1
+            whole = np.unique(tv.ngram_hash(words[edge[a]: edge[z + 1]], 2))
+            alone = [np.unique(tv.ngram_hash(words[edge[k]: edge[k + 1]], 2)) for k in range(a, z + 1)]
+            for t in (t for ts in model["templates"] for t in ts):
+                held = np.isin(t, whole, assume_unique=True).mean()
+                if held >= CONFIRM and held > max(np.isin(t, x, assume_unique=True).mean() for x in alone):
+                    out[a] = z
+                    break
+    return out
+
+
 PARAGRAPH = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("family", pa.string()), ("probability", pa.float64())])
 
 
@@ -173,13 +195,25 @@ def _scan_batches(batches, model):
         w = tv.words(data, off)
         hit = np.flatnonzero(np.isin(w.hash, model["anchors"])) if len(w.hash) else np.zeros(0, np.int64)
         line_of = np.searchsorted(start, w.start, "right") - 1
+        edge = np.searchsorted(line_of, np.arange(len(start) + 1))
+        cross = np.flatnonzero(np.diff(line_of) == 1)  # last words of lines whose next line has words too
+        cross = cross[(start[line_of[cross] + 1] == end[line_of[cross]] + 1) & (w.row[cross] == w.row[cross + 1])]
+        joined = line_of[cross[np.isin(tv.ngram_hash(w.hash, 2)[cross], model["pairs"])]] if len(cross) else cross
+        last = wrapped(model, w.hash, edge, joined)
         found = [[] for _ in range(b.num_rows)]
-        for line in np.unique(line_of[hit]).tolist():
-            a, z = np.searchsorted(line_of, [line, line + 1])
-            family, p = classify(model, w.hash[a:z])
+        done = -1
+        for line in np.union1d(line_of[hit], np.array(list(last), np.int64)).tolist():
+            if line <= done:
+                continue
+            to = last.get(line, line)
+            family, p = classify(model, w.hash[edge[line]: edge[to + 1]])
+            if family in (NONE, UNKNOWN) and to > line:
+                to = line
+                family, p = classify(model, w.hash[edge[line]: edge[to + 1]])
+            done = to
             if family != NONE:
-                r = int(w.row[a])
-                found[r].append({"start": int(points[start[line]] - points[off[r]]), "end": int(points[end[line]] - points[off[r]]), "family": family, "probability": p})
+                r = int(w.row[edge[line]])
+                found[r].append({"start": int(points[start[line]] - points[off[r]]), "end": int(points[end[to]] - points[off[r]]), "family": family, "probability": p})
         lines = np.bincount(np.searchsorted(off, start, "right") - 1, minlength=b.num_rows)
         yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(lines, pa.int64()), pa.array(found, pa.list_(PARAGRAPH))], names=["doc_id", "n_paragraphs", "paragraphs"])
 
@@ -202,7 +236,8 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> dict:
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id, n_paragraphs, paragraphs (start, end, family, probability of each licence paragraph) per row of ``docs``.
 
-    A paragraph is a line; positions are code points.  Null and empty texts have none.  Families are SPDX-like
+    A paragraph is a line, or adjacent lines over which a name or notice is wrapped (``n_paragraphs`` counts
+    lines); positions are code points.  Null and empty texts have none.  Families are SPDX-like
     names or ``unknown``.  Ties go to the class named first.
     """
     model = docs.sparkSession.sparkContext.broadcast(fit(docs))

@@ -40,3 +40,36 @@ def test_templates_are_told_apart():
 
 def test_empty_table(spark):
     assert op.licences(frame(spark, [])).count() == 0
+
+
+WRAPPED = [
+    ("# Permission is hereby granted, free of charge, to any person obtaining a copy\n# of this software and associated documentation files", "MIT"),
+    (" * Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that the following conditions are met:", "BSD"),
+    ("Redistribution and use in source\nand binary forms, with or without\nmodification, are permitted\nprovided that the following\nconditions are met:", "BSD"),
+    ("// Permission to use, copy, modify, and/or distribute this software for any\n// purpose with or without fee is hereby granted", "ISC"),
+    ("# Licensed under the Apache License,\n# Version 2.0", "Apache-2.0"),
+    ("Distributed under the terms of the GNU General Public License,\nversion 2.", "GPL-2.0"),
+    ("Distributed under the terms of the GNU General Public License,\nversion 3.", "GPL-3.0"),
+]
+
+
+def test_wrapped_notices(spark):
+    rng = random.Random(4)
+    data = [(i, f"{sentence(rng, EN, 20)}\n\n{WRAPPED[i % len(WRAPPED)][0]}\n\n{sentence(rng, EN, 20)}", "en") for i in range(7 * 6)]
+    # anchors do not depend on the sample: half of the texts have the notices' own words in ordinary lines
+    data += [(100 + i, f"{sentence(rng, EN, 9)} permission granted redistribution\n{sentence(rng, EN, 20)}", "en") for i in range(40)]
+    for r in op.licences(frame(spark, data)).collect():
+        if r["doc_id"] < 100:
+            notice, family = WRAPPED[r["doc_id"] % len(WRAPPED)]
+            assert r["families"] == family, (notice, r)
+            _, a, z = r["spans"].split(":")
+            assert data[r["doc_id"]][1][int(a): int(z)] == notice
+        else:
+            assert r["n_licensed"] == 0, r
+
+
+def test_anchors_come_from_the_templates_alone():
+    rng = random.Random(5)
+    lines = [sentence(rng, EN, 12) for _ in range(100)]
+    a, b = op.train(lines), op.train([f"{x} permission redistribution apache" for x in lines])
+    assert (a["anchors"] == b["anchors"]).all()
