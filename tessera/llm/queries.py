@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (op01_license, op02_decontaminate, op03_extract, op04_language, op05_pii, op06_packing, op07_quality, op08_minhash,
-               op09_embeddings, op10_language_model)
+               op09_embeddings, op10_language_model, op11_conversations)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,70 @@ def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LM_ORDER = 3
+
+
+@query
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11_conversations.drill(table(spark, sf_dir, "conversations"))
+
+
+def _step(state: int, *ways: tuple[str, int, str, str]) -> str:
+    """The lightest (c, a) of one state after a step ``x``: its own, deleted or not, or from another state (condition, state, cost, edit)."""
+    own = f"CASE WHEN x = 'I' THEN s.e{state} ELSE {{'c': s.e{state}.c + 2, 'a': s.e{state}.a || 'D'}} END"
+    found = [f"{{'c': CASE WHEN {when} THEN s.e{k}.c + {cost} ELSE 1000000000000000 END, 'a': s.e{k}.a || '{edit}'}}" for when, k, cost, edit in ways]
+    return f"'e{state}': list_min([{', '.join([own, *found])}])"
+
+
+def _ways(role: str, *sources: int) -> list[tuple[str, int, str, str]]:
+    late = "CASE WHEN x[2] = 't' THEN 5 ELSE 0 END"
+    keep = [(f"x[2] <> 'x' AND x[1] = '{role}'", k, late, "K") for k in sources]
+    return keep if role == "s" else keep + [("x[2] IN ('o', 't')", k, f"1 + {late}", "R") for k in sources] + [("x = 'I'", k, "5", "I") for k in sources]
+
+
+_STEPS = ", ".join([_step(0), _step(1, *_ways("s", 0)), _step(2, *_ways("u", 0, 1, 3)), _step(3, *_ways("a", 2))])
+SQL["op11_repair"] = rf"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+h AS (
+  SELECT conv_id, turn, role, text, xor(list_reduce(list_transform(range(1, length(k) + 1), lambda i: CAST(ascii(substr(k, i, 1)) AS BIGINT)),
+         lambda a, b: list_reduce([1, 2, 3, 4, 5, 6, 7, 8], lambda v, j: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, xor(a, b)),
+         4294967295), 4294967295) % 20 AS kind FROM c),
+d AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM (SELECT *, unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy FROM h WHERE kind <> 0)),
+p AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS place FROM d),
+f AS (
+  SELECT *, substr(role, 1, 1) AS initial,
+         CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'blank'
+              WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY place) > 1 THEN 'duplicate'
+              WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*$') THEN 'truncated' ELSE '' END AS fault,
+         coalesce(lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY place) || substr(role, 1, 1) NOT IN ('su', 'ua', 'au'), false) AS wrong
+  FROM p),
+g AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+         count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (wrong) AS illegal,
+         flatten(list(['I', 'I', CASE WHEN initial IN ('s', 'u', 'a') THEN initial ELSE '-' END || CASE fault WHEN '' THEN 'o' WHEN 'truncated' THEN 't' ELSE 'x' END]
+                      ORDER BY place)) || ['I', 'I'] AS steps
+  FROM f GROUP BY conv_id),
+e AS (
+  SELECT * EXCLUDE (steps), list_reduce(steps, lambda s, x: {{{_STEPS}}},
+    {{'e0': {{'c': CAST(0 AS BIGINT), 'a': ''}}, 'e1': {{'c': 1000000000000000, 'a': ''}},
+      'e2': {{'c': 1000000000000000, 'a': ''}}, 'e3': {{'c': 1000000000000000, 'a': ''}}}}) AS w FROM g),
+b AS (SELECT * EXCLUDE (w), list_min([w.e0, w.e3]) AS best FROM e),
+o AS (
+  SELECT conv_id, edit, length(replace(best.a, 'D', '')) % 2 AS odd,
+         length(replace(substr(best.a, 1, i), 'D', '')) - 1 AS spot,
+         length(replace(substr(best.a, 1, i), 'I', '')) - 1 AS place
+  FROM (SELECT conv_id, best, i, substr(best.a, i, 1) AS edit FROM (SELECT conv_id, best, unnest(range(1, length(best.a) + 1)) AS i FROM b)) WHERE edit <> 'D'),
+r AS (
+  SELECT o.conv_id, string_agg(CASE WHEN edit = 'K' THEN f.role WHEN (spot - odd) % 2 = 0 THEN 'user' ELSE 'assistant' END || ':' ||
+                               CASE WHEN edit = 'I' THEN '' ELSE f.text END, chr(10) ORDER BY spot) AS lines
+  FROM o LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM o.conv_id AND f.place = o.place GROUP BY o.conv_id)
+SELECT i.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, CAST(coalesce(best.c, 0) AS BIGINT) AS cost, coalesce(best.a, '') AS audit, sha256(coalesce(lines, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) i LEFT JOIN b ON b.conv_id IS NOT DISTINCT FROM i.conv_id
+LEFT JOIN r ON r.conv_id IS NOT DISTINCT FROM i.conv_id"""
