@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (op01_license, op02_decontaminate, op03_extract, op04_language, op05_pii, op06_packing, op07_quality, op08_minhash,
-               op09_embeddings, op10_language_model, op11_conversations)
+               op09_embeddings, op10_language_model, op11_conversations, op12_neighbours, op13_search)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -173,3 +173,44 @@ SELECT i.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0)
        coalesce(illegal, 0) AS illegal, CAST(coalesce(best.c, 0) AS BIGINT) AS cost, coalesce(best.a, '') AS audit, sha256(coalesce(lines, '')) AS repaired_sha256
 FROM (SELECT DISTINCT conv_id FROM conversations) i LEFT JOIN b ON b.conv_id IS NOT DISTINCT FROM i.conv_id
 LEFT JOIN r ON r.conv_id IS NOT DISTINCT FROM i.conv_id"""
+
+
+@query
+def op12_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12_neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
+SQL["op12_nearest"] = r"""
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+  WHERE len(embedding) > 0 AND NOT list_bool_or(list_transform(embedding, lambda e: e IS NULL OR NOT isfinite(e))) AND list_bool_or(list_transform(embedding, lambda e: e <> 0))),
+n AS (SELECT *, list_reduce(list_transform(x, lambda e: e * e), lambda a, b: a + b) AS square FROM v),
+p AS (
+  SELECT q.r AS q, q.vec_id AS query_id, c.vec_id AS vec_id, c.r,
+         list_reduce(list_transform(list_zip(q.x, c.x), lambda e: coalesce(e[1], 0) * coalesce(e[2], 0)), lambda a, b: a + b) / sqrt(q.square * c.square) AS score
+  FROM n q JOIN n c ON c.r <> q.r WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, vec_id NULLS LAST, r) AS rank FROM p) WHERE rank <= 5"""
+
+
+@query
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+SQL["op13_lexical"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                               '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+s AS (SELECT count(*) AS docs, CAST(sum(len(ws)) AS BIGINT) AS length FROM d WHERE len(ws) > 0),
+t AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(ws) AS term FROM d) GROUP BY 1, 2),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM t, s GROUP BY term, docs),
+i AS (
+  SELECT DISTINCT i, item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS i, * FROM benchmark)),
+p AS (
+  SELECT i.i, i.item_id, d.r, d.doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * len(d.ws) * docs) // length)))) AS BIGINT) AS score
+  FROM i JOIN t USING (term) JOIN w USING (term) JOIN d ON d.r = t.r CROSS JOIN s GROUP BY 1, 2, 3, 4)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST, r) AS rank FROM p WHERE score > 0) WHERE rank <= 50"""
