@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from oracle import compare
 from tessera.plans.registry import oracle_sql, queries
 

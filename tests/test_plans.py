@@ -5,7 +5,7 @@ import io
 
 import pytest
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from tessera.plans.registry import queries
 
 NO_CROSS = ["impute_median", "winsorize", "iqr_outlier_report", "remove_outliers_iqr", "standard_scale",

@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import SF_MID
+from paths import SF_MID
 from tessera.functions.columns import hash_unit
 from tessera.operators.order import attach_row, global_index, previous_row, rank_within, running_sums, top1_by, uniform_bucket
 from tessera.operators.quantile import quantile_table

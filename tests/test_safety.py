@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from tessera import session
 from tessera.operators import profile
 from tessera.operators.labels import transition_long

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from tessera.streaming.stream import EVENTS_SCHEMA, read_stream, run_available, stream_profile, stream_score
 
 
