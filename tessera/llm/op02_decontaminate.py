@@ -79,7 +79,8 @@ def build(items: list[tuple[str, list[int]]], window: int) -> dict:
     for _, seq in items:
         auto.add(seq)
     full: dict[int, set[str]] = {}   # state of a window -> items that hold it
-    short: dict[int, list[tuple[int, str]]] = {}  # state of a whole short item -> (words, id)
+    short: dict[int, set[str]] = {}  # state of a whole short item -> items that are it
+    words: dict[int, int] = {}       # and its words
     least = min([window, *(len(s) for _, s in items if s)])
     g = min(SIEVE, least)
     sieve: set[int] = set()
@@ -96,16 +97,17 @@ def build(items: list[tuple[str, list[int]]], window: int) -> dict:
                     at = auto.link[at]
                 full.setdefault(at, set()).add(name)
         if len(seq) < window:
-            short.setdefault(state, []).append((len(seq), name))
-    # per state: the state of its suffix of ``window`` words, and all short items among its suffixes
+            short.setdefault(state, set()).add(name)
+            words[state] = len(seq)
+    # per state: the state of its suffix of ``window`` words, and of the longest of its suffixes that is a short item
     order = sorted(range(len(auto.link)), key=auto.length.__getitem__)
-    reach, ends = [0] * len(order), [()] * len(order)
+    reach, ends = [0] * len(order), [0] * len(order)
     for s in order[1:]:
         up = auto.link[s]
         if auto.length[s] >= window:
             reach[s] = reach[up] if auto.length[up] >= window else s
-        ends[s] = (*ends[up], *short.get(s, ()))
-    return {"auto": auto, "full": full, "reach": reach, "ends": ends, "window": window, "least": least, "g": g,
+        ends[s] = s if s in short else ends[up]
+    return {"auto": auto, "full": full, "short": short, "words": words, "reach": reach, "ends": ends, "window": window, "least": least, "g": g,
             "sieve": np.array(sorted(sieve), tv.U64)}
 
 
@@ -137,10 +139,11 @@ def scan(model: dict, hashes: np.ndarray, hit: np.ndarray) -> tuple[set[str], in
     whole item can reach beyond one.
     """
     g, least, window, auto = model["g"], model["least"], model["window"], model["auto"]
-    found: set[str] = set()
-    longest = 0
+    windows: set[int] = set()
+    whole: set[int] = set()
+    longest, words, ends = 0, model["words"], model["ends"]
     if len(hashes) < least:
-        return found, longest
+        return set(), longest
     grams, sieve = tv.ngram_hash(hashes, g), model["sieve"]
     known = sieve[np.minimum(np.searchsorted(sieve, grams), len(sieve) - 1)] == grams
     start, end = tv.runs(known, np.array([0, len(known)]))
@@ -152,14 +155,17 @@ def scan(model: dict, hashes: np.ndarray, hit: np.ndarray) -> tuple[set[str], in
             state, matched = auto.step(state, matched, word)
             if matched >= window:
                 hit[i - matched + 1: i + 1] = True
-                found |= model["full"][model["reach"][state]]
+                windows.add(model["reach"][state])
                 longest = max(longest, matched)
-            for n, name in model["ends"][state]:
+            at = ends[state]
+            while at:  # at most one short item of each length
+                n = words[at]
                 if n <= matched:
                     hit[i - n + 1: i + 1] = True
-                    found.add(name)
+                    whole.add(at)
                     longest = max(longest, n)
-    return found, longest
+                at = ends[auto.link[at]]
+    return set().union(*(model["full"][s] for s in windows), *(model["short"][s] for s in whole)), longest
 
 
 def _load(blob) -> dict:

@@ -20,7 +20,11 @@ from pyspark.sql import functions as F
 from .common import arrow_map, sampled
 
 SAMPLE_PAGES = 400
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*)(?:>|\Z)|[^<]+|<", re.S)
+#: what stands in a tag behind its name, taken without second thoughts, so that no text takes more than linear time
+INSIDE = r"((?:=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|[^>])*+)(?:>|\Z)"
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)" + INSIDE + "|[^<]+|<", re.S)
+#: numeric references of more digits than any code point has, but for leading zeros
+LONG_NUMBER = re.compile(r"&#(?:0*+([0-9]++)|[xX]0*+([0-9a-fA-F]++));?")
 ATTRIBUTE = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 #: elements whose content is never text; that of RAW ones holds no tags
 SKIP = frozenset("script style noscript template textarea svg math iframe select object head title button canvas audio video".split())
@@ -55,10 +59,17 @@ def named(attributes: str) -> int:
     return found
 
 
+def decoded(text: str) -> str:
+    """``text`` with its character references decoded; numbers beyond all code points become U+FFFD."""
+    return html.unescape(LONG_NUMBER.sub(lambda m: "\ufffd" if len(m[1] or m[2]) > 7 else m[0] if len(m[0]) < 16 else f"&#{m[1]};" if m[1] else f"&#x{m[2]};", text))
+
+
 def skipped(page: str, name: str) -> dict[int, int]:
     """Where the content of each element of a kind begins and where its end tag ends; elements without one are left out."""
     out, opened = {}, []
-    for m in re.finditer(rf"<!--.*?-->|<(/?){name}(?=[\s/>])((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*)>" + r"|(?=<body[\s>])" * (name == "head"), page, re.I | re.S):
+    for m in re.finditer(rf"<!--.*?(?:-->|\Z)|<(/?){name}(?=[\s/>])" + INSIDE + r"|(?=<body[\s>])" * (name == "head"), page, re.I | re.S):
+        if m[0][-1:] not in (">", ""):  # cut off in the middle of a tag
+            break
         if m[1] == "":
             if not m[2].endswith("/"):
                 opened.append(m.end())
@@ -76,25 +87,25 @@ def tokenise(page: str) -> list[tuple[str, str, int, bool, int]]:
     articles in it, but never the one with most words; one that names comments marks all.
     """
     out: list[tuple[str, str, int, bool, int]] = []
-    stack: list[tuple[str, bool, int, int]] = []  # name, around, content, names its own surroundings
+    stack: list[tuple[str, bool, int, int, int]] = []  # name, around, content, names its own surroundings, most of those so far (forms apart: one may wrap the page)
+    held: Counter = Counter()  # names on the stack
     ends: dict[str, dict[int, int]] = {}
     marked = [0]  # by article: 1 in a wrapper, 2 a comment by its own name, 3 among comments
     own = "article" if ARTICLE.search(page) else "main"
     block, pos, articles = 0, 0, 0
     around, content = False, 0
-    text = ""  # may go on behind an inline tag
+    text: list[str] = []  # may go on behind an inline tag
 
     def flush():
-        nonlocal text
-        out.extend(("w", word, block, around, content) for word in text.split())
-        text = ""
+        out.extend(("w", word, block, around, content) for word in "".join(text).split())
+        text.clear()
 
     while pos < len(page):
         m = TOKEN.match(page, pos)
         pos = m.end()
         if m[2] is None:
             if m[0][0] != "<" or m[0] == "<":
-                text += html.unescape(m[0]) if "&" in m[0] else m[0]
+                text.append(decoded(m[0]) if "&" in m[0] else m[0])
             continue
         if m[0][-1] != ">":  # cut off in the middle of a tag
             break
@@ -104,18 +115,21 @@ def tokenise(page: str) -> list[tuple[str, str, int, bool, int]]:
         if m[1]:
             if name in BLOCK:
                 block += 1
-            if any(s[0] == name for s in stack):
+            if held[name]:
                 if stack[-1][3]:
                     flush()
-                while stack.pop()[0] != name:
-                    pass
+                while True:
+                    gone = stack.pop()[0]
+                    held[gone] -= 1
+                    if gone == name:
+                        break
                 around, content = stack[-1][1:3] if stack else (False, 0)
             out.append((f"-{name}", "", block, around, content))
             continue
         out.append((f"+{name}", "", block, around, content))
         if name in SKIP:
             if name in RAW:
-                end = re.compile(rf"<(/?){name}(?:\s[^>]*)?>", re.I).search(page, pos) if m[3].endswith("/") else None
+                end = re.compile(rf"<(/?){name}(?:\s[^>]*+)?+(?:>|\Z)", re.I).search(page, pos) if m[3].endswith("/") else None
                 if m[3].endswith("/") and not (end and end[1]):  # none of its own, or another begins first: it is empty
                     continue
                 end = re.compile(rf"</{name}\s*>", re.I).search(page, pos)
@@ -130,7 +144,7 @@ def tokenise(page: str) -> list[tuple[str, str, int, bool, int]]:
         if name in BLOCK:
             block += 1
             if name in SIBLINGS and stack and stack[-1][0] == name:
-                stack.pop()
+                held[stack.pop()[0]] -= 1
                 around, content = stack[-1][1:3] if stack else (False, 0)
         if name in VOID or m[3].endswith("/"):
             continue
@@ -139,7 +153,7 @@ def tokenise(page: str) -> list[tuple[str, str, int, bool, int]]:
             if not content:
                 articles += 1
                 content = articles
-                wrapped = max((s[3] for s in stack if s[0] != "form"), default=0)  # a form may wrap the page
+                wrapped = stack[-1][4] if stack else 0
                 marked.append(3 if wrapped == 2 else 2 if hint == 2 else wrapped)
                 around, hint = False, 0
         elif name in AROUND and not hint:
@@ -148,7 +162,8 @@ def tokenise(page: str) -> list[tuple[str, str, int, bool, int]]:
         if hint:
             flush()
         around = around or hint > 0
-        stack.append((name, around, content, hint))
+        stack.append((name, around, content, hint, max(stack[-1][4] if stack else 0, hint if name != "form" else 0)))
+        held[name] += 1
     flush()
     if any(marked):
         size = Counter(t[4] for t in out if t[4] and t[0] == "w" and not t[3])
