@@ -3,7 +3,9 @@
 Queries and candidates are cut into blocks.  A tile multiplies the int8 forms of a block of each; what
 rounding to int8 took from two vectors bounds how far the product may be off, so only pairs whose upper
 bound reaches the query's k-th lower bound survive.  Survivors are computed again from the original
-vectors in double precision and enter a heap per query; the heaps of a query's tiles are merged.
+vectors in double precision and enter a heap per query; the heaps of a query's tiles are merged.  Tiles
+come in rounds, each with GROWTH times the candidates so far; what a query has found by then is the
+threshold of its next tiles, so a round puts out some GROWTH * k rows a query however many tiles it has.
 
 Equal vectors are one vector in the tiles: of a group of copies only the k + 1 smallest ids can stand
 among anyone's k nearest, so neither a hot vector nor its pairs are multiplied more than once.
@@ -18,11 +20,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, shuffle_partitions
+from ..session import cut_lineage
 from .common import arrow_map
 
 QUERY_VALUES = 1 << 21     # numbers in the distinct queries of a tile, about; their vectors are all that a task holds
-CANDIDATE_BLOCK = 1 << 17  # distinct candidates of a tile, at most; they pass by in rows of CHUNK
+CANDIDATE_BLOCK = 1 << 13  # distinct candidates of a tile, at least; they pass by in rows of CHUNK
+LEAST_BLOCKS = 64          # blocks of candidates, where there are enough candidates, however few queries
+GROWTH = 8
 CHUNK = 4096
 PART = 1024                # queries multiplied at once with CHUNK candidates
 EXACT_DIMS = 1024          # so many products of int8 values add up without rounding in single precision
@@ -94,9 +98,10 @@ def bounds(q: Int8, rows: slice, c: Int8) -> tuple[np.ndarray, np.ndarray]:
 def _tile_batches(batches, kind: str, dims: int, k: int):
     """(query class, candidate class, id, score) of the ``k`` best candidates of each query of each tile.
 
-    Rows come by tile, a tile's queries first.  Heaps order by score, then by the smaller id.
+    Rows come by tile, a tile's queries first, with the score that others have shown them.  Heaps order by score,
+    then by the smaller id.
     """
-    tile, queries, keys, q, x, heaps, floor = None, [], [], None, None, [], None
+    tile, queries, keys, known, q, x, heaps, floor = None, [], [], [], None, None, [], None
 
     def best():
         out = [(keys[i], name, None if none else -low, score) for i, heap in enumerate(heaps) for score, none, low, name in heap]
@@ -114,15 +119,16 @@ def _tile_batches(batches, kind: str, dims: int, k: int):
             if now != tile:
                 if heaps:
                     yield best()
-                tile, queries, keys, q, heaps = now, [], [], None, []
+                tile, queries, keys, known, q, heaps = now, [], [], [], None, []
             part = b.slice(a, z - a)
             if side == 0:
                 queries.append(scaled(_vectors(part.column("v"), kind, dims)))
                 keys += part.column("class").to_pylist()
+                known += part.column("floor").to_pylist()
                 continue
             if q is None and queries:
                 x = np.concatenate(queries)
-                q, heaps, floor = Int8(x), [[] for _ in keys], np.full(len(keys), -2.0)
+                q, heaps, floor = Int8(x), [[] for _ in keys], np.array(known) - SLACK
             for s in range(0, part.num_rows if queries else 0, CHUNK):
                 some = part.slice(s, CHUNK)
                 y = scaled(_vectors(some.column("v"), kind, dims))
@@ -137,6 +143,8 @@ def _tile_batches(batches, kind: str, dims: int, k: int):
                     who += r
                     score = cosines(x[who], y[which])
                     for i, m, value in zip(who.tolist(), which.tolist(), score.tolist(), strict=True):
+                        if value < known[i]:
+                            continue
                         heap, no_id = heaps[i], ids[m] is None
                         entry = (value, -1 if no_id else 0, 0 if no_id else -ids[m], names[m])
                         if len(heap) < k:
@@ -144,7 +152,7 @@ def _tile_batches(batches, kind: str, dims: int, k: int):
                         elif entry > heap[0]:
                             heapq.heapreplace(heap, entry)
                         if len(heap) == k:
-                            floor[i] = heap[0][0] - SLACK
+                            floor[i] = max(floor[i], heap[0][0] - SLACK)
     if heaps:
         yield best()
 
@@ -171,9 +179,7 @@ def nearest(rows: DataFrame, asked: str = "vec_id % 50 = 0", k: int = 5) -> Data
     classes = member.where("n = 1").select("class", "vec_id", "v")
     queries = valid.where(asked)
     query_classes = cut_lineage(queries.groupBy("class").agg(F.any_value("v").alias("v")))
-    found = _tiles(query_classes, classes, kind, dims, k + 1)
-    near = Window.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"), "class")
-    found = found.withColumn("n", F.row_number().over(near)).where(F.col("n") <= k + 1).select("query", "class", "score")
+    found = _tiles(query_classes, classes, kind, dims, k + 1).select("query", "class", "score")
     # the rows of the classes found: k + 1 classes of k + 1 rows each, packed, at most
     listed = found.join(member.select("class", "vec_id", "row"), "class").groupBy("query").agg(F.collect_list(F.struct("score", "vec_id", "row")).alias("list"))
     each = queries.select(F.col("class").alias("query"), F.col("vec_id").alias("query_id"), F.col("row").alias("own")).join(listed, "query")
@@ -202,15 +208,27 @@ def _pack_batches(batches, kind: str):
 
 
 def _tiles(queries: DataFrame, classes: DataFrame, kind: str, dims: int, k: int) -> DataFrame:
-    """(query, class, vec_id, score): the ``k`` best of each tile for each of its queries.
+    """(query, class, vec_id, score): the ``k`` best classes of each query.
 
-    The grid's sides come from the two tables' sizes; each query goes to every column of its row of tiles and each
-    candidate to every row of its column, so what is shuffled is a row or column count times the tables.
+    The grid's sides come from the two tables' sizes alone.  Each query goes to every column of its row of tiles
+    and each candidate to every row of its column; there are no more columns than let both cost the same.
     """
-    high = max(1, -(-queries.count() * dims // QUERY_VALUES))
-    wide = max(-(-classes.count() // CANDIDATE_BLOCK), -(-shuffle_partitions(queries.sparkSession) // high))
-    block = F.pmod(F.xxhash64("class", F.lit(1)), F.lit(high)).cast("int"), F.pmod(F.xxhash64("class", F.lit(2)), F.lit(wide)).cast("int")
-    ask = queries.select(block[0].alias("i"), F.explode(F.sequence(F.lit(0), F.lit(wide - 1))).alias("j"), F.lit(0).alias("side"), "class", F.lit(None).cast("long").alias("vec_id"), "v")
-    offer = classes.select(F.explode(F.sequence(F.lit(0), F.lit(high - 1))).alias("i"), block[1].alias("j"), F.lit(1).alias("side"), "class", "vec_id", "v")
-    tiles = ask.unionByName(offer).repartition(high * wide, "i", "j").sortWithinPartitions("i", "j", "side")
-    return cut_lineage(arrow_map(tiles, _tile_batches, "query binary, class binary, vec_id long, score double", kind=kind, dims=dims, k=k))
+    asked, offered = queries.count(), classes.count()
+    high = max(1, -(-asked * dims // QUERY_VALUES))
+    wide = max(1, min(-(-offered // CANDIDATE_BLOCK), max(LEAST_BLOCKS, high * offered // max(asked, 1))))
+    schema = "query binary, class binary, vec_id long, score double"
+    row, column = (F.pmod(F.xxhash64("class", F.lit(seed)), F.lit(n)).cast("int") for seed, n in ((1, high), (2, wide)))
+    near = Window.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"), "class")
+    found = queries.sparkSession.createDataFrame([], schema)
+    done, to = 0, 1
+    while done < wide:
+        floor = found.groupBy("query").agg(F.min("score").alias("floor"), F.count(F.lit(1)).alias("n")).where(F.col("n") == k).select(F.col("query").alias("class"), "floor")
+        ask = queries.join(floor, "class", "left").select(row.alias("i"), F.explode(F.sequence(F.lit(done), F.lit(to - 1))).alias("j"), F.lit(0).alias("side"),
+                                                          "class", F.lit(None).cast("long").alias("vec_id"), "v", F.coalesce("floor", F.lit(-2.0)).alias("floor"))
+        offer = classes.select(F.explode(F.sequence(F.lit(0), F.lit(high - 1))).alias("i"), column.alias("j"), F.lit(1).alias("side"), "class", "vec_id", "v",
+                               F.lit(None).cast("double").alias("floor")).where(f"j >= {done} and j < {to}")
+        tiles = ask.unionByName(offer).repartition(high * (to - done), "i", "j").sortWithinPartitions("i", "j", "side")
+        new = found.unionByName(arrow_map(tiles, _tile_batches, schema, kind=kind, dims=dims, k=k))
+        found = cut_lineage(new.withColumn("n", F.row_number().over(near)).where(F.col("n") <= k).drop("n"))
+        done, to = to, min(wide, to * GROWTH)
+    return found
