@@ -72,7 +72,7 @@ def _positioned(df: DataFrame, sort_cols: Sequence, num_partitions: int | None)
     return cut_lineage(positioned)
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     cond = None
     r = right
     renamed = []
@@ -82,7 +82,7 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> D
         renamed.append(rk)
         c = left[k].eqNullSafe(r[rk])
         cond = c if cond is None else cond & c
-    return left.join(r, cond, "inner").drop(*renamed)
+    return left.join(r, cond, how).drop(*renamed)
 
 
 def global_index(df: DataFrame, order_cols: Sequence, name: str = "idx",
