@@ -21,8 +21,8 @@ MAX_CATEGORIES = 200
 def pct_change(df: DataFrame, col: str, by: Sequence[str], order: Sequence[str], key: str) -> DataFrame:
     """``<col>_ret`` = x / previous x - 1 within each ``by`` entity.
 
-    The predecessor is found by :func:`previous_row` (global index + equi-join)
-    rather than a window per entity, so one huge entity is not one task.  With
+    The predecessor is found by :func:`previous_row`, which spreads a huge entity
+    over range partitions, so it is not one task.  With
     ``by=[]`` the whole table is one sequence (the reference's no-id mode).
     A zero previous value gives NULL.
     """

@@ -33,18 +33,21 @@ def filled(dim: DataFrame, counts: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def class_counts(pred: DataFrame, labels: Sequence, y: str = "y", p: str = "p") -> DataFrame:
-    """label, tp, fp, fn, support -- from one contingency aggregate."""
-    spark = pred.sparkSession
-    dim = spark.createDataFrame([(v,) for v in labels], ["label"])  # the class list: bounded
+    """label, tp, fp, fn, support -- from one contingency aggregate.
+
+    The classes are those of ``labels`` and every other one that stands in y or p, NULL among them, so the
+    supports add up to the number of rows.
+    """
     cont = pred.groupBy(F.col(y).alias("__y"), F.col(p).alias("__p")).agg(F.count(F.lit(1)).alias("__n"))
-    hit = F.when(F.col("__y") == F.col("__p"), F.col("__n")).otherwise(0)
-    miss = F.when(F.col("__y") != F.col("__p"), F.col("__n")).otherwise(0)
-    by_p = cont.groupBy(F.col("__p").alias("__l")).agg(F.sum(hit).alias("tp"), F.sum(miss).alias("fp"))
-    by_y = cont.groupBy(F.col("__y").alias("__l")).agg(F.sum(miss).alias("fn"), F.sum("__n").alias("support"))
-    j = (dim.join(by_p, dim["label"] == by_p["__l"], "left").drop("__l")
-         .join(by_y, dim["label"] == by_y["__l"], "left"))
-    return j.select("label", *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
-                               for c in ("tp", "fp", "fn", "support")])
+    hit, zero = F.col("__y").eqNullSafe(F.col("__p")), F.lit(0).cast("long")
+    rows = cont.select(F.inline(F.array(
+        F.struct(F.col("__y").alias("label"), F.when(hit, F.col("__n")).otherwise(zero).alias("tp"), zero.alias("fp"), F.when(hit, zero).otherwise(F.col("__n")).alias("fn"), F.col("__n").alias("support")),
+        F.struct(F.col("__p").alias("label"), zero.alias("tp"), F.when(hit, zero).otherwise(F.col("__n")).alias("fp"), zero.alias("fn"), zero.alias("support")))))
+    kind = rows.schema["label"].dataType
+    dim = pred.sparkSession.createDataFrame([(v,) for v in labels], ["label"]) if labels else None  # the class list: bounded
+    if dim is not None:
+        rows = rows.unionByName(dim.select(F.col("label").cast(kind), *[zero.alias(c) for c in ("tp", "fp", "fn", "support")]))
+    return rows.groupBy("label").agg(*[F.sum(c).cast("long").alias(c) for c in ("tp", "fp", "fn", "support")])
 
 
 def prf(pred: DataFrame, labels: Sequence, y: str = "y", p: str = "p") -> DataFrame:
@@ -110,8 +113,8 @@ def binary_counts(pred: DataFrame, y: str = "y", p: str = "p", group: Sequence[s
 
 
 def _score_table(pred: DataFrame, y: str, score: str, group: Sequence[str]) -> DataFrame:
-    """One row per (group, distinct score): positives and negatives at that score."""
-    return pred.groupBy(*group, F.col(score).alias("score")).agg(
+    """One row per (group, distinct score): positives and negatives at that score.  Rows without a label are neither."""
+    return pred.where(F.col(y).isNotNull()).groupBy(*group, F.col(score).alias("score")).agg(
         F.sum(F.when(F.col(y) == 1, 1).otherwise(0)).cast("long").alias("pos"),
         F.sum(F.when(F.col(y) == 1, 0).otherwise(1)).cast("long").alias("neg"))
 
@@ -151,6 +154,32 @@ def ranking_metrics(pred: DataFrame, y: str = "y", score: str = "prob", group: S
                       F.try_divide(F.col("__ap_num"), F.nullif(F.col("__P"), F.lit(0))).alias("pr_auc"))
 
 
+def one_vs_rest(pred: DataFrame, labels: Sequence, y: str = "y", probs: str = "probs") -> DataFrame:
+    """E5 over several classes: label, n, support, roc_auc, pr_auc per class, then their macro and weighted averages.
+
+    ``probs`` holds one probability per class of ``labels``, in their order.  The arrays are spread to (class,
+    score) rows and ranked in one sort keyed by class.  Rows without a label count in neither side of any class;
+    n is the number of rows that have one.  A class that all rows or none have has no ranking and counts in no
+    average.  A label outside ``labels`` is one of the rest to every class; probabilities of another number raise.
+    """
+    k = len(labels)
+    fit = F.when(F.size(probs) == k, F.col(probs)).otherwise(F.raise_error(F.concat(F.lit(f"expected {k} probabilities, found "), F.size(probs).cast("string"))))
+    long = pred.where(F.col(y).isNotNull()).select(F.col(y).alias("__y"), F.posexplode(fit).alias("__c", "score"))
+    name = F.element_at(F.array(*[F.lit(v) for v in labels]), F.col("__c") + 1)
+    long = long.select("__c", name.alias("label"), (F.col("__y") == name).cast("int").alias("__own"), "score")
+    ranked = ranking_metrics(long, "__own", "score", ["__c"])
+    size = long.groupBy("__c", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("__own").cast("long").alias("support"))
+    # a row per class from here on; one with no rows at all is listed as well
+    dim = pred.sparkSession.createDataFrame([(i, str(v)) for i, v in enumerate(labels)], "__c int, name string")
+    per = dim.join(size, "__c", "left").join(ranked, "__c", "left").select(
+        "__c", F.col("name").alias("label"), F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("support", F.lit(0)).alias("support"), "roc_auc", "pr_auc")
+    shared = [F.max("n").alias("n"), F.sum("support").cast("long").alias("support")]
+    weight = [F.try_divide(F.sum(F.col(c) * F.col("support")), F.sum(F.when(F.col(c).isNotNull(), F.col("support")))).alias(c) for c in ("roc_auc", "pr_auc")]
+    macro = per.agg(F.lit(k).alias("__c"), F.lit("macro avg").alias("label"), *shared, F.avg("roc_auc").alias("roc_auc"), F.avg("pr_auc").alias("pr_auc"))
+    weighted = per.agg(F.lit(k + 1).alias("__c"), F.lit("weighted avg").alias("label"), *shared, *weight)
+    return per.unionByName(macro).unionByName(weighted).orderBy("__c").drop("__c")
+
+
 def brier(pred: DataFrame, y: str = "y", prob: str = "prob", group: Sequence[str] = ()) -> DataFrame:
     """Mean squared error of the positive-class probability."""
     return pred.groupBy(*group).agg(F.avg(F.pow(F.col(prob) - F.col(y), 2)).alias("brier"))

@@ -96,14 +96,16 @@ def ridge_reg_param(df: DataFrame, label: str, alpha: float) -> float:
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
-    """(label, weight) with weight = n / (k * n_c)  ('balanced')."""
-    c = df.groupBy(label).agg(F.count(F.lit(1)).alias("__nc"))
+    """(label, weight) with weight = n / (k * n_c)  ('balanced'), over the rows that have a label."""
+    c = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("__nc"))
     w = Window.partitionBy()  # one row per class
     return c.select(label, (F.sum("__nc").over(w) / (F.count(F.lit(1)).over(w) * F.col("__nc"))).alias("weight"))
 
 
 def with_class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
-    return df.join(class_weights(df, label).withColumnRenamed("weight", name), label)
+    """``df`` with its classes' balanced weights; rows without a label stay, with weight 0."""
+    out = df.join(class_weights(df, label).withColumnRenamed("weight", name), label, "left")
+    return out.withColumn(name, F.coalesce(name, F.lit(0.0)))
 
 
 def predict(model: PipelineModel, df: DataFrame, key: str, label: str, classes: int | None = None,

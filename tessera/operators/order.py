@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
+WINDOW_ROWS = 1 << 20  # rows of a group that one window task takes
 _PID = "__pid"
 _LOCAL = "__local"
 
@@ -136,27 +137,57 @@ def rank_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence,
     )
 
 
-def previous_row(df: DataFrame, by: Sequence[str], order_cols: Sequence, value_cols: Sequence[str],
-                 prefix: str = "prev_") -> DataFrame:
+def previous_row(df: DataFrame, by: Sequence[str], order_cols: Sequence[str], value_cols: Sequence[str],
+                 prefix: str = "prev_", window_rows: int | None = None) -> DataFrame:
     """Attach ``prefix+col`` = the value of the preceding row of the same ``by`` group.
 
     Same result as ``lag(col).over(partitionBy(by).orderBy(order))`` (order must
-    be total).  Rows are numbered globally and joined to their predecessor on
-    the unique index, so a hot entity never lands in a single task.
+    be total).  Groups of up to ``window_rows`` rows (``spark.tessera.windowRows``)
+    take just that window: one exchange of the table.  A count that combines before
+    its shuffle finds the larger ones, of which there are at most rows / window_rows;
+    theirs, and the one sequence of ``by=[]``, are spread over range partitions
+    (:func:`_previous_in_ranges`).
     """
     by = list(by)
-    idx = global_index(df, [*by, *order_cols], "__i")
-    prev = idx.select(
-        (F.col("__i") + 1).alias("__i"),
-        *[F.col(b).alias(f"__pb_{b}") for b in by],
-        *[F.col(c).alias(prefix + c) for c in value_cols])
-    j = idx.join(prev, "__i", "left")
-    same = F.lit(True)
-    for b in by:
-        same = same & F.col(b).eqNullSafe(F.col(f"__pb_{b}"))
-    for c in value_cols:
-        j = j.withColumn(prefix + c, F.when(same, F.col(prefix + c)))
-    return j.drop("__i", *[f"__pb_{b}" for b in by])
+    if not by:
+        return _previous_in_ranges(df, by, order_cols, value_cols, prefix)
+    limit = window_rows or int(df.sparkSession.conf.get("spark.tessera.windowRows", str(WINDOW_ROWS)))
+    large = cut_lineage(df.groupBy(*by).agg(F.count(F.lit(1)).alias("__c")).where(F.col("__c") > limit).select(*[F.col(c).alias(f"__l_{c}") for c in by]))
+    w = Window.partitionBy(*by).orderBy(*_cols(order_cols))
+
+    def lagged(rows):
+        return rows.select("*", *[F.lag(c).over(w).alias(prefix + c) for c in value_cols])
+
+    if large.isEmpty():
+        return lagged(df)
+    hot = F.lit(True)
+    for c in by:
+        hot = hot & F.col(c).eqNullSafe(F.col(f"__l_{c}"))
+    small = lagged(df.join(large, hot, "left_anti"))
+    return small.unionByName(_previous_in_ranges(df.join(large, hot, "left_semi"), by, order_cols, value_cols, prefix))
+
+
+def _previous_in_ranges(df: DataFrame, by: list[str], order_cols: Sequence[str], value_cols: Sequence[str], prefix: str) -> DataFrame:
+    """``previous_row`` by range partitions: a window over each, and its first row patched from the range before.
+
+    The range-partitioned rows are written, so both uses see the same ranges; the patch has one row per range.
+    """
+    d = _positioned(df, [*by, *order_cols], None)
+    w = Window.partitionBy(_PID).orderBy(_LOCAL)
+    carried = [*by, *value_cols]
+    ends = d.groupBy(_PID).agg(*[F.max_by(c, _LOCAL).alias(f"__e{i}") for i, c in enumerate(carried)])
+    before = Window.orderBy(_PID)  # a row per range
+    patch = ends.select(F.lead(_PID).over(before).alias(_PID), *[f"__e{i}" for i in range(len(carried))]).where(F.col(_PID).isNotNull()).withColumn("__patched", F.lit(True))
+    j = d.select("*", *[F.lag(c).over(w).alias(f"__b{i}") for i, c in enumerate(carried)]).join(F.broadcast(patch), _PID, "left")
+    first = F.col(_LOCAL) == 0
+
+    def earlier(i):
+        return F.when(first, F.col(f"__e{i}")).otherwise(F.col(f"__b{i}"))
+
+    same = ~first | F.col("__patched").isNotNull()
+    for i, c in enumerate(by):
+        same = same & F.col(c).eqNullSafe(earlier(i))
+    return j.select(*df.columns, *[F.when(same, earlier(len(by) + i)).alias(prefix + c) for i, c in enumerate(value_cols)])
 
 
 def top1_by(df: DataFrame, group_cols: Sequence[str], value_col: str, count_col: str = "n",

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..operators import metrics as me
-from ..sources.tables import (LINE_PRED_SQL, ORDER_PRED_SQL, doc_pred, doc_pred_sql, line_pred, order_pred)
+from ..sources.tables import (LINE_PRED_SQL, ORDER_PRED_SQL, ORDER_PROB_SQL, doc_pred, doc_pred_sql, line_pred, order_pred, order_prob)
 from .common import R, rounded
 from .registry import query
 
@@ -164,3 +164,25 @@ FROM m JOIN auc ON m.split = auc.split JOIN ap ON m.split = ap.split
 """)
 def q_split_report(spark, sf):
     return rounded(me.split_report(doc_pred(spark, sf)))
+
+
+# every pair of an own and another row, by average ranks within each class; AP from descending cumulative sums
+@query("roc_auc_ovr", sql=f"""
+WITH pr AS ({ORDER_PROB_SQL}),
+l AS (SELECT 'F' AS label, pf AS s, y FROM pr WHERE y IS NOT NULL UNION ALL SELECT 'O', po, y FROM pr WHERE y IS NOT NULL
+      UNION ALL SELECT 'P', pp, y FROM pr WHERE y IS NOT NULL),
+o AS (SELECT label, s, CASE WHEN y = label THEN 1 ELSE 0 END AS own FROM l),
+rk AS (SELECT label, own, rank() OVER (PARTITION BY label ORDER BY s) + (count(*) OVER (PARTITION BY label, s) - 1) / 2.0 AS r FROM o),
+a AS (SELECT label, count(*) AS n, CAST(sum(own) AS BIGINT) AS support,
+             (sum(CASE WHEN own = 1 THEN r ELSE 0 END) - sum(own) * (sum(own) + 1) / 2.0) / nullif(CAST(sum(own) AS DOUBLE) * (count(*) - sum(own)), 0) AS roc_auc
+      FROM rk GROUP BY label),
+c AS (SELECT label, s, sum(own) AS pos, count(*) - sum(own) AS neg FROM o GROUP BY label, s),
+cs AS (SELECT label, pos, sum(pos) OVER (PARTITION BY label ORDER BY s DESC) AS tp, sum(neg) OVER (PARTITION BY label ORDER BY s DESC) AS fp FROM c),
+ap AS (SELECT label, sum(pos * tp / (tp + fp)) / nullif(sum(pos), 0) AS pr_auc FROM cs GROUP BY label),
+per AS (SELECT a.label, n, support, roc_auc, pr_auc FROM a JOIN ap ON a.label = ap.label)
+SELECT label, n, support, {R('roc_auc')} AS roc_auc, {R('pr_auc')} AS pr_auc FROM per
+UNION ALL SELECT 'macro avg', max(n), CAST(sum(support) AS BIGINT), {R('avg(roc_auc)')}, {R('avg(pr_auc)')} FROM per
+UNION ALL SELECT 'weighted avg', max(n), CAST(sum(support) AS BIGINT), {R('sum(roc_auc * support) / sum(support)')}, {R('sum(pr_auc * support) / sum(support)')} FROM per
+""")
+def q_roc_auc_ovr(spark, sf):
+    return rounded(me.one_vs_rest(order_prob(spark, sf), STATUS))

@@ -160,6 +160,14 @@ ORDER_PRED_SQL = """
   FROM orders
 """
 
+# multi-class probabilities over orders, F, O and P in this order; one customer in fifty has unlabelled orders
+_ORDER_WEIGHTS = """
+  SELECT o_orderkey AS key, CASE WHEN o_custkey % 50 = 0 THEN NULL ELSE o_orderstatus END AS y,
+         CAST(2003 - year(o_orderdate) AS DOUBLE) AS wf, 1.0 + floor(o_totalprice / 50000.0) / 2.0 AS wo, 0.5 + CAST(o_custkey % 7 AS DOUBLE) AS wp
+  FROM orders
+"""
+ORDER_PROB_SQL = f"SELECT key, y, wf / (wf + wo + wp) AS pf, wo / (wf + wo + wp) AS po, wp / (wf + wo + wp) AS pp FROM ({_ORDER_WEIGHTS}) w"
+
 # regression predictions over lineitem
 LINE_PRED_SQL = """
   SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS key,
@@ -181,6 +189,11 @@ def order_pred(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sql_over(spark, sf_dir, ORDER_PRED_SQL, ["orders"])
 
 
+def order_prob(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(key, y, probs) with the probabilities of F, O and P."""
+    return sql_over(spark, sf_dir, ORDER_PROB_SQL, ["orders"]).select("key", "y", F.array("pf", "po", "pp").alias("probs"))
+
+
 def line_pred(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sql_over(spark, sf_dir, LINE_PRED_SQL, ["lineitem"])
 
