@@ -17,12 +17,15 @@ import math
 from collections.abc import Mapping, Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .components import components
+from .blocks import matrix
 from .distance import _cell, _offsets, _weighted_location_knn, dist, sq_dist
+from .lloyd import SAMPLE, first_centres, lloyd, sample_points
 from .order import attach_row, global_index
 
 
@@ -59,7 +62,7 @@ def centroids(points: DataFrame, labels: DataFrame, key: str, x: str = "x", clus
 def inertia(points: DataFrame, labels: DataFrame, centres: DataFrame, key: str, x: str = "x",
             cluster: str = "cluster") -> DataFrame:
     """K2: sum of squared distances of each point to its own centre."""
-    j = points.join(labels, key).join(F.broadcast(centres.select(cluster, "centre")), cluster)  # k rows
+    j = points.join(labels, key).join(centres.select(cluster, "centre"), cluster)  # its size decides how it is joined
     return j.agg(F.sum(sq_dist(F.col(x), F.col("centre"))).alias("inertia"))
 
 
@@ -73,39 +76,37 @@ def _ordered_centres(centres) -> list[list[float]]:
     return sorted([list(map(float, c)) for c in centres])
 
 
-def kmeans(points: DataFrame, key: str, k: int, n_init: int = 10, seed: int = 42, x: str = "x",
+def kmeans(points: DataFrame, key: str, k: int, n_init: int = 15, seed: int = 42, x: str = "x",
            max_iter: int = 300, tol: float = 1e-4) -> tuple[DataFrame, list[list[float]], float]:
-    """K1: best of ``n_init`` Spark ML k-means runs (lowest training cost).
+    """K1: best of ``n_init`` runs of Lloyd's algorithm (lowest inertia), all of them in the same scans.
 
     Returns (labels(key, cluster), centres sorted lexicographically, inertia).
     """
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.functions import array_to_vector
-    if k == 1:  # Spark ML needs k >= 2; one cluster is the mean
-        dims = len(points.select(x).first()[0])
-        centre = list(points.agg(*[F.avg(F.col(x)[i]) for i in range(dims)]).first())
-        cost = points.agg(F.sum(sq_dist(F.col(x), F.array(*[F.lit(float(v)) for v in centre])))).first()[0]
-        return points.select(key, F.lit(0).alias("cluster")), [centre], float(cost)
-    vec = points.select(key, array_to_vector(F.col(x)).alias("__v")).cache()
-    best = None
-    for i in range(n_init):
-        m = KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=tol, featuresCol="__v",
-                   initMode="k-means||").fit(vec)
-        cost = m.summary.trainingCost
-        if best is None or cost < best[1]:
-            best = (m, cost)
-    centres = _ordered_centres([c.tolist() for c in best[0].clusterCenters()])
-    vec.unpersist()
-    return assign_nearest(points, key, centres, x), centres, float(best[1])
+    centres, cost = _best_runs(points, key, [k], n_init, seed, x, max_iter, tol)[k]
+    return assign_nearest(points, key, centres, x), centres, cost
+
+
+def _best_runs(points: DataFrame, key: str, ks: Sequence[int], n_init: int, seed: int, x: str, max_iter: int = 300,
+               tol: float = 1e-4) -> dict[int, tuple[list[list[float]], float]]:
+    """(centres, inertia) of the best run for each k; one scan a round serves every run of every k."""
+    sample = sample_points(points, key, x, max(SAMPLE, 4 * max(ks)))
+    if not len(sample):
+        raise ValueError("no points to cluster")
+    plan = [(k, seed + i) for k in ks for i in range(1 if k == 1 else n_init)]
+    runs = lloyd(points, [first_centres(sample, k, s) for k, s in plan], x, max_iter, tol)
+    best: dict[int, tuple[list[list[float]], float]] = {}
+    for (k, _), (centres, cost, _) in zip(plan, runs):
+        if k not in best or cost < best[k][1]:
+            best[k] = (_ordered_centres(centres.tolist()), cost)
+    return best
 
 
 def elbow_sweep(points: DataFrame, key: str, ks: Sequence[int], seed: int = 42, x: str = "x",
-                n_init: int = 3) -> DataFrame:
-    """K3: (k, inertia, silhouette) for each k (silhouette NULL for k = 1)."""
+                n_init: int = 15) -> DataFrame:
+    """K3: (k, inertia, silhouette) for each k (silhouette NULL for k = 1).  All runs of all k share their scans."""
     rows = []
-    for k in ks:
-        labels, centres, cost = kmeans(points, key, k, n_init, seed, x)
-        sil = silhouette(points, labels, key, x).first()["silhouette"] if k > 1 else None
+    for k, (centres, cost) in sorted(_best_runs(points, key, ks, n_init, seed, x).items()):
+        sil = silhouette(points, assign_nearest(points, key, centres, x), key, x).first()["silhouette"] if k > 1 else None
         rows.append((int(k), float(cost), None if sil is None else float(sil)))
     return points.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
 
@@ -128,18 +129,19 @@ def memberships(x: Column, centres: Sequence[Sequence[float]], m: float) -> Colu
 
 def fuzzy_cmeans(points: DataFrame, key: str, c: int, m: float = 1.3, tol: float = 1e-5,
                  max_iter: int = 1000, seed: int = 42, x: str = "x",
-                 init: Sequence[Sequence[float]] | None = None) -> tuple[DataFrame, list[list[float]], int]:
+                 init: Sequence[Sequence[float]] | None = None, rounds: int | None = None) -> tuple[DataFrame, list[list[float]], int]:
     """K6: soft memberships.  Returns ((key, u, cluster, max_u), centres, iterations).
 
     Starts from k-means centres (or ``init``), then alternates membership
     (row-local array expression) and weighted centre update (one aggregate)
-    until no centre moves more than ``tol``; raises when ``max_iter`` rounds do not suffice.
+    until no centre moves more than ``tol``; raises when ``max_iter`` rounds do not suffice.  ``rounds`` runs
+    just so many instead.
     """
     pts = points.select(key, x).cache()
     centres = list(init) if init is not None else kmeans(pts, key, c, 1, seed, x)[1]
     dims = len(centres[0])
     it = 0
-    for it in range(1, max_iter + 1):
+    for it in range(1, (max_iter if rounds is None else rounds) + 1):
         u = memberships(F.col(x), centres, m)
         w = pts.select(x, F.transform(u, lambda v: F.pow(v, F.lit(m))).alias("__w"))
         aggs = []
@@ -151,11 +153,12 @@ def fuzzy_cmeans(points: DataFrame, key: str, c: int, m: float = 1.3, tol: float
                for j in range(c)]
         shift = max(math.dist(a, b) for a, b in zip(centres, new))
         centres = new
-        if shift < tol:
+        if shift < tol and rounds is None:
             break
     else:
-        raise RuntimeError(f"fuzzy c-means moved by {shift:.3g} in round {max_iter}; raise max_iter or tol")
-    centres = _ordered_centres(centres)
+        if rounds is None:
+            raise RuntimeError(f"fuzzy c-means moved by {shift:.3g} in round {max_iter}; raise max_iter or tol")
+    centres = _ordered_centres(centres) if rounds is None else centres
     u = memberships(F.col(x), centres, m)
     out = pts.select(key, u.alias("u")).select(key, "u", *hard_from_soft(F.col("u")))
     return out, centres, it
@@ -319,36 +322,58 @@ def dbscan(points: DataFrame, key: str, eps: float, min_samples: int, x: str = "
 
 
 # ---------------------------------------------------------------- Ward (two-level)
+def ward_merges(centres: np.ndarray, weights: np.ndarray) -> list[tuple[int, int, float]]:
+    """(a, b, cost) of Ward's merges of weighted points by nearest-neighbour chains, cheapest first, in O(m^2).
+
+    The cost w_a w_b / (w_a + w_b) |c_a - c_b|^2 is reducible: two clusters that are each other's nearest stay so
+    whatever others merge, so a chain of nearest neighbours ends in a pair that may merge at once.  A cluster
+    is named by its smallest point; costs after a merge follow Lance and Williams.
+    """
+    m = len(centres)
+    w = weights.astype(np.float64).copy()
+    cost = w[:, None] * w[None, :] / (w[:, None] + w[None, :]) * ((centres[:, None, :] - centres[None, :, :]) ** 2).sum(axis=2)
+    np.fill_diagonal(cost, np.inf)
+    alive, chain, merges = np.ones(m, bool), [], []
+    while len(merges) < m - 1:
+        if not chain:
+            chain.append(int(alive.argmax()))
+        at = chain[-1]
+        best = int(cost[at].argmin())
+        if len(chain) > 1 and cost[at, chain[-2]] <= cost[at, best]:
+            best = chain[-2]
+        if len(chain) < 2 or best != chain[-2]:
+            chain.append(best)
+            continue
+        chain = chain[:-2]
+        a, b = min(at, best), max(at, best)
+        paid = cost[a, b]
+        merges.append((a, b, float(paid)))
+        others = alive.copy()
+        others[[a, b]] = False
+        new = ((w[a] + w) * cost[a] + (w[b] + w) * cost[b] - w * paid) / (w[a] + w[b] + w)
+        cost[a, others], cost[others, a] = new[others], new[others]
+        w[a] += w[b]
+        alive[b] = False
+        cost[b, :] = cost[:, b] = np.inf
+    return sorted(merges, key=lambda c: c[2])
+
+
 def ward(points: DataFrame, key: str, k: int, micro: int = 200, seed: int = 42, x: str = "x") -> DataFrame:
     """Ward clustering of k-means micro-clusters; (key, cluster).
 
-    Level 1: Spark k-means to ``micro`` weighted centroids (a bounded set).
-    Level 2: Ward merges on the centroids with weights (merge cost
-    w_a w_b / (w_a + w_b) * |c_a - c_b|^2) down to k groups -- a loop over at
-    most ``micro`` centroids.  Level 3: map back with a join on the
-    micro-cluster id.  Cluster ids are ordered by the smallest member key.
+    Level 1: k-means to ``micro`` weighted centroids (a bounded set).  Level 2: Ward's merges of the centroids
+    down to k groups (:func:`ward_merges`).  Level 3: map back with a join on the micro-cluster id.  Cluster ids
+    are ordered by the smallest member key.
     """
     n = points.count()
-    m = min(micro, n)
-    labels, centres, _ = kmeans(points, key, m, 1, seed, x)
+    labels, centres, _ = kmeans(points, key, min(micro, n), 1, seed, x)
     sizes = {r["cluster"]: r["n"] for r in cluster_sizes(labels).collect()}  # <= micro rows
-    groups = {i: ([i], np.array(centres[i]), float(sizes.get(i, 0))) for i in range(len(centres)) if sizes.get(i, 0)}
-    while len(groups) > k:
-        ids = list(groups)
-        best = None
-        for ai in range(len(ids)):
-            for bi in range(ai + 1, len(ids)):
-                a, b = groups[ids[ai]], groups[ids[bi]]
-                cost = a[2] * b[2] / (a[2] + b[2]) * float(((a[1] - b[1]) ** 2).sum())
-                if best is None or cost < best[0]:
-                    best = (cost, ids[ai], ids[bi])
-        _, ia, ib = best
-        a, b = groups.pop(ia), groups.pop(ib)
-        w = a[2] + b[2]
-        groups[min(ia, ib)] = (a[0] + b[0], (a[1] * a[2] + b[1] * b[2]) / w, w)
-    mapping = [(mc, g) for g, (members, _, _) in groups.items() for mc in members]
+    used = sorted(sizes)
+    group = list(range(len(used)))
+    for a, b, _ in ward_merges(np.array([centres[i] for i in used]), np.array([sizes[i] for i in used], np.float64))[: max(0, len(used) - k)]:
+        group = [group[a] if g == group[b] else g for g in group]
     spark = points.sparkSession
-    mp = spark.createDataFrame(mapping, "cluster int, __g int")  # <= micro rows
+    mp = spark.createDataFrame([(i, g) for i, g in zip(used, group)], "cluster int, __g int")  # <= micro rows
     j = labels.join(F.broadcast(mp), "cluster")
     first = j.groupBy("__g").agg(F.min(key).alias("__first"))
     order = first.select("__g", F.row_number().over(Window.orderBy("__first")).alias("__id"))  # k rows
@@ -413,35 +438,46 @@ def normalised_mutual_info(a: DataFrame, b: DataFrame, key: str, ca: str = "clus
                            cb: str = "label") -> DataFrame:
     """NMI with the arithmetic-mean normaliser, natural log."""
     t = _contingency(a, b, key, ca, cb)
-    n = F.sum("nij").over(Window.partitionBy())
-    ai = F.sum("nij").over(Window.partitionBy("__a"))
-    bj = F.sum("nij").over(Window.partitionBy("__b"))
-    t = t.select("nij", n.alias("n"), ai.alias("ai"), bj.alias("bj"), "__a", "__b")  # one row per cell
-    mi = t.agg(F.sum(F.col("nij") / F.col("n") * F.log(F.col("n") * F.col("nij") / (F.col("ai") * F.col("bj")))).alias("mi"),
-               F.first("n").alias("n"))
-    ha = t.groupBy("__a").agg(F.first("ai").alias("c"), F.first("n").alias("n")).agg(
-        (-F.sum(F.col("c") / F.col("n") * F.log(F.col("c") / F.col("n")))).alias("ha"))
-    hb = t.groupBy("__b").agg(F.first("bj").alias("c"), F.first("n").alias("n")).agg(
-        (-F.sum(F.col("c") / F.col("n") * F.log(F.col("c") / F.col("n")))).alias("hb"))
+    ta = t.groupBy("__a").agg(F.sum("nij").alias("ai"))
+    tb = t.groupBy("__b").agg(F.sum("nij").alias("bj"))
+    total = t.agg(F.sum("nij").alias("n"))
+    cells = attach_row(t.join(ta, "__a").join(tb, "__b"), total)
+    mi = cells.agg(F.sum(F.col("nij") / F.col("n") * F.log(F.col("n") * F.col("nij") / (F.col("ai") * F.col("bj")))).alias("mi"))
+    ha, hb = (attach_row(side, total).agg((-F.sum(F.col(c) / F.col("n") * F.log(F.col(c) / F.col("n")))).alias(name))
+              for side, c, name in ((ta, "ai", "ha"), (tb, "bj", "hb")))
     r = attach_row(attach_row(mi, ha), hb)  # one-row tables
     den = (F.col("ha") + F.col("hb")) / 2
     return r.select(F.when(den == 0, F.lit(1.0)).otherwise(F.greatest(F.col("mi"), F.lit(0.0)) / den).alias("nmi"))
 
 
-def davies_bouldin(points: DataFrame, labels: DataFrame, key: str, x: str = "x", cluster: str = "cluster") -> DataFrame:
-    """Mean over clusters of max_j (S_i + S_j) / |c_i - c_j| (Euclidean, noise excluded)."""
-    cen = centroids(points, labels, key, x, cluster)
-    j = points.join(labels, key).where(F.col(cluster) >= 0).join(F.broadcast(cen), cluster)  # k rows
+def _worst_neighbours(group: pa.Table) -> pa.Table:
+    """Per cluster of block i: the largest (S_i + S_j) / |c_i - c_j| over the clusters of block j."""
+    side, ids, s, c = group["side"].to_numpy(), group["id"].to_numpy(), group["s"].to_numpy(), matrix(group["centre"])
+    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    d = np.sqrt(((c[left][:, None, :] - c[right][None, :, :]) ** 2).sum(axis=2))
+    ratio = np.where(ids[left][:, None] == ids[right][None, :], -np.inf, (s[left][:, None] + s[right][None, :]) / np.where(d > 0, d, np.nan))
+    ratio = np.where(np.isnan(ratio), np.inf, ratio)  # two clusters at one place
+    return pa.table({"id": ids[left], "r": ratio.max(axis=1, initial=-np.inf)})
+
+
+def davies_bouldin(points: DataFrame, labels: DataFrame, key: str, x: str = "x", cluster: str = "cluster", block: int = 512) -> DataFrame:
+    """Mean over clusters of max_j (S_i + S_j) / |c_i - c_j| (Euclidean, noise excluded); NULL under two clusters.
+
+    Clusters are compared in blocks of some ``block`` by as many, so none goes to the driver, however many there are.
+    """
+    cen = cut_lineage(centroids(points, labels, key, x, cluster))  # read back, its size decides how it is joined
+    j = points.join(labels, key).where(F.col(cluster) >= 0).join(cen, cluster)
     scat = j.groupBy(cluster).agg(F.avg(dist(F.col(x), F.col("centre"))).alias("s"))
-    rows = scat.join(cen, cluster).collect()  # one row per cluster (bounded)
-    if len(rows) < 2:
+    per = cut_lineage(scat.join(cen, cluster).select(F.col(cluster).cast("long").alias("id"), "s", "centre"))
+    n = per.count()
+    if n < 2:
         return points.sparkSession.createDataFrame([(None,)], "davies_bouldin double")
-    c = [np.array(r["centre"]) for r in rows]
-    s = [r["s"] for r in rows]
-    vals = []
-    for i in range(len(rows)):
-        vals.append(max((s[i] + s[j]) / float(np.linalg.norm(c[i] - c[j])) for j in range(len(rows)) if j != i))
-    return points.sparkSession.createDataFrame([(float(np.mean(vals)),)], "davies_bouldin double")
+    blocks = -(-n // block)
+    own, every = F.pmod(F.xxhash64("id"), F.lit(blocks)), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
+    one = per.select("id", "s", "centre", own.alias("i"), every.alias("j"), F.lit(0).alias("side"))
+    two = per.select("id", "s", "centre", every.alias("i"), own.alias("j"), F.lit(1).alias("side"))
+    worst = one.unionByName(two).groupBy("i", "j").applyInArrow(_worst_neighbours, "id long, r double")
+    return worst.groupBy("id").agg(F.max("r").alias("r")).agg(F.avg("r").alias("davies_bouldin"))
 
 
 def compare_clusterings(labels: Mapping[str, DataFrame], truth: DataFrame, points: DataFrame, key: str,

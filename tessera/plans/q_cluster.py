@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 
 from ..operators import cluster as cl
 from ..operators.distance import knn
+from ..operators.lloyd import lloyd
+from ..operators.projected_knn import knn_projected
 from ..operators.quantile import quantile_table
-from ..sources.tables import SEGMENTS, rfm_cte, rfm_points
+from ..sources.tables import SEGMENTS, load, rfm_cte, rfm_points
 from .common import R, rounded
 from .registry import query
 
@@ -182,6 +184,13 @@ def q_knn(spark, sf):
     return rounded(knn(pts, "key", K_NN))
 
 
+@query("knn_projected")
+def q_knn_projected(spark, sf):
+    """Ten nearest of every embedding (64 columns) by projection trees; tests hold them against all pairs."""
+    emb = load(spark, sf, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("x"))
+    return rounded(knn_projected(emb, "vec_id", 10)[0])
+
+
 @query("kdist_eps", sql=PAIRS + f"""
 SELECT {R('quantile_cont(dist, 0.95)')} AS eps FROM (
   SELECT key, dist, row_number() OVER (PARTITION BY key ORDER BY dist, nbr) AS rank FROM pairs) t
@@ -217,13 +226,40 @@ def q_dbscan(spark, sf):
 @query("kmeans")
 def q_kmeans(spark, sf):
     pts = rfm_points(spark, sf).select("key", "x")
-    return cl.kmeans(pts, "key", 3, n_init=3, seed=42)[0]
+    return cl.kmeans(pts, "key", 3, n_init=15, seed=42)[0]
+
+
+STEPS = 5
+
+
+def _lloyd_sql() -> str:
+    """``STEPS`` rounds of Lloyd's algorithm from the segments' means, one pair of tables a round, and the last assignment."""
+    parts = ["cen0 AS (SELECT sid AS cluster, c0, c1, c2 FROM segs)"]
+    for i in range(STEPS + 1):
+        d2 = " + ".join(f"(rz.z{j} - c.c{j}) * (rz.z{j} - c.c{j})" for j in range(3))
+        parts.append(f"as{i} AS (SELECT key, arg_min(cluster, d2) AS cluster, min(d2) AS d2 FROM (SELECT rz.key, c.cluster, {d2} AS d2 FROM rz, cen{i} c) t GROUP BY key)")
+        if i < STEPS:
+            means = ", ".join(f"coalesce(avg(rz.z{j}), c.c{j}) AS c{j}" for j in range(3))
+            parts.append(f"cen{i + 1} AS (SELECT c.cluster, {means} FROM cen{i} c LEFT JOIN as{i} a ON a.cluster = c.cluster LEFT JOIN rz ON rz.key = a.key "
+                         "GROUP BY c.cluster, c.c0, c.c1, c.c2)")
+    return ", ".join(parts)
+
+
+@query("lloyd_steps", sql=BASE + f""", {_lloyd_sql()}
+SELECT cluster, {R('c0')} AS c0, {R('c1')} AS c1, {R('c2')} AS c2, (SELECT {R('sum(d2)')} FROM as{STEPS}) AS inertia FROM cen{STEPS}""")
+def q_lloyd_steps(spark, sf):
+    """Five rounds of the k-means solver from given centres: what its rounds do, step for step."""
+    import numpy as np
+    pts = rfm_points(spark, sf)
+    centres, cost, _ = lloyd(pts.select("key", "x"), [np.array(segment_centres(pts))], rounds=STEPS)[0]
+    rows = [(i, *map(float, c), cost) for i, c in enumerate(centres)]
+    return rounded(spark.createDataFrame(rows, "cluster int, c0 double, c1 double, c2 double, inertia double"))
 
 
 @query("elbow_sweep")
 def q_elbow_sweep(spark, sf):
     pts = rfm_points(spark, sf).select("key", "x")
-    return cl.elbow_sweep(pts, "key", [1, 2, 3, 4, 5], n_init=2)
+    return cl.elbow_sweep(pts, "key", range(1, 9), n_init=15)
 
 
 @query("fuzzy_cmeans")
@@ -232,6 +268,28 @@ def q_fuzzy_cmeans(spark, sf):
     return cl.fuzzy_cmeans(pts, "key", 3, m=M, tol=1e-5, max_iter=1000)[0]
 
 
+def _fuzzy_sql() -> str:
+    """``STEPS`` rounds of fuzzy c-means from the segments' means."""
+    parts = ["fc0 AS (SELECT sid AS cluster, c0, c1, c2 FROM segs)"]
+    for i in range(STEPS):
+        d = " + ".join(f"(rz.z{j} - c.c{j}) * (rz.z{j} - c.c{j})" for j in range(3))
+        parts.append(f"fd{i} AS (SELECT rz.key, c.cluster, rz.z0, rz.z1, rz.z2, sqrt({d}) AS d FROM rz, fc{i} c)")
+        parts.append(f"fv{i} AS (SELECT *, CASE WHEN min(d) OVER (PARTITION BY key) = 0 THEN CASE WHEN d = 0 THEN 1.0 ELSE 0.0 END "
+                     f"ELSE pow(min(d) OVER (PARTITION BY key) / d, {_P!r}) END AS v FROM fd{i})")
+        parts.append(f"fu{i} AS (SELECT *, pow(v / sum(v) OVER (PARTITION BY key), {M}) AS w FROM fv{i})")
+        parts.append(f"fc{i + 1} AS (SELECT cluster, {', '.join(f'sum(w * z{j}) / sum(w) AS c{j}' for j in range(3))} FROM fu{i} GROUP BY cluster)")
+    return ", ".join(parts)
+
+
+@query("fuzzy_steps", sql=BASE + f""", {_fuzzy_sql()}
+SELECT cluster, {R('c0')} AS c0, {R('c1')} AS c1, {R('c2')} AS c2 FROM fc{STEPS}""")
+def q_fuzzy_steps(spark, sf):
+    """Five rounds of the fuzzy c-means solver from given centres."""
+    pts = rfm_points(spark, sf)
+    _, centres, _ = cl.fuzzy_cmeans(pts.select("key", "x"), "key", len(SEGMENTS), m=M, init=segment_centres(pts), rounds=STEPS)
+    return rounded(spark.createDataFrame([(i, *map(float, c)) for i, c in enumerate(centres)], "cluster int, c0 double, c1 double, c2 double"))
+
+
 @query("subtractive")
 def q_subtractive(spark, sf):
     pts = rfm_points(spark, sf).select("key", "x")
@@ -241,16 +299,16 @@ def q_subtractive(spark, sf):
 @query("ward")
 def q_ward(spark, sf):
     pts = rfm_points(spark, sf).select("key", "x")
-    return cl.ward(pts, "key", 3, micro=50)
+    return cl.ward(pts, "key", 3)
 
 
 def _methods(spark, sf):
     pts = rfm_points(spark, sf).cache()
     p = pts.select("key", "x")
-    labels = {"kmeans": cl.kmeans(p, "key", 3, n_init=2)[0],
-              "fuzzy_cmeans": cl.fuzzy_cmeans(p, "key", 3, m=M, tol=1e-4, max_iter=1000)[0].select("key", "cluster"),
+    labels = {"kmeans": cl.kmeans(p, "key", 3, n_init=15)[0],
+              "fuzzy_cmeans": cl.fuzzy_cmeans(p, "key", 3, m=M, tol=1e-5, max_iter=1000)[0].select("key", "cluster"),
               "dbscan": cl.dbscan(p, "key", EPS, MIN_SAMPLES).select("key", "cluster"),
-              "ward": cl.ward(p, "key", 3, micro=50)}
+              "ward": cl.ward(p, "key", 3)}
     return pts, p, labels
 
 
