@@ -416,6 +416,55 @@ def silhouette(points: DataFrame, labels: DataFrame, key: str, x: str = "x", clu
     return j.agg(F.avg(s_i).alias("silhouette"))
 
 
+def _sample_distances(x: bytes, dims: int):
+    """Per sampled point and cluster of a task's points: how many there are and the sum of their distances."""
+    q = np.frombuffer(x, np.float64).reshape(-1, dims)
+
+    def run(batches):
+        total: dict[int, np.ndarray] = {}
+        for b in batches:
+            y, c = matrix(b.column("x")), b.column("c").to_numpy()
+            for k in np.unique(c).tolist():
+                for s in range(0, int((c == k).sum()), 2048):
+                    part = y[c == k][s: s + 2048]
+                    d = np.sqrt(((q[:, None, :] - part[None, :, :]) ** 2).sum(axis=2)) if dims * len(part) * len(q) < 1 << 24 else \
+                        np.stack([np.sqrt(((part - one) ** 2).sum(axis=1)) for one in q])
+                    t = total.setdefault(k, np.zeros((len(q), 2)))
+                    t[:, 0] += len(part)
+                    t[:, 1] += d.sum(axis=1)
+        cols = [(i, k, float(n), float(v)) for k, t in total.items() for i, (n, v) in enumerate(t)]
+        cols = list(zip(*cols)) or [[]] * 4
+        kinds = (pa.int32(), pa.int64(), pa.float64(), pa.float64())
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["i", "c", "n", "total"])
+    return run
+
+
+def silhouette_sample(points: DataFrame, labels: DataFrame, key: str, m: int = 2000, seed: int = 42, x: str = "x", cluster: str = "cluster") -> DataFrame:
+    """K15 with Euclidean distance: (silhouette, n) over at most ``m`` points by hash, each against all points.
+
+    a is the mean distance to the others of the point's cluster, b the least mean distance to another cluster.
+    Noise (-1) is excluded; a point alone in its cluster scores 0; fewer than two clusters give NULL.  What
+    tasks put out is a row per sampled point and cluster.
+    """
+    from ..functions.columns import hash_unit
+    j = cut_lineage(points.join(labels, key).where(F.col(cluster) >= 0).select(F.col(key).alias("k"), F.col(x).alias("x"), F.col(cluster).cast("long").alias("c")))
+    asked = j.orderBy(hash_unit("k", seed), "k").limit(m).collect()
+    schema = "silhouette double, n bigint"
+    if not asked:
+        return points.sparkSession.createDataFrame([(None, 0)], schema)
+    q = np.array([r["x"] for r in asked], np.float64)
+    per = j.select("x", "c").mapInArrow(_sample_distances(q.tobytes(), q.shape[1]), "i int, c long, n double, total double")
+    per = per.groupBy("i", "c").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+    own = points.sparkSession.createDataFrame([(i, r["c"]) for i, r in enumerate(asked)], "i int, own long")  # a row per sampled point
+    mine = F.col("c") == F.col("own")
+    s = per.join(own, "i").groupBy("i").agg(
+        F.max(F.when(mine, F.col("n"))).alias("n"), F.max(F.when(mine & (F.col("n") > 1), F.col("total") / (F.col("n") - 1))).alias("a"),
+        F.min(F.when(~mine, F.col("total") / F.col("n"))).alias("b"))
+    value = F.when(F.col("b").isNull(), F.lit(None)).when(F.col("n") <= 1, 0.0).otherwise(
+        F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.nullif(F.greatest("a", "b"), F.lit(0.0))), F.lit(0.0)))
+    return s.agg(F.avg(value).alias("silhouette"), F.count(F.lit(1)).alias("n"))
+
+
 def _contingency(a: DataFrame, b: DataFrame, key: str, ca: str, cb: str) -> DataFrame:
     return a.select(key, F.col(ca).alias("__a")).join(b.select(key, F.col(cb).alias("__b")), key) \
         .groupBy("__a", "__b").agg(F.count(F.lit(1)).cast("double").alias("nij"))

@@ -102,6 +102,7 @@ def knn(points: DataFrame, key: str, k: int, x: str = "x", include_self: bool =
 
 DEPTH_BITS = 48   # finest halving of the data's span; points closer than that share a leaf
 LEAF = 8          # distinct locations a tree cell holds before it is divided
+CUT_LEVELS = 4    # levels of a descent that one plan holds; where cells are few, all of them share one exchange of the probes
 
 
 def _tree(loc: DataFrame, x: str, step: int | None = None) -> tuple[list[DataFrame], DataFrame]:
@@ -118,24 +119,27 @@ def _tree(loc: DataFrame, x: str, step: int | None = None) -> tuple[list[DataFra
     span = max(float(edge[f"b{i}"]) - low[i] for i in range(dims)) or 1.0
     scale = float(1 << DEPTH_BITS) / (span * (1 + 1e-9))
     index = F.array(*[F.floor((F.col(x)[i] - F.lit(low[i])) * F.lit(scale)).cast("long") for i in range(dims)])
-    rest = loc.select("__lid", x, "__w", index.alias("__i"), F.lit("").alias("parent"))
+    rows = cut_lineage(loc.select("__lid", x, "__w", index.alias("__i")))
+
+    def name(depth):
+        """A location's cell at a level, from its index alone."""
+        return F.concat_ws(",", F.lit(depth).cast("string"), *[F.shiftright(F.col("__i")[i], max(0, DEPTH_BITS - depth * step)).cast("string") for i in range(dims)])
+
     levels, leaves, depth = [], None, 0
     while True:
-        shift = max(0, DEPTH_BITS - depth * step)
-        last = shift == 0
-        name = F.concat_ws(",", F.lit(depth).cast("string"), *[F.shiftright(F.col("__i")[i], shift).cast("string") for i in range(dims)])
-        here = rest.withColumn("cell", name)
-        cells = here.groupBy("cell", "parent").agg(
+        last = DEPTH_BITS - depth * step <= 0
+        rest = rows.withColumn("parent", name(depth - 1) if depth else F.lit(""))
+        if depth:  # locations of the cells that the level before divides
+            rest = rest.join(levels[-1].where("not leaf").select(F.col("cell").alias("parent")), "parent", "left_semi")
+        cells = rest.groupBy(name(depth).alias("cell"), "parent").agg(
             F.sum("__w").alias("w"), F.count(F.lit(1)).alias("__n"),
             F.array(*[F.min(F.col(x)[i]) for i in range(dims)]).alias("lo"), F.array(*[F.max(F.col(x)[i]) for i in range(dims)]).alias("hi"))
         cells = cut_lineage(cells.select("cell", "parent", "w", "lo", "hi", ((F.col("__n") <= LEAF) | F.lit(last)).alias("leaf")))
-        here = cut_lineage(here.join(cells.select("cell", "leaf"), "cell"))
         levels.append(cells)
-        done = here.where("leaf").select("__lid", x, "__w", "cell")
+        done = rows.withColumn("cell", name(depth)).join(cells.where("leaf").select("cell"), "cell", "left_semi").select("__lid", x, "__w", "cell")
         leaves = done if leaves is None else leaves.unionByName(done)
-        rest = here.where("not leaf").select("__lid", x, "__w", "__i", F.col("cell").alias("parent"))
         depth += 1
-        if rest.isEmpty():
+        if cells.where("not leaf").isEmpty():
             return levels, leaves
 
 
@@ -154,7 +158,8 @@ def _weighted_location_knn(probe: DataFrame, pkey: str, loc: DataFrame, need: in
     plus every location tied at that boundary distance.
 
     All probes descend the cell tree together, a level a round.  The farthest corners of a probe's cells
-    bound its radius (the least one within which cells of weight ``need`` lie whole); cells beyond it go.
+    bound its radius (the least one within which cells of weight ``need`` lie whole), which only shrinks on the
+    way down; cells beyond it go.
     So a probe keeps the cells about its own ball, however dense or empty the data is there, and only the
     leaves that are left are joined with their few locations.
     """
@@ -167,16 +172,23 @@ def _weighted_location_knn(probe: DataFrame, pkey: str, loc: DataFrame, need: in
     for depth, cells in enumerate(levels):
         if depth == 0:
             found = attach_row(probe.select(pkey, x), cells.select("cell", "w", "lo", "hi", "leaf"))  # the root is one row
+            near, far = _box_distances(F.col(x), F.col("lo"), F.col("hi"))
+            found = found.select(pkey, x, "cell", "w", "leaf", near.alias("near"), far.alias("far"))
         else:
-            found = state.where("not leaf").select(pkey, x, F.col("cell").alias("parent")).join(cells, "parent")
-        near, far = _box_distances(F.col(x), F.col("lo"), F.col("hi"))
-        found = found.select(pkey, x, "cell", "w", "leaf", near.alias("near"), far.alias("far"))
-        if state is not None:
-            found = found.unionByName(state.where("leaf"))
+            # a divided cell becomes its children, a leaf has none and stays; none beyond the radius so far
+            child = cells.select(*[F.col(c).alias(f"__{c}") for c in ("cell", "parent", "w", "lo", "hi", "leaf")])
+            found = state.join(child, F.col("cell") == F.col("__parent"), "left")
+            new = F.col("__cell").isNotNull()
+            near, far = _box_distances(F.col(x), F.col("__lo"), F.col("__hi"))
+            found = found.select(pkey, x, "__r", *[F.when(new, F.col(f"__{c}")).otherwise(F.col(c)).alias(c) for c in ("cell", "w", "leaf")],
+                                 F.when(new, near).otherwise(F.col("near")).alias("near"), F.when(new, far).otherwise(F.col("far")).alias("far"))
+            found = found.where(F.col("near") <= F.col("__r") * slack).drop("__r")
         by_far = Window.partitionBy(pkey).orderBy("far").rangeBetween(Window.unboundedPreceding, Window.currentRow)
         found = found.withColumn("__cw", F.sum("w").over(by_far)).withColumn(
             "__r", F.min(F.when(F.col("__cw") >= need, F.col("far"))).over(Window.partitionBy(pkey)))
-        state = cut_lineage(found.where(F.col("near") <= F.col("__r") * slack).drop("__cw", "__r"))
+        state = found.where(F.col("near") <= F.col("__r") * slack).drop("__cw")
+        if depth % CUT_LEVELS == CUT_LEVELS - 1 or depth == len(levels) - 1:
+            state = cut_lineage(state)
     held = leaves.select("cell", F.col("__lid").alias("__nlid"), F.col("__w").alias("__nw"), F.col(x).alias("__y"))
     pairs = state.select(pkey, F.col(x).alias("__p"), "cell").join(held, "cell").select(
         pkey, "__nlid", "__nw", dist(F.col("__p"), F.col("__y")).alias("dist"))

@@ -213,3 +213,20 @@ def relabel_summary(susp: DataFrame, rel: DataFrame, classes: Sequence, flag_col
     row = attach_row(attach_row(counts, changed), trans)  # one-row tables
     return row.select(F.to_json(F.struct(
         F.lit(cutoff).alias("cutoff"), F.lit(ambiguity).alias("ambiguity_threshold"), "*")).alias("json"))
+
+
+def audit(points: DataFrame, key: str, label: str, k: int, eps: float, min_samples: int, m: float = 1.3, ambiguity: float = 0.5,
+          cutoff: int = 2, x: str = "x", seed: int = 42, n_init: int = 15) -> DataFrame:
+    """The whole audit from clusterings that never see the label: one row per point.
+
+    k-means clusters give each label a majority to agree with (discord), fuzzy memberships tell who stands between
+    clusters (ambiguous), density clusters who stands alone (noise).  Columns: key, label, cluster, majority,
+    flag_discord, max_u, flag_ambiguous, flag_noise, suspicion_score, is_suspect.
+    """
+    from . import cluster as cl
+    pts, truth = points.select(key, x), points.select(key, F.col(label).alias("label"))
+    clusters = cl.kmeans(pts, key, k, n_init=n_init, seed=seed, x=x)[0]
+    soft = cl.fuzzy_cmeans(pts, key, k, m=m, x=x, seed=seed)[0]
+    found = truth.join(flag_discord(clusters, truth, key), key).join(flag_ambiguous(soft, key, ambiguity), key)
+    found = found.join(flag_noise(cl.dbscan(pts, key, eps, min_samples, x), key), key)
+    return suspicion(found, key, ["flag_discord", "flag_ambiguous", "flag_noise"], cutoff)

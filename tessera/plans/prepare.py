@@ -24,15 +24,24 @@ def orders_with_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.when(hash_unit("o_orderkey", 5) < 0.05, F.lit(None)).otherwise(F.col("o_totalprice")))
 
 
-def prepare(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All rows with split and scaled features (train-fitted scaler)."""
+def prepare(spark: SparkSession, sf_dir: str, train_fit: bool = False) -> DataFrame:
+    """All rows with split and scaled features (train-fitted scaler).
+
+    ``train_fit`` splits first and fits the median and the winsor bounds on the train rows alone, so that nothing
+    of a test row reaches a train row's values but a customer's own previous price.
+    """
     o = orders_with_nulls(spark, sf_dir)
-    o = clean.impute_median(o, NUMERIC)
-    o = clean.winsorize(o, NUMERIC, 0.01, 0.99)
+    rows = None
+    if train_fit:
+        o = cut_lineage(split.stratified_split(o, "o_orderkey", "o_orderpriority", 0.25, 42))
+        rows = o.where(F.col("split") == "train")
+    o = clean.impute_median(o, NUMERIC, fit_on=rows)
+    o = clean.winsorize(o, NUMERIC, 0.01, 0.99, fit_on=None if rows is None else clean.impute_median(rows, NUMERIC))
     o = features.pct_change(o, "o_totalprice", ["o_custkey"], ["o_orderdate"], "o_orderkey")
     o = features.log_return(o, "o_totalprice")
     o = clean.fill_zero(o, ["o_totalprice_ret"])
-    o = split.stratified_split(o, "o_orderkey", "o_orderpriority", 0.25, 42)
+    if not train_fit:
+        o = split.stratified_split(o, "o_orderkey", "o_orderpriority", 0.25, 42)
     # fit (train rows) and apply (all rows) both read this: materialise once
     o = cut_lineage(o)
     cols = ["o_totalprice", "o_totalprice_ret", "o_totalprice_logret"]

@@ -16,7 +16,7 @@ from ..operators.lloyd import lloyd
 from ..operators.projected_knn import knn_projected
 from ..operators.quantile import quantile_table
 from ..sources.tables import SEGMENTS, load, rfm_cte, rfm_points
-from .common import R, rounded
+from .common import R, hash_unit_sql, rounded
 from .registry import query
 
 M = 1.3
@@ -116,6 +116,21 @@ def q_silhouette(spark, sf):
     return rounded(cl.silhouette(pts, lab, "key"))
 
 
+@query("silhouette_euclidean", sql=BASE + f""",
+sm AS (SELECT key FROM rz ORDER BY {hash_unit_sql('key', 42)}, key LIMIT 500),
+p AS (SELECT a.key, x.cluster AS ca, y.cluster AS cb,
+             sqrt((a.z0 - b.z0) * (a.z0 - b.z0) + (a.z1 - b.z1) * (a.z1 - b.z1) + (a.z2 - b.z2) * (a.z2 - b.z2)) AS d
+      FROM sm JOIN rz a ON a.key = sm.key JOIN asg x ON a.key = x.key, rz b JOIN asg y ON b.key = y.key WHERE a.key <> b.key),
+own AS (SELECT key, avg(d) AS a FROM p WHERE ca = cb GROUP BY key),
+oth AS (SELECT key, min(md) AS b FROM (SELECT key, cb, avg(d) AS md FROM p WHERE ca <> cb GROUP BY key, cb) t GROUP BY key)
+SELECT {R('avg(CASE WHEN own.key IS NULL THEN 0.0 ELSE coalesce((b - a) / nullif(greatest(a, b), 0), 0.0) END)')} AS silhouette, count(*) AS n
+FROM sm LEFT JOIN own ON own.key = sm.key LEFT JOIN oth ON oth.key = sm.key""")
+def q_silhouette_euclidean(spark, sf):
+    """500 points by hash against all points."""
+    pts, _, lab = _assigned(spark, sf)
+    return rounded(cl.silhouette_sample(pts, lab, "key", m=500))
+
+
 @query("davies_bouldin", sql=BASE + f""",
 cen AS (SELECT cluster, avg(z0) AS c0, avg(z1) AS c1, avg(z2) AS c2 FROM rz JOIN asg ON rz.key = asg.key GROUP BY cluster),
 sc AS (SELECT cen.cluster, avg(sqrt((z0 - c0) * (z0 - c0) + (z1 - c1) * (z1 - c1) + (z2 - c2) * (z2 - c2))) AS s
@@ -217,7 +232,14 @@ def q_dbscan_kind(spark, sf):
     return cl.dbscan(pts, "key", EPS, MIN_SAMPLES).select("key", "kind")
 
 
-@query("dbscan")
+@query("dbscan", sql=DBKIND.replace("WITH ", "WITH RECURSIVE ", 1) + f""",
+cp AS (SELECT p.key, p.nbr FROM pairs p WHERE p.dist <= {EPS} AND p.key IN (SELECT key FROM core) AND p.nbr IN (SELECT key FROM core)),
+r(a, b) AS (SELECT key, key FROM core UNION SELECT r.a, cp.nbr FROM r JOIN cp ON r.b = cp.key),
+c AS (SELECT a AS key, min(b) AS root FROM r GROUP BY a),
+ids AS (SELECT root, CAST(row_number() OVER (ORDER BY root) - 1 AS INTEGER) AS cluster FROM (SELECT DISTINCT root FROM c) t),
+lab AS (SELECT c.key, ids.cluster FROM c JOIN ids ON c.root = ids.root),
+bl AS (SELECT p.key, min(lab.cluster) AS cluster FROM pairs p JOIN lab ON p.nbr = lab.key WHERE p.dist <= {EPS} AND p.key NOT IN (SELECT key FROM core) GROUP BY p.key)
+SELECT kind.key, coalesce(lab.cluster, bl.cluster, -1) AS cluster, kind.kind FROM kind LEFT JOIN lab ON kind.key = lab.key LEFT JOIN bl ON kind.key = bl.key""")
 def q_dbscan(spark, sf):
     pts = rfm_points(spark, sf).select("key", "x")
     return cl.dbscan(pts, "key", EPS, MIN_SAMPLES)
@@ -296,6 +318,27 @@ def q_subtractive(spark, sf):
     return cl.subtractive(pts, "key", ra=1.0, accept=0.4, reject=0.15, max_centres=10)[0]
 
 
+def _subtractive_sql(ra: float, accept: float, centres: int) -> str:
+    """Potentials over all pairs; each round's highest point leads if it reaches the accept level, and takes its share from all."""
+    d2 = "(a.z0 - b.z0) * (a.z0 - b.z0) + (a.z1 - b.z1) * (a.z1 - b.z1) + (a.z2 - b.z2) * (a.z2 - b.z2)"
+    parts = [f"pt0 AS (SELECT a.key, a.z0, a.z1, a.z2, sum(exp({-4 / ra ** 2!r} * ({d2}))) AS p FROM rz a, rz b GROUP BY a.key, a.z0, a.z1, a.z2)"]
+    for i in range(centres):
+        level = f" WHERE p > {accept} * (SELECT p FROM top0)" if i else ""
+        parts.append(f"top{i} AS (SELECT {i} AS place, key, z0, z1, z2, p FROM (SELECT * FROM pt{i} ORDER BY p DESC, key LIMIT 1) t{level})")
+        parts.append(f"pt{i + 1} AS (SELECT a.key, a.z0, a.z1, a.z2, greatest(a.p - coalesce(b.p * exp({-4 / (1.5 * ra) ** 2!r} * ({d2})), 0), 0) AS p "
+                     f"FROM pt{i} a LEFT JOIN top{i} b ON true)")
+    return ", ".join(parts)
+
+
+@query("subtractive_centres", sql=f"WITH {rfm_cte('duck')}, {_subtractive_sql(1.0, 0.4, 10)} " + " UNION ALL ".join(
+    f"SELECT place, {R('z0')} AS c0, {R('z1')} AS c1, {R('z2')} AS c2 FROM top{i}" for i in range(10)))
+def q_subtractive_centres(spark, sf):
+    """The centres in the order they were found."""
+    pts = rfm_points(spark, sf).select("key", "x")
+    centres = cl.subtractive(pts, "key", ra=1.0, accept=0.4, reject=0.15, max_centres=10)[1]
+    return rounded(spark.createDataFrame([(i, *map(float, c)) for i, c in enumerate(centres)], "place int, c0 double, c1 double, c2 double"))
+
+
 @query("ward")
 def q_ward(spark, sf):
     pts = rfm_points(spark, sf).select("key", "x")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as fc
 from ..operators import features as fe
 from ..operators.order import attach_row
-from ..sources.tables import LINEITEM_NULLS_SQL, PANEL_SQL, load, panel
+from ..sources.tables import LINEITEM_NULLS_SQL, PANEL_SQL, load, panel, rfm_cte, rfm_points
 from .common import R, rounded
 from .registry import query
 
@@ -189,10 +189,6 @@ def q_pca_project(spark, sf):
 
 
 @query("feature_groups", sql="""
-SELECT * FROM (VALUES ('amounts', 'l_extendedprice', 60000), ('amounts', 'l_quantity', 60000),
-                      ('rates', 'l_discount', 60000), ('rates', 'l_tax', 60000)) v(grp, "column", n)
-WHERE false
-UNION ALL
 SELECT g.grp, g."column", CAST(count(*) AS BIGINT) AS n
 FROM (VALUES ('amounts', 'l_extendedprice'), ('amounts', 'l_quantity'), ('rates', 'l_discount'),
              ('rates', 'l_tax')) g(grp, "column"), lineitem
@@ -239,6 +235,36 @@ def q_prepare_orders(spark, sf):
     return rounded(prepare_orders(spark, sf))
 
 
+@query("prepare_train_fit", sql=f"""
+WITH o AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate, o_orderpriority,
+                  CASE WHEN {_hu('o_orderkey', 5)} < 0.05 THEN NULL ELSE o_totalprice END AS p,
+                  row_number() OVER (PARTITION BY o_orderpriority ORDER BY {_hu('o_orderkey', 42)}, o_orderkey) - 1
+                    < floor(count(*) OVER (PARTITION BY o_orderpriority) * 0.25 + 0.5) AS test FROM orders),
+m AS (SELECT quantile_cont(p, 0.5) AS med FROM o WHERE NOT test),
+i AS (SELECT o.*, coalesce(p, med) AS p1 FROM o, m),
+q AS (SELECT quantile_cont(p1, 0.01) AS lo, quantile_cont(p1, 0.99) AS hi FROM i WHERE NOT test),
+w AS (SELECT i.*, greatest(lo, least(hi, p1)) AS price FROM i, q),
+r AS (SELECT *, price / nullif(lag(price) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey), 0) - 1 AS ret FROM w),
+sp AS (SELECT *, CASE WHEN test THEN 'test' ELSE 'train' END AS split, coalesce(CASE WHEN ret > -1 THEN ln(1 + ret) END, 0.0) AS logret, coalesce(ret, 0.0) AS ret0 FROM r),
+f AS (SELECT avg(price) AS a0, stddev_pop(price) AS b0, avg(ret0) AS a1, stddev_pop(ret0) AS b1,
+             avg(logret) AS a2, stddev_pop(logret) AS b2 FROM sp WHERE split = 'train')
+SELECT o_orderkey, {R('price')} AS o_totalprice, split, {_STD} FROM sp, f
+""")
+def q_prepare_train_fit(spark, sf):
+    """The prepare plan with median, winsor bounds and scaler all fitted on the train rows; every row."""
+    from .prepare import prepare
+    scaled = [c for c in ("o_totalprice_std", "o_totalprice_ret_std", "o_totalprice_logret_std")]
+    return rounded(prepare(spark, sf, train_fit=True).select("o_orderkey", "o_totalprice", "split", *scaled))
+
+
+@query("pca_first", sql=f"""WITH {rfm_cte('duck')},
+c AS (SELECT corr(z1, z2) AS r FROM rz) SELECT key, {R('(z1 + z2) / sqrt(2)')} AS pc1, {R('(1 + r) / 2')} AS explained_variance FROM rz, c""")
+def q_pca_first(spark, sf):
+    """F18 on two columns, whose first component is known in closed form (they rise together)."""
+    proj, ev = fe.pca_project(rfm_points(spark, sf), "key", ["z1", "z2"], 2)
+    return rounded(attach_row(proj.select("key", "pc1"), ev.where("component = 'pc1'").select("explained_variance")))
+
+
 @query("shape_features", sql=f"""
 SELECT p_partkey, {R('CAST(p_size AS DOUBLE) / nullif(p_retailprice, 0)')} AS p_size_per_p_retailprice,
        {R('CAST(p_size AS DOUBLE) * p_retailprice')} AS p_size_by_p_retailprice FROM part
@@ -274,6 +300,13 @@ def q_infer_roles(spark, sf):
     return role_table(li, roles)
 
 
+@query("features_of_split", sql="SELECT * EXCLUDE (o_orderpriority) FROM orders")
+def q_features_of_split(spark, sf):
+    """The feature side, whole."""
+    from ..operators.roles import split_features_target
+    return split_features_target(load(spark, sf, "orders"), "o_orderkey", "o_orderpriority")[0]
+
+
 @query("split_features_target", sql="""
 SELECT o_orderkey, o_orderpriority, CAST(count(*) OVER () AS BIGINT) AS n_features_rows FROM orders
 """)

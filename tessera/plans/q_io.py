@@ -30,6 +30,20 @@ def q_csv_roundtrip(spark, sf):
     return df.select(F.col("customer_key").cast("long").alias("customer_key"), "customer_name", "segment_market")
 
 
+@query("csv_mixed_encodings", sql=f"""
+SELECT c_custkey AS customer_key, c_name || CASE WHEN {hash_unit_sql('c_custkey', 17)} < 0.3 THEN 'é' ELSE '' END
+       AS customer_name, c_mktsegment AS segment_market FROM customer
+""")
+def q_csv_mixed_encodings(spark, sf):
+    """A folder of files in two encodings, each read in its own."""
+    path, c = io.scratch_path(spark, "csv-mixed"), _accented_customers(spark, sf)
+    half = F.col("`\ufeffCustomer Key\t`") % 2
+    io.write_csv(c.where(half == 0), f"{path}/latin", sep=";", encoding="ISO-8859-1")
+    io.write_csv(c.where(half == 1), f"{path}/utf8", sep=";", encoding="utf-8")
+    df = io.read_csv(spark, f"{path}/*", sep=";", encoding="utf-8", fallback="ISO-8859-1", snake=True)
+    return df.select(F.col("customer_key").cast("long").alias("customer_key"), "customer_name", "segment_market")
+
+
 @query("expect_contract", sql="""
 SELECT 'required:o_orderkey' AS "check", true AS passed, CAST(1 AS BIGINT) AS observed
 UNION ALL SELECT 'required:o_custkey', true, 1
@@ -68,15 +82,17 @@ def q_parquet_partitioned(spark, sf):
                                              F.countDistinct("o_custkey").alias("n_customers"))
 
 
-@query("json_summary")
+@query("json_summary", sql="""
+SELECT count(*) AS n_orders, count(DISTINCT o_custkey) AS n_customers, round(sum(o_totalprice), 2) AS revenue FROM orders
+""")
 def q_json_summary(spark, sf):
-    """One-row summary written as JSON lines and read back."""
+    """One-row summary written as JSON lines and parsed again."""
     o = load(spark, sf, "orders")
     summary = o.agg(F.count(F.lit(1)).alias("n_orders"), F.countDistinct("o_custkey").alias("n_customers"),
                     F.round(F.sum("o_totalprice"), 2).alias("revenue"))
     path = io.scratch_path(spark, "json")
     io.write_json_summary(summary, path)
-    return spark.read.text(path)
+    return spark.read.schema(summary.schema).json(path)
 
 
 @query("model_persistence")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..operators import labels as lb
-from ..sources.tables import rfm_cte
+from ..sources.tables import rfm_cte, rfm_points
 from .common import R, rounded
 from .label_audit import (AMBIGUITY, CLASSES, CONTAMINATION, CUTOFF, EPS, FLAGS, LOF_K, M, MIN_SAMPLES, diagnosis,
                           relabelled)
@@ -191,7 +193,27 @@ def q_class_shift(spark, sf):
     return lb.class_shift(relabelled(spark, sf))
 
 
-@query("relabel_summary")
+@query("relabel_summary", sql=DIAG + f""",
+lbs(label) AS (VALUES {', '.join(f"('{c}')" for c in CLASSES)}),
+tr AS (SELECT a.label AS o, b.label AS c, count(rel.key) AS n FROM lbs a CROSS JOIN lbs b LEFT JOIN rel ON rel.original = a.label AND rel.corrected = b.label GROUP BY 1, 2),
+s AS (SELECT count(*) AS n_total, {', '.join(f'CAST(sum({f}) AS BIGINT) AS {f}' for f in FLAGS)},
+             {', '.join(f'count(*) FILTER (suspicion_score = {k}) AS score_{k}' for k in range(len(FLAGS) + 1))}, CAST(sum(is_suspect) AS BIGINT) AS n_suspect FROM susp),
+c AS (SELECT CAST(sum(was_changed) AS BIGINT) AS relabeled_total, {R('avg(was_changed)')} AS relabeled_fraction FROM rel)
+SELECT {CUTOFF} AS cutoff, {R(AMBIGUITY)} AS ambiguity_threshold, s.*, c.*,
+       (SELECT string_agg(o || '>' || c || ':' || n, ',' ORDER BY o, c) FROM tr) AS transitions FROM s, c
+""")
 def q_relabel_summary(spark, sf):
+    """The JSON row, parsed again."""
     d = diagnosis(spark, sf)
-    return lb.relabel_summary(d, relabelled(spark, sf), CLASSES, FLAGS, CUTOFF, AMBIGUITY)
+    j = lb.relabel_summary(d, relabelled(spark, sf), CLASSES, FLAGS, CUTOFF, AMBIGUITY)
+    longs = ", ".join(f"{c} bigint" for c in ["n_total", *FLAGS, *[f"score_{k}" for k in range(len(FLAGS) + 1)], "n_suspect", "relabeled_total"])
+    row = j.select(F.from_json("json", f"cutoff int, ambiguity_threshold double, {longs}, relabeled_fraction double, "
+                                       "transitions array<struct<original: string, corrected: string, n: bigint>>").alias("j")).select("j.*")
+    listed = F.array_join(F.transform("transitions", lambda t: F.concat(t["original"], F.lit(">"), t["corrected"], F.lit(":"), t["n"].cast("string"))), ",")
+    return rounded(row.withColumn("transitions", listed))
+
+
+@query("audit_without_label")
+def q_audit_without_label(spark, sf):
+    """L1-L6 over clusterings made from the points alone."""
+    return rounded(lb.audit(rfm_points(spark, sf).select("key", "x", "label"), "key", "label", len(CLASSES), EPS, MIN_SAMPLES))

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import models as md
+from ..operators.linear_search import linear_prediction, linear_search, log_uniform
 from ..operators.metrics import binary_model_metrics, model_metrics, regression_metrics
 from ..session import cut_lineage
-from ..sources.tables import LABEL_CLASSES, rfm_points
+from ..sources.tables import LABEL_CLASSES, load, rfm_cte, rfm_points
 from ..functions.columns import hash_unit
-from .common import R, rounded
+from .common import R, hash_unit_sql, rounded
 from .modelling import DOC_FEATURES, ORDER_FEATURES, doc_table, order_table
 from .registry import query
 
@@ -35,12 +36,12 @@ def q_model_tree(spark, sf):
 
 @query("model_forest")
 def q_model_forest(spark, sf):
-    return _fit_predict(spark, sf, "forest", n_estimators=50, max_depth=8, max_features="sqrt")
+    return _fit_predict(spark, sf, "forest", n_estimators=100, max_depth=8, max_features="sqrt")
 
 
 @query("model_gbt")
 def q_model_gbt(spark, sf):
-    return _fit_predict(spark, sf, "gbt", n_estimators=50, max_depth=3, learning_rate=0.1)
+    return _fit_predict(spark, sf, "gbt", n_estimators=100, max_depth=3, learning_rate=0.1)
 
 
 @query("model_logistic")
@@ -86,7 +87,12 @@ def q_regression_report(spark, sf):
     return out
 
 
-@query("knn_classify")
+@query("knn_classify", sql=f"""WITH {rfm_cte('duck')},
+s AS (SELECT rz.*, t.label, {hash_unit_sql('rz.key', 13)} < 0.25 AS test FROM rz JOIN truth t ON t.key = rz.key),
+n AS (SELECT a.key, b.label, row_number() OVER (PARTITION BY a.key ORDER BY sqrt((a.z0 - b.z0) * (a.z0 - b.z0) + (a.z1 - b.z1) * (a.z1 - b.z1)
+             + (a.z2 - b.z2) * (a.z2 - b.z2)), b.key) AS r FROM s a JOIN s b ON a.test AND NOT b.test),
+v AS (SELECT key, label, row_number() OVER (PARTITION BY key ORDER BY count(*) DESC, label) AS place FROM n WHERE r <= 7 GROUP BY key, label)
+SELECT key, label AS prediction FROM v WHERE place = 1""")
 def q_knn_classify(spark, sf):
     pts = rfm_points(spark, sf).withColumn("split", F.when(hash_unit("key", 13) < 0.25, "test").otherwise("train"))
     return md.knn_classify(pts.where(F.col("split") == "train"), pts.where(F.col("split") == "test"), "key", 7)
@@ -170,13 +176,13 @@ def q_multiclass_search(spark, sf):
 
 @query("multiclass_two_labels")
 def q_multiclass_two_labels(spark, sf):
-    """M23 on three classes: two models x two label sources, all judged on the true test labels."""
+    """M23 on three classes: three models x two label sources, all judged on the true test labels."""
     t = _rfm_table(spark, sf)
     train, test, preds = t.where("split = 'train'"), t.where("split = 'test'"), None
     for source in ("y", "y_true"):
-        for kind, p in (("tree", {"max_depth": 6}), ("logistic", {"C": 1.0, "n_rows": train.count()})):
+        for kind, p in (("tree", {"max_depth": 6}), ("logistic", {"C": 1.0, "n_rows": train.count()}), ("linear", {})):
             m = md.build_model(kind, RFM_FEATURES, source, impute=True, scale=True, **p).fit(train)
-            one = md.predict(m, test, "key", "y_true").select(F.lit(kind).alias("model"), F.lit(source).alias("label_source"), "y", "p")
+            one = md.predict(m, test, "key", "y_true", classes=len(LABEL_CLASSES) if kind == "linear" else None).select(F.lit(kind).alias("model"), F.lit(source).alias("label_source"), "y", "p")
             preds = one if preds is None else preds.unionByName(one)
     return model_metrics(preds, ["model", "label_source"], range(len(LABEL_CLASSES)))
 
@@ -257,3 +263,55 @@ def q_calibrate(spark, sf):
     m, _, train, test = _forest(spark, sf)
     tr = md.predict(m, train, "key", "y")
     return md.calibrate(tr, md.predict(m, test, "key", "y"), "key")
+
+
+SEARCH_ALPHAS = {"ridge": log_uniform(1e3, 1e6, 20, seed=42), "lasso": log_uniform(1e1, 1e4, 20, seed=42)}
+
+
+def _search_rows(spark, sf):
+    li = load(spark, sf, "lineitem")
+    return li.select(F.col("l_extendedprice").alias("y"), F.col("l_quantity").cast("double").alias("a"), F.col("l_discount").cast("double").alias("b"),
+                     (F.col("l_orderkey") % 5).alias("fold"))
+
+
+def _search_sql(kind: str) -> str:
+    """The whole search row by row: each penalty's fit on four folds in closed form, its R^2 on the fifth."""
+    two = kind == "ridge"
+    alphas = ", ".join(f"(CAST({a!r} AS DOUBLE))" for a in SEARCH_ALPHAS[kind])
+    if two:
+        coef = """(q1 * (1 + alpha / n) - rho * q2) / ((1 + alpha / n) * (1 + alpha / n) - rho * rho) / sa AS ca,
+                  (q2 * (1 + alpha / n) - rho * q1) / ((1 + alpha / n) * (1 + alpha / n) - rho * rho) / sb AS cb"""
+    else:
+        coef = "sign(q1) * greatest(abs(q1) - alpha, 0) / sa AS ca, 0.0 AS cb"
+    return f"""WITH r AS (SELECT l_extendedprice AS y, CAST(l_quantity AS DOUBLE) AS a, CAST(l_discount AS DOUBLE) AS b, l_orderkey % 5 AS fold FROM lineitem),
+f AS (SELECT DISTINCT fold FROM r), al(alpha) AS (VALUES {alphas}),
+t AS (SELECT f.fold, count(*) AS n, avg(a) AS ma, avg(b) AS mb, avg(y) AS my, stddev_pop(a) AS sa, stddev_pop(b) AS sb, corr(a, b) AS rho,
+             covar_pop(a, y) / stddev_pop(a) AS q1, covar_pop(b, y) / stddev_pop(b) AS q2 FROM f JOIN r ON r.fold <> f.fold GROUP BY f.fold),
+m AS (SELECT fold, alpha, ma, mb, my, {coef} FROM t, al),
+e AS (SELECT m.fold, alpha, 1 - sum(pow(y - my - ca * (a - ma) - cb * (b - mb), 2)) / (var_pop(y) * count(*)) AS r2 FROM m JOIN r ON r.fold = m.fold GROUP BY m.fold, alpha),
+s AS (SELECT alpha, avg(r2) AS mean_r2, stddev_pop(r2) AS std_r2 FROM e GROUP BY alpha)
+SELECT {R('alpha')} AS alpha, {R('mean_r2')} AS mean_r2, {R('std_r2')} AS std_r2, CAST(row_number() OVER (ORDER BY mean_r2 DESC, alpha) AS INTEGER) AS rnk FROM s"""
+
+
+@query("ridge_search", sql=_search_sql("ridge"))
+def q_ridge_search(spark, sf):
+    """Twenty log-uniform penalties by five folds on R^2, from one scan."""
+    return rounded(linear_search(_search_rows(spark, sf), ["a", "b"], "y", "fold", "ridge", SEARCH_ALPHAS["ridge"])[0])
+
+
+@query("lasso_search", sql=_search_sql("lasso"))
+def q_lasso_search(spark, sf):
+    return rounded(linear_search(_search_rows(spark, sf), ["a"], "y", "fold", "lasso", SEARCH_ALPHAS["lasso"])[0])
+
+
+@query("linear_search_refit")
+def q_linear_search_refit(spark, sf):
+    """Ridge and lasso on all order features, tuned on train rows, fitted again and judged on the test rows."""
+    t, out = order_table(spark, sf), None
+    train = t.where(F.col("split") == "train").withColumn("fold", F.col("key") % 5)
+    for kind, alphas in SEARCH_ALPHAS.items():
+        _, best = linear_search(train, ORDER_FEATURES, "y", "fold", kind, alphas)
+        r = regression_metrics(t.where(F.col("split") == "test").select("y", linear_prediction(best).alias("yhat")))
+        r = r.select(F.lit(kind).alias("model"), F.lit(best["alpha"]).alias("alpha"), "*")
+        out = r if out is None else out.unionByName(r)
+    return rounded(out)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..operators import report as rp
 from .common import R, rounded
 from .experiments import METRICS, METRICS_CTE, SOURCES, two_label_metrics
@@ -96,6 +98,8 @@ def q_compare_models(spark, sf):
     return rounded(m.select("model", "label_source", "accuracy", "gap"))
 
 
-@query("flatten_json")
+@query("flatten_json", sql=W + " " + " UNION ALL ".join(f"SELECT model, '{m}__' || label_source AS name, {R(m)} AS value FROM metrics" for m in METRICS))
 def q_flatten_json(spark, sf):
-    return rp.flatten_json(two_label_metrics(spark, sf), METRICS)
+    """The JSON objects, parsed again."""
+    j = rp.flatten_json(two_label_metrics(spark, sf), METRICS)
+    return rounded(j.select("model", F.explode(F.from_json("json", "map<string,double>")).alias("name", "value")))

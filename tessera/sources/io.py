@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,31 +36,38 @@ def nan_to_null(df: DataFrame) -> DataFrame:
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None, sep: str = ",",
              encoding: str = "utf-8", fallback: str = "ISO-8859-1", header: bool = True,
              clean_names: bool = True, snake: bool = False) -> DataFrame:
-    """CSV read that falls back to ``fallback`` when the text is not valid ``encoding``.
+    """CSV read in which every file that is not valid ``encoding`` is read in ``fallback`` instead.
 
-    Spark never fails on bad UTF-8; it substitutes U+FFFD.  One filtered
-    ``limit(1)`` job looks for that character in the string columns and, if
-    found, the file is re-read with the fallback encoding.
+    Spark never fails on bad UTF-8; it substitutes U+FFFD.  One job names the files that hold that character, in
+    their rows or headers; each file is then read in its own encoding.  A file that
+    holds U+FFFD itself counts as not valid.
     """
-    def _read(enc):
+    def _read(enc, paths):
         r = spark.read.option("header", header).option("sep", sep).option("encoding", enc)
-        r = r.schema(schema) if schema is not None else r.option("inferSchema", False)
-        return r.csv(path)
-
-    df = _read(encoding)
-    strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    if fallback and strings:
-        bad = None
-        for c in strings:
-            cond = F.col(f"`{c}`").contains(REPLACEMENT)
-            bad = cond if bad is None else bad | cond
-        if df.where(bad).limit(1).count() > 0:
-            df = _read(fallback)
-    if clean_names:
-        df = df.toDF(*[clean_name(c, snake) for c in df.columns])
+        df = (r.schema(schema) if schema is not None else r.option("inferSchema", False)).csv(paths)
+        return df.toDF(*[clean_name(c, snake) for c in df.columns]) if clean_names else df
+
+    df = _read(encoding, path)
+    if fallback:
+        # whole lines, decoded as the columns will be
+        lines = spark.read.option("encoding", encoding).option("sep", "\x01").option("quote", "").schema("line string").csv(path)
+        bad = {r[0] for r in lines.where(F.col("line").contains(REPLACEMENT)).select("_metadata.file_path").distinct().collect()}  # names of files
+        if bad:
+            files = {_local_name(f): unquote(f) for f in df.inputFiles()}
+            bad = {_local_name(f) for f in bad}
+            good = sorted(f for n, f in files.items() if n not in bad)
+            df = _read(fallback, sorted(f for n, f in files.items() if n in bad))
+            if good:
+                valid = _read(encoding, good)
+                df = valid.unionByName(df, allowMissingColumns=True)
     return nan_to_null(df)
 
 
+def _local_name(uri: str) -> str:
+    """A file's URI without differences of writing: ``file:/a`` and ``file:///a`` are one file."""
+    return re.sub(r"^(\w+):/+", r"\1:/", unquote(uri))
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     """Parquet read with NaN as NULL."""
     return nan_to_null(spark.read.parquet(path))
