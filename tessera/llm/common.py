@@ -38,6 +38,24 @@ def arrow_map(df: DataFrame, fn: Callable, schema: str, **args) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def arrow_column(fn: Callable, schema: str, *columns, **args) -> Column:
+    """Arrow UDF ``fn(*arrays, **args)`` over ``columns``: a row's other columns stay with Spark.
+
+    ``fn`` is found by name on the worker, as in ``arrow_map``.  The column counts as nondeterministic, so Spark
+    neither copies it into filters nor works it out twice.
+    """
+    module, name, root = fn.__module__, fn.__name__, ROOT
+
+    def run(*arrays: pa.Array) -> pa.Array:
+        if root not in sys.path:
+            sys.path.append(root)
+        out = getattr(importlib.import_module(module), name)(*arrays, **args)
+        importlib.import_module("tessera.llm.common").give_back()
+        return out
+
+    return F.arrow_udf(run, schema, F.ArrowUDFType.SCALAR).asNondeterministic()(*columns)
+
+
 def give_back() -> None:
     """Return freed memory to the system: workers live on between tasks, several to an executor."""
     gc.collect()

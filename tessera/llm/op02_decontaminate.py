@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from . import textvec as tv
-from .common import arrow_map
+from .common import arrow_column, arrow_map
 
 WINDOW = 10
 SHARD_WORDS = 1 << 19  # item words in one automaton; it has at most twice as many states
@@ -172,40 +172,47 @@ def _load(blob) -> dict:
     return pickle.loads(blob.value)
 
 
-def _scan_batches(batches, model):
+def _scan_column(text: pa.Array, hits: pa.Array, items: pa.Array, longest: pa.Array, model) -> pa.Array:
+    """What an automaton finds in the texts, added to what others found."""
     model = _load(model)
-    for b in tv.chunks(batches, "text"):
+    parts, sieve = [], model["sieve"]
+    for b in tv.chunks(iter([pa.RecordBatch.from_arrays([text, hits, items, longest], names=["text", "hits", "items", "longest"])]), "text"):
         data, off = tv.text_buffers(b.column("text"))
         w = tv.words(data, off)
         first, grams = w.first, tv.ngram_hash(w.hash, model["g"])
-        sieve = model["sieve"]
         known = np.zeros(len(w.hash), bool)
         known[: len(grams)] = sieve[np.minimum(np.searchsorted(sieve, grams), len(sieve) - 1)] == grams
         some = np.add.reduceat(np.append(known, False), first[:-1]) if len(first) > 1 else np.zeros(0)
-        spans, names, longest = b.column("hits").to_pylist(), b.column("items").to_pylist(), b.column("longest").to_pylist()
+        spans, names, far = b.column("hits").to_pylist(), b.column("items").to_pylist(), b.column("longest").to_pylist()
         for r in np.flatnonzero((some > 0) & (w.per_row > 0)).tolist():
             hit = np.zeros(w.per_row[r], bool)
-            found, far = scan(model, w.hash[first[r]: first[r + 1]], hit)
+            found, most = scan(model, w.hash[first[r]: first[r + 1]], hit)
             if found:
                 for s in spans[r]:
                     hit[s["from"]: s["to"]] = True
                 a, z = tv.runs(hit, np.array([0, len(hit)]))
                 spans[r] = [{"from": x, "to": y} for x, y in zip(a.tolist(), z.tolist(), strict=True)]
                 names[r] = sorted(found | set(names[r]))
-                longest[r] = max(longest[r], far)
-        out = {"hits": pa.array(spans, HITS), "items": pa.array(names, pa.list_(pa.string())),
-               "longest": pa.array(longest, pa.int64()), "n_words": pa.array(w.per_row, pa.int64())}
-        yield pa.RecordBatch.from_arrays([out.get(n, b.column(n)) for n in b.schema.names], names=b.schema.names)
+                far[r] = max(far[r], most)
+        parts.append(_state(w.per_row, spans, names, far))
+    return pa.concat_arrays(parts) if parts else _state([], [], [], [])
+
+
+def _count_column(text: pa.Array) -> pa.Array:
+    parts = []
+    for b in tv.chunks(iter([pa.RecordBatch.from_arrays([text], names=["text"])]), "text"):
+        n = tv.words(*tv.text_buffers(b.column("text"))).per_row
+        parts.append(_state(n, [[]] * len(n), [[]] * len(n), [0] * len(n)))
+    return pa.concat_arrays(parts) if parts else _state([], [], [], [])
 
 
 HITS = pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))
+STATE = "n_words bigint, hits array<struct<from:bigint,to:bigint>>, items array<string>, longest bigint"
 
 
-def _count_batches(batches):
-    for b in tv.chunks(batches, "text"):
-        data, off = tv.text_buffers(b.column("text"))
-        counts = pa.array(tv.words(data, off).per_row, pa.int64())
-        yield pa.RecordBatch.from_arrays([counts if n == "n_words" else b.column(n) for n in b.schema.names], names=b.schema.names)
+def _state(n_words, hits, items, longest) -> pa.StructArray:
+    return pa.StructArray.from_arrays([pa.array(n_words, pa.int64()), pa.array(hits, HITS), pa.array(items, pa.list_(pa.string())), pa.array(longest, pa.int64())],
+                                      names=["n_words", "hits", "items", "longest"])
 
 
 def hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORDS) -> DataFrame:
@@ -218,15 +225,15 @@ def hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, shard_words: i
     the other.
     """
     spark = docs.sparkSession
-    df = docs.select(F.col("text").alias("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
-                     F.lit(0).cast("long").alias("n_words"), F.expr("cast(array() as array<struct<from:bigint,to:bigint>>)").alias("hits"),
-                     F.expr("cast(array() as array<string>)").alias("items"), F.lit(0).cast("long").alias("longest"))
-    schema, models = df.schema, automata(items, window, shard_words)
+    df = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    models = automata(items, window, shard_words)
     n, k = models.count(), 0
     if not n:
-        df = arrow_map(df, _count_batches, schema)
+        df = df.select("doc", arrow_column(_count_column, STATE, F.col("doc.text")).alias("s")).select("doc", "s.*")
+    before = [F.expr("cast(array() as array<struct<from:bigint,to:bigint>>)"), F.expr("cast(array() as array<string>)"), F.lit(0).cast("long")]
     for row in models.toLocalIterator():  # one bounded automaton at a time
-        df = arrow_map(df, _scan_batches, schema, model=spark.sparkContext.broadcast(bytes(row["automaton"])))
+        found = arrow_column(_scan_column, STATE, F.col("doc.text"), *before, model=spark.sparkContext.broadcast(bytes(row["automaton"])))
+        df, before = df.select("doc", found.alias("s")).select("doc", "s.*"), [F.col(c) for c in ("hits", "items", "longest")]
         k += 1
         df = cut_lineage(df) if k < n else df
     return df
@@ -240,15 +247,15 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (hit > 0).alias("contaminated"), "longest")
 
 
-def _cut_batches(batches, max_words: int, max_coverage: float):
-    for b in tv.chunks(batches, "text"):
+def _cut_column(text: pa.Array, hits: pa.Array, max_words: int) -> pa.Array:
+    """Texts without their longer hit spans; null where there is no such span."""
+    parts = []
+    for b in tv.chunks(iter([pa.RecordBatch.from_arrays([text, hits], names=["text", "hits"])]), "text"):
         data, off = tv.text_buffers(b.column("text"))
-        w, texts, keep = tv.words(data, off), b.column("text").to_pylist(), []
+        w, texts = tv.words(data, off), [None] * b.num_rows
         first = w.first
         for r, spans in enumerate(b.column("hits").to_pylist()):
-            covered = sum(s["to"] - s["from"] for s in spans)
-            keep.append(covered <= max_coverage * max(1, w.per_row[r]))
-            gone = [s for s in spans if s["to"] - s["from"] > max_words]
+            gone = [s for s in spans or () if s["to"] - s["from"] > max_words]
             if gone:
                 raw, at, left = data[off[r]: off[r + 1]].tobytes(), 0, []
                 for s in gone:
@@ -256,8 +263,8 @@ def _cut_batches(batches, max_words: int, max_coverage: float):
                     left.append(raw[at:a])
                     at = z
                 texts[r] = b"".join([*left, raw[at:]]).decode()
-        new = pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if n == "text" else b.column(n) for n in b.schema.names], names=b.schema.names)
-        yield new.filter(pa.array(keep, pa.bool_()))
+        parts.append(pa.array(texts, pa.string()))
+    return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_words: int = 0, max_coverage: float = 0.5) -> DataFrame:
@@ -265,7 +272,10 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_w
 
     Other columns stay as they are, but for n_chars where there is one, which follows the text.
     """
-    found = hits(docs, items, window)
-    cut = arrow_map(found, _cut_batches, found.schema, max_words=max_words, max_coverage=max_coverage)
-    return cut.select(*[F.col("text") if c == "text" else F.coalesce(F.length("text").cast(docs.schema[c].dataType), F.col(f"doc.`{c}`")).alias(c)
+    covered = F.aggregate("hits", F.lit(0).cast("long"), lambda s, x: s + x["to"] - x["from"])
+    found = hits(docs, items, window).where(covered <= max_coverage * F.greatest(F.lit(1), "n_words"))
+    # texts without a hit do not go to Python again
+    cut = arrow_column(_cut_column, "string", F.when(F.size("hits") > 0, F.col("doc.text")), F.when(F.size("hits") > 0, F.col("hits")), max_words=max_words)
+    new = found.select("doc", cut.alias("cut")).select("doc", F.coalesce("cut", "doc.text").alias("text"))
+    return new.select(*[F.col("text") if c == "text" else F.coalesce(F.length("text").cast(docs.schema[c].dataType), F.col(f"doc.`{c}`")).alias(c)
                         if c == "n_chars" else F.col(f"doc.`{c}`").alias(c) for c in docs.columns])

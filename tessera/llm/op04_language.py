@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textvec as tv
-from .common import arrow_map, fold, give_back, sampled
+from .common import arrow_column, fold, give_back, sampled
 
 U64 = tv.U64
 SAMPLE_ROWS = 120      # labelled rows per language that training sees
@@ -25,6 +25,7 @@ LEXICON = 2_000        # words in each language's lexicon
 BLOCK = 32
 LETTER = np.zeros(256, bool)
 LETTER[65:91] = LETTER[97:123] = LETTER[128:] = True
+LEAST = 1.2  # times its share by chance that a language needs for a text to count as known
 
 
 def feature_ids(data: np.ndarray, start: np.ndarray, end: np.ndarray, key: np.ndarray, lexicon: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -249,22 +250,32 @@ def label(model: dict, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, n
     return share, per_row, mass
 
 
-def _label_batches(batches, model):
-    model = model.value
+def _label_column(text: pa.Array, model) -> pa.Array:
+    model, parts = model.value, []
     names = np.array([*model["langs"], "und"], object)
-    for b in tv.chunks(batches, "text"):
+    for b in tv.chunks(iter([pa.RecordBatch.from_arrays([text], names=["text"])]), "text"):
         share, n, _ = label(model, *tv.text_buffers(b.column("text")))
-        best = share.argmax(axis=1)
-        score = np.clip(share.max(axis=1) / np.maximum(n, 1), 0, 1)
-        best = np.where(n > 0, best, len(names) - 1)
-        put = {"lang_pred": pa.array(names[best].tolist(), pa.string()), "score": pa.array(np.where(n > 0, score, 0.0))}
-        yield pa.RecordBatch.from_arrays([put.get(c) if c in put else b.column(c) for c in b.schema.names], names=b.schema.names)
+        best = np.where(n > 0, share.argmax(axis=1), len(names) - 1)
+        score = np.where(n > 0, np.clip(share.max(axis=1) / np.maximum(n, 1), 0, 1), 0.0)
+        parts.append(pa.StructArray.from_arrays([pa.array(names[best].tolist(), pa.string()), pa.array(score)], names=["lang_pred", "score"]))
+    return pa.concat_arrays(parts) if parts else pa.array([], pa.struct([("lang_pred", pa.string()), ("score", pa.float64())]))
 
 
 def predict(docs: DataFrame, model: dict) -> DataFrame:
     """Rows of ``docs`` in struct ``doc`` plus lang_pred and score (the expected share of words in it)."""
-    df = docs.select("text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.lit("").alias("lang_pred"), F.lit(0.0).alias("score"))
-    return arrow_map(df, _label_batches, df.schema, model=docs.sparkSession.sparkContext.broadcast(model))
+    found = arrow_column(_label_column, "lang_pred string, score double", F.col("text"), model=docs.sparkSession.sparkContext.broadcast(model))
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), found.alias("found")).select("doc", "found.*")
+
+
+def known(docs: DataFrame, least: float = LEAST) -> DataFrame:
+    """``docs`` without the texts whose language the model cannot tell.
+
+    That is texts without a letter, and those of which no learned language has ``least`` times the share of words
+    that it would have by chance.  With one language or none to learn from, only texts without a letter go.
+    """
+    model = fit(docs)
+    share = least / len(model["langs"]) if len(model["langs"]) > 1 else 0.0
+    return predict(docs, model).where((F.col("score") > 0) & (F.col("score") >= share)).select("doc.*")
 
 
 def identify(docs: DataFrame) -> DataFrame:

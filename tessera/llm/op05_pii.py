@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from . import textvec as tv
-from .common import arrow_map
+from .common import arrow_column, arrow_map
 
 KINDS = ("email", "ip", "card", "phone")
 DOMAIN = re.compile(rb"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
@@ -223,26 +223,27 @@ def personal_data(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", *count, "base_sha256", F.array_join(text, ",").alias("spans"), (F.size("spans") - F.size("base")).cast("long").alias("n_found"))
 
 
-def _redact_batches(batches):
-    for b in batches:
-        texts = []
-        for text, spans in zip(b.column("text").to_pylist(), b.column("spans").to_pylist(), strict=True):
-            at, out = 0, []
-            for s in spans or ():
-                if s["end"] <= at:
-                    continue
-                out += [text[at:max(at, s["start"])], f"[{KINDS[s['kind']]}]"]
-                at = s["end"]
-            texts.append("".join([*out, text[at:]]) if out else text)
-        yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if n == "text" else b.column(n) for n in b.schema.names], names=b.schema.names)
+def _redact_column(texts: pa.Array, spans: pa.Array) -> pa.Array:
+    """Texts with their spans replaced; null where there is no span."""
+    out = []
+    for text, found in zip(texts.to_pylist(), spans.to_pylist(), strict=True):
+        at, parts = 0, []
+        for s in found or ():
+            if s["end"] <= at:
+                continue
+            parts += [text[at:max(at, s["start"])], f"[{KINDS[s['kind']]}]"]
+            at = s["end"]
+        out.append("".join([*parts, text[at:]]) if parts else None)
+    return pa.array(out, pa.string())
 
 
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with every span replaced by its kind in brackets; n_chars, where there is one, follows the text."""
     found = find(docs).where(F.size("spans") > 0).select("doc_id", "text_hash", "spans").dropDuplicates(["doc_id", "text_hash"])
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col("text").alias("text"))
-    rows = rows.alias("d").join(found.alias("f"), F.expr("d.doc.doc_id <=> f.doc_id and xxhash64(coalesce(d.text, '')) = f.text_hash"), "left")
-    rows = rows.select("d.doc", "d.text", "f.spans")
-    new = arrow_map(rows, _redact_batches, rows.schema)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    rows = rows.alias("d").join(found.alias("f"), F.expr("d.doc.doc_id <=> f.doc_id and xxhash64(coalesce(d.doc.text, '')) = f.text_hash"), "left")
+    # texts without a span do not go to Python
+    new = arrow_column(_redact_column, "string", F.when(F.col("f.spans").isNotNull(), F.col("d.doc.text")), F.col("f.spans"))
+    new = rows.select("d.doc", new.alias("new")).select("doc", F.coalesce("new", "doc.text").alias("text"))
     return new.select(*[F.col("text") if c == "text" else F.coalesce(F.length("text").cast(docs.schema[c].dataType), F.col(f"doc.`{c}`")).alias(c)
                         if c == "n_chars" else F.col(f"doc.`{c}`").alias(c) for c in docs.columns])
