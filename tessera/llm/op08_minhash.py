@@ -94,17 +94,6 @@ def _set_batches(batches, n: int):
                                          names=["doc_id", "shingles"])
 
 
-def verify(pairs: DataFrame, docs: DataFrame, n: int) -> DataFrame:
-    """(a, b, inter, na, nb) of candidate pairs, from the full shingle sets of the documents they name."""
-    named = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = cut_lineage(arrow_map(docs.join(named, "doc_id", "left_semi"), _set_batches, "doc_id long, shingles array<long>", n=n))
-    left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
-    return pairs.join(left, "a").join(right, "b").select(
-        "a", "b", F.size(F.array_intersect("sa", "sb")).cast("long").alias("inter"),
-        F.size("sa").cast("long").alias("na"), F.size("sb").cast("long").alias("nb"))
-
-
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc_id, n_shingles, component_id, kept per row of ``docs`` (doc_id, text).
 
@@ -139,17 +128,22 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
 
 def _link_buckets(member: DataFrame, docs: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Links and components of ``member`` (key, id, n, hub), first by hubs, then by rounds of leaders."""
-    near = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent  # smaller / larger bounds the similarity
-    linked = F.col("inter") * 100 >= (F.col("na") + F.col("nb") - F.col("inter")) * percent
-    spoke = member.where("id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b"), F.col("n").alias("nb")).distinct()
-    hubs = member.where("id = hub").select(F.col("id").alias("a"), F.col("n").alias("na")).distinct()
-    links = cut_lineage(verify(spoke.join(hubs, "a").where(near).select("a", "b"), docs, shingle).where(linked).select("a", "b"))
+    named = member.select(F.col("id").alias("doc_id")).distinct()
+    sets = cut_lineage(arrow_map(docs.join(named, "doc_id", "left_semi"), _set_batches, "doc_id long, shingles array<long>", n=shingle).withColumnRenamed("doc_id", "id"))
+    # first round: a bucket's hub against the others, once per hub whatever number of bands they share; the hub's set is in each block once
+    hubs = member.where("id = hub").select("hub", F.col("n").alias("nh")).distinct()
+    near = F.least("n", "nh") * 100 >= F.greatest("n", "nh") * percent  # smaller / larger bounds the similarity
+    spoke = member.where("id != hub").select("hub", "id", "n").distinct().join(hubs, "hub").where(near)
+    spoke = cut_lineage(spoke.select(F.col("hub").alias("key"), "id", F.col("id").alias("component")))
+    parts = spoke.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))
+    leads = parts.select("key", F.col("key").alias("id"), F.col("key").alias("component"), "parts")
+    links = cut_lineage(_compare_blocks(spoke.join(parts, "key"), leads, sets, percent))
     grouped = cut_lineage(components(links))
     # buckets of other bands with the same members say nothing new
     other = member.where("id != hub")
     same = other.groupBy("key", "hub").agg(F.count(F.lit(1)).alias("c"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("s"))
     other = other.select("key", "id").join(same.where("c > 1").groupBy("hub", "c", "s").agg(F.min("key").alias("key")).select("key"), "key", "left_semi")
-    other, sets, led, leaders = cut_lineage(other), None, None, LEADERS
+    other, led, leaders = cut_lineage(other), None, LEADERS
     while True:
         now = cut_lineage(other.join(grouped.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id")))
         # the largest component of a bucket needs no leader: its pairs with others are made by the others
@@ -165,9 +159,6 @@ def _link_buckets(member: DataFrame, docs: DataFrame, shingle: int, percent: int
         if chosen.isEmpty():
             return links, grouped
         led = chosen.select("key", "id") if led is None else cut_lineage(led.unionByName(chosen.select("key", "id")))
-        if sets is None:
-            sets = cut_lineage(arrow_map(docs.join(now.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi"), _set_batches,
-                                         "doc_id long, shingles array<long>", n=shingle).withColumnRenamed("doc_id", "id"))
         found = cut_lineage(_compare_blocks(now, chosen, sets, percent))
         if not found.isEmpty():
             links = cut_lineage(links.unionByName(found))
