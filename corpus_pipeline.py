@@ -16,8 +16,8 @@ from tessera.session import cut_lineage
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts without a letter, which have score 0; without labelled documents to learn from the others stay too."""
-    return op04_language.predict(docs, op04_language.fit(docs)).where("score > 0").select("doc.*")
+    """Drops texts whose language the model cannot tell: without a letter, or of no learned language beyond chance."""
+    return op04_language.known(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,12 +26,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Of rows that share an id, the first by text and then by the other columns stays, null texts last.  Rows
     without an id are no duplicates of anything and all stay.
     """
-    kept = op08_minhash.near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
+    kept = op08_minhash.near_duplicates(docs).where("kept and doc_id is not null")
+    kept = cut_lineage(kept.groupBy("doc_id").agg(F.count(F.lit(1)).alias("__rows")))
+    # kept ids grow with the corpus: a merge join at every size
+    single = docs.join(kept.where("__rows = 1").select("doc_id").hint("merge"), "doc_id", "left_semi")
     others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
     first = F.min(F.struct(F.col("text").isNull().alias("none"), "text", *others)).alias("first")
-    one = docs.join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(first)
+    one = docs.join(kept.where("__rows > 1").select("doc_id"), "doc_id", "left_semi").groupBy("doc_id").agg(first)
     one = one.select(*["doc_id" if c == "doc_id" else F.col(f"first.`{c}`") for c in docs.columns])
-    return one.unionByName(docs.where("doc_id is null"))
+    return single.select(*[f"`{c}`" for c in docs.columns]).unionByName(one).unionByName(docs.where("doc_id is null"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
