@@ -24,7 +24,9 @@ NEXT = 4           # followers in an order that a vector is compared with
 ROUNDS = 6         # rounds at most, per attempt
 SETTLED = 0.005    # share of list places that a last round may still change
 BLOCK = 1024       # vectors of a block in the enlarged comparison
-AUDIT = 512        # queries that recall is measured on, at most
+ASKED = 2048       # audited vectors of a tile
+OFFERED = 1 << 15  # vectors of a tile, about
+LEAST_RECALL = 0.9  # below it there is no result
 SLACK = 0.005      # half precision changes a cosine by less
 PAIRS = "a long, b long, sim float"
 
@@ -153,7 +155,7 @@ def _raw_batches(batches, dims: int):
             got = v.values.to_numpy(zero_copy_only=False)
             x[: len(got)] = got
             out.append(x.tobytes())
-        yield pa.RecordBatch.from_arrays([b.column("id"), b.column("weight"), pa.array(out, pa.binary())], names=["id", "weight", "v"])
+        yield pa.RecordBatch.from_arrays([b.column("id"), b.column("weight"), b.column("audited"), pa.array(out, pa.binary())], names=["id", "weight", "audited", "v"])
 
 
 def _block_group(dims: int, threshold: float):
@@ -169,17 +171,55 @@ def _block_group(dims: int, threshold: float):
     return count
 
 
-def _audit_batches(batches, dims: int, threshold: float, ids: list, queries: bytes):
-    q = unit(np.frombuffer(queries, np.float64).reshape(-1, dims))
-    found, mine = np.zeros(len(q), np.int64), np.array(ids, np.int64)
-    for b in batches:
-        x = unit(_matrix(b.column("v"), np.float64, dims))
-        near = (q @ x.T >= threshold) & (mine[:, None] != b.column("id").to_numpy()[None, :])
-        found += near @ b.column("weight").to_numpy()
-    yield pa.RecordBatch.from_pydict({"id": pa.array(mine), "n": pa.array(found, pa.int64())})
+def _audit_batches(batches, dims: int, threshold: float):
+    """Links of each audited vector in its tile; a tile's audited vectors come first, the others pass by."""
+    tile, ids, parts, q, found = None, [], [], None, None
 
+    def counted():
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(ids)), pa.array(found)], names=["id", "n"])
 
-def near_duplicates(rows: DataFrame, threshold: float = 0.95, k: int = NEIGHBOURS, attempts: int = 3, recall: float = 0.97) -> DataFrame:
+    for b in batches:
+        if not b.num_rows:
+            continue
+        place = np.stack([b.column(c).to_numpy() for c in ("i", "j", "side")])
+        edge = np.concatenate([[0], np.flatnonzero((place[:, 1:] != place[:, :-1]).any(axis=0)) + 1, [b.num_rows]]).tolist()
+        for a, z in zip(edge[:-1], edge[1:], strict=True):
+            now = tuple(place[:2, a].tolist())
+            if now != tile:
+                if found is not None:
+                    yield counted()
+                tile, ids, parts, q, found = now, [], [], None, None
+            part = b.slice(a, z - a)
+            if place[2, a] == 0:
+                ids.append(part.column("id").to_numpy())
+                parts.append(unit(_matrix(part.column("v"), np.float64, dims)))
+                continue
+            if not parts:
+                continue
+            if found is None:
+                q, found = np.concatenate(parts), np.zeros(sum(map(len, ids)), np.int64)
+                mine = np.concatenate(ids)
+            for s in range(0, part.num_rows, BLOCK):
+                some = part.slice(s, BLOCK)
+                near = (q @ unit(_matrix(some.column("v"), np.float64, dims)).T >= threshold) & (mine[:, None] != some.column("id").to_numpy()[None, :])
+                found += near @ some.column("weight").to_numpy()
+    if found is not None:
+        yield counted()
+
+
+def _truth(exact: DataFrame, dims: int, threshold: float) -> DataFrame:
+    """(id, truth): links of all vectors to be audited, by comparing them with all vectors in tiles."""
+    total, asked = exact.agg(F.count(F.lit(1)), F.count_if("audited")).first()
+    high, wide = max(1, -(-asked // ASKED)), max(1, -(-total // OFFERED))
+    row, column = (F.pmod(F.xxhash64("id", F.lit(k)), F.lit(n)).cast("int") for k, n in ((1, high), (2, wide)))
+    every = [F.explode(F.sequence(F.lit(0), F.lit(n - 1))) for n in (high, wide)]
+    ask = exact.where("audited").select(row.alias("i"), every[1].alias("j"), F.lit(0).alias("side"), "id", "weight", "v")
+    offer = exact.select(every[0].alias("i"), column.alias("j"), F.lit(1).alias("side"), "id", "weight", "v")
+    tiles = ask.unionByName(offer).repartition(high * wide, "i", "j").sortWithinPartitions("i", "j", "side")
+    return arrow_map(tiles, _audit_batches, "id long, n long", dims=dims, threshold=threshold).groupBy("id").agg(F.sum("n").alias("truth"))
+
+
+def near_duplicates(rows: DataFrame, threshold: float = 0.95, k: int = NEIGHBOURS, attempts: int = 6, recall: float = 0.97) -> DataFrame:
     """vec_id, n_links, component_id, kept, audit_recall per row of ``rows`` (vec_id, embedding).
 
     Null, empty or zero vectors and such with null or non-finite parts have no links and are their own
@@ -187,8 +227,9 @@ def near_duplicates(rows: DataFrame, threshold: float = 0.95, k: int = NEIGHBOUR
     as often as it stands; rows of one vec_id are one node.  A null vec_id has no links, a null component and
     is kept.
 
-    Links are confirmed in double precision.  Recall is measured on at most ``AUDIT`` vectors with ids
-    divisible by 50 against all; below ``recall`` another seed's orders join the lists and the rounds go on.
+    Links are confirmed in double precision.  Recall is measured on all vectors with an id divisible by 50, against
+    all; below ``recall`` another seed's orders join the lists and the rounds go on.  If it is under
+    ``LEAST_RECALL`` after ``attempts`` of them, an error is raised.
     """
     spark = rows.sparkSession
     ok = ("vec_id is not null and embedding is not null and size(embedding) > 0 and forall(embedding, x -> x is not null and not isnan(x) and abs(x) < double('inf')) "
@@ -196,13 +237,11 @@ def near_duplicates(rows: DataFrame, threshold: float = 0.95, k: int = NEIGHBOUR
     rows = rows.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
     rows = rows.select("vec_id", "embedding", F.coalesce(F.expr(ok), F.lit(False)).alias("valid"))
     valid = rows.where("valid").select("vec_id", F.expr("transform(embedding, x -> x + 0.0D)").alias("embedding"))
-    classes = cut_lineage(valid.groupBy("embedding").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("weight")))
+    classes = cut_lineage(valid.groupBy("embedding").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("weight"), F.bool_or(F.col("vec_id") % 50 == 0).alias("audited")))
     dims = classes.agg(F.max(F.size("embedding"))).first()[0] or 1
-    exact = cut_lineage(arrow_map(classes, _raw_batches, "id long, weight long, v binary", dims=dims))
+    exact = cut_lineage(arrow_map(classes, _raw_batches, "id long, weight long, audited boolean, v binary", dims=dims))
     vectors = cut_lineage(arrow_map(classes.select("id", "embedding"), _pack_batches, "id long, q binary", dims=dims))
-    asked = exact.where("id % 50 = 0").orderBy(F.xxhash64("id"), "id").limit(AUDIT).collect()
-    truth = arrow_map(exact, _audit_batches, "id long, n long", dims=dims, threshold=threshold, ids=[r["id"] for r in asked],
-                      queries=b"".join(r["v"] for r in asked)).groupBy("id").agg(F.sum("n").alias("truth"))
+    truth = _truth(exact, dims, threshold)
     truth = cut_lineage(truth.where("truth > 0"))
     lists, seen = None, 1.0
     for attempt in range(attempts):
@@ -212,6 +251,8 @@ def near_duplicates(rows: DataFrame, threshold: float = 0.95, k: int = NEIGHBOUR
         seen = hit[1] / hit[0] if hit[0] else 1.0
         if seen >= recall:
             break
+    if seen < LEAST_RECALL:
+        raise RuntimeError(f"{attempts} attempts found {seen:.3f} of the links of the audited vectors, less than {LEAST_RECALL}")
     node = classes.select("embedding", F.col("id"), "weight")
     node = node.join(counts, "id", "left").join(grouped.withColumnRenamed("node", "id"), "id", "left").select(
         "embedding", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id"))

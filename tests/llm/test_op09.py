@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from tessera.llm import op09_embeddings as op
 
@@ -66,3 +67,27 @@ def test_blocks_count_like_one(spark):
         op.BLOCK = old
     n, _ = brute(data)
     assert sum(got.values()) >= 0.97 * n.sum() and all(got[i] <= n[i] for i in got)
+
+
+def test_audit_counts_all_its_vectors_in_tiles(spark, monkeypatch):
+    data = vectors(5)
+    n, _ = brute(data)
+    monkeypatch.setattr(op, "ASKED", 4)
+    monkeypatch.setattr(op, "OFFERED", 100)
+    cuts, real = [], op.cut_lineage
+    monkeypatch.setattr(op, "cut_lineage", lambda d: cuts.append(real(d)) or cuts[-1])
+    op.near_duplicates(frame(spark, data))
+    truth = {r["id"]: r["truth"] for c in cuts if "truth" in c.columns for r in c.collect()}
+    # the vectors are their groups of equal ones, which count as often as they stand
+    same = {tuple(v): i for i, v in reversed(data)}
+    size = {}
+    for _, v in data:
+        size[tuple(v)] = size.get(tuple(v), 0) + 1
+    want = {same[tuple(v)]: int(n[i]) - size[tuple(v)] + 1 for i, v in data if i % 50 == 0}
+    assert truth == {i: c for i, c in want.items() if c}
+
+
+def test_too_little_recall_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(op, "descend", lambda v, *a, **k: v.sparkSession.createDataFrame([], "a long, b long, sim float, fresh boolean"))
+    with pytest.raises(RuntimeError, match="less than"):
+        op.near_duplicates(frame(spark, [(0, [1.0, 0.0]), (1, [1.0, 0.01]), (2, [0.0, 1.0])]), attempts=2)
