@@ -26,6 +26,7 @@ BLOCK = 32
 LETTER = np.zeros(256, bool)
 LETTER[65:91] = LETTER[97:123] = LETTER[128:] = True
 LEAST = 1.2  # times its share by chance that a language needs for a text to count as known
+ENOUGH = 0.3  # share of words that is enough however few languages there are
 
 
 def feature_ids(data: np.ndarray, start: np.ndarray, end: np.ndarray, key: np.ndarray, lexicon: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -271,10 +272,11 @@ def known(docs: DataFrame, least: float = LEAST) -> DataFrame:
     """``docs`` without the texts whose language the model cannot tell.
 
     That is texts without a letter, and those of which no learned language has ``least`` times the share of words
-    that it would have by chance.  With one language or none to learn from, only texts without a letter go.
+    that it would have by chance, or ``ENOUGH`` of them: texts that switch between two or three languages stay.
+    With up to three languages to learn from, only texts without a letter go.
     """
     model = fit(docs)
-    share = least / len(model["langs"]) if len(model["langs"]) > 1 else 0.0
+    share = min(ENOUGH, least / len(model["langs"])) if len(model["langs"]) > 1 else 0.0
     return predict(docs, model).where((F.col("score") > 0) & (F.col("score") >= share)).select("doc.*")
 
 

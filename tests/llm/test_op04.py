@@ -69,3 +69,13 @@ def test_nothing_to_learn_from(spark):
     assert op.identify(frame(spark, [])).count() == 0
     got = op.identify(frame(spark, [(1, "words here", None), (2, None, None)])).collect()
     assert [r["lang_pred"] for r in got] == ["und", "und"]
+
+
+def test_texts_of_no_learned_language_go(spark, monkeypatch):
+    docs = frame(spark, [(k, "t", None) for k in range(5)])
+    scores = {0: 0.0, 1: 0.1, 2: 0.25, 3: 0.31, 4: 0.9}
+    monkeypatch.setattr(op, "predict", lambda d, m: d.selectExpr("struct(*) as doc", "'x' as lang_pred", f"element_at(array({', '.join(map(str, scores.values()))}), int(doc_id) + 1) * 1.0D as score"))
+    for langs, kept in (("abcd", {3, 4}), ("ab", {3, 4}), ("abcdefghij", {2, 3, 4}), ("a", {1, 2, 3, 4})):
+        monkeypatch.setattr(op, "fit", lambda d, langs=langs: {"langs": list(langs)})
+        out = op.known(docs)
+        assert {r["doc_id"] for r in out.collect()} == kept and out.columns == docs.columns
