@@ -33,6 +33,7 @@ BEGIN, END = tv.mix(np.array([1, 2], U64))
 HOLD = 1 << 21  # distinct grams a map task keeps before it sends them on
 PARTS = 2  # runs over the texts for a level above 2; each shuffles that part of the shards
 NONE = np.int64(-1)
+CHUNK_BYTES = 1 << 21  # text bytes whose grams are looked up together: the more, the more of a lookup is in order
 
 
 def unmix(x: np.ndarray) -> np.ndarray:
@@ -120,10 +121,11 @@ class Store:
             out[edge[s]: edge[s + 1]] = self.array(level, what, s)[index[edge[s]: edge[s + 1]] - self.first[level][s]]
         return out
 
-    def spread(self, level: int, what: str, index: np.ndarray, missing: float) -> np.ndarray:
-        """``take`` for indices in any order."""
-        one, back = np.unique(index, return_inverse=True)
-        return self.take(level, what, one, missing)[back]
+    def known(self, level: int, what: str, index: np.ndarray, missing: float) -> np.ndarray:
+        """``take`` with -1 anywhere among the ascending indices."""
+        out, ok = np.full(len(index), missing), index >= 0
+        out[ok] = self.take(level, what, index[ok], missing)
+        return out
 
 
 def tokens(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -137,16 +139,18 @@ def tokens(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return h, np.repeat(np.arange(len(size)), size)
 
 
-def indices(store: Store, h: np.ndarray, row: np.ndarray, levels: int) -> list[np.ndarray]:
-    """Per level 1..levels: index of the gram that ends at each token, -1 where it is unknown or leaves the row."""
-    one, back = np.unique(h, return_inverse=True)
-    out = [store.find(1, one)[back]]
+def grams(store: Store, h: np.ndarray, row: np.ndarray, levels: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per level 1..levels: the indices of the distinct grams (-1: unknown, and once more at the end), and which of
+    them ends at each token; the last where no gram of the row does."""
+    one, place = np.unique(h, return_inverse=True)
+    out = [(np.append(store.find(1, one), NONE), place)]
     for k in range(2, levels + 1):
-        at = np.full(len(h), NONE)
-        ok = np.flatnonzero((out[-1][:-1] >= 0) & (out[0][1:] >= 0) & (row[1:] == row[:-1])) + 1
-        keys, back = np.unique(gram_key(out[-1][ok - 1], out[0][ok]), return_inverse=True)
-        at[ok] = store.find(k, keys)[back] if len(ok) else NONE
-        out.append(at)
+        last, word = (one[place] for one, place in (out[-1], out[0]))
+        ok = np.flatnonzero((last[:-1] >= 0) & (word[1:] >= 0) & (row[1:] == row[:-1])) + 1
+        keys, back = np.unique(gram_key(last[ok - 1], word[ok]), return_inverse=True)
+        place = np.full(len(h), len(keys))
+        place[ok] = back
+        out.append((np.append(store.find(k, keys), NONE), place))
     return out
 
 
@@ -189,14 +193,15 @@ def _count_batches(batches, store: Store, level: int, part: int, parts: int):
         first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
         return keys[first], np.add.reduceat(np.concatenate([x[1] for x in held])[order], first).astype(np.uint32)
 
-    for b in tv.chunks(batches, "text"):
+    for b in tv.chunks(batches, "text", CHUNK_BYTES):
         h, row = tokens(*tv.text_buffers(b.column("text")))
         if level == 1:
             held.append(tv.counted(h))
         else:
-            ids = indices(store, h, row, level - 1)
-            ok = np.flatnonzero((ids[-1][:-1] >= 0) & (row[1:] == row[:-1])) + 1
-            keys = gram_key(ids[-1][ok - 1], ids[0][ok])
+            found = grams(store, h, row, level - 1)
+            last, word = (one[place] for one, place in (found[-1], found[0]))
+            ok = np.flatnonzero((last[:-1] >= 0) & (row[1:] == row[:-1])) + 1
+            keys = gram_key(last[ok - 1], word[ok])
             held.append(tv.counted(keys if parts == 1 else keys[store.shard(keys) % parts == part]))
         size += len(held[-1][0])
         if size > 4 * HOLD:
@@ -394,21 +399,24 @@ def _score_batches(batches, model: dict):
     n_train, v = model["n"], model["v"]
 
     def less(k, index):
-        used = store.spread(k, "used", index, 0.0)
+        used = store.known(k, "used", index, 0.0)
         return used - np.array([0.0, *model["cuts"][k]])[np.minimum(used, 3).astype(np.int64)]
 
-    for b in tv.chunks(batches, "text"):
+    for b in tv.chunks(batches, "text", CHUNK_BYTES):
         h, row = tokens(*tv.text_buffers(b.column("text")))
-        ids = indices(store, h, row, order)
+        # everything is looked up once per distinct gram
+        found = grams(store, h, row, order)
         said = np.concatenate([[False], row[1:] == row[:-1]])  # all but begin marks
-        known = np.where(ids[0] >= 0, store.spread(1, "count", ids[0], 0.0), 0.0)
-        p = less(1, ids[0]) / max(model["total"], 1.0) + model["free"] / (v + 1)
+        one, place = found[0]
+        known = store.known(1, "count", one, 0.0)[place]
+        p = (less(1, one) / max(model["total"], 1.0) + model["free"] / (v + 1))[place]
         for k in range(2, order + 1):
-            context = np.full(len(h), NONE)
-            context[1:] = np.where(said[1:], ids[k - 2][:-1], NONE)
-            one, back = np.unique(context, return_inverse=True)
-            total, gamma = np.maximum(store.take(k - 1, "total", one, 1.0), 1.0), store.take(k - 1, "gamma", one, 1.0)
-            p = less(k, ids[k - 1]) / total[back] + gamma[back] * p
+            context, before = found[k - 2]
+            at = np.full(len(h), len(context) - 1)
+            at[1:] = np.where(said[1:], before[:-1], len(context) - 1)
+            total, gamma = np.maximum(store.known(k - 1, "total", context, 1.0), 1.0), store.known(k - 1, "gamma", context, 1.0)
+            one, place = found[k - 1]
+            p = less(k, one)[place] / total[at] + gamma[at] * p
         base = np.log10((known + 0.1) / (n_train + 0.1 * (v + 1)))
         rows, at = b.num_rows, row[said]
         sums = [np.bincount(at, weights=x[said], minlength=rows) for x in (known > 0, base, np.log10(p))]
