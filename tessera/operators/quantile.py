@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,15 +49,20 @@ def quantile_table(df: DataFrame, cols: Sequence[str], qs: Sequence[float], by:
         agg = long.groupBy(*by, "column").agg(
             F.percentile_approx("value", list(map(float, qs)), 10000).alias("__q"))
         return agg.select(*by, "column", *[F.col("__q")[i].alias(n) for i, n in enumerate(names)])
-    found = _selected(df, cols, qs, by, names)
+    # the columns asked for are kept, in memory or spilled, while three scans read them: what they derive from may be dear
+    src = df.select(*[F.col(b).alias(f"__g{i}") for i, b in enumerate(by)], *[F.col(c).cast("double").alias(f"__x{i}") for i, c in enumerate(cols)])
+    src = src.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        found = _selected(src, cols, qs, by, names)
+    finally:
+        src.unpersist()
     return _counted(long, qs, by, names) if found is None else found
 
 
-def _selected(df: DataFrame, cols: Sequence[str], qs: Sequence[float], by: list[str], names: list[str]) -> DataFrame | None:
-    """The quantiles by brackets; None if a bracket missed its rank (or a value is NaN, which has no place in one)."""
+def _selected(src: DataFrame, cols: Sequence[str], qs: Sequence[float], by: list[str], names: list[str]) -> DataFrame | None:
+    """The quantiles of ``src`` (__g0.., __x0..) by brackets; None if a bracket missed its rank (or a value is NaN, which has no place in one)."""
     margin = 2.0 / ACCURACY
     ends = [max(0.0, q - margin) for q in qs] + [min(1.0, q + margin) for q in qs]
-    src = df.select(*[F.col(b).alias(f"__g{i}") for i, b in enumerate(by)], *[F.col(c).cast("double").alias(f"__x{i}") for i, c in enumerate(cols)])
     group = [f"__g{i}" for i in range(len(by))]
     aggs = []
     for i in range(len(cols)):
