@@ -79,7 +79,7 @@ class Store:
             name = self.name(*at)
             if what == "used" and not os.path.exists(name):  # the top level; grams without a left neighbour begin a text
                 name = self.name(level, "count", shard)
-            self.maps[at] = np.load(name, mmap_mode="r")
+            self.maps[at] = np.asarray(np.load(name, mmap_mode="r"))  # mapped still, as a plain array
         return self.maps[at]
 
     def keys(self, level: int, index: np.ndarray) -> np.ndarray:
@@ -408,7 +408,8 @@ def _score_batches(batches, model: dict):
         found = grams(store, h, row, order)
         said = np.concatenate([[False], row[1:] == row[:-1]])  # all but begin marks
         one, place = found[0]
-        known = store.known(1, "count", one, 0.0)[place]
+        known = store.known(1, "count", one, 0.0)
+        base, known = np.log10((known + 0.1) / (n_train + 0.1 * (v + 1)))[place], (known > 0)[place]
         p = (less(1, one) / max(model["total"], 1.0) + model["free"] / (v + 1))[place]
         for k in range(2, order + 1):
             context, before = found[k - 2]
@@ -417,9 +418,8 @@ def _score_batches(batches, model: dict):
             total, gamma = np.maximum(store.known(k - 1, "total", context, 1.0), 1.0), store.known(k - 1, "gamma", context, 1.0)
             one, place = found[k - 1]
             p = less(k, one)[place] / total[at] + gamma[at] * p
-        base = np.log10((known + 0.1) / (n_train + 0.1 * (v + 1)))
         rows, at = b.num_rows, row[said]
-        sums = [np.bincount(at, weights=x[said], minlength=rows) for x in (known > 0, base, np.log10(p))]
+        sums = [np.bincount(at, weights=x[said], minlength=rows) for x in (known, base, np.log10(p))]
         count = np.bincount(at, minlength=rows)
         yield pa.RecordBatch.from_arrays([
             b.column("doc_id"), b.column("held_out"), pa.array(count, pa.int64()), pa.array(sums[0].astype(np.int64)),
