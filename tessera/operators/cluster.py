@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 from .components import components
 from .blocks import matrix
-from .distance import _cell, _offsets, _weighted_location_knn, dist, sq_dist
+from .distance import _cell, _offsets, dist, nearest_lists, sq_dist
 from .lloyd import SAMPLE, first_centres, lloyd, sample_points
 from .order import attach_row, global_index
 
@@ -295,10 +295,12 @@ def dbscan(points: DataFrame, key: str, eps: float, min_samples: int, x: str = "
     pts = cut_lineage(pts.join(cells, "__cell").withColumn("__dense", F.col("__cn") >= min_samples))
     total = pts.agg(F.sum("__w")).first()[0]
     sparse = pts.where(~F.col("__dense"))
-    build = pts.select(F.col(key).alias("__lid"), x, "__w")
-    near = _weighted_location_knn(sparse.select(key, x), key, build, min(min_samples, total), x)
-    reach = near.groupBy(key).agg(F.max("dist").alias("__d"))
-    core_sparse = reach.where((F.col("__d") <= eps) & F.lit(total >= min_samples)).select(key)
+    # a location offers itself as often as it has points, up to what is asked for
+    need = min(min_samples, total)
+    build = pts.select(F.col(key).alias("__lid"), x, F.explode(F.array_repeat(F.lit(0), F.least("__w", F.lit(need)).cast("int"))))
+    near = cut_lineage(nearest_lists(sparse.select(key, x), key, build, "__lid", need, x))
+    core_sparse = near.where((F.size("near") >= min_samples) & (F.col("near")[need - 1]["dist"] <= eps)).select(key)
+    near = near.select(key, F.explode("near").alias("__n")).select(key, F.col("__n.id").alias("__nlid"), F.col("__n.dist").alias("dist"))
     core = pts.where(F.col("__dense")).unionByName(pts.join(core_sparse, key, "left_semi"))
     # node of a core location = its cell, named by the smallest core key in the cell
     node = core.groupBy("__cell").agg(F.min(key).alias("__node"))

@@ -3,8 +3,8 @@
 Epsilon joins find candidate pairs by an equi-join on grid cells: each point is
 compared with the points of the cells that can hold a neighbour, so their cost
 follows the number of points within a few epsilons.  Nearest neighbours come
-from a descent of a cell tree that is as deep as the data is dense, so the
-pairs formed per point do not depend on how the data is spread.  Both are meant
+from blocks of about as many points each, wherever those lie, so the pairs
+formed per point do not depend on how the data is spread.  Both are meant
 for few dimensions: a box tells little in many.
 """
 
@@ -12,11 +12,15 @@ from __future__ import annotations
 
 import itertools
 import math
-from pyspark.sql import Column, DataFrame, Window
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .order import attach_row
+from .blocks import matrix
 
 
 def sq_dist(a: Column, b: Column) -> Column:
@@ -71,15 +75,13 @@ def knn(points: DataFrame, key: str, k: int, x: str = "x", include_self: bool =
     Neighbours are ordered by (distance, neighbour key); with ``include_self``
     the point itself is among them at distance 0 (the reference convention for
     k-distance curves).  Identical points are collapsed first, so a hot spot
-    of m copies is one weighted candidate instead of m^2 pairs:
+    of m copies asks once and offers k (+1) candidates instead of m^2 pairs:
 
     1. locations = distinct vectors with weight (a combinable aggregate);
-    2. a descent of a cell tree over locations keeps, for each location, the
-       nearest locations until their weight covers the k (+1) points needed
-       (all locations tied at the boundary distance are kept);
-    3. each kept location contributes its first k+1 member keys (skew-safe
-       ranks), the bounded candidate list is ranked per location, then per
-       point (dropping the point itself when ``include_self`` is false).
+    2. every location asks for the nearest k (+1) of the points, of which a
+       location offers its first k (+1) keys (:func:`nearest_lists`);
+    3. each point takes its location's list, without itself when
+       ``include_self`` is false.
     """
     n = points.count()
     kk = min(k, n if include_self else n - 1)
@@ -87,134 +89,257 @@ def knn(points: DataFrame, key: str, k: int, x: str = "x", include_self: bool =
         return _no_neighbours(points, key)
     need = kk + (0 if include_self else 1)
     loc, members, first = _locations(points, key, x, need)
-    near = _weighted_location_knn(loc.select("__lid", x), "__lid", loc, need, x)
-    cand = near.join(first.select(F.col("__lid").alias("__nlid"), F.col(key).alias("nbr")), "__nlid")
-    wl = Window.partitionBy("__lid").orderBy("dist", "nbr")
-    table = cand.withColumn("__r", F.row_number().over(wl)).where(F.col("__r") <= need) \
-        .select("__lid", "nbr", "dist")
-    per_point = members.join(table, "__lid")
-    if not include_self:
-        per_point = per_point.where(F.col(key) != F.col("nbr"))
-    wp = Window.partitionBy(key).orderBy("dist", "nbr")
-    ranked = per_point.withColumn("rank", F.row_number().over(wp)).where(F.col("rank") <= kk)
-    return ranked.select(key, "nbr", F.col("rank").cast("int"), "dist")
+    near = nearest_lists(loc.select("__lid", x), "__lid", first.select(F.col(key).alias("nbr"), x), "nbr", need, x)
+    listed = F.col("near") if include_self else F.filter("near", lambda t: t["id"] != F.col(key))
+    rows = members.join(near, "__lid").select(key, F.posexplode(F.slice(listed, 1, kk)).alias("__at", "__n"))
+    return rows.select(key, F.col("__n.id").alias("nbr"), (F.col("__at") + 1).cast("int").alias("rank"), F.col("__n.dist").alias("dist"))
 
 
-DEPTH_BITS = 48   # finest halving of the data's span; points closer than that share a leaf
-LEAF = 8          # distinct locations a tree cell holds before it is divided
-CUT_LEVELS = 4    # levels of a descent that one plan holds; where cells are few, all of them share one exchange of the probes
+BLOCK = 4096      # rows that a block of the search holds, about
+DRAWN = 32        # sampled rows per block from which the blocks' borders are drawn
+BLOCKS = 1 << 13  # most blocks; of more rows, each block holds more
+LEAF = 32         # rows of a leaf inside a block (twice the neighbours asked for, if that is more)
 
 
-def _tree(loc: DataFrame, x: str, step: int | None = None) -> tuple[list[DataFrame], DataFrame]:
-    """Cells of ``loc`` (__lid, x, __w) level by level, and the leaf cell of each location.
+def _borders(sample: np.ndarray, size: int) -> list[tuple]:
+    """A tree of halvings of the sample until ``size`` rows are left: (axis, value, left, right), or (-1, 0, block, 0).
 
-    A level divides every cell of more than ``LEAF`` locations by 2^step per axis; only cells that hold
-    something exist, with their weight and the box of what they hold.  Dense regions go deep, the rest does
-    not.  Level tables: (cell, parent, w, lo, hi, leaf); cells are named by their index at their level.
+    A cell is cut across its widest axis at the place nearest its median that parts two values.
     """
-    dims = loc.select(F.size(x).alias("d")).first()["d"]
-    step = step or max(1, 6 // dims)
-    edge = loc.agg(*[F.min(F.col(x)[i]).alias(f"a{i}") for i in range(dims)], *[F.max(F.col(x)[i]).alias(f"b{i}") for i in range(dims)]).first()
-    low = [float(edge[f"a{i}"]) for i in range(dims)]
-    span = max(float(edge[f"b{i}"]) - low[i] for i in range(dims)) or 1.0
-    scale = float(1 << DEPTH_BITS) / (span * (1 + 1e-9))
-    index = F.array(*[F.floor((F.col(x)[i] - F.lit(low[i])) * F.lit(scale)).cast("long") for i in range(dims)])
-    rows = cut_lineage(loc.select("__lid", x, "__w", index.alias("__i")))
-
-    def name(depth):
-        """A location's cell at a level, from its index alone."""
-        return F.concat_ws(",", F.lit(depth).cast("string"), *[F.shiftright(F.col("__i")[i], max(0, DEPTH_BITS - depth * step)).cast("string") for i in range(dims)])
-
-    levels, leaves, depth = [], None, 0
-    while True:
-        last = DEPTH_BITS - depth * step <= 0
-        rest = rows.withColumn("parent", name(depth - 1) if depth else F.lit(""))
-        if depth:  # locations of the cells that the level before divides
-            rest = rest.join(levels[-1].where("not leaf").select(F.col("cell").alias("parent")), "parent", "left_semi")
-        cells = rest.groupBy(name(depth).alias("cell"), "parent").agg(
-            F.sum("__w").alias("w"), F.count(F.lit(1)).alias("__n"),
-            F.array(*[F.min(F.col(x)[i]) for i in range(dims)]).alias("lo"), F.array(*[F.max(F.col(x)[i]) for i in range(dims)]).alias("hi"))
-        cells = cut_lineage(cells.select("cell", "parent", "w", "lo", "hi", ((F.col("__n") <= LEAF) | F.lit(last)).alias("leaf")))
-        levels.append(cells)
-        done = rows.withColumn("cell", name(depth)).join(cells.where("leaf").select("cell"), "cell", "left_semi").select("__lid", x, "__w", "cell")
-        leaves = done if leaves is None else leaves.unionByName(done)
-        depth += 1
-        if cells.where("not leaf").isEmpty():
-            return levels, leaves
-
-
-def _box_distances(x: Column, lo: Column, hi: Column) -> tuple[Column, Column]:
-    """Least and greatest distance from a point to a box."""
-    def of(side):
-        return F.sqrt(F.aggregate(F.zip_with(x, F.arrays_zip(lo.alias("lo"), hi.alias("hi")), side), F.lit(0.0), lambda a, t: a + t * t))
-    near = of(lambda v, b: F.greatest(b["lo"] - v, v - b["hi"], F.lit(0.0)))
-    far = of(lambda v, b: F.greatest(F.abs(v - b["lo"]), F.abs(v - b["hi"])))
-    return near, far
-
-
-def _weighted_location_knn(probe: DataFrame, pkey: str, loc: DataFrame, need: int, x: str) -> DataFrame:
-    """(pkey, __nlid, dist): for every probe row, the nearest build locations
-    (``loc``: __lid, x, __w) whose cumulative weight first reaches ``need``,
-    plus every location tied at that boundary distance.
-
-    All probes descend the cell tree together, a level a round.  The farthest corners of a probe's cells
-    bound its radius (the least one within which cells of weight ``need`` lie whole), which only shrinks on the
-    way down; cells beyond it go.
-    So a probe keeps the cells about its own ball, however dense or empty the data is there, and only the
-    leaves that are left are joined with their few locations.
+    nodes: list[tuple] = []
+    blocks = 0
+    todo = [(sample, None, 0)]
+    while todo:
+        part, parent, side = todo.pop()
+        at = len(nodes)
+        if parent is not None:
+            nodes[parent] = (*nodes[parent][:2 + side], at, *nodes[parent][3 + side:])
+        axis = int(np.ptp(part, axis=0).argmax()) if len(part) > size else 0
+        values = np.unique(part[:, axis]) if len(part) > size else part[:0, 0]
+        if len(values) < 2:
+            nodes.append((-1, 0.0, blocks, 0))
+            blocks += 1
+            continue
+        value = values[max(1, int(np.searchsorted(values, np.median(part[:, axis]))))]
+        nodes.append((axis, float(value), 0, 0))
+        todo += [(part[part[:, axis] < value], at, 0), (part[part[:, axis] >= value], at, 1)]
+    return nodes
+
+
+def _blocks_within(x: np.ndarray, r: np.ndarray, nodes: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+    """(row, block) of all blocks that the box of half-width r about each row of x touches; r = 0 names the row's own."""
+    axis, value = np.array([n[0] for n in nodes]), np.array([n[1] for n in nodes])
+    left, right = np.array([n[2] for n in nodes]), np.array([n[3] for n in nodes])
+    row, node = np.arange(len(x)), np.zeros(len(x), np.int64)
+    rows, found = [], []
+    while len(row):
+        end = axis[node] < 0
+        rows.append(row[end])
+        found.append(left[node[end]])
+        row, node = row[~end], node[~end]
+        place, reach = x[row, axis[node]], r[row]
+        low, high = place - reach < value[node], place + reach >= value[node]
+        row, node = np.concatenate([row[low], row[high]]), np.concatenate([left[node[low]], right[node[high]]])
+    return np.concatenate(rows or [row]), np.concatenate(found or [row])
+
+
+def _small_cells(y: np.ndarray, size: int) -> list[np.ndarray]:
+    """Rows of y in cells of at most ``size``, halved across the widest axis."""
+    cells, todo = [], [np.arange(len(y))]
+    while todo:
+        at = todo.pop()
+        if len(at) <= size:
+            cells.append(at)
+            continue
+        part = y[at]
+        order = np.argpartition(part[:, int(np.ptp(part, axis=0).argmax())], len(at) // 2)
+        todo += [at[order[: len(at) // 2]], at[order[len(at) // 2:]]]
+    return cells
+
+
+def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """All distances, added up axis by axis as :func:`dist` does."""
+    total = np.zeros((len(a), len(b)))
+    for j in range(a.shape[1]):
+        d = a[:, j, None] - b[None, :, j]
+        total += d * d
+    return np.sqrt(total)
+
+
+def _box_gaps(x: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """Least distance of every row of x to every box."""
+    total = np.zeros((len(x), len(lo)))
+    for j in range(x.shape[1]):
+        d = np.maximum(np.maximum(lo[None, :, j] - x[:, j, None], x[:, j, None] - hi[None, :, j]), 0)
+        total += d * d
+    return np.sqrt(total)
+
+
+def _search(x: np.ndarray, r: np.ndarray | None, y: np.ndarray, place: np.ndarray, need: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of x, row of y, distance): the ``need`` nearest rows of y within r (any, if None), ordered by distance and ``place``.
+
+    Rows of y lie in small cells.  The cell nearest to a row of x bounds how far its neighbours can be; only cells
+    within that bound are compared.
     """
-    total = loc.agg(F.sum("__w")).first()[0] or 0
-    if total < need:
-        raise ValueError(f"only {total} points to choose {need} neighbours from")
-    levels, leaves = _tree(loc, x)
-    slack = 1 + 1e-12  # corner distances are rounded
-    state = None
-    for depth, cells in enumerate(levels):
-        if depth == 0:
-            found = attach_row(probe.select(pkey, x), cells.select("cell", "w", "lo", "hi", "leaf"))  # the root is one row
-            near, far = _box_distances(F.col(x), F.col("lo"), F.col("hi"))
-            found = found.select(pkey, x, "cell", "w", "leaf", near.alias("near"), far.alias("far"))
-        else:
-            # a divided cell becomes its children, a leaf has none and stays; none beyond the radius so far
-            child = cells.select(*[F.col(c).alias(f"__{c}") for c in ("cell", "parent", "w", "lo", "hi", "leaf")])
-            found = state.join(child, F.col("cell") == F.col("__parent"), "left")
-            new = F.col("__cell").isNotNull()
-            near, far = _box_distances(F.col(x), F.col("__lo"), F.col("__hi"))
-            found = found.select(pkey, x, "__r", *[F.when(new, F.col(f"__{c}")).otherwise(F.col(c)).alias(c) for c in ("cell", "w", "leaf")],
-                                 F.when(new, near).otherwise(F.col("near")).alias("near"), F.when(new, far).otherwise(F.col("far")).alias("far"))
-            found = found.where(F.col("near") <= F.col("__r") * slack).drop("__r")
-        by_far = Window.partitionBy(pkey).orderBy("far").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-        found = found.withColumn("__cw", F.sum("w").over(by_far)).withColumn(
-            "__r", F.min(F.when(F.col("__cw") >= need, F.col("far"))).over(Window.partitionBy(pkey)))
-        state = found.where(F.col("near") <= F.col("__r") * slack).drop("__cw")
-        if depth % CUT_LEVELS == CUT_LEVELS - 1 or depth == len(levels) - 1:
-            state = cut_lineage(state)
-    held = leaves.select("cell", F.col("__lid").alias("__nlid"), F.col("__w").alias("__nw"), F.col(x).alias("__y"))
-    pairs = state.select(pkey, F.col(x).alias("__p"), "cell").join(held, "cell").select(
-        pkey, "__nlid", "__nw", dist(F.col("__p"), F.col("__y")).alias("dist"))
-    w = Window.partitionBy(pkey).orderBy("dist").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    # boundary distance: first distance where the running weight reaches `need`
-    cum = pairs.withColumn("__cw", F.sum("__nw").over(w)).withColumn(
-        "__d", F.min(F.when(F.col("__cw") >= need, F.col("dist"))).over(Window.partitionBy(pkey)))
-    return cut_lineage(cum.where(F.col("dist") <= F.col("__d")).select(pkey, "__nlid", "dist"))
+    cells = _small_cells(y, max(LEAF, 2 * need))
+    gap = _box_gaps(x, np.array([y[c].min(axis=0) for c in cells]), np.array([y[c].max(axis=0) for c in cells]))
+    if r is None:
+        r = np.full(len(x), np.inf)
+        if len(y) >= need:
+            own = gap.argmin(axis=1)
+            for i, c in enumerate(cells):
+                who = np.flatnonzero(own == i)
+                if len(who) and len(c) >= need:
+                    r[who] = np.partition(_distances(x[who], y[c]), need - 1, axis=1)[:, need - 1]
+    rows, others, dists = [], [], []
+    for i, c in enumerate(cells):
+        who = np.flatnonzero(gap[:, i] <= r)
+        d = _distances(x[who], y[c])
+        a, b = np.nonzero(d <= r[who, None])
+        rows.append(who[a])
+        others.append(c[b])
+        dists.append(d[a, b])
+    row, other, d = np.concatenate(rows), np.concatenate(others), np.concatenate(dists)
+    order = np.lexsort((place[other], d, row))
+    row, other, d = row[order], other[order], d[order]
+    kept = np.arange(len(row)) - np.searchsorted(row, row) < need
+    return row[kept], other[kept], d[kept]
+
+
+def _to_blocks(nodes: list[tuple]):
+    """Rows under the block they lie in; a row without a place in space (null or NaN in x) is in none."""
+    def run(batches):
+        for b in batches:
+            x = b.column("x")
+            flat = x.flatten()
+            if flat.null_count or x.null_count:
+                b = b.filter(pa.array([v is not None and None not in v for v in x.to_pylist()]))
+            xs = matrix(b.column("x"))
+            real = ~np.isnan(xs).any(axis=1) if len(xs) else np.zeros(0, bool)
+            if not real.all():
+                b, xs = b.filter(pa.array(real)), xs[real]
+            if b.num_rows:
+                row, block = _blocks_within(xs, np.zeros(len(xs)), nodes)
+                out = np.zeros(len(xs), np.int32)
+                out[row] = block
+                yield pa.RecordBatch.from_arrays([pa.array(out), *b.columns], names=["block", *b.schema.names])
+    return run
+
+
+def _lists(count: int, row, d, ids, kind) -> pa.Array:
+    ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=count))]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([pa.array(d), ids], names=["dist", "id"]))
+
+
+def _searched(need: int, nodes: list[tuple], boxes: dict | None):
+    """One block: its probes' nearest of its rows; with ``boxes`` (block: lo, hi, n) also the other blocks each probe has to ask."""
+    def run(group: pa.Table) -> pa.Table:
+        side = group["side"].to_numpy()
+        build, probe = group.filter(pa.array(side == 0)), group.filter(pa.array(side == 1))
+        if boxes is not None:
+            names = np.array(sorted(boxes))
+            lo, hi = (np.array([boxes[n][i] for n in names.tolist()]) for i in (0, 1))
+            size = np.array([boxes[n][2] for n in names.tolist()])
+        ids, kind = build["id"].combine_chunks(), build.schema.field("id").type
+        place = np.empty(len(ids), np.int64)
+        place[pc.sort_indices(ids).to_numpy()] = np.arange(len(ids))
+        y, parts = matrix(build["x"]), []
+        for s in range(0, probe.num_rows, BLOCK):
+            some = probe.slice(s, BLOCK)
+            x = matrix(some["x"])
+            r = None if boxes is not None else some["r"].to_numpy()
+            row, other, d = _search(x, r, y, place, need) if len(y) else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+            cols = {"pkey": some["pkey"].combine_chunks(), "near": _lists(len(x), row, d, ids.take(pa.array(other)), kind)}
+            if boxes is not None:
+                held = np.bincount(row, minlength=len(x))
+                last = np.cumsum(held) - 1
+                r = np.where(held >= need, d[np.maximum(last, 0)] if len(d) else np.inf, np.inf)
+                for i in np.flatnonzero(np.isinf(r)):  # few rows here: within the farthest corners of blocks that hold enough
+                    far = np.sqrt((np.maximum(np.abs(x[i] - lo), np.abs(x[i] - hi)) ** 2).sum(axis=1))
+                    order = np.argsort(far)
+                    enough = np.flatnonzero(np.cumsum(size[order]) >= need)
+                    r[i] = far[order[enough[0]]] * (1 + 1e-12) if len(enough) else np.inf
+                row, block = _blocks_within(x, r * (1 + 1e-12), nodes)
+                at = np.searchsorted(names, block)
+                known = (at < len(names)) & (names[np.minimum(at, len(names) - 1)] == block)
+                row, block, at = row[known], block[known], at[known]
+                gap = np.sqrt((np.maximum(np.maximum(lo[at] - x[row], x[row] - hi[at]), 0) ** 2).sum(axis=1))
+                ask = (gap <= r[row] * (1 + 1e-12)) & (block != group["block"][0].as_py())
+                row, block = row[ask], block[ask]
+                order = np.argsort(row, kind="stable")
+                ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(x)))]).astype(np.int32)
+                cols |= {"x": some["x"].combine_chunks(), "r": pa.array(r), "ask": pa.ListArray.from_arrays(pa.array(ends), pa.array(block[order].astype(np.int32)))}
+            parts.append(pa.table(cols))
+        if parts:
+            return pa.concat_tables(parts)
+        empty = {"pkey": probe["pkey"], "near": pa.array([], pa.list_(pa.struct([("dist", pa.float64()), ("id", kind)])))}
+        if boxes is not None:
+            empty |= {"x": probe["x"], "r": pa.array([], pa.float64()), "ask": pa.array([], pa.list_(pa.int32()))}
+        return pa.table(empty)
+    return run
+
+
+def nearest_lists(probe: DataFrame, pkey: str, build: DataFrame, id: str, need: int, x: str) -> DataFrame:
+    """(pkey, near: the ``need`` nearest build rows as an array of (dist, id) in this order); ``pkey`` is unique.
+
+    Space is cut into blocks of about ``BLOCK`` build rows by a tree drawn from a sample that grows with the
+    number of blocks and no further (``BLOCKS``).  Each probe searches its own block, which bounds how far its
+    neighbours can be, and then the blocks within that bound, mostly none or one.  Both searches are one
+    shuffle of the rows by block; the lists of probes that asked several blocks are merged.  Rows whose x
+    holds a null or NaN are nobody's neighbours and have none.
+    """
+    rows = cut_lineage(build.select(F.col(id).alias("id"), F.col(x).alias("x")))
+    n = rows.count()
+    spark = rows.sparkSession
+    kind, pkind = rows.schema["id"].dataType.simpleString(), probe.schema[pkey].dataType.simpleString()
+    nodes: list[tuple] = [(-1, 0.0, 0, 0)]
+    if n > 2 * BLOCK:
+        share = min(1.0, DRAWN * min(BLOCKS, n / BLOCK) / n)
+        drawn = rows.where(F.pmod(F.xxhash64("x", "id"), F.lit(1 << 30)) < int(share * (1 << 30))).select("x")
+        drawn = [r["x"] for r in drawn.collect()]  # at most about DRAWN * BLOCKS rows
+        drawn = np.array([v for v in drawn if v is not None and None not in v], np.float64)
+        drawn = drawn[~np.isnan(drawn).any(axis=1)] if len(drawn) else drawn
+        if len(drawn):
+            nodes = _borders(drawn, DRAWN)
+    first = probe.select(F.size(x).alias("d")).first()
+    dims = first["d"] if first else 0
+    held = rows.mapInArrow(_to_blocks(nodes), f"block int, id {kind}, x array<double>")
+    box = held.groupBy("block").agg(F.array(*[F.min(F.col("x")[j]) for j in range(dims)]).alias("lo"), F.array(*[F.max(F.col("x")[j]) for j in range(dims)]).alias("hi"),
+                                    F.count(F.lit(1)).alias("n"))
+    boxes = {r["block"]: (r["lo"], r["hi"], r["n"]) for r in box.collect()} if len(nodes) > 1 else {0: ([-np.inf] * dims, [np.inf] * dims, n)}
+    asked = probe.select(F.col(pkey).alias("pkey"), F.col(x).alias("x")).mapInArrow(_to_blocks(nodes), f"block int, pkey {pkind}, x array<double>")
+    held = held.select("block", F.lit(0).alias("side"), "id", F.lit(None).cast(pkind).alias("pkey"), "x", F.lit(None).cast("double").alias("r"))
+    none = F.lit(None).cast(kind).alias("id")
+    home = held.unionByName(asked.select("block", F.lit(1).alias("side"), none, "pkey", "x", F.lit(None).cast("double").alias("r")))
+    listed = f"near array<struct<dist: double, id: {kind}>>"
+    state = cut_lineage(home.groupBy("block").applyInArrow(_searched(need, nodes, boxes), f"pkey {pkind}, {listed}, x array<double>, r double, ask array<int>"))
+    if len(boxes) == 1:
+        return state.select(F.col("pkey").alias(pkey), "near")
+    more = state.where(F.size("ask") > 0)
+    away = held.unionByName(more.select(F.explode("ask").alias("block"), F.lit(1).alias("side"), none, "pkey", "x", "r"))
+    away = away.groupBy("block").applyInArrow(_searched(need, nodes, None), f"pkey {pkind}, {listed}")
+    merged = more.select("pkey", "near").unionByName(away).groupBy("pkey").agg(F.slice(F.sort_array(F.flatten(F.collect_list("near"))), 1, need).alias("near"))
+    return cut_lineage(state.where(F.size("ask") == 0).select("pkey", "near").unionByName(merged)).withColumnRenamed("pkey", pkey)
 
 
 def _locations(points: DataFrame, key: str, x: str, need: int):
-    """(loc: __lid, x, __w) and (members: key, __lid, first ``need`` keys per location)."""
+    """(loc: __lid, x, __w), (members: key, __lid) and the first ``need`` keys of each location (key, x)."""
     from .order import rank_within
     loc = cut_lineage(points.groupBy(x).agg(F.min(key).alias("__lid"), F.count(F.lit(1)).alias("__w")))
-    members = cut_lineage(points.select(key, x).join(loc.select(x, "__lid"), x).select(key, "__lid"))
-    first = rank_within(members, ["__lid"], [key], "__mr").where(F.col("__mr") < need)
-    return loc, members, first
+    members = cut_lineage(points.select(key, x).join(loc, x).select(key, "__lid", x, "__w"))
+    first = members.where(F.col("__w") <= need).select(key, x)
+    crowded = members.where(F.col("__w") > need).select(key, "__lid")
+    if not crowded.isEmpty():  # ranked on narrow rows, places joined to what is left
+        crowded = rank_within(crowded, ["__lid"], [key], "__mr").where(F.col("__mr") < need)
+        first = first.unionByName(crowded.join(loc.select("__lid", x), "__lid").select(key, x))
+    return loc, members.select(key, "__lid"), first
 
 
 def knn_between(probe: DataFrame, build: DataFrame, key: str, k: int, x: str = "x", include_self: bool = True) -> DataFrame:
     """Exact k nearest ``build`` points of every ``probe`` point: (key, nbr, rank, dist).
 
-    The build side is collapsed into weighted distinct locations (a hot spot
-    of copies is one candidate); each probe point takes the nearest locations
-    until their weight covers k, and every such location contributes at most
-    k member keys.  Ties are broken by neighbour key.  ``include_self=False``
+    The build side is collapsed into distinct locations, of which each offers its first k (+1) keys (a hot
+    spot of copies is few candidates).  Ties are broken by neighbour key.  ``include_self=False``
     drops a build point whose key equals the probe key.
     """
     n_build = build.count()
@@ -222,14 +347,11 @@ def knn_between(probe: DataFrame, build: DataFrame, key: str, k: int, x: str = "
         return _no_neighbours(probe, key)
     need = min(k, n_build) + (0 if include_self else 1)
     need = min(need, n_build)
-    loc, _, first = _locations(build, key, x, need)
-    near = _weighted_location_knn(probe, key, loc, need, x)
-    cand = near.join(first.select(F.col("__lid").alias("__nlid"), F.col(key).alias("nbr")), "__nlid")
-    if not include_self:
-        cand = cand.where(F.col(key) != F.col("nbr"))
-    wp = Window.partitionBy(key).orderBy("dist", "nbr")
-    ranked = cand.withColumn("rank", F.row_number().over(wp)).where(F.col("rank") <= k)
-    return ranked.select(key, "nbr", F.col("rank").cast("int"), "dist")
+    _, _, first = _locations(build, key, x, need)
+    near = nearest_lists(probe, key, first.select(F.col(key).alias("nbr"), x), "nbr", need, x)
+    listed = F.col("near") if include_self else F.filter("near", lambda t: t["id"] != F.col(key))
+    rows = near.select(key, F.posexplode(F.slice(listed, 1, k)).alias("__at", "__n"))
+    return rows.select(key, F.col("__n.id").alias("nbr"), (F.col("__at") + 1).cast("int").alias("rank"), F.col("__n.dist").alias("dist"))
 
 
 def kdist(knn_df: DataFrame, key: str, k: int) -> DataFrame:

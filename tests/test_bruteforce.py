@@ -247,3 +247,29 @@ def test_dbscan_of_nothing(spark):
     assert cl.dbscan(spark.createDataFrame([], "key long, x array<double>"), "key", 1.0, 3).count() == 0
     one = cl.dbscan(spark.createDataFrame([(1, [0.0]), (2, [5.0])], "key long, x array<double>"), "key", 1.0, 3)
     assert {(r["key"], r["cluster"], r["kind"]) for r in one.collect()} == {(1, -1, "noise"), (2, -1, "noise")}
+
+
+@pytest.mark.parametrize("kind", ["even", "blob", "columns"])
+def test_nearest_in_many_blocks_matches_bruteforce(spark, monkeypatch, kind):
+    """Blocks of some 64 points: neighbours lie in other blocks, coordinates are shared, one place is crowded."""
+    from tessera.operators import distance as di
+    monkeypatch.setattr(di, "BLOCK", 64)
+    rng = np.random.default_rng(5)
+    X = rng.normal(size=(1200, 3))
+    if kind == "blob":
+        X = np.where(rng.random((1200, 1)) < 0.9, X * 1e-3, X)
+    if kind == "columns":
+        X = np.round(X * [1, 2, 3]) / 2
+    X[:40] = X[0]
+    keys = rng.permutation(1200)
+    df = spark.createDataFrame([(int(k), [float(v) for v in r]) for k, r in zip(keys, X)], "key long, x array<double>").repartition(5)
+    lost = spark.createDataFrame([(5000, [0.0, None, 0.0]), (5001, [0.0, float("nan"), 0.0])], "key long, x array<double>")
+    got = {}
+    for r in knn(df.unionByName(lost), "key", 7, include_self=False).collect():
+        got.setdefault(r["key"], []).append((r["rank"], r["nbr"], r["dist"]))
+    assert set(got) == set(keys.tolist())
+    for i in range(1200):
+        d = np.sqrt(((X - X[i]) ** 2).sum(1))
+        d[i] = np.inf
+        at = np.lexsort((keys, d))[:7]
+        assert [n for _, n, _ in sorted(got[int(keys[i])])] == keys[at].tolist() and np.allclose([v for _, _, v in sorted(got[int(keys[i])])], d[at])
