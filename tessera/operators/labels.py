@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .metrics import filled
 from .order import attach_row, top1_by
 
@@ -45,13 +46,14 @@ def lof(points: DataFrame, key: str, k: int = 20, contamination: float = 0.1, x:
     from .quantile import quantile_table
     n = points.count()
     kk = min(k, n - 1)
-    nb = knn(points, key, kk, x, include_self=False)
+    nb = cut_lineage(knn(points, key, kk, x, include_self=False))  # read four times
     kd = nb.where(F.col("rank") == kk).select(F.col(key).alias("nbr"), F.col("dist").alias("__kd_o"))
     rd = nb.join(kd, "nbr").select(key, "nbr", F.greatest(F.col("__kd_o"), F.col("dist")).alias("__rd"))
-    lrd = rd.groupBy(key).agg((1.0 / (F.avg("__rd") + 1e-10)).alias("__lrd"))
+    lrd = cut_lineage(rd.groupBy(key).agg((1.0 / (F.avg("__rd") + 1e-10)).alias("__lrd")))
     score = nb.select(key, "nbr").join(lrd.select(F.col(key).alias("nbr"), F.col("__lrd").alias("__lrd_o")), "nbr") \
         .groupBy(key).agg(F.avg("__lrd_o").alias("__m")).join(lrd, key) \
         .select(key, (F.col("__m") / F.col("__lrd")).alias("lof_score"))
+    score = cut_lineage(score)
     thr = quantile_table(score, ["lof_score"], [1.0 - contamination], exact=exact).select(F.col("q0").alias("__t"))
     return attach_row(score, thr).select(  # one-row threshold
         key, "lof_score", (F.col("lof_score") > F.col("__t")).cast("int").alias("flag_lof"))
