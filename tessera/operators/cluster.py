@@ -6,7 +6,7 @@
 * DBSCAN works on grid cells whose diagonal is eps: a dense cell's points are
   core and connected without being paired, sparse points ask for their nearest
   locations (:mod:`.distance`), and cells are linked by halving their boxes;
-* subtractive potentials use a grid-blocked epsilon join;
+* subtractive potentials are added up in tiles of all pairs;
 * Ward works on weighted k-means micro-clusters (a bounded set), then maps
   the merge back with a join.
 """
@@ -21,9 +21,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, shuffle_partitions
 from .components import components
-from .blocks import matrix
+from .blocks import matrix, square_distances
 from .distance import _cell, _offsets, dist, nearest_lists, sq_dist
 from .lloyd import SAMPLE, first_centres, lloyd, sample_points
 from .order import attach_row, global_index
@@ -45,10 +45,14 @@ def assign_nearest(points: DataFrame, key: str, centres: Sequence[Sequence[float
 
     Centres are literals (k x d numbers), so this is a narrow projection.
     """
-    d = F.transform(_centre_array(centres), lambda c: sq_dist(F.col(x), c))
+    return points.select(key, _nearest_index(F.col(x), centres).alias(name))
+
+
+def _nearest_index(x: Column, centres: Sequence[Sequence[float]]) -> Column:
+    d = F.transform(_centre_array(centres), lambda c: sq_dist(x, c))
     best = F.array_min(F.transform(F.arrays_zip(d.alias("d"), F.sequence(F.lit(0), F.lit(len(centres) - 1)).alias("i")),
                                    lambda s: F.struct(s["d"].alias("d"), s["i"].alias("i"))))
-    return points.select(key, best["i"].cast("int").alias(name))
+    return best["i"].cast("int")
 
 
 def centroids(points: DataFrame, labels: DataFrame, key: str, x: str = "x", cluster: str = "cluster") -> DataFrame:
@@ -104,9 +108,9 @@ def _best_runs(points: DataFrame, key: str, ks: Sequence[int], n_init: int, seed
 def elbow_sweep(points: DataFrame, key: str, ks: Sequence[int], seed: int = 42, x: str = "x",
                 n_init: int = 15) -> DataFrame:
     """K3: (k, inertia, silhouette) for each k (silhouette NULL for k = 1).  All runs of all k share their scans."""
-    rows = []
+    rows, points = [], cut_lineage(points.select(key, x))  # what they derive from is read once
     for k, (centres, cost) in sorted(_best_runs(points, key, ks, n_init, seed, x).items()):
-        sil = silhouette(points, assign_nearest(points, key, centres, x), key, x).first()["silhouette"] if k > 1 else None
+        sil = _mean_silhouette(points.where(F.col(key).isNotNull()).select(x, _nearest_index(F.col(x), centres).alias("cluster")), x, "cluster").first()["silhouette"] if k > 1 else None
         rows.append((int(k), float(cost), None if sil is None else float(sil)))
     return points.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
 
@@ -176,8 +180,39 @@ def fpc(soft: DataFrame, u: str = "u") -> DataFrame:
 
 
 # ---------------------------------------------------------------- subtractive
+TILE = 1 << 14  # locations on each side of a tile of potentials
+
+
+def _tile_sums(alpha: float):
+    def run(group: pa.Table) -> pa.Table:
+        side, ids = group["side"].to_numpy(), group["id"].combine_chunks()
+        x, w = matrix(group["x"]), group["w"].to_numpy().astype(np.float64)
+        one, two = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        same = group["i"][0].as_py() == group["j"][0].as_py()
+        p, other = np.zeros(len(x)), one if same else two
+        for s in range(0, len(one), 256):
+            at = one[s: s + 256]
+            near = np.exp(-alpha * square_distances(x[at], x[other]))
+            p[at] += near @ w[other]
+            if not same:
+                p[two] += w[at] @ near
+        return pa.table({"id": ids, "p": p})
+    return run
+
+
+def _potentials(loc: DataFrame, key: str, alpha: float, x: str) -> DataFrame:
+    """(key, __p): the sum over all locations of weight times exp(-alpha d^2)."""
+    n = -(-loc.count() // TILE) or 1
+    own = loc.select(F.col(key).alias("id"), F.col(x).alias("x"), F.col("__w").alias("w"), F.pmod(F.xxhash64(x), F.lit(n)).alias("g"))
+    tiles = own.select("id", "x", "w", "g", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))).alias("h"))
+    tiles = tiles.select("id", "x", "w", F.least("g", "h").alias("i"), F.greatest("g", "h").alias("j"), F.when(F.col("g") <= F.col("h"), 0).otherwise(1).alias("side"))
+    kind = loc.schema[key].dataType.simpleString()
+    sums = tiles.repartition(min(4096, max(shuffle_partitions(loc.sparkSession), n * (n + 1) // 2)), "i", "j").groupBy("i", "j").applyInArrow(_tile_sums(alpha), f"id {kind}, p double")
+    return sums.groupBy(F.col("id").alias(key)).agg(F.sum("p").alias("__p"))
+
+
 def subtractive(points: DataFrame, key: str, ra: float, accept: float = 0.5, reject: float = 0.15,
-                max_centres: int = 10, x: str = "x", tol: float = 1e-12) -> tuple[DataFrame, list[list[float]]]:
+                max_centres: int = 10, x: str = "x") -> tuple[DataFrame, list[list[float]]]:
     """K9: Chiu's subtractive clustering; returns (labels(key, cluster), centres).
 
     A location's potential is the sum over points of exp(-alpha d^2), alpha = 4/ra^2.  The point of highest
@@ -186,17 +221,12 @@ def subtractive(points: DataFrame, key: str, ra: float, accept: float = 0.5, rej
     the grey zone down to ``reject`` are passed over; since potentials only fall, none that follows them can
     reach the accept level again, so the first such point ends the search, whatever ``reject`` is.
 
-    Identical points are one weighted location.  Terms under ``tol`` lie beyond the radius of the join, so
-    a potential is short of the full sum by less than the number of points times ``tol``.
+    Identical points are one weighted location.  Potentials are full sums over all pairs of locations, added up in
+    tiles of ``TILE`` by as many; a tile serves both its sides, and no pair becomes a row.  The work stays quadratic.
     """
-    from .distance import eps_pairs
     alpha, beta = 4.0 / ra ** 2, 4.0 / (1.5 * ra) ** 2
     loc = cut_lineage(points.groupBy(x).agg(F.min(key).alias(key), F.count(F.lit(1)).alias("__w")))
-    pairs = eps_pairs(loc, key, math.sqrt(math.log(1.0 / tol) / alpha), x).join(
-        loc.select(F.col(key).alias("nbr"), F.col("__w").alias("__nw")), "nbr")
-    pot = pairs.groupBy(key).agg(
-        F.sum(F.col("__nw") * F.exp(-alpha * F.col("dist") * F.col("dist"))).alias("__p"))
-    state = cut_lineage(loc.join(pot, key))
+    state = cut_lineage(loc.join(_potentials(loc, key, alpha, x), key))
     centres: list[list[float]] = []
     left, level = F.col("__p"), 0.0
     while len(centres) < max_centres:
@@ -391,15 +421,20 @@ def silhouette(points: DataFrame, labels: DataFrame, key: str, x: str = "x", clu
     sums (n, sum x, sum |x|^2) -- no pairs.  Noise (-1) is excluded; a
     singleton cluster scores 0; fewer than two clusters gives NULL.
     """
-    dims = len(points.select(x).first()[0])
-    j = points.join(labels, key).where(F.col(cluster) >= 0).select(key, x, cluster)
+    return _mean_silhouette(points.join(labels, key).where(F.col(cluster) >= 0).select(x, cluster), x, cluster)
+
+
+def _mean_silhouette(j: DataFrame, x: str, cluster: str) -> DataFrame:
+    """The silhouette of points that stand beside their cluster."""
+    first = j.select(F.size(x).alias("d")).first()
+    dims = first["d"] if first else 0
     norm = F.aggregate(F.col(x), F.lit(0.0), lambda a, v: a + v * v)
     stats = j.groupBy(cluster).agg(F.count(F.lit(1)).alias("n"),
                                    F.array(*[F.sum(F.col(x)[i]) for i in range(dims)]).alias("s"),
                                    F.sum(norm).alias("q"))
     st = stats.collect()  # one row per cluster: bounded by the number of clusters
     if len(st) < 2:
-        return points.sparkSession.createDataFrame([(None,)], "silhouette double")
+        return j.sparkSession.createDataFrame([(None,)], "silhouette double")
     arr = F.array(*[F.struct(F.lit(r[cluster]).alias("c"), F.lit(float(r["n"])).alias("n"),
                              F.array(*[F.lit(float(v)) for v in r["s"]]).alias("s"), F.lit(float(r["q"])).alias("q"))
                     for r in st])
@@ -534,8 +569,9 @@ def davies_bouldin(points: DataFrame, labels: DataFrame, key: str, x: str = "x",
 def compare_clusterings(labels: Mapping[str, DataFrame], truth: DataFrame, points: DataFrame, key: str,
                         x: str = "x", truth_col: str = "label") -> DataFrame:
     """Method, n_clusters, ari, nmi, silhouette (noise excluded; NULL under two clusters)."""
-    out = None
+    out, truth, points = None, cut_lineage(truth.select(key, truth_col)), cut_lineage(points.select(key, x))
     for name, lab in labels.items():
+        lab = cut_lineage(lab.select(key, "cluster"))  # four measures read it
         nc = lab.where(F.col("cluster") >= 0).agg(F.countDistinct("cluster").alias("n_clusters"))
         row = attach_row(attach_row(attach_row(
             nc, adjusted_rand(lab, truth, key, "cluster", truth_col)),

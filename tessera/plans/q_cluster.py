@@ -15,6 +15,7 @@ from ..operators.distance import knn
 from ..operators.lloyd import lloyd
 from ..operators.projected_knn import knn_projected
 from ..operators.quantile import quantile_table
+from ..session import cut_lineage
 from ..sources.tables import SEGMENTS, load, rfm_cte, rfm_points
 from .common import R, hash_unit_sql, rounded
 from .registry import query
@@ -346,7 +347,7 @@ def q_ward(spark, sf):
 
 
 def _methods(spark, sf):
-    pts = rfm_points(spark, sf).cache()
+    pts = cut_lineage(rfm_points(spark, sf).select("key", "x", "label"))
     p = pts.select("key", "x")
     labels = {"kmeans": cl.kmeans(p, "key", 3, n_init=15)[0],
               "fuzzy_cmeans": cl.fuzzy_cmeans(p, "key", 3, m=M, tol=1e-5, max_iter=1000)[0].select("key", "cluster"),

@@ -273,3 +273,17 @@ def test_nearest_in_many_blocks_matches_bruteforce(spark, monkeypatch, kind):
         d[i] = np.inf
         at = np.lexsort((keys, d))[:7]
         assert [n for _, n, _ in sorted(got[int(keys[i])])] == keys[at].tolist() and np.allclose([v for _, _, v in sorted(got[int(keys[i])])], d[at])
+
+
+def test_subtractive_in_tiles_forms_no_pairs(spark, pts, monkeypatch):
+    """Potentials of several tiles are those of all pairs, and no table holds more rows than there are points."""
+    p, keys, X = pts
+    monkeypatch.setattr(cl, "TILE", 70)
+    cuts = []
+    monkeypatch.setattr(cl, "cut_lineage", lambda d, f=cl.cut_lineage: cuts.append(f(d)) or cuts[-1])
+    monkeypatch.setattr("tessera.operators.distance.eps_pairs", None)
+    _, centres = cl.subtractive(p, "key", ra=1.0, accept=0.4, reject=0.15, max_centres=10)
+    assert np.allclose(np.array(centres), _centres_by_definition(X, 1.0, 0.4, 0.15, 10), atol=1e-9)
+    got = {r["key"]: r["__p"] for r in cuts[1].collect()}
+    want = np.exp(-4.0 * ((X[:, None] - X[None]) ** 2).sum(-1)).sum(1)
+    assert len(got) <= len(keys) and all(abs(got[int(k)] - v) < 1e-9 * v for k, v in zip(keys, want) if int(k) in got)
