@@ -118,3 +118,18 @@ def test_projected_neighbours_of_few_points_and_unreachable_recall(spark, monkey
     rng = np.random.default_rng(1)
     with pytest.raises(RuntimeError, match="less than"):
         pk.knn_projected(frame(spark, rng.normal(size=(3000, 60))), "key", 5, recall=0.99, trees=1)
+
+
+def test_projected_neighbours_of_points_without_structure_are_found_in_tiles(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    monkeypatch.setattr(pk, "TILE", 300)
+    monkeypatch.setattr(pk, "MOST_TREES", 1)
+    X = rng.normal(size=(1500, 60))
+    X[700:720] = X[3]  # copies
+    got, seen = pk.knn_projected(frame(spark, X), "key", 5, recall=0.99, trees=1, or_all=True)
+    d = np.sqrt(((X[:, None, :] - X[None, :, :]) ** 2).sum(axis=2))
+    np.fill_diagonal(d, np.inf)
+    want = {(i, int(j), r + 1) for i in range(len(X)) for r, j in enumerate(np.lexsort((np.arange(len(X)), d[i]))[:5])}
+    rows = got.collect()
+    assert seen == 1.0 and {(r["key"], r["nbr"], r["rank"]) for r in rows} == want and len(rows) == len(want)
+    assert all(abs(r["dist"] - d[r["key"], r["nbr"]]) < 1e-12 for r in rows)
