@@ -34,18 +34,18 @@ def doc_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     n_chars = F.greatest(F.length(text), F.lit(1)).cast("double")
     words = F.split(F.trim(text), r"\s+")
     n_words = F.greatest(F.size(words), F.lit(1)).cast("double")
-    t = d.select(
+    t = cut_lineage(d.select(  # the texts are read once: the split, the scaler's fit and the folds read their statistics
         F.col("doc_id").alias("key"), F.col("quality").alias("y"),
         F.when(hash_unit("doc_id", 3) < 0.15, 1 - F.col("quality")).otherwise(F.col("quality")).alias("y_corrected"),
         F.col("n_chars").cast("double").alias("n_chars"), n_words.alias("n_words"),
         F.size(F.split(text, "\n")).cast("double").alias("n_lines"),
         (n_chars / n_words).alias("avg_word_len"),
-        (F.length(F.regexp_replace(text, r"[^0-9]", "")) / n_chars).alias("digit_frac"),
-        (F.length(F.regexp_replace(text, r"[^A-Z]", "")) / n_chars).alias("upper_frac"),
-        (F.length(F.regexp_replace(text, r"[^!-/:-@\[-`{-~]", "")) / n_chars).alias("punct_frac"),
+        (F.length(F.regexp_replace(text, r"[^0-9]+", "")) / n_chars).alias("digit_frac"),
+        (F.length(F.regexp_replace(text, r"[^A-Z]+", "")) / n_chars).alias("upper_frac"),
+        ((F.length(text) - F.length(F.regexp_replace(text, r"[!-/:-@\[-`{-~]+", ""))) / n_chars).alias("punct_frac"),
         (F.size(F.array_distinct(F.split(F.lower(F.trim(text)), r"\s+"))) / n_words).alias("uniq_frac"),
-        *[(F.col("lang") == lg).cast("double").alias(f"lang_{lg}") for lg in ("en", "de", "fr")])
-    t = stratified_split(t, "key", "y", 0.25, 42)
+        *[(F.col("lang") == lg).cast("double").alias(f"lang_{lg}") for lg in ("en", "de", "fr")]))
+    t = cut_lineage(stratified_split(t, "key", "y", 0.25, 42))
     # scale every feature with a fit on the train rows only (no test leakage)
     t = standard_scale(t, DOC_FEATURES, fit_on=t.where(F.col("split") == "train"), replace=True)
     train = stratified_kfold(t.where(F.col("split") == "train"), "key", "y", 5, 7)
