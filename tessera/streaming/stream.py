@@ -8,6 +8,7 @@ sink) and returns the sink as a batch DataFrame.
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
 from collections.abc import Iterator, Mapping
@@ -61,7 +62,9 @@ def stream_model(stream: DataFrame, model: PipelineModel) -> DataFrame:
 class _Runs(StatefulProcessor):
     """Per unit: the totals of the periods that the watermark has not passed, and the run of periods below zero so far.
 
-    A period is closed by its timer, in order of time, so rows that arrive late but before the watermark count.
+    Both are one value, so a unit is read and written once a batch, and one timer waits for its earliest open period.
+    When that fires, all periods that the watermark has passed are closed in order of time, so rows that arrive late
+    but before the watermark count.
     """
 
     def __init__(self, seconds: int, least: int) -> None:
@@ -69,34 +72,45 @@ class _Runs(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.open = handle.getMapState("open", "start long", "total double")
-        self.run = handle.getValueState("run", "start long, length int")
+        self.unit = handle.getValueState("unit", "open string, last long, length int, timer long")  # open: JSON of [start, total] pairs
+
+    def _read(self) -> tuple[dict[int, float], int | None, int, int | None]:
+        held = self.unit.get()
+        if held is None:
+            return {}, None, 0, None
+        return dict(json.loads(held[0])), held[1], held[2], held[3]
+
+    def _write(self, periods: dict[int, float], last: int | None, length: int, timer: int | None) -> None:
+        due = (min(periods) + self.seconds) * 1000 if periods else None
+        if due is not None and (timer is None or due < timer):
+            self.handle.registerTimer(due)
+            timer = due
+        self.unit.update((json.dumps(list(periods.items())), last, length, timer))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         sums: dict[int, float] = {}
         for r in rows:
             sums[r["__start"]] = sums.get(r["__start"], 0.0) + (r["__value"] or 0.0)
+        periods, last, length, timer = self._read()
         for start, total in sums.items():
-            if self.open.containsKey((start,)):
-                total += self.open.getValue((start,))[0]
-            else:
-                self.handle.registerTimer((start + self.seconds) * 1000)
-            self.open.updateValue((start,), (total,))
+            periods[start] = total + periods[start] if start in periods else total
+        self._write(periods, last, length, timer)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        until = expiredTimerInfo.getExpiryTimeInMs()
-        last, length = self.run.get() if self.run.exists() else (None, 0)
+        until, passed = expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs()
+        periods, last, length, timer = self._read()
         out = []
-        for start in sorted(k[0] for k in list(self.open.keys()) if (k[0] + self.seconds) * 1000 <= until):
-            total = self.open.getValue((start,))[0]
-            self.open.removeKey((start,))
+        for start in sorted(periods):
+            end = (start + self.seconds) * 1000
+            if end > until and end >= passed:  # a timer fires once the watermark is beyond it
+                break
+            total = periods.pop(start)
             length = 0 if total >= 0 else length + 1 if last == start - self.seconds else 1
             last = start
             if length >= self.least:
                 out.append(Row(unit=key[0], start=start, total=total, run=length))
-        if last is not None:
-            self.run.update((last, length))
+        self._write(periods, last, length, timer if timer is not None and timer > until else None)
         return iter(out)
 
     def close(self) -> None:

@@ -96,3 +96,20 @@ def test_model_on_a_stream_scores_as_in_a_batch(spark):
     from pyspark.ml.functions import vector_to_array
     want = {r["event_id"]: (r["prediction"], r["probs"]) for r in model.transform(rows).select("event_id", "prediction", vector_to_array("probability").alias("probs")).collect()}
     assert got == want
+
+
+def test_a_unit_waits_on_one_timer_however_many_periods_are_open(spark):
+    from types import SimpleNamespace
+
+    from tessera.streaming.stream import _Runs
+    held, timers, calls = [], [], []
+    state = SimpleNamespace(get=lambda: calls.append("get") or (held[-1] if held else None), update=lambda v: calls.append("update") or held.append(v))
+    runs = _Runs(10, 2)
+    runs.init(SimpleNamespace(getValueState=lambda *_: state, registerTimer=timers.append))
+    list(runs.handleInputRows((1,), iter([{"__start": s, "__value": -1.0} for s in (30, 0, 10, 20, 50)]), None))
+    assert timers == [10_000] and calls == ["get", "update"]
+
+    def fire(at, watermark):
+        return [(r["start"], r["run"]) for r in runs.handleExpiredTimer((1,), SimpleNamespace(getCurrentWatermarkInMs=lambda: watermark), SimpleNamespace(getExpiryTimeInMs=lambda: at))]
+    assert fire(10_000, 35_000) == [(10, 2), (20, 3)] and timers == [10_000, 40_000]  # 30 ends at 40: still open
+    assert fire(40_000, 90_000) == [(30, 4)] and len(calls) == 6  # 40 had no row: 50 begins a new run
