@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import labels as lb
+from ..session import cut_lineage
 from ..sources.tables import rfm_cte, rfm_points
 from .common import R, rounded
 from .label_audit import (AMBIGUITY, CLASSES, CONTAMINATION, CUTOFF, EPS, FLAGS, LOF_K, M, MIN_SAMPLES, diagnosis,
@@ -216,4 +217,4 @@ def q_relabel_summary(spark, sf):
 @query("audit_without_label")
 def q_audit_without_label(spark, sf):
     """L1-L6 over clusterings made from the points alone."""
-    return rounded(lb.audit(rfm_points(spark, sf).select("key", "x", "label"), "key", "label", len(CLASSES), EPS, MIN_SAMPLES))
+    return rounded(lb.audit(cut_lineage(rfm_points(spark, sf).select("key", "x", "label")), "key", "label", len(CLASSES), EPS, MIN_SAMPLES))

@@ -94,7 +94,7 @@ n AS (SELECT a.key, b.label, row_number() OVER (PARTITION BY a.key ORDER BY sqrt
 v AS (SELECT key, label, row_number() OVER (PARTITION BY key ORDER BY count(*) DESC, label) AS place FROM n WHERE r <= 7 GROUP BY key, label)
 SELECT key, label AS prediction FROM v WHERE place = 1""")
 def q_knn_classify(spark, sf):
-    pts = rfm_points(spark, sf).withColumn("split", F.when(hash_unit("key", 13) < 0.25, "test").otherwise("train"))
+    pts = cut_lineage(rfm_points(spark, sf).select("key", "x", "label", F.when(hash_unit("key", 13) < 0.25, "test").otherwise("train").alias("split")))
     return md.knn_classify(pts.where(F.col("split") == "train"), pts.where(F.col("split") == "test"), "key", 7)
 
 

@@ -12,6 +12,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .io import read_parquet
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -266,7 +267,7 @@ def rfm_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.features import standard_scale
     from ..functions.columns import hash_unit
     days = f"datediff(CAST({_LAST_ORDER} AS DATE), CAST(max(o.o_orderdate) AS DATE))"
-    rfm = sql_over(spark, sf_dir, _RFM.format(days=days), ["orders", "customer"])
+    rfm = cut_lineage(sql_over(spark, sf_dir, _RFM.format(days=days), ["orders", "customer"]))  # the fit and every later scan read it
     z = standard_scale(rfm, ["recency", "frequency", "monetary"]).select(
         "key", "segment", "n_orders", F.col("recency_std").alias("z0"), F.col("frequency_std").alias("z1"),
         F.col("monetary_std").alias("z2"))
