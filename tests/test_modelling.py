@@ -31,3 +31,10 @@ def test_texts_are_read_once_for_all_statistics(spark, tmp_path, monkeypatch):
         for name, held in (("digit_frac", "0123456789"), ("upper_frac", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"), ("punct_frac", marks)):
             assert first[key][name] == pytest.approx(sum(c in held for c in text) / n, abs=0)
     assert np.isclose(np.mean([r["digit_frac"] for r in out.where("split = 'train' and digit_frac is not null").collect()]), 0)
+
+
+def test_customer_points_are_read_from_a_cut(spark):
+    from paths import SF_SMALL
+
+    from tessera.sources.tables import rfm_points
+    assert not [f for f in rfm_points(spark, SF_SMALL).inputFiles() if "orders.parquet" in f or "customer.parquet" in f]
