@@ -8,6 +8,7 @@ at most some thousand rows whatever the corpus' size.
 
 from __future__ import annotations
 
+import os
 import zlib
 
 import numpy as np
@@ -39,6 +40,7 @@ class WordEncoder:
     """
 
     def __init__(self, path: str) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks run side by side already; threads for short words mostly wait
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self._forget()
@@ -48,7 +50,7 @@ class WordEncoder:
         self.first, self.size, self.pool, self.used = np.zeros(1 << 12, np.int32), np.zeros(1 << 12, np.int32), np.zeros(1 << 14, np.uint32), 0
 
     def _learn(self, keys: np.ndarray, texts: list[str]) -> None:
-        ids = [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         size, k = np.fromiter(map(len, ids), np.int64, len(ids)), len(self.keys)
         flat = np.fromiter((x for i in ids for x in i), np.uint32, int(size.sum()))
         while k + len(ids) > len(self.first):
@@ -70,9 +72,9 @@ class WordEncoder:
                 low[a:z] = data[a:z]
         edge = np.zeros(len(data), bool)
         edge[1:] = _PLAIN[data[:-1]] & _MARKS[data[1:]]
-        start, end = tv.runs(inside, np.unique(np.concatenate([off, np.flatnonzero(edge)])))
+        start, end = tv.runs(inside, np.concatenate([off, np.flatnonzero(edge)]))
         row = np.searchsorted(off, start, "right") - 1
-        keys, one, back = np.unique(tv.span_hash(low, start, end), return_index=True, return_inverse=True)
+        keys, one, back = tv.distinct(tv.span_hash(low, start, end))
         if len(self.keys) > CACHE_WORDS:
             self._forget()
         at = np.searchsorted(self.keys, keys)

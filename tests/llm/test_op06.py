@@ -1,3 +1,4 @@
+import os
 import random
 import zlib
 from collections import defaultdict
@@ -25,6 +26,21 @@ def test_word_memory_gives_the_tokenizers_ids():
         assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == [e.ids for e in tok.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_an_encoder_starts_no_threads_of_its_own(monkeypatch):
+    monkeypatch.delenv("TOKENIZERS_PARALLELISM", raising=False)
+    op.WordEncoder(PATH)
+    assert os.environ["TOKENIZERS_PARALLELISM"] == "false"
+    monkeypatch.setenv("TOKENIZERS_PARALLELISM", "true")
+    op.WordEncoder(PATH)
+    assert os.environ["TOKENIZERS_PARALLELISM"] == "true"
+
+
+def test_distinct_names_a_place_of_each_value():
+    for x in (np.zeros(0, np.uint64), np.array([7], np.uint64), np.random.default_rng(1).integers(0, 9, 100).astype(np.uint64)):
+        values, one, back = tv.distinct(x)
+        assert values.tolist() == sorted(set(x.tolist())) and (x[one] == values).all() and (values[back] == x).all()
+
+
 def test_fullest_is_the_best_subset_sum():
     rng = random.Random(2)
     for _ in range(200):
