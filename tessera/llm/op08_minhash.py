@@ -117,7 +117,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
                .select(F.explode("bands").alias("key"), F.col("doc_id").alias("id"), F.col("n_shingles").alias("n")))
     shared = entries.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub < last")
     member = cut_lineage(entries.join(shared.select("key", "hub"), "key").distinct())
-    links, grouped = _link_buckets(member, docs, shingle, percent)
+    grouped = _link_buckets(member, docs, shingle, percent)
     comp = F.coalesce("component", "rep")
     of_class = classes.join(grouped, classes.rep == grouped.node, "left").select("d1", "d2", "n_shingles", comp.alias("component_id"))
     out = base.drop("bands").join(of_class, ["d1", "d2", "n_shingles"], "left")
@@ -126,8 +126,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
-def _link_buckets(member: DataFrame, docs: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Links and components of ``member`` (key, id, n, hub), first by hubs, then by rounds of leaders."""
+def _link_buckets(member: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Components (node, component) of ``member`` (key, id, n, hub), first by hubs, then by rounds of leaders.
+
+    Components stand for the links that made them: later links join components, not all links so far anew.
+    """
     named = member.select(F.col("id").alias("doc_id")).distinct()
     sets = cut_lineage(arrow_map(docs.join(named, "doc_id", "left_semi"), _set_batches, "doc_id long, shingles array<long>", n=shingle).withColumnRenamed("doc_id", "id"))
     # first round: a bucket's hub against the others, once per hub whatever number of bands they share; the hub's set is in each block once
@@ -137,8 +140,7 @@ def _link_buckets(member: DataFrame, docs: DataFrame, shingle: int, percent: int
     spoke = cut_lineage(spoke.select(F.col("hub").alias("key"), "id", F.col("id").alias("component")))
     parts = spoke.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))
     leads = parts.select("key", F.col("key").alias("id"), F.col("key").alias("component"), "parts")
-    links = cut_lineage(_compare_blocks(spoke.join(parts, "key"), leads, sets, percent))
-    grouped = cut_lineage(components(links))
+    grouped = cut_lineage(components(_compare_blocks(spoke.join(parts, "key"), leads, sets, percent)))
     # buckets of other bands with the same members say nothing new
     other = member.where("id != hub")
     same = other.groupBy("key", "hub").agg(F.count(F.lit(1)).alias("c"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("s"))
@@ -157,24 +159,24 @@ def _link_buckets(member: DataFrame, docs: DataFrame, shingle: int, percent: int
         rank = F.row_number().over(Window.partitionBy("key").orderBy("id"))
         chosen = cut_lineage(todo.withColumn("rank", rank).where(F.col("rank") <= leaders).drop("main"))
         if chosen.isEmpty():
-            return links, grouped
-        led = chosen.select("key", "id") if led is None else cut_lineage(led.unionByName(chosen.select("key", "id")))
+            return grouped
+        led = chosen.select("key", "id") if led is None else led.unionByName(chosen.select("key", "id"))
         found = cut_lineage(_compare_blocks(now, chosen, sets, percent))
         if not found.isEmpty():
-            links = cut_lineage(links.unionByName(found))
-            grouped = cut_lineage(components(links))
+            so_far = grouped.select(F.col("node").alias("a"), F.col("component").alias("b"))
+            grouped = cut_lineage(components(found.unionByName(so_far)))
         leaders *= LEADERS
 
 
 def _compare_blocks(now: DataFrame, chosen: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between leaders and members of their buckets, by (bucket, block of members, block of leaders)."""
+    """Links (a, b), some more than once, between leaders and members of their buckets, by (bucket, block of members, block of leaders)."""
     sides = chosen.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("sides"))
     block = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
     m = now.join(sides, "key").select("key", block.alias("i"), F.explode(F.sequence(F.lit(0), F.col("sides") - 1)).alias("j"), F.lit(0).alias("leads"), "id", "component")
     x = chosen.join(sides, "key").select("key", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("i"),
                                          F.pmod(F.xxhash64("id"), F.col("sides")).cast("int").alias("j"), F.lit(1).alias("leads"), "id", "component")
     rows = m.unionByName(x).join(sets, "id").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "leads")
-    return arrow_map(rows, _compare_batches, "a long, b long", percent=percent).distinct()
+    return arrow_map(rows, _compare_batches, "a long, b long", percent=percent)
 
 
 def _compare_batches(batches, percent: int):

@@ -99,3 +99,20 @@ def test_components(spark):
             up[hi] = lo
     assert got == {a: find(a) for a in up}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_later_links_join_components_not_all_links_anew(spark, monkeypatch):
+    # one bucket: hub 0 is like nobody, 1-60 are copies but for a word each, 61 is alone
+    base = [f"w{k}" for k in range(60)]
+    texts = [" ".join(f"x{k}" for k in range(60)), *[" ".join(base[:59] + [f"own{k}"]) for k in range(60)], " ".join(f"y{k}" for k in range(60))]
+    docs = frame(spark, [(i, t, "en") for i, t in enumerate(texts)])
+    member = spark.createDataFrame([(1, i, 58, 0) for i in range(62)], "key long, id long, n long, hub long")
+    given, cuts = [], []
+    monkeypatch.setattr(op, "components", lambda df: given.append(df.count()) or components(df))
+    cut = op.cut_lineage
+    monkeypatch.setattr(op, "cut_lineage", lambda df: cuts.append(1) or cut(df))
+    out = op._link_buckets(member, docs, 3, 85)
+    got = {r["node"]: r["component"] for r in out.collect()}
+    assert got == {i: 1 for i in range(1, 61)}
+    assert given[0] == 0 and len(given) == 2
+    assert len(cuts) <= 16  # 19 with the links so far and those who led
