@@ -94,8 +94,8 @@ class Store:
         word = pair & U64(0xFFFFFFFF)
         if level == 2:
             return word.astype(np.int64)
-        one, back = np.unique((pair >> U64(32)).astype(np.int64), return_inverse=True)
-        keys, back = np.unique(gram_key(self.suffix(level - 1, self.keys(level - 1, one))[back], word), return_inverse=True)
+        one, _, back = tv.distinct((pair >> U64(32)).astype(np.int64))
+        keys, _, back = tv.distinct(gram_key(self.suffix(level - 1, self.keys(level - 1, one))[back], word))
         return self.find(level - 1, keys)[back]
 
     def shard(self, keys: np.ndarray) -> np.ndarray:
@@ -142,12 +142,12 @@ def tokens(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def grams(store: Store, h: np.ndarray, row: np.ndarray, levels: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """Per level 1..levels: the indices of the distinct grams (-1: unknown, and once more at the end), and which of
     them ends at each token; the last where no gram of the row does."""
-    one, place = np.unique(h, return_inverse=True)
+    one, _, place = tv.distinct(h)
     out = [(np.append(store.find(1, one), NONE), place)]
     for k in range(2, levels + 1):
         last, word = (one[place] for one, place in (out[-1], out[0]))
         ok = np.flatnonzero((last[:-1] >= 0) & (word[1:] >= 0) & (row[1:] == row[:-1])) + 1
-        keys, back = np.unique(gram_key(last[ok - 1], word[ok]), return_inverse=True)
+        keys, _, back = tv.distinct(gram_key(last[ok - 1], word[ok]))
         place = np.full(len(h), len(keys))
         place[ok] = back
         out.append((np.append(store.find(k, keys), NONE), place))
@@ -188,7 +188,7 @@ def _count_batches(batches, store: Store, level: int, part: int, parts: int):
 
     def merged():
         keys = np.concatenate([x[0] for x in held])
-        order = np.argsort(keys, kind="stable")
+        order = np.argsort(keys, kind="stable")  # runs in order already
         keys = keys[order]
         first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
         return keys[first], np.add.reduceat(np.concatenate([x[1] for x in held])[order], first).astype(np.uint32)
@@ -231,7 +231,7 @@ def _shards(batches, kinds: list[type]):
 def _gather_batches(batches, store: Store, level: int):
     """Write a level's shards: keys and counts."""
     for s, (keys, counts) in _shards(batches, [U64, np.uint32]):
-        order = np.argsort(keys, kind="stable")
+        order = np.argsort(keys, kind="stable")  # runs in order already
         keys = keys[order]
         first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
         store.write(level, "key", s, keys[first])
@@ -303,8 +303,8 @@ def _contexts_batches(batches, store: Store, level: int):
                 continue
             prefix = (unmix(np.asarray(store.array(level, "key", s))) >> U64(32)).astype(np.int64)
             used = np.asarray(store.array(level, "used", s))
-            by = np.argsort(prefix, kind="stable")
-            prefix, used = prefix[by], used[by]
+            by, prefix = tv.in_order(prefix)
+            used = used[by]
             first = np.flatnonzero(np.concatenate([[True], prefix[1:] != prefix[:-1]]))
             cols = [np.add.reduceat(x.astype(np.int64), first) for x in (used, used == 1, used == 2, used >= 3)]
             yield from _by_index(store, level - 1, prefix[first], *cols)

@@ -55,3 +55,24 @@ def test_counted():
     keys, n = tv.counted(np.array([3, 1, 3], np.uint64))
     assert keys.tolist() == [1, 3] and n.tolist() == [1, 2]
     assert tv.counted(np.array([3, 1, 3], np.uint64), np.array([5, 6, 7]))[1].tolist() == [6, 12]
+
+
+def test_values_come_in_order_with_their_places():
+    rng = np.random.default_rng(5)
+    top = rng.integers(1, 1 << 62, 400).astype(np.uint64) << np.uint64(1)
+    cases = [np.zeros(0, np.uint64), np.array([7], np.int64), rng.integers(0, 50, 1000), rng.integers(0, 1 << 32, 1000), np.repeat(top, 3),
+             np.concatenate([top, top + np.uint64(1)]), np.array([2**64 - 1, 0, 2**64 - 1, 2**63], np.uint64), np.zeros(9, np.uint64)]
+    # equal leading bits, later ones in falling order: sorting by the leading bits alone would leave them so
+    cases.append((np.uint64(1) << np.uint64(63)) + np.arange(1000, dtype=np.uint64)[::-1])
+    for x in cases:
+        order, ordered = tv.in_order(x)
+        assert ordered.dtype == x.dtype and ordered.tolist() == sorted(x.tolist()) and (x[order] == ordered).all()
+        assert sorted(order.tolist()) == list(range(len(x)))
+        values, one, back = tv.distinct(x)
+        assert values.tolist() == sorted(set(x.tolist())) and (x[one] == values).all() and (values[back] == x).all()
+
+
+def test_powers_are_not_made_anew_for_every_larger_chunk(monkeypatch):
+    monkeypatch.setattr(tv, "_POW", {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)})
+    up, _ = tv._powers(tv.CHUNK_BYTES + 5)
+    assert tv._powers(tv.CHUNK_BYTES + 500)[0] is up
