@@ -34,6 +34,7 @@ HOLD = 1 << 21  # distinct grams a map task keeps before it sends them on
 PARTS = 2  # runs over the texts for a level above 2; each shuffles that part of the shards
 NONE = np.int64(-1)
 CHUNK_BYTES = 1 << 21  # text bytes whose grams are looked up together: the more, the more of a lookup is in order
+HASH_BYTES = 1 << 17  # text bytes, in whole rows, whose words are hashed together: numbers made per byte stay near the processor
 
 
 def unmix(x: np.ndarray) -> np.ndarray:
@@ -130,12 +131,14 @@ class Store:
 
 def tokens(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(hash, row) of begin mark, words and end mark of every row."""
-    w = tv.words(data, off, tv.NONSPACE)
-    size = w.per_row + 2
+    cut = np.searchsorted(off, np.arange(0, off[-1], HASH_BYTES), "right") - 1
+    cut = np.unique(np.concatenate([[0], cut, [len(off) - 1]])).tolist()
+    some = [tv.words(data[off[a]: off[z]], off[a: z + 1] - off[a], tv.NONSPACE) for a, z in zip(cut[:-1], cut[1:], strict=True)] or [tv.words(data, off, tv.NONSPACE)]
+    size = np.concatenate([w.per_row for w in some]) + 2
     begin = np.cumsum(size) - size
     h, word = np.empty(int(size.sum()), U64), np.ones(int(size.sum()), bool)
     word[begin] = word[begin + size - 1] = False
-    h[word], h[begin], h[begin + size - 1] = w.hash, BEGIN, END
+    h[word], h[begin], h[begin + size - 1] = np.concatenate([w.hash for w in some]), BEGIN, END
     return h, np.repeat(np.arange(len(size)), size)
 
 

@@ -5,6 +5,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from cases import frame, rows
@@ -117,3 +118,18 @@ def test_packed_arrays_come_back():
     assert (op.unpacked(op.packed(x, True), tv.U64, True) == x).all()
     assert (op.unpacked(op.packed(x.astype(np.uint32)), np.uint32) == x.astype(np.uint32)).all()
     assert len(op.unpacked(op.packed(x[:0], True), tv.U64, True)) == 0
+
+
+def test_tokens_do_not_depend_on_the_rows_hashed_together(monkeypatch):
+    texts = ["", "", "a b", "", "Ünï  code\n", *[f"w{k} W{k % 7} end" for k in range(300)], "x " * 50, "", " "]
+    data, off = tv.text_buffers(pa.array(texts))
+    asked, words = [], tv.words
+    monkeypatch.setattr(op.tv, "words", lambda data, *a: asked.append(len(data)) or words(data, *a))
+    whole = op.tokens(data, off)
+    assert sum(asked) == max(asked) == len(data)
+    asked.clear()
+    monkeypatch.setattr(op, "HASH_BYTES", 64)
+    few = op.tokens(data, off)
+    assert [x.tolist() for x in few] == [x.tolist() for x in whole]
+    assert sum(asked) == len(data) and max(asked) < 200
+    assert [len(x) for x in op.tokens(*tv.text_buffers(pa.array([], pa.string())))] == [0, 0]
