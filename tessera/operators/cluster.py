@@ -123,12 +123,17 @@ def memberships(x: Column, centres: Sequence[Sequence[float]], m: float) -> Colu
     smallest one first (no overflow); a zero distance gets membership 1.
     """
     p = 2.0 / (m - 1.0)
-    d = F.transform(_centre_array(centres), lambda c: F.sqrt(sq_dist(x, c)))
-    dmin = F.array_min(d)
-    inv = F.transform(d, lambda v: F.when(dmin == 0, F.when(v == 0, F.lit(1.0)).otherwise(F.lit(0.0)))
-                      .otherwise(F.pow(dmin / v, F.lit(p))))
-    tot = F.aggregate(inv, F.lit(0.0), lambda a, b: a + b)
-    return F.transform(inv, lambda v: v / tot)
+
+    def inverse(d, dmin):
+        return F.transform(d, lambda v: F.when(dmin == 0, F.when(v == 0, F.lit(1.0)).otherwise(F.lit(0.0)))
+                           .otherwise(F.pow(dmin / v, F.lit(p))))
+    inv = _once(F.transform(_centre_array(centres), lambda c: F.sqrt(sq_dist(x, c))), lambda d: _once(F.array_min(d), lambda dmin: inverse(d, dmin)))
+    return _once(inv, lambda v: _once(F.aggregate(v, F.lit(0.0), lambda a, b: a + b), lambda tot: F.transform(v, lambda one: one / tot)))
+
+
+def _once(value: Column, then) -> Column:
+    """``then(value)`` with the value worked out once: inside a lambda a plain column is worked out for every element."""
+    return F.transform(F.array(value), then)[0]
 
 
 def fuzzy_cmeans(points: DataFrame, key: str, c: int, m: float = 1.3, tol: float = 1e-5,
@@ -243,10 +248,10 @@ def subtractive(points: DataFrame, key: str, ra: float, accept: float = 0.5, rej
 
 
 # ---------------------------------------------------------------- DBSCAN
-def _boxes(pts: DataFrame, key: str, x: str, side: float, by: Sequence[str]) -> DataFrame:
+def _boxes(pts: DataFrame, key: str, x: str, side: float, by: Sequence[str], d: int) -> DataFrame:
     """(by..., idx, lo, hi, rep): per grid cell of ``side`` the box of its points and one of them."""
-    dims = range(pts.select(F.size(x).alias("d")).first()["d"])
-    return pts.withColumn("idx", _cell(F.col(x), side, len(dims))).groupBy(*by, "idx").agg(
+    dims = range(d)
+    return pts.withColumn("idx", _cell(F.col(x), side, d)).groupBy(*by, "idx").agg(
         F.array(*[F.min(F.col(x)[i]) for i in dims]).alias("lo"), F.array(*[F.max(F.col(x)[i]) for i in dims]).alias("hi"),
         F.min(F.struct(key, x))[x].alias("rep"))
 
@@ -262,31 +267,39 @@ def _gap(lo1: Column, hi1: Column, lo2: Column, hi2: Column, farthest: bool) ->
 
 
 def _linked_cells(core: DataFrame, key: str, eps: float, side: float, x: str, dims: int) -> DataFrame:
-    """(a, b) of all pairs of core cells (``__node``) that hold points within eps of each other.
+    """(a, b) of core cells (``__node``): links with the same components as all pairs that hold points within eps of each other.
 
     Pairs of cells are judged by their boxes: linked if the farthest corners, or one point of each, are within
     eps; apart if the nearest sides are not.  What is open is halved along every axis, and a pair of cells
-    leaves as soon as any of its parts are linked; parts of one point are always decided.  Points are never
+    leaves as soon as any of its parts are linked; parts of one point are always decided.  Pairs that whole cells'
+    links join already, if over others, are not halved: only borders between components are.  Points are never
     paired: the rows follow the number of cells and the stretch of border that lies about eps apart.
     """
     half = [o for o in _offsets(dims, math.ceil(math.sqrt(dims))) if o > [0] * dims]
     offs = F.array(*[F.array(*[F.lit(v) for v in o]) for o in half])
-    cells = cut_lineage(_boxes(core, key, x, side, ["__node"]))
+    cells = cut_lineage(_boxes(core, key, x, side, ["__node"], dims))
     other = cells.select(F.col("__node").alias("b"), F.col("idx").alias("ib"), *[F.col(c).alias(f"{c}b") for c in ("lo", "hi", "rep")])
     pairs = cells.select(F.col("__node").alias("a"), F.col("idx").alias("ia"), "lo", "hi", "rep", F.explode(F.transform(
         offs, lambda o: F.zip_with(F.col("idx"), o, lambda u, v: u + v))).alias("ib")).join(other, "ib")
     links, depth = None, 0
     while True:
         near, far = (_gap(F.col("lo"), F.col("hi"), F.col("lob"), F.col("hib"), f) for f in (False, True))
-        judged = cut_lineage(pairs.select("a", "b", "ia", "ib", (near <= eps).alias("may"), ((far <= eps) | (dist(F.col("rep"), F.col("repb")) <= eps)).alias("sure")).where("may"))
-        found = judged.where("sure").select("a", "b").distinct()
+        judged = pairs.select("a", "b", "ia", "ib", (near <= eps).alias("may"), ((far <= eps) | (dist(F.col("rep"), F.col("repb")) <= eps)).alias("sure")).where("may")
+        judged = cut_lineage(judged.withColumn("decided", F.max("sure").over(Window.partitionBy("a", "b"))))
+        found = judged.where("sure").select("a", "b")
         links = found if links is None else links.unionByName(found)
-        left = cut_lineage(judged.where("not sure").join(found, ["a", "b"], "left_anti").select("a", "b", "ia", "ib"))
+        left = judged.where("not decided").select("a", "b", "ia", "ib")
+        if depth == 0 and not left.isEmpty():
+            comp = cut_lineage(components(found))
+            links = comp.select(F.col("node").alias("a"), F.col("component").alias("b"))
+            ends = [comp.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}")) for c in ("a", "b")]
+            joined = F.coalesce("of_a", "a") == F.coalesce("of_b", "b")
+            left = cut_lineage(left.join(ends[0], "a", "left").join(ends[1], "b", "left").where(~joined).select("a", "b", "ia", "ib"))
         if left.isEmpty():
             return links
         depth += 1
         named = left.select(F.explode(F.array("a", "b")).alias("__node")).distinct()
-        parts = cut_lineage(_boxes(core.join(named, "__node", "left_semi"), key, x, side / 2 ** depth, ["__node"]).withColumn(
+        parts = cut_lineage(_boxes(core.join(named, "__node", "left_semi"), key, x, side / 2 ** depth, ["__node"], dims).withColumn(
             "up", F.transform("idx", lambda v: F.shiftright(v, 1))))
         one = parts.select(F.col("__node").alias("a"), F.col("up").alias("ia"), F.col("idx").alias("na"), "lo", "hi", "rep")
         two = parts.select(F.col("__node").alias("b"), F.col("up").alias("ib"), F.col("idx").alias("nb"), *[F.col(c).alias(f"{c}b") for c in ("lo", "hi", "rep")])

@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, shuffle_partitions
 from .blocks import matrix
 
 
@@ -69,8 +69,8 @@ def _no_neighbours(points: DataFrame, key: str) -> DataFrame:
     return points.sparkSession.createDataFrame([], f"`{key}` {kind}, nbr {kind}, rank int, dist double")
 
 
-def knn(points: DataFrame, key: str, k: int, x: str = "x", include_self: bool = True) -> DataFrame:
-    """Exact k nearest neighbours within one table: (key, nbr, rank 1..k, dist).
+def knn_lists(points: DataFrame, key: str, k: int, x: str = "x", include_self: bool = True) -> DataFrame:
+    """Exact k nearest neighbours within one table, a row per point: (key, near array of (dist, id)).
 
     Neighbours are ordered by (distance, neighbour key); with ``include_self``
     the point itself is among them at distance 0 (the reference convention for
@@ -86,19 +86,32 @@ def knn(points: DataFrame, key: str, k: int, x: str = "x", include_self: bool =
     n = points.count()
     kk = min(k, n if include_self else n - 1)
     if kk <= 0:
-        return _no_neighbours(points, key)
+        kind = points.schema[key].dataType.simpleString()
+        return points.sparkSession.createDataFrame([], f"`{key}` {kind}, near array<struct<dist: double, id: {kind}>>")
     need = kk + (0 if include_self else 1)
     loc, members, first = _locations(points, key, x, need)
     near = nearest_lists(loc.select("__lid", x), "__lid", first.select(F.col(key).alias("nbr"), x), "nbr", need, x)
     listed = F.col("near") if include_self else F.filter("near", lambda t: t["id"] != F.col(key))
-    rows = members.join(near, "__lid").select(key, F.posexplode(F.slice(listed, 1, kk)).alias("__at", "__n"))
+    return members.join(near, "__lid").select(key, F.slice(listed, 1, kk).alias("near"))
+
+
+def _ranked(lists: DataFrame, key: str) -> DataFrame:
+    """(key, nbr, rank 1.., dist): a row per entry of ``near``."""
+    rows = lists.select(key, F.posexplode("near").alias("__at", "__n"))
     return rows.select(key, F.col("__n.id").alias("nbr"), (F.col("__at") + 1).cast("int").alias("rank"), F.col("__n.dist").alias("dist"))
 
 
+def knn(points: DataFrame, key: str, k: int, x: str = "x", include_self: bool = True) -> DataFrame:
+    """Exact k nearest neighbours within one table: (key, nbr, rank 1..k, dist), a row per entry of :func:`knn_lists`."""
+    return _ranked(knn_lists(points, key, k, x, include_self), key)
+
+
 BLOCK = 4096      # rows that a block of the search holds, about
 DRAWN = 32        # sampled rows per block from which the blocks' borders are drawn
 BLOCKS = 1 << 13  # most blocks; of more rows, each block holds more
 LEAF = 32         # rows of a leaf inside a block (twice the neighbours asked for, if that is more)
+TOGETHER = 64     # probes searched at once, at most
+ABOUT = 8         # cells about them that bound their neighbours' distances
 
 
 def _borders(sample: np.ndarray, size: int) -> list[tuple]:
@@ -178,27 +191,41 @@ def _box_gaps(x: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
 def _search(x: np.ndarray, r: np.ndarray | None, y: np.ndarray, place: np.ndarray, need: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row of x, row of y, distance): the ``need`` nearest rows of y within r (any, if None), ordered by distance and ``place``.
 
-    Rows of y lie in small cells.  The cell nearest to a row of x bounds how far its neighbours can be; only cells
-    within that bound are compared.
+    Rows of y lie in small cells, and rows of x that lie nearest to the same cell are searched together: the cells
+    about them bound how far their neighbours can be, and only cells within that bound are compared.  What is
+    held at once is a few rows of x against y, and of each row no more than its neighbours (and equal ones) go on.
     """
     cells = _small_cells(y, max(LEAF, 2 * need))
-    gap = _box_gaps(x, np.array([y[c].min(axis=0) for c in cells]), np.array([y[c].max(axis=0) for c in cells]))
-    if r is None:
-        r = np.full(len(x), np.inf)
-        if len(y) >= need:
-            own = gap.argmin(axis=1)
-            for i, c in enumerate(cells):
-                who = np.flatnonzero(own == i)
-                if len(who) and len(c) >= need:
-                    r[who] = np.partition(_distances(x[who], y[c]), need - 1, axis=1)[:, need - 1]
+    size = np.array([len(c) for c in cells])
+    inner = np.concatenate(cells)
+    z, starts = y[inner], np.cumsum(size) - size
+    gap = _box_gaps(x, np.minimum.reduceat(z, starts, axis=0), np.maximum.reduceat(z, starts, axis=0))
+    own = gap.argmin(axis=1)
+    by = np.argsort(own, kind="stable")
+    most = max(1, min(TOGETHER, (1 << 22) // len(z)))
     rows, others, dists = [], [], []
-    for i, c in enumerate(cells):
-        who = np.flatnonzero(gap[:, i] <= r)
-        d = _distances(x[who], y[c])
-        a, b = np.nonzero(d <= r[who, None])
-        rows.append(who[a])
-        others.append(c[b])
-        dists.append(d[a, b])
+    for same in np.split(by, np.flatnonzero(np.diff(own[by])) + 1):
+        for s in range(0, len(same), most):
+            who = same[s: s + most]
+            to = gap[who]
+            if r is not None:
+                bound = r[who]
+            else:
+                bound, about = np.full(len(who), np.inf), np.zeros(len(cells), bool)
+                about[np.argsort(to.min(axis=0), kind="stable")[:ABOUT]] = True
+                at = np.flatnonzero(np.repeat(about, size))
+                if need <= len(at) < len(z):
+                    bound = np.partition(_distances(x[who], z[at]), need - 1, axis=1)[:, need - 1]
+            at = np.flatnonzero(np.repeat((to <= bound[:, None]).any(axis=0), size))
+            d = _distances(x[who], z[at])
+            if need < len(at):
+                bound = np.minimum(bound, np.partition(d, need - 1, axis=1)[:, need - 1])
+            a, b = np.nonzero(d <= bound[:, None])
+            rows.append(who[a])
+            others.append(inner[at[b]])
+            dists.append(d[a, b])
+    if not rows:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
     row, other, d = np.concatenate(rows), np.concatenate(others), np.concatenate(dists)
     order = np.lexsort((place[other], d, row))
     row, other, d = row[order], other[order], d[order]
@@ -285,8 +312,8 @@ def nearest_lists(probe: DataFrame, pkey: str, build: DataFrame, id: str, need:
     Space is cut into blocks of about ``BLOCK`` build rows by a tree drawn from a sample that grows with the
     number of blocks and no further (``BLOCKS``).  Each probe searches its own block, which bounds how far its
     neighbours can be, and then the blocks within that bound, mostly none or one.  Both searches are one
-    shuffle of the rows by block; the lists of probes that asked several blocks are merged.  Rows whose x
-    holds a null or NaN are nobody's neighbours and have none.
+    shuffle of the rows by block; the lists of probes that asked several blocks are merged (cut the result to
+    read it more than once).  Rows whose x holds a null or NaN are nobody's neighbours and have none.
     """
     rows = cut_lineage(build.select(F.col(id).alias("id"), F.col(x).alias("x")))
     n = rows.count()
@@ -312,14 +339,15 @@ def nearest_lists(probe: DataFrame, pkey: str, build: DataFrame, id: str, need:
     none = F.lit(None).cast(kind).alias("id")
     home = held.unionByName(asked.select("block", F.lit(1).alias("side"), none, "pkey", "x", F.lit(None).cast("double").alias("r")))
     listed = f"near array<struct<dist: double, id: {kind}>>"
-    state = cut_lineage(home.groupBy("block").applyInArrow(_searched(need, nodes, boxes), f"pkey {pkind}, {listed}, x array<double>, r double, ask array<int>"))
+    parts = max(1, min(len(boxes), 4 * shuffle_partitions(spark)))  # blocks are dear to search and few bytes: not left to what merges small partitions
+    state = cut_lineage(home.repartition(parts, "block").groupBy("block").applyInArrow(_searched(need, nodes, boxes), f"pkey {pkind}, {listed}, x array<double>, r double, ask array<int>"))
     if len(boxes) == 1:
         return state.select(F.col("pkey").alias(pkey), "near")
     more = state.where(F.size("ask") > 0)
     away = held.unionByName(more.select(F.explode("ask").alias("block"), F.lit(1).alias("side"), none, "pkey", "x", "r"))
-    away = away.groupBy("block").applyInArrow(_searched(need, nodes, None), f"pkey {pkind}, {listed}")
+    away = away.repartition(parts, "block").groupBy("block").applyInArrow(_searched(need, nodes, None), f"pkey {pkind}, {listed}")
     merged = more.select("pkey", "near").unionByName(away).groupBy("pkey").agg(F.slice(F.sort_array(F.flatten(F.collect_list("near"))), 1, need).alias("near"))
-    return cut_lineage(state.where(F.size("ask") == 0).select("pkey", "near").unionByName(merged)).withColumnRenamed("pkey", pkey)
+    return state.where(F.size("ask") == 0).select("pkey", "near").unionByName(merged).withColumnRenamed("pkey", pkey)
 
 
 def _locations(points: DataFrame, key: str, x: str, need: int):
@@ -350,8 +378,7 @@ def knn_between(probe: DataFrame, build: DataFrame, key: str, k: int, x: str = "
     _, _, first = _locations(build, key, x, need)
     near = nearest_lists(probe, key, first.select(F.col(key).alias("nbr"), x), "nbr", need, x)
     listed = F.col("near") if include_self else F.filter("near", lambda t: t["id"] != F.col(key))
-    rows = near.select(key, F.posexplode(F.slice(listed, 1, k)).alias("__at", "__n"))
-    return rows.select(key, F.col("__n.id").alias("nbr"), (F.col("__at") + 1).cast("int").alias("rank"), F.col("__n.dist").alias("dist"))
+    return _ranked(near.select(key, F.slice(listed, 1, k).alias("near")), key)
 
 
 def kdist(knn_df: DataFrame, key: str, k: int) -> DataFrame:

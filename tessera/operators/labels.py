@@ -41,18 +41,27 @@ def lof(points: DataFrame, key: str, k: int = 20, contamination: float = 0.1, x:
     reach-dist(p, o) = max(kdist(o), d(p, o)); lrd(p) = 1 / (mean reach-dist
     + 1e-10); LOF(p) = mean lrd(o) / lrd(p).  Flagged: score strictly above
     its (1 - contamination) quantile.
+
+    A point of k-distance 0 has k copies, and so have they: all reach-dists among them are 0 and the score is 1,
+    which takes no pairs (where keys repeat, their rows are pooled, and all pairs are formed).
     """
-    from .distance import knn
+    from .distance import knn_lists
     from .quantile import quantile_table
     n = points.count()
     kk = min(k, n - 1)
-    nb = cut_lineage(knn(points, key, kk, x, include_self=False))  # read four times
-    kd = nb.where(F.col("rank") == kk).select(F.col(key).alias("nbr"), F.col("dist").alias("__kd_o"))
-    rd = nb.join(kd, "nbr").select(key, "nbr", F.greatest(F.col("__kd_o"), F.col("dist")).alias("__rd"))
-    lrd = cut_lineage(rd.groupBy(key).agg((1.0 / (F.avg("__rd") + 1e-10)).alias("__lrd")))
-    score = nb.select(key, "nbr").join(lrd.select(F.col(key).alias("nbr"), F.col("__lrd").alias("__lrd_o")), "nbr") \
+    nb = cut_lineage(knn_lists(points, key, kk, x, include_self=False))  # read several times
+    far = F.get("near", F.lit(kk - 1))["dist"]
+    unique = nb.groupBy(key).agg(F.count(F.lit(1)).alias("__c")).where("__c > 1").isEmpty()
+    copied = F.coalesce(far == 0, F.lit(False)) if unique else F.lit(False)
+    copies, links = nb.where(copied).select(key), nb.where(~copied).select(key, F.inline("near")).withColumnRenamed("id", "nbr")
+    kd = nb.where(far.isNotNull()).select(F.col(key).alias("nbr"), far.alias("__kd_o"))
+    rd = links.join(kd, "nbr").select(key, F.greatest(F.col("__kd_o"), F.col("dist")).alias("__rd"))
+    lrd = rd.groupBy(key).agg((1.0 / (F.avg("__rd") + 1e-10)).alias("__lrd"))
+    lrd = cut_lineage(lrd.unionByName(copies.withColumn("__lrd", F.lit(1.0 / 1e-10))))
+    score = links.select(key, "nbr").join(lrd.select(F.col(key).alias("nbr"), F.col("__lrd").alias("__lrd_o")), "nbr") \
         .groupBy(key).agg(F.avg("__lrd_o").alias("__m")).join(lrd, key) \
         .select(key, (F.col("__m") / F.col("__lrd")).alias("lof_score"))
+    score = score.unionByName(copies.withColumn("lof_score", F.lit(1.0)))
     score = cut_lineage(score)
     thr = quantile_table(score, ["lof_score"], [1.0 - contamination], exact=exact).select(F.col("q0").alias("__t"))
     return attach_row(score, thr).select(  # one-row threshold
@@ -66,8 +75,8 @@ def flag_noise(density: DataFrame, key: str, cluster: str = "cluster") -> DataFr
 
 def flag_ambiguous(soft: DataFrame, key: str, threshold: float = 0.5, u: str = "u") -> DataFrame:
     """(key, max_u, flag_ambiguous) -- largest membership below the threshold."""
-    mx = F.array_max(F.col(u))
-    return soft.select(key, mx.alias("max_u"), (mx < threshold).cast("int").alias("flag_ambiguous"))
+    most = soft.select(key, F.array_max(F.col(u)).alias("max_u"))
+    return most.withColumn("flag_ambiguous", (F.col("max_u") < threshold).cast("int"))
 
 
 def suspicion(flags: DataFrame, key: str, flag_cols: Sequence[str], cutoff: int = 2) -> DataFrame:
