@@ -522,7 +522,10 @@ def _contingency(a: DataFrame, b: DataFrame, key: str, ca: str, cb: str) -> Data
 
 def adjusted_rand(a: DataFrame, b: DataFrame, key: str, ca: str = "cluster", cb: str = "label") -> DataFrame:
     """ARI from the contingency table (Hubert & Arabie)."""
-    t = _contingency(a, b, key, ca, cb)
+    return _rand_index(_contingency(a, b, key, ca, cb))
+
+
+def _rand_index(t: DataFrame) -> DataFrame:
     comb = lambda c: c * (c - 1) / 2.0
     sij = t.agg(F.sum(comb(F.col("nij"))).alias("sij"), F.sum("nij").alias("n"))
     sa = t.groupBy("__a").agg(F.sum("nij").alias("ai")).agg(F.sum(comb(F.col("ai"))).alias("sa"))
@@ -536,7 +539,10 @@ def adjusted_rand(a: DataFrame, b: DataFrame, key: str, ca: str = "cluster", cb:
 def normalised_mutual_info(a: DataFrame, b: DataFrame, key: str, ca: str = "cluster",
                            cb: str = "label") -> DataFrame:
     """NMI with the arithmetic-mean normaliser, natural log."""
-    t = _contingency(a, b, key, ca, cb)
+    return _mutual_info(_contingency(a, b, key, ca, cb))
+
+
+def _mutual_info(t: DataFrame) -> DataFrame:
     ta = t.groupBy("__a").agg(F.sum("nij").alias("ai"))
     tb = t.groupBy("__b").agg(F.sum("nij").alias("bj"))
     total = t.agg(F.sum("nij").alias("n"))
@@ -581,18 +587,20 @@ def davies_bouldin(points: DataFrame, labels: DataFrame, key: str, x: str = "x",
 
 def compare_clusterings(labels: Mapping[str, DataFrame], truth: DataFrame, points: DataFrame, key: str,
                         x: str = "x", truth_col: str = "label") -> DataFrame:
-    """Method, n_clusters, ari, nmi, silhouette (noise excluded; NULL under two clusters)."""
-    out, truth, points = None, cut_lineage(truth.select(key, truth_col)), cut_lineage(points.select(key, x))
+    """Method, n_clusters, ari, nmi, silhouette (noise excluded; NULL under two clusters).
+
+    Each measure is worked out on its own and its one value read back: in one plan the measures' scalar subqueries
+    lie in one another, and planning them does not end.
+    """
+    rows, truth, points = [], cut_lineage(truth.select(key, truth_col)), cut_lineage(points.select(key, x))
     for name, lab in labels.items():
-        lab = cut_lineage(lab.select(key, "cluster"))  # four measures read it
-        nc = lab.where(F.col("cluster") >= 0).agg(F.countDistinct("cluster").alias("n_clusters"))
-        row = attach_row(attach_row(attach_row(
-            nc, adjusted_rand(lab, truth, key, "cluster", truth_col)),
-            normalised_mutual_info(lab, truth, key, "cluster", truth_col)),
-            silhouette(points, lab, key, x))  # one-row tables
-        row = row.select(F.lit(name).alias("method"), F.col("n_clusters").cast("int"), "ari", "nmi", "silhouette")
-        out = row if out is None else out.unionByName(row)
-    return out
+        lab = cut_lineage(lab.select(key, "cluster"))  # the measures read it
+        table = cut_lineage(_contingency(lab, truth, key, "cluster", truth_col))  # two measures read it
+        placed = cut_lineage(points.join(lab, key).where(F.col("cluster") >= 0).select(x, "cluster"))
+        measures = (lab.where(F.col("cluster") >= 0).agg(F.countDistinct("cluster")), _rand_index(table), _mutual_info(table),
+                    _mean_silhouette(placed, x, "cluster"))
+        rows.append((name, *[m.first()[0] for m in measures]))  # one-row tables
+    return points.sparkSession.createDataFrame(rows, "method string, n_clusters int, ari double, nmi double, silhouette double")
 
 
 def label_table(labels: Mapping[str, DataFrame], key: str) -> DataFrame:

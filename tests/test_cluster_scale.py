@@ -133,3 +133,35 @@ def test_projected_neighbours_of_points_without_structure_are_found_in_tiles(spa
     rows = got.collect()
     assert seen == 1.0 and {(r["key"], r["nbr"], r["rank"]) for r in rows} == want and len(rows) == len(want)
     assert all(abs(r["dist"] - d[r["key"], r["nbr"]]) < 1e-12 for r in rows)
+
+
+def _measures_by_definition(X, lab, truth):
+    pairs = [(i, j) for i in range(len(X)) for j in range(i)]
+    a, b = (np.array([v[i] == v[j] for i, j in pairs], float) for v in (lab, truth))
+    expected, most = a.sum() * b.sum() / len(pairs), (a.sum() + b.sum()) / 2
+    entropy = lambda v: -sum(np.mean(v == c) * np.log(np.mean(v == c)) for c in set(v))
+    both = np.array([100 * p + q for p, q in zip(lab, truth)])
+    nmi = 2 * (entropy(lab) + entropy(truth) - entropy(both)) / (entropy(lab) + entropy(truth))
+    kept, score = np.flatnonzero(lab >= 0), []
+    for i in kept:
+        to = {c: ((X[[j for j in kept if lab[j] == c and j != i]] - X[i]) ** 2).sum(1) for c in set(lab[kept])}
+        own, other = to[lab[i]], min((d.mean() for c, d in to.items() if c != lab[i]), default=np.nan)
+        score.append((other - own.mean()) / max(other, own.mean()) if len(own) else 0.0)
+    return len(set(lab[kept])), ((a * b).sum() - expected) / (most - expected), nmi, np.mean(score)
+
+
+def test_compare_clusterings_is_read_back_measure_by_measure(spark):
+    """Four labellings in one plan of nested scalar subqueries were never planned to the end."""
+    rng = np.random.default_rng(4)
+    X, truth = rng.normal(size=(60, 2)) + np.repeat([[0, 0], [3, 0], [0, 3]], 20, axis=0), np.repeat([0, 1, 2], 20)
+    labs = {"right": truth, "noisy": np.where(rng.random(60) < 0.2, -1, truth), "other": rng.integers(0, 4, 60), "one": np.where(np.arange(60) == 7, 1, 0)}
+    as_frame = lambda v, name: spark.createDataFrame([(i, int(c)) for i, c in enumerate(v)], f"key long, {name} int")
+    got = cl.compare_clusterings({n: as_frame(v, "cluster") for n, v in labs.items()}, as_frame(truth, "label"), frame(spark, X), "key")
+    assert "scalar-subquery" not in got._jdf.queryExecution().analyzed().toString()
+    assert got.dtypes == [("method", "string"), ("n_clusters", "int"), ("ari", "double"), ("nmi", "double"), ("silhouette", "double")]
+    rows = got.collect()
+    assert [r["method"] for r in rows] == list(labs)
+    for r in rows:
+        assert tuple(r)[1:] == pytest.approx(_measures_by_definition(X, labs[r["method"]], truth))
+    alone = cl.compare_clusterings({"all": as_frame(truth * 0, "cluster")}, as_frame(truth, "label"), frame(spark, X), "key").first()
+    assert alone["n_clusters"] == 1 and alone["silhouette"] is None
