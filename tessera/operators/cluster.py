@@ -604,7 +604,7 @@ def compare_clusterings(labels: Mapping[str, DataFrame], truth: DataFrame, point
     """Method, n_clusters, ari, nmi, silhouette (noise excluded; NULL under two clusters).
 
     Each measure is worked out on its own and its one value read back: in one plan the measures' scalar subqueries
-    lie in one another, and planning them does not end.
+    lie in one another, and the threads that Spark runs subqueries on end up waiting for each other.
     """
     rows, truth, points = [], cut_lineage(truth.select(key, truth_col)), cut_lineage(points.select(key, x))
     for name, lab in labels.items():

@@ -151,7 +151,7 @@ def _measures_by_definition(X, lab, truth):
 
 
 def test_compare_clusterings_is_read_back_measure_by_measure(spark):
-    """Four labellings in one plan of nested scalar subqueries were never planned to the end."""
+    """Four labellings in one plan of nested scalar subqueries waited for one another without end."""
     rng = np.random.default_rng(4)
     X, truth = rng.normal(size=(60, 2)) + np.repeat([[0, 0], [3, 0], [0, 3]], 20, axis=0), np.repeat([0, 1, 2], 20)
     labs = {"right": truth, "noisy": np.where(rng.random(60) < 0.2, -1, truth), "other": rng.integers(0, 4, 60), "one": np.where(np.arange(60) == 7, 1, 0)}
